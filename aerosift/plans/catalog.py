@@ -147,3 +147,98 @@ def q_anomaly_table(spark, sf_dir):
 def q_row_counts(spark, sf_dir):
     m = marts(spark, sf_dir)
     return serving.row_counts({"fact_positions": m.fact, "dim_vols": m.dim})
+
+
+# ---- insights -----------------------------------------------------------------
+
+@register("traffic_in_air")
+def q_in_air(spark, sf_dir):
+    from ..operators.insights import aircraft_in_air
+    return aircraft_in_air(marts(spark, sf_dir).fact)
+
+
+@register("busiest_corridors")
+def q_corridors(spark, sf_dir):
+    from ..operators.insights import busiest_corridors
+    return busiest_corridors(marts(spark, sf_dir).fact, TOP_CORRIDORS)
+
+
+@register("traffic_by_country")
+def q_country(spark, sf_dir):
+    from ..operators.insights import traffic_by_country
+    m = marts(spark, sf_dir)
+    return traffic_by_country(m.fact, m.dim)
+
+
+@register("traffic_by_hour")
+def q_hour(spark, sf_dir):
+    from ..operators.insights import traffic_by_hour
+    return traffic_by_hour(marts(spark, sf_dir).fact)
+
+
+# ---- ingest -------------------------------------------------------------------
+
+@register("ingestion_stats_last_hour")
+def q_ingest_stats(spark, sf_dir):
+    from ..operators.sinks import ingestion_stats
+    ensure_utc(spark)
+    return ingestion_stats(raw_positions(spark, sf_dir), AS_OF)
+
+
+@register("raw_merge_stats")
+def q_merge_stats(spark, sf_dir):
+    from ..operators.sinks import merge_stats
+    from ..sources.events_adapter import replayed_batches
+    ensure_utc(spark)
+    return merge_stats(replayed_batches(raw_positions(spark, sf_dir, keep_event_id=True)))
+
+
+@register("raw_merged")
+def q_merged(spark, sf_dir):
+    """The raw table after merging every replayed batch: one row per id, first landing kept."""
+    from ..operators.sinks import one_per_id
+    from ..schemas import RAW_COLUMNS
+    from ..sources.events_adapter import replayed_batches
+    ensure_utc(spark)
+    return one_per_id(replayed_batches(raw_positions(spark, sf_dir, keep_event_id=True))).select(*RAW_COLUMNS)
+
+
+# ---- quality ------------------------------------------------------------------
+
+@register("dq_stg_tests")
+def q_dq_stg(spark, sf_dir):
+    from ..operators.quality import STG_TESTS, run_suite
+    return run_suite(marts(spark, sf_dir).stg, STG_TESTS)
+
+
+@register("dq_mart_tests")
+def q_dq_marts(spark, sf_dir):
+    from ..operators.quality import DIM_TESTS, FACT_TESTS, run_suite
+    m = marts(spark, sf_dir)
+    return run_suite(m.dim, DIM_TESTS).unionByName(run_suite(m.fact, FACT_TESTS, refs={"dim_vols": m.dim}))
+
+
+@register("dq_raw_suite_by_batch")
+def q_dq_raw(spark, sf_dir):
+    from ..operators.quality import RAW_SUITE, run_suite
+    ensure_utc(spark)
+    return run_suite(raw_positions(spark, sf_dir), RAW_SUITE, by=["batch_id"])
+
+
+@register("dq_fact_suite")
+def q_dq_fact(spark, sf_dir):
+    from ..operators.quality import FACT_SUITE, run_suite
+    return run_suite(marts(spark, sf_dir).fact, FACT_SUITE)
+
+
+@register("altitude_coherence")
+def q_coherence(spark, sf_dir):
+    from ..operators.quality import altitude_coherence
+    return altitude_coherence(marts(spark, sf_dir).fact)
+
+
+@register("source_freshness")
+def q_freshness(spark, sf_dir):
+    from ..operators.quality import freshness
+    ensure_utc(spark)
+    return freshness(raw_positions(spark, sf_dir), AS_OF)

@@ -27,7 +27,8 @@ def _arr(values) -> str:
     return "array(" + ", ".join("'" + v + "'" for v in values) + ")"
 
 
-def raw_positions_from_events(events: DataFrame) -> DataFrame:
+def raw_positions_from_events(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
+    """Project events to the 18 raw columns (plus ``event_id`` when asked)."""
     e = "event_id"
     u = "user_id"
     base = events.select(
@@ -74,7 +75,7 @@ def raw_positions_from_events(events: DataFrame) -> DataFrame:
         "ingested_at": "CAST(timestamp_seconds(((t div 600) + 1) * 600) AS TIMESTAMP_NTZ)",
         "batch_id": "md5(CAST(t div 600 AS STRING))",
     }
-    out = base.select(*[F.expr(v).alias(k) for k, v in cols.items()])
+    out = base.select(F.col("e").alias("event_id"), *[F.expr(v).alias(k) for k, v in cols.items()])
     out = out.withColumn(
         "id",
         F.sha2(
@@ -88,13 +89,28 @@ def raw_positions_from_events(events: DataFrame) -> DataFrame:
             256,
         ),
     )
-    return out.select(*RAW_COLUMNS)
+    return out.select(*RAW_COLUMNS, *(["event_id"] if keep_event_id else []))
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def raw_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_positions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """Raw position table derived from ``{sf_dir}/events.parquet``."""
-    return raw_positions_from_events(read_events(spark, sf_dir).select("event_id", "user_id", "ts"))
+    return raw_positions_from_events(read_events(spark, sf_dir).select("event_id", "user_id", "ts"),
+                                     keep_event_id)
+
+
+def replayed_batches(raw_e: DataFrame) -> DataFrame:
+    """Landed batches with the fixture's duplicates (FIXTURES.md §3): every row
+    in its own 10-minute batch, rows with ``event_id % 10 = 0`` landed again in
+    the following batch, rows with ``event_id % 50 = 0`` twice in their own."""
+    from ..functions.timecols import ntz_to_epoch, shift_seconds
+
+    nxt = ntz_to_epoch("ingested_at")
+    replay = raw_e.filter(F.col("event_id") % 10 == 0).withColumn(
+        "batch_id", F.md5((nxt.cast("long") / 600).cast("long").cast("string"))
+    ).withColumn("ingested_at", shift_seconds("ingested_at", 600))
+    twins = raw_e.filter(F.col("event_id") % 50 == 0)
+    return raw_e.unionByName(replay).unionByName(twins)
