@@ -1,18 +1,42 @@
-"""30-second dedup per aircraft, computed climb rate and altitude-jump flag."""
+"""30-second dedup per aircraft, computed climb rate and altitude-jump flag.
+
+One aggregation does both the dedup and the previous-position lookup.
+Each clean staged row is emitted once for its own (icao24, window) -- as a
+candidate winner -- and once for each of the next k = ceil(120 / 30)
+windows -- as an offer of "previous position". Grouped by (icao24, window):
+
+* ``min_by(row, dedup order)`` over the own-window rows is the window's
+  winner (sensor quality, highest altitude, earliest ingest, raw id);
+* ``min_by(offer, (source window DESC, dedup order))`` over the offers is
+  the winner of the latest earlier window within reach -- exactly the
+  row a ``LAG`` over the deduplicated rows returns whenever it is at most
+  120 s old (older predecessors give a NULL rate / FALSE flag anyway).
+
+So raw is read once and shuffled once, the aggregation is partial
+(map-side) before the shuffle, and the key (aircraft, 30 s window) spreads a
+hot aircraft over all tasks; no per-aircraft sort of the whole history.
+"""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..functions.kinematics import altitude_jump, climb_rate
-from ..functions.timecols import bucket_start, ntz_to_epoch
+from ..functions.timecols import bucket_start, ntz_to_epoch, shift_seconds
 from ..schemas import INT_COLUMNS
-from .continuity import attach_previous
 
 NO_SOURCE_SCORE = 99  # fixed value: quality score when the sensor source is unknown
 
+STG_PAYLOAD = [
+    "position_id_raw", "icao24", "callsign", "origine_pays", "timestamp_position_utc", "ingested_at",
+    "batch_id", "latitude", "longitude", "altitude_baro_m", "altitude_geo_m", "altitude_baro_ft",
+    "vitesse_ms", "vitesse_kmh", "cap_degres", "taux_montee_ms", "au_sol", "squawk", "source_capteur",
+]
+
 
 def clean_rows(stg: DataFrame) -> DataFrame:
     """Rows with none of the three staging flags (flags are never NULL)."""
@@ -20,45 +44,75 @@ def clean_rows(stg: DataFrame) -> DataFrame:
                       & ~F.col("flag_coords_invalides"))
 
 
-def window_winners(stg: DataFrame, window_s: int = 30) -> DataFrame:
-    """Best row per (icao24, window): sensor quality, then highest altitude,
-    then earliest ingest, then raw id (total order => deterministic).
-
-    Catalyst turns ``row_number() = 1`` into a partial WindowGroupLimit before
-    the shuffle, so every map task forwards at most one row per group: a group
-    with millions of copies costs one row per map task on the wire.
-    """
-    windowed = clean_rows(stg).withColumn(
+def windowed(stg: DataFrame, window_s: int = 30) -> DataFrame:
+    return clean_rows(stg).withColumn(
         "window_30s", bucket_start("timestamp_position_utc", window_s)
     ).withColumn("quality_score", F.coalesce(F.col("source_capteur"), F.lit(NO_SOURCE_SCORE)))
+
+
+def dedup_order():
+    """Ascending struct = quality ASC, altitude DESC NULLS LAST, ingest ASC NULLS LAST, id ASC NULLS LAST."""
+    alt, ing, rid = F.col("altitude_baro_m"), F.col("ingested_at"), F.col("position_id_raw")
+    return [F.col("quality_score"), alt.isNull(), -alt, ing.isNull(), ing, rid.isNull(), rid]
+
+
+def window_winners(stg: DataFrame, window_s: int = 30) -> DataFrame:
+    """Best row per (icao24, window) with ``row_number() = 1`` (the plain form;
+    Catalyst adds a partial WindowGroupLimit before the shuffle)."""
     w = Window.partitionBy("icao24", "window_30s").orderBy(
-        F.col("quality_score").asc(),
-        F.col("altitude_baro_m").desc_nulls_last(),
-        F.col("ingested_at").asc_nulls_last(),
-        F.col("position_id_raw").asc_nulls_last(),
+        F.col("quality_score").asc(), F.col("altitude_baro_m").desc_nulls_last(),
+        F.col("ingested_at").asc_nulls_last(), F.col("position_id_raw").asc_nulls_last())
+    return (windowed(stg, window_s).withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") == 1).drop("_rn"))
+
+
+def winners_with_previous(stg: DataFrame, window_s: int = 30, max_gap_s: int = 120) -> DataFrame:
+    """Window winners plus ``prev_timestamp`` / ``prev_altitude_m`` in one aggregation."""
+    k = max(1, math.ceil(max_gap_s / window_s))
+    w = windowed(stg, window_s)
+    src_epoch = ntz_to_epoch("window_30s")
+    steps = F.when(F.col("window_30s").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(k)))
+    ex = w.select(
+        "icao24", "window_30s", "quality_score", *[c for c in STG_PAYLOAD if c != "icao24"],
+        src_epoch.alias("_src"), F.explode(steps).alias("_step"),
+    )
+    own = F.col("_step") == 0
+    order = F.struct(*dedup_order())
+    offer_order = F.struct(-F.col("_src"), *dedup_order())
+    ex = ex.select(
+        "icao24",
+        F.when(own, F.col("window_30s")).otherwise(shift_seconds("window_30s", F.col("_step") * window_s))
+        .alias("window_30s"),
+        F.when(own, F.struct(*[F.col(c) for c in STG_PAYLOAD if c != "icao24"], F.col("quality_score")))
+        .alias("_self"),
+        F.when(own, order).alias("_self_o"),
+        F.when(~own, F.struct(F.col("timestamp_position_utc").alias("t"), F.col("altitude_baro_m").alias("alt")))
+        .alias("_offer"),
+        F.when(~own, offer_order).alias("_offer_o"),
+    )
+    g = ex.groupBy("icao24", "window_30s").agg(
+        F.min_by("_self", "_self_o").alias("_w"),
+        F.min_by("_offer", "_offer_o").alias("_p"),
+        F.count("_self_o").alias("_n_self"),
+    ).filter(F.col("_n_self") > 0)
+    return g.select(
+        "icao24", "window_30s", "_w.*",
+        F.col("_p.t").alias("prev_timestamp"), F.col("_p.alt").alias("prev_altitude_m"),
     )
-    return windowed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def with_kinematics(winners: DataFrame, window_s: int = 30, max_gap_s: int = 120,
-                    max_rate: int = 100) -> DataFrame:
-    prev = attach_previous(winners, "icao24", "window_30s", "timestamp_position_utc", ["altitude_baro_m"],
-                           bucket_s=window_s, max_gap_s=max_gap_s)
-    dt = ntz_to_epoch("timestamp_position_utc") - ntz_to_epoch("prev_timestamp_position_utc")
-    return prev.withColumn("_dt", dt).select(
+def dedup(stg: DataFrame, window_s: int = 30, max_gap_s: int = 120, max_rate: int = 100) -> DataFrame:
+    """Intermediate layer: one row per (icao24, 30 s window), 23 columns."""
+    p = winners_with_previous(stg, window_s, max_gap_s)
+    dt = ntz_to_epoch("timestamp_position_utc") - ntz_to_epoch("prev_timestamp")
+    return p.withColumn("_dt", dt).select(
         surrogate_key("icao24", "window_30s").alias("position_id"),
         "icao24", "callsign", "origine_pays", "timestamp_position_utc", "window_30s",
         "ingested_at", "batch_id", "latitude", "longitude", "altitude_baro_m", "altitude_geo_m",
         "altitude_baro_ft", "vitesse_ms", "vitesse_kmh", "cap_degres",
         F.col("taux_montee_ms").alias("taux_montee_declare_ms"),
-        climb_rate("altitude_baro_m", "prev_altitude_baro_m", "_dt", max_gap_s).alias("taux_montee_calcule_ms"),
+        climb_rate("altitude_baro_m", "prev_altitude_m", "_dt", max_gap_s).alias("taux_montee_calcule_ms"),
         "au_sol", "squawk", "source_capteur", "quality_score",
-        altitude_jump("altitude_baro_m", "prev_altitude_baro_m", "_dt", max_gap_s, max_rate)
+        altitude_jump("altitude_baro_m", "prev_altitude_m", "_dt", max_gap_s, max_rate)
         .alias("flag_changement_altitude_suspect"),
-    )
-
-
-def dedup(stg: DataFrame, window_s: int = 30, max_gap_s: int = 120, max_rate: int = 100) -> DataFrame:
-    """Intermediate layer: one row per (icao24, 30 s window), 23 columns."""
-    out = with_kinematics(window_winners(stg, window_s), window_s, max_gap_s, max_rate)
-    return out.select(*INT_COLUMNS)
+    ).select(*INT_COLUMNS)

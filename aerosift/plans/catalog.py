@@ -34,8 +34,10 @@ def register(name: str):
 
 
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
+    """Layers over the whole events table; ``inter`` is written once to the
+    checkpoint folder when a query needs it (dim and fact both read it)."""
     ensure_utc(spark)
-    return build_marts(raw_positions(spark, sf_dir), AS_OF)
+    return build_marts(raw_positions(spark, sf_dir), AS_OF, materialize=True)
 
 
 def live(spark, sf_dir) -> DataFrame:

@@ -2,36 +2,53 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from ..operators.dedup import dedup
 from ..operators.marts import flight_dim, position_fact
 from ..operators.staging import stage
+from ..session import materialize as write_and_reread
 
 DEFAULT_AS_OF = datetime(2024, 1, 1, 3, 0, 0)
 
 
-@dataclass
 class Marts:
-    stg: DataFrame
-    inter: DataFrame
-    dim: DataFrame
-    fact: DataFrame
+    """The four layers over one raw table, built lazily on first access.
 
+    ``inter`` feeds both marts. With ``materialize=True`` it is written once
+    to the shared checkpoint folder and re-read, so the dimension and the fact
+    read a stored table instead of re-running scan + dedup shuffle (the
+    reference keeps it as a table too).
+    """
 
-def build_marts(raw: DataFrame, as_of: datetime = DEFAULT_AS_OF, window_s: int = 30,
-                max_gap_s: int = 120, max_rate: int = 100) -> Marts:
-    """Lazy composition of the four layers (no action is run here).
+    def __init__(self, raw: DataFrame, as_of: datetime = DEFAULT_AS_OF, window_s: int = 30,
+                 max_gap_s: int = 120, max_rate: int = 100, materialize: bool = False):
+        self.raw = raw
+        self.as_of = as_of
+        self.window_s, self.max_gap_s, self.max_rate = window_s, max_gap_s, max_rate
+        self.materialize = materialize
 
-    ``inter`` feeds both marts; inside one plan Spark reuses its shuffle
-    (ReuseExchange). Jobs that keep the marts write ``inter`` first (see
-    ``plans.tables``) so the two consumers read a stored table.
-    """
-    stg = stage(raw)
-    inter = dedup(stg, window_s, max_gap_s, max_rate)
-    dim = flight_dim(inter, as_of)
-    fact = position_fact(inter, dim, as_of)
-    return Marts(stg, inter, dim, fact)
+    @cached_property
+    def stg(self) -> DataFrame:
+        return stage(self.raw)
+
+    @cached_property
+    def inter(self) -> DataFrame:
+        df = dedup(self.stg, self.window_s, self.max_gap_s, self.max_rate)
+        return write_and_reread(df, "int_positions_deduped") if self.materialize else df
+
+    @cached_property
+    def dim(self) -> DataFrame:
+        return flight_dim(self.inter, self.as_of)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return position_fact(self.inter, self.dim, self.as_of)
+
+
+def build_marts(raw: DataFrame, as_of: datetime = DEFAULT_AS_OF, window_s: int = 30,
+                max_gap_s: int = 120, max_rate: int = 100, materialize: bool = False) -> Marts:
+    return Marts(raw, as_of, window_s, max_gap_s, max_rate, materialize)

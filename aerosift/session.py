@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,7 @@ def get_session(master: str | None = None, app: str = "aerosift", shuffle_partit
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions:
@@ -71,3 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     path = os.path.join(base, name)
     return path
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
+    and return the re-read table (column pruning, statistics, and it survives
+    the loss of any executor, unlike a cache or a local checkpoint)."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
