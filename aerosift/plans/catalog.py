@@ -287,3 +287,32 @@ def q_fact_incremental(spark, sf_dir):
 def q_dim_incremental(spark, sf_dir):
     from .tables import read_dim
     return read_dim(spark, _incremental_root(spark, sf_dir))
+
+
+# ---- streaming ---------------------------------------------------------------------
+
+STREAM_WATERMARK = "2 hours"
+
+
+@register("stream_window_winners")
+def q_stream_winners(spark, sf_dir):
+    """30 s dedup as a watermarked streaming aggregation over the raw table
+    landed as Parquet files (drained with availableNow). Only windows the
+    watermark has closed are emitted (append mode)."""
+    import os
+    import uuid
+
+    from ..operators.staging import stage
+    from ..schemas import RAW_POSITIONS
+    from ..session import checkpoint_dir
+    from ..streaming.pipeline import window_winners_stream
+
+    ensure_utc(spark)
+    base = os.path.join(checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    raw_positions(spark, sf_dir).write.parquet(os.path.join(base, "landing"))
+    src = spark.readStream.schema(RAW_POSITIONS).parquet(os.path.join(base, "landing"))
+    q = (window_winners_stream(stage(src), STREAM_WATERMARK).writeStream.format("parquet")
+         .option("path", os.path.join(base, "out")).option("checkpointLocation", os.path.join(base, "ck"))
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out"))
