@@ -17,12 +17,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.dedup import dedup
 from ..operators.marts import flight_dim, position_fact
 from ..operators.sinks import write_clustered
 from ..operators.staging import stage
-from ..schemas import DIM_COLUMNS, FACT_COLUMNS, INT_COLUMNS
+from ..schemas import DIM_COLUMNS, FACT_COLUMNS, INT_COLUMNS, RAW_POSITIONS
 
 INT_PARTITION = "window_date"
 
@@ -35,16 +36,30 @@ def with_int_partition(inter: DataFrame) -> DataFrame:
     return inter.withColumn(INT_PARTITION, F.to_date("window_30s"))
 
 
+def table_schemas(spark: SparkSession) -> dict[str, T.StructType]:
+    """Stored schemas, derived from the operators by analysing an empty input
+    (no job runs); reading with them also works for an empty table."""
+    empty = spark.createDataFrame([], RAW_POSITIONS)
+    inter = dedup(stage(empty))
+    dim = flight_dim(inter, datetime(2000, 1, 1))
+    fact = position_fact(inter, dim, datetime(2000, 1, 1))
+    return {"int": with_int_partition(inter).schema, "dim": dim.schema, "fact": fact.schema}
+
+
+def _read(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
+    return spark.read.schema(table_schemas(spark)[name]).parquet(paths(root)[name]).select(*columns)
+
+
 def read_int(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(paths(root)["int"]).select(*INT_COLUMNS)
+    return _read(spark, root, "int", INT_COLUMNS)
 
 
 def read_dim(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(paths(root)["dim"]).select(*DIM_COLUMNS)
+    return _read(spark, root, "dim", DIM_COLUMNS)
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(paths(root)["fact"]).select(*FACT_COLUMNS)
+    return _read(spark, root, "fact", FACT_COLUMNS)
 
 
 def build_tables(spark: SparkSession, raw: DataFrame, root: str, as_of: datetime,

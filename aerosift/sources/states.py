@@ -31,10 +31,14 @@ MANDATORY_TYPED = ["latitude", "longitude"]
 AU_SOL_INDEX = STATE_FIELDS.index("au_sol")
 
 
-def read_states(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def read_states(spark: SparkSession, path: str, streaming: bool = False,
+                max_files_per_trigger: int | None = None) -> DataFrame:
     """Landed payload files (JSON) with an explicit schema, one row per state vector."""
     reader = spark.readStream if streaming else spark.read
-    payload = reader.schema(STATE_PAYLOAD).option("multiLine", "true").json(path)
+    reader = reader.schema(STATE_PAYLOAD).option("multiLine", "true")
+    if streaming and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    payload = reader.json(path)
     return payload.select(F.col("time").alias("payload_time"), F.explode("states").alias("state"))
 
 
@@ -109,3 +113,18 @@ def read_batch(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         return spark.read.schema(RAW_POSITIONS).format(fmt).load(path).select(*RAW_COLUMNS)
     except Exception:  # noqa: BLE001 - AnalysisException: path does not exist
         return spark.createDataFrame([], RAW_POSITIONS)
+
+
+def to_state_payloads(raw: DataFrame, batch_col: str = "ingested_at") -> DataFrame:
+    """Inverse of ``parse_states`` for tests and replays: one payload row per
+    landed batch (``time`` = batch stamp, ``states`` = 17-value text arrays).
+    A payload is one feed response (bounded by the feed's area), so
+    collecting a batch's states into one array is bounded too."""
+    vals = []
+    for name in STATE_FIELDS:
+        if name in ("sensors", "spi"):
+            vals.append(F.lit(None).cast("string"))
+        else:
+            vals.append(F.col(name).cast("string"))
+    return raw.groupBy(batch_col).agg(F.collect_list(F.array(*vals)).alias("states")).select(
+        F.unix_seconds(F.col(batch_col).cast("timestamp")).alias("time"), "states")

@@ -20,7 +20,7 @@ on the way in and back to NTZ on the way out.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +31,7 @@ from ..operators.quality import RAW_SUITE, enforce, run_suite
 from ..operators.sinks import merge_raw
 from ..operators.staging import stage
 from ..plans.incremental import incremental_update
-from ..plans.tables import paths
+from ..plans.tables import build_tables, paths
 from ..sources.states import parse_states, read_states
 
 EVENT_TS = "_event_ts"
@@ -81,7 +81,7 @@ def process_landed_batch(spark: SparkSession, states: DataFrame, root: str, on_f
     stamp = states.agg(F.max("payload_time").alias("t")).first()["t"]
     if stamp is None:
         return {"inserted": 0, "skipped": 0, "total": 0}
-    as_of = datetime.utcfromtimestamp(int(stamp))
+    as_of = datetime.fromtimestamp(int(stamp), timezone.utc).replace(tzinfo=None)
     positions, _rejects = parse_states(states, as_of)
     positions = positions.persist()
     try:
@@ -91,18 +91,29 @@ def process_landed_batch(spark: SparkSession, states: DataFrame, root: str, on_f
         raw = spark.read.parquet(p["raw"])
         bid = positions.select("batch_id").first()
         if bid is not None:
-            new = raw.filter(F.col("batch_id") == F.lit(bid["batch_id"]))
-            incremental_update(spark, root, raw, new, as_of)
+            if _exists(spark, p["int"]):
+                new = raw.filter(F.col("batch_id") == F.lit(bid["batch_id"]))
+                incremental_update(spark, root, raw, new, as_of)
+            else:
+                build_tables(spark, raw, root, as_of)
         return stats
     finally:
         positions.unpersist()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # noqa: BLE001 - AnalysisException: path does not exist
+        return False
+
+
 def run_ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint_location: str,
-                      available_now: bool = True, interval: str = "10 minutes"):
+                      available_now: bool = True, interval: str = "10 minutes", max_files_per_trigger: int | None = None):
     """Start the landed-file stream (``availableNow`` drains what is there and
     stops; otherwise one micro-batch per ``interval``)."""
-    stream = read_states(spark, landing, streaming=True)
+    stream = read_states(spark, landing, streaming=True, max_files_per_trigger=max_files_per_trigger)
     w = stream.writeStream.foreachBatch(lambda df, _epoch: process_landed_batch(spark, df, root)) \
         .option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
