@@ -122,12 +122,19 @@ def sync_schema(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def write_clustered(df: DataFrame, path: str, partition_col: str = "date_utc", cluster_col: str = "vol_sk",
-                    mode: str = "overwrite", num_partitions: int | None = None) -> None:
-    """Partition by ``partition_col``; files range-partitioned and sorted by
-    (partition_col, cluster_col)."""
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, partition_col, cluster_col)
-       .sortWithinPartitions(partition_col, cluster_col)
+                    mode: str = "overwrite", range_partitions: int | None = None) -> None:
+    """Partition by ``partition_col``; every file sorted by (partition_col, cluster_col).
+
+    By default the rows keep the partitioning they arrive with (no extra
+    shuffle) and each task sorts its rows, so each file is clustered on the
+    key and Parquet row-group min/max statistics skip most of it for a key
+    filter. ``range_partitions`` adds a range shuffle on the two columns (one
+    sampling pass + shuffle) for a compaction run that wants fewer, disjoint
+    files.
+    """
+    if range_partitions:
+        df = df.repartitionByRange(range_partitions, partition_col, cluster_col)
+    (df.sortWithinPartitions(partition_col, cluster_col)
        .write.mode(mode).partitionBy(partition_col).parquet(path))
 
 

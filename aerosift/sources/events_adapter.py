@@ -96,10 +96,18 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Use every core on a scan with fewer splits than cores (a small file is
+    one Parquet row group = one task). At scale the scan already has far more
+    splits than cores and this is a no-op; it never shuffles a large input."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_positions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """Raw position table derived from ``{sf_dir}/events.parquet``."""
-    return raw_positions_from_events(read_events(spark, sf_dir).select("event_id", "user_id", "ts"),
-                                     keep_event_id)
+    events = spread_small_scan(read_events(spark, sf_dir).select("event_id", "user_id", "ts"))
+    return raw_positions_from_events(events, keep_event_id)
 
 
 def replayed_batches(raw_e: DataFrame) -> DataFrame:
