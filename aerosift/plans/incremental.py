@@ -54,8 +54,13 @@ def _expand(touched: DataFrame, lo: int, hi: int, window_s: int) -> DataFrame:
 
 
 def affected_raw(raw: DataFrame, context: DataFrame, window_s: int = 30) -> DataFrame:
-    """Raw rows whose (icao24, window) is a context window (semi-join with
-    the event-date partition column among the keys -> partition pruning)."""
+    """Raw rows whose (icao24, window) is a context window.
+
+    Timed rows: semi-join with plain equality on the raw table's
+    ``event_date`` partition column among the keys, so dynamic partition
+    pruning reads only the touched days. Rows without a time (NULL bucket)
+    live in the NULL partition (static pruning) and are matched on icao24.
+    """
     ctx = context.select(
         F.to_date("window_30s").alias("_d"), F.col("icao24").alias("_i"), F.col("window_30s").alias("_w"))
     r = raw
@@ -63,8 +68,12 @@ def affected_raw(raw: DataFrame, context: DataFrame, window_s: int = 30) -> Data
         r = r.withColumn(EVENT_DATE, F.to_date(epoch_to_ntz("time_position")))
     key_i = F.lower(F.trim(r["icao24"]))
     key_w = bucket_start(epoch_to_ntz(r["time_position"]), window_s)
-    cond = (r[EVENT_DATE].eqNullSafe(ctx["_d"]) & (key_i == ctx["_i"]) & key_w.eqNullSafe(ctx["_w"]))
-    return r.join(ctx, cond, "left_semi").drop(EVENT_DATE)
+    timed_ctx = ctx.filter(F.col("_w").isNotNull())
+    timed = r.join(timed_ctx, (r[EVENT_DATE] == timed_ctx["_d"]) & (key_i == timed_ctx["_i"])
+                   & (key_w == timed_ctx["_w"]), "left_semi")
+    null_ctx = ctx.filter(F.col("_w").isNull()).select("_i").distinct()
+    untimed = r.filter(r[EVENT_DATE].isNull()).join(null_ctx, key_i == null_ctx["_i"], "left_semi")
+    return timed.unionByName(untimed).drop(EVENT_DATE)
 
 
 def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw: DataFrame, as_of: datetime,
