@@ -51,11 +51,18 @@ def busiest_corridors(fact: DataFrame, top: int = 20) -> DataFrame:
 
 def traffic_by_country(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Flights and positions per registration country, with a grand total row
-    (``niveau`` = 1) from ROLLUP (INS3)."""
-    j = fact.select("vol_sk").join(dim.select("vol_sk", "origine_pays"), "vol_sk")
+    (``niveau`` = 1) from ROLLUP (INS3).
+
+    The fact is first reduced to one row per flight (partial aggregation
+    before the shuffle); only that per-flight frame -- bounded by the number
+    of aircraft -- meets the dimension and the rollup, where each flight
+    counts once, so no distinct aggregation is needed.
+    """
+    per_flight = fact.groupBy("vol_sk").agg(F.count(F.lit(1)).alias("_n"))
+    j = per_flight.join(dim.select("vol_sk", "origine_pays"), "vol_sk")
     return j.rollup("origine_pays").agg(
-        F.countDistinct("vol_sk").alias("avions"),
-        F.count(F.lit(1)).alias("nb_positions"),
+        F.count(F.lit(1)).alias("avions"),
+        F.sum("_n").alias("nb_positions"),
         F.grouping("origine_pays").cast("int").alias("niveau"),
     )
 
@@ -64,3 +71,14 @@ def traffic_by_hour(fact: DataFrame) -> DataFrame:
     """Positions and distinct flights by (day of week, hour of day) (INS4)."""
     return fact.groupBy("jour_semaine", "heure_journee").agg(
         F.count(F.lit(1)).alias("nb_positions"), F.countDistinct("vol_sk").alias("avions"))
+
+
+def aircraft_in_air_sliding(fact: DataFrame, size_s: int = 3600, slide_s: int = 600) -> DataFrame:
+    """INS1 over sliding windows (1 hour, every 10 minutes): distinct airborne
+    flights per window. ``window`` expands each row into size/slide windows
+    before a partial aggregation."""
+    w = F.window(F.col("timestamp_utc").cast("timestamp"), f"{size_s} seconds", f"{slide_s} seconds")
+    return (airborne(fact).groupBy(w.alias("_w"))
+            .agg(F.countDistinct("vol_sk").alias("avions_en_vol"), F.count(F.lit(1)).alias("nb_positions"))
+            .select(F.col("_w.start").cast("timestamp_ntz").alias("debut"),
+                    F.col("_w.end").cast("timestamp_ntz").alias("fin"), "avions_en_vol", "nb_positions"))

@@ -347,3 +347,12 @@ def freshness(raw: DataFrame, as_of, warn_after_s: int = 3600, error_after_s: in
         F.when(age.isNull() | (age > error_after_s), F.lit("error"))
         .when(age > warn_after_s, F.lit("warn")).otherwise(F.lit("pass")).alias("status"),
     )
+
+
+def store_results(results: DataFrame, path: str, run_id: str, as_of) -> None:
+    """Append a suite's results to the validation-result store (SNK5), stamped
+    with the run id and time; partitioned by suite for cheap history reads."""
+    from ..functions.timecols import ntz_literal
+
+    (results.withColumn("run_id", F.lit(run_id)).withColumn("run_at", ntz_literal(as_of))
+     .write.mode("append").partitionBy("suite").parquet(path))

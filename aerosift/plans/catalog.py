@@ -316,3 +316,9 @@ def q_stream_winners(spark, sf_dir):
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(os.path.join(base, "out"))
+
+
+@register("traffic_in_air_sliding")
+def q_in_air_sliding(spark, sf_dir):
+    from ..operators.insights import aircraft_in_air_sliding
+    return aircraft_in_air_sliding(marts(spark, sf_dir).fact)

@@ -107,3 +107,14 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
     fact_new = position_fact(new_int, read_dim(spark, root), as_of)
     upsert(spark, fact_new, p["fact"], "position_sk", "date_utc", "vol_sk")
     return {"recomputed_positions": new_int.count()}
+
+
+def lookback_slice(raw: DataFrame, as_of: datetime, hours: float = 2) -> DataFrame:
+    """The upstream incremental selection (``ingested_at >= as_of - lookback``),
+    usable as the ``new_raw`` input of ``incremental_update``: the update stays
+    exact whatever slice it is given."""
+    from datetime import timedelta
+
+    from ..functions.timecols import ntz_literal
+
+    return raw.filter(F.col("ingested_at") >= ntz_literal(as_of - timedelta(hours=hours)))

@@ -72,3 +72,13 @@ def build_tables(spark: SparkSession, raw: DataFrame, root: str, as_of: datetime
     flight_dim(stored, as_of).write.mode("overwrite").parquet(p["dim"])
     fact = position_fact(stored, read_dim(spark, root), as_of)
     write_clustered(fact, p["fact"], "date_utc", "vol_sk")
+
+
+def register_views(spark: SparkSession, root: str, raw: DataFrame | None = None) -> None:
+    """Expose the layers to Spark SQL (SNK4): staging stays a view over raw,
+    the stored layers are views over their Parquet tables."""
+    if raw is not None:
+        stage(raw).createOrReplaceTempView("stg_positions")
+    read_int(spark, root).createOrReplaceTempView("int_positions_deduped")
+    read_dim(spark, root).createOrReplaceTempView("dim_vols")
+    read_fact(spark, root).createOrReplaceTempView("fact_positions")
