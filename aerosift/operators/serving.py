@@ -34,8 +34,12 @@ ANOMALY_COLUMNS = [
 def recent(fact: DataFrame, as_of: datetime, hours: float) -> DataFrame:
     since = as_of - timedelta(hours=hours)
     f = fact
-    if "date_utc" in fact.columns:  # partition column of the stored fact: prune whole days
-        f = f.filter(F.col("date_utc") >= F.lit(since.date()))
+    if "date_utc" in fact.columns:  # partition columns of the stored fact: prune days and hours
+        day = F.lit(since.date())
+        keep = F.col("date_utc") > day
+        keep = keep | ((F.col("date_utc") == day) & (F.col("heure_journee") >= since.hour)) \
+            if "heure_journee" in fact.columns else keep | (F.col("date_utc") == day)
+        f = f.filter(keep)
     return f.filter(F.col("timestamp_utc") >= ntz_literal(since))
 
 

@@ -37,7 +37,7 @@ from ..operators.marts import flight_dim, position_fact
 from ..operators.sinks import EVENT_DATE, upsert
 from ..operators.staging import stage
 from ..session import materialize
-from .tables import INT_PARTITION, paths, read_dim, read_int, with_int_partition
+from .tables import FACT_PARTITIONS, INT_PARTITIONS, paths, read_dim, read_int, with_int_partition
 
 
 def touched_windows(new_raw: DataFrame, window_s: int = 30) -> DataFrame:
@@ -92,7 +92,7 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
         "left_semi")
     # the delta is read three times below: store it once (lineage cut)
     new_int = materialize(new_int, "int-delta")
-    upsert(spark, with_int_partition(new_int), p["int"], "position_id", INT_PARTITION, "icao24")
+    upsert(spark, with_int_partition(new_int), p["int"], "position_id", INT_PARTITIONS, "icao24")
 
     # dimension: touched aircraft recomputed in full from the updated int table
     aircraft = touched.select("icao24").distinct()
@@ -105,7 +105,7 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
 
     # fact rows of the emitted windows (their keys and partitions are fixed by position_id)
     fact_new = position_fact(new_int, read_dim(spark, root), as_of)
-    upsert(spark, fact_new, p["fact"], "position_sk", "date_utc", "vol_sk")
+    upsert(spark, fact_new, p["fact"], "position_sk", FACT_PARTITIONS, "vol_sk")
     return {"recomputed_positions": new_int.count()}
 
 
