@@ -6,15 +6,15 @@ that task never finishes. All the consumers of the previous row only use it
 when it is at most ``max_gap_s`` old (else the rate is NULL / the flag is
 FALSE). With at most one row per (key, bucket), the previous row that
 matters lies in one of the ``ceil(max_gap_s / bucket_s)`` preceding buckets,
-so it is found by an equi-join on (key, bucket):
+so it is found with one aggregation keyed by (key, bucket):
 
-* every row offers itself to the next k buckets (k rows out per row in),
-* a per-(key, target bucket) max-by keeps the latest offer (partial
-  aggregation before the shuffle),
-* a left equi-join attaches it.
+* every row is emitted for its own bucket (carrying itself) and offers
+  itself to the next k buckets (k + 1 rows out per row in),
+* a per-(key, bucket) ``max_by`` keeps the latest offer next to the row
+  (partial aggregation before the shuffle).
 
-Both sides are hash-partitioned on (key, bucket), which spreads a hot key
-over all tasks. When the attached row is further than ``max_gap_s`` away it
+The (key, bucket) hash partitioning spreads a hot key over all tasks, and
+the input is read once. When the attached row is further than ``max_gap_s`` away it
 is still the true predecessor (the latest earlier bucket), so callers get
 the same Δt a LAG would give whenever Δt <= max_gap_s.
 """
@@ -34,23 +34,27 @@ def attach_previous(df: DataFrame, key: str, bucket: str, ts: str, cols: list[st
     """Add ``prefix+ts`` and ``prefix+c`` for c in cols (NULL when no row within reach).
 
     Precondition: at most one row per (key, bucket) -- true for the 30 s
-    dedup output and for the position fact.
+    dedup output and for the position fact. One pass: every row is emitted
+    for its own bucket (carrying itself) and as an offer to the next k
+    buckets; one ``groupBy(key, bucket)`` keeps the row and its latest offer.
     """
     k = max(1, math.ceil(max_gap_s / bucket_s))
-    offers = (
-        df.filter(F.col(key).isNotNull() & F.col(bucket).isNotNull())
-        .select(key, bucket, ts, *cols)
-        .withColumn("_step", F.explode(F.sequence(F.lit(1), F.lit(k))))
-        .select(
-            F.col(key),
-            shift_seconds(bucket, F.col("_step") * bucket_s).alias(bucket),
-            F.struct(F.col(ts).alias("t"), *[F.col(c).alias(c) for c in cols]).alias("_p"),
-        )
+    steps = F.when(F.col(bucket).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(k)))
+    own = F.col("_step") == 0
+    ex = df.select(*df.columns, F.explode(steps).alias("_step")).select(
+        F.col(key),
+        F.when(own, F.col(bucket)).otherwise(shift_seconds(bucket, F.col("_step") * bucket_s)).alias(bucket),
+        F.when(own, F.struct(*[F.col(c) for c in df.columns if c not in (key, bucket)])).alias("_self"),
+        F.when(own, F.lit(0)).alias("_self_o"),
+        F.when(~own, F.struct(F.col(ts).alias("t"), *[F.col(c).alias(c) for c in cols])).alias("_p"),
+        F.when(~own, F.col(ts)).alias("_p_o"),
     )
-    best = offers.groupBy(key, bucket).agg(F.max_by("_p", F.col("_p.t")).alias("_p"))
-    out = df.join(best, [key, bucket], "left")
-    return out.select(
-        *df.columns,
+    g = ex.groupBy(key, bucket).agg(
+        F.min_by("_self", "_self_o").alias("_self"), F.max_by("_p", "_p_o").alias("_p"),
+        F.count("_self_o").alias("_n"),
+    ).filter(F.col("_n") > 0)
+    return g.select(
+        key, bucket, "_self.*",
         F.col("_p.t").alias(prefix + ts),
         *[F.col("_p." + c).alias(prefix + c) for c in cols],
-    )
+    ).select(*df.columns, prefix + ts, *[prefix + c for c in cols])

@@ -88,7 +88,7 @@ def merge_stats(batches: DataFrame, batch_key: str = "ingested_at") -> DataFrame
     """
     firsts = batches.groupBy("id").agg(F.min(batch_key).alias(batch_key))
     inserted = firsts.groupBy(batch_key).agg(F.count(F.lit(1)).alias("inserted"))
-    totals = batches.groupBy(batch_key).agg(F.first("batch_id", ignorenulls=True).alias("batch_id"),
+    totals = batches.groupBy(batch_key).agg(F.min("batch_id").alias("batch_id"),
                                             F.count(F.lit(1)).alias("total"))
     j = totals.join(inserted, batch_key, "left")
     ins = F.coalesce(F.col("inserted"), F.lit(0)).cast("long")

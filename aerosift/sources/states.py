@@ -114,17 +114,3 @@ def read_batch(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     except Exception:  # noqa: BLE001 - AnalysisException: path does not exist
         return spark.createDataFrame([], RAW_POSITIONS)
 
-
-def to_state_payloads(raw: DataFrame, batch_col: str = "ingested_at") -> DataFrame:
-    """Inverse of ``parse_states`` for tests and replays: one payload row per
-    landed batch (``time`` = batch stamp, ``states`` = 17-value text arrays).
-    A payload is one feed response (bounded by the feed's area), so
-    collecting a batch's states into one array is bounded too."""
-    vals = []
-    for name in STATE_FIELDS:
-        if name in ("sensors", "spi"):
-            vals.append(F.lit(None).cast("string"))
-        else:
-            vals.append(F.col(name).cast("string"))
-    return raw.groupBy(batch_col).agg(F.collect_list(F.array(*vals)).alias("states")).select(
-        F.unix_seconds(F.col(batch_col).cast("timestamp")).alias("time"), "states")

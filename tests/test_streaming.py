@@ -8,10 +8,20 @@ from pyspark.sql import functions as F
 from tests.conftest import AS_OF, SF_SMALL, raw_df
 
 
+def to_state_payloads(raw, batch_col="ingested_at"):
+    """Test helper, the inverse of ``parse_states``: one payload per landed
+    batch (``time`` = batch stamp, ``states`` = 17-value text arrays)."""
+    from aerosift.schemas import STATE_FIELDS
+
+    vals = [F.lit(None).cast("string") if n in ("sensors", "spi") else F.col(n).cast("string")
+            for n in STATE_FIELDS]
+    return raw.groupBy(batch_col).agg(F.collect_list(F.array(*vals)).alias("states")).select(
+        F.unix_seconds(F.col(batch_col).cast("timestamp")).alias("time"), "states")
+
+
 def test_ingest_stream_equals_batch_build(spark, tmp_dir):
     from aerosift.plans.tables import build_tables, read_dim, read_fact, read_int
     from aerosift.sources.events_adapter import raw_positions
-    from aerosift.sources.states import to_state_payloads
     from aerosift.streaming.pipeline import run_ingest_stream
 
     raw = raw_positions(spark, SF_SMALL)
