@@ -26,12 +26,16 @@ from pyspark.sql.observation import Observation
 from ..functions.timecols import epoch_to_ntz
 
 EVENT_DATE = "event_date"
+EVENT_HOUR = "event_hour"
+EVENT_PARTITIONS = [EVENT_DATE, EVENT_HOUR]
 
 
 def with_event_date(raw: DataFrame) -> DataFrame:
-    """Partition column of the raw table: the position's UTC date. The id hashes
-    time_position, so equal ids always share an event date."""
-    return raw.withColumn(EVENT_DATE, F.to_date(epoch_to_ntz("time_position")))
+    """Partition columns of the raw table: the position's UTC date and hour.
+    The id hashes time_position, so equal ids always share both; a merge
+    reads the stored ids of the touched hours only."""
+    t = epoch_to_ntz("time_position")
+    return raw.withColumn(EVENT_DATE, F.to_date(t)).withColumn(EVENT_HOUR, F.hour(t))
 
 
 def one_per_id(batch: DataFrame) -> DataFrame:
@@ -42,13 +46,14 @@ def one_per_id(batch: DataFrame) -> DataFrame:
 
 def new_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """Rows of ``batch`` whose id is not stored yet (one per id)."""
-    b = with_event_date(one_per_id(batch)) if EVENT_DATE not in batch.columns else one_per_id(batch)
+    b = one_per_id(batch.drop(*EVENT_PARTITIONS))
+    b = with_event_date(b)
     if existing is None:
         return b
-    touched = b.select(EVENT_DATE).distinct()
-    # semi-join on the partition column: dynamic partition pruning reads only touched dates
-    stored = existing.join(touched, EVENT_DATE, "left_semi").select("id", EVENT_DATE)
-    return b.join(stored, ["id", EVENT_DATE], "left_anti")
+    touched = b.select(*EVENT_PARTITIONS).distinct()
+    # semi-join on the partition columns: dynamic partition pruning reads only touched hours
+    stored = existing.join(touched, EVENT_PARTITIONS, "left_semi").select("id", *EVENT_PARTITIONS)
+    return b.join(stored, ["id", *EVENT_PARTITIONS], "left_anti")
 
 
 def merge_raw(spark: SparkSession, batch: DataFrame, table_path: str) -> dict:
@@ -66,7 +71,7 @@ def merge_raw(spark: SparkSession, batch: DataFrame, table_path: str) -> dict:
     total_obs, ins_obs = Observation("batch_total"), Observation("batch_inserted")
     b = batch.observe(total_obs, F.count(F.lit(1)).alias("n"))
     fresh = new_rows(b, existing).observe(ins_obs, F.count(F.lit(1)).alias("n"))
-    fresh.write.mode("append").partitionBy(EVENT_DATE).parquet(table_path)
+    fresh.write.mode("append").partitionBy(*EVENT_PARTITIONS).parquet(table_path)
     total = total_obs.get["n"]
     inserted = ins_obs.get["n"]
     return {"inserted": inserted, "skipped": total - inserted, "total": total}

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ..functions.timecols import bucket_start, epoch_to_ntz, shift_seconds
 from ..operators.dedup import dedup, windowed
 from ..operators.marts import flight_dim, position_fact
-from ..operators.sinks import EVENT_DATE, upsert
+from ..operators.sinks import EVENT_DATE, EVENT_HOUR, EVENT_PARTITIONS, upsert, with_event_date
 from ..operators.staging import stage
 from ..session import materialize
 from .tables import FACT_PARTITIONS, INT_PARTITIONS, paths, read_dim, read_int, with_int_partition
@@ -57,23 +57,23 @@ def affected_raw(raw: DataFrame, context: DataFrame, window_s: int = 30) -> Data
     """Raw rows whose (icao24, window) is a context window.
 
     Timed rows: semi-join with plain equality on the raw table's
-    ``event_date`` partition column among the keys, so dynamic partition
-    pruning reads only the touched days. Rows without a time (NULL bucket)
-    live in the NULL partition (static pruning) and are matched on icao24.
+    ``event_date`` / ``event_hour`` partition columns among the keys, so
+    dynamic partition pruning reads only the touched hours. Rows without a
+    time (NULL bucket) live in the NULL partition (static pruning) and are
+    matched on icao24.
     """
     ctx = context.select(
-        F.to_date("window_30s").alias("_d"), F.col("icao24").alias("_i"), F.col("window_30s").alias("_w"))
-    r = raw
-    if EVENT_DATE not in r.columns:
-        r = r.withColumn(EVENT_DATE, F.to_date(epoch_to_ntz("time_position")))
+        F.to_date("window_30s").alias("_d"), F.hour("window_30s").alias("_h"),
+        F.col("icao24").alias("_i"), F.col("window_30s").alias("_w"))
+    r = raw if EVENT_DATE in raw.columns and EVENT_HOUR in raw.columns else with_event_date(raw)
     key_i = F.lower(F.trim(r["icao24"]))
     key_w = bucket_start(epoch_to_ntz(r["time_position"]), window_s)
     timed_ctx = ctx.filter(F.col("_w").isNotNull())
-    timed = r.join(timed_ctx, (r[EVENT_DATE] == timed_ctx["_d"]) & (key_i == timed_ctx["_i"])
-                   & (key_w == timed_ctx["_w"]), "left_semi")
+    timed = r.join(timed_ctx, (r[EVENT_DATE] == timed_ctx["_d"]) & (r[EVENT_HOUR] == timed_ctx["_h"])
+                   & (key_i == timed_ctx["_i"]) & (key_w == timed_ctx["_w"]), "left_semi")
     null_ctx = ctx.filter(F.col("_w").isNull()).select("_i").distinct()
     untimed = r.filter(r[EVENT_DATE].isNull()).join(null_ctx, key_i == null_ctx["_i"], "left_semi")
-    return timed.unionByName(untimed).drop(EVENT_DATE)
+    return timed.unionByName(untimed).drop(*EVENT_PARTITIONS)
 
 
 def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw: DataFrame, as_of: datetime,

@@ -71,7 +71,7 @@ def main() -> None:
     last_batch = raw.agg(F.max("ingested_at")).first()[0]
     early = F.col("ingested_at") < ntz_literal(last_batch)
     build_tables(spark, raw.filter(early), inc, AS_OF)
-    stored = spark.read.parquet(raw_path)   # with its event_date partition column (pruning)
+    stored = spark.read.parquet(raw_path)   # with its event_date/event_hour partition columns (pruning)
     timed("transform_incremental",
           lambda: incremental_update(spark, inc, stored, stored.filter(~early), AS_OF))
 
