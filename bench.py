@@ -44,10 +44,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     scratch = tempfile.mkdtemp(prefix="aerosift-bench-")
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus), extra={
+    extra = {
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
         "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-    })
+    }
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for profiling, kept in the scratch folder
+        os.makedirs(os.path.join(scratch, "events"), exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.path.join(scratch, "events")})
+        print("event log:", os.path.join(scratch, "events"), file=sys.stderr)
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus), extra=extra)
     times: dict[str, float] = {}
 
     def timed(name, fn):
