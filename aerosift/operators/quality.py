@@ -9,9 +9,9 @@ DataFrame -- one row per check (per group when ``by`` is given) with
 ``suite, check, column_name, severity, observed, total, unexpected, success,
 status`` -- built with unions, never joins.
 
-Semantics: "dbt" kinds fail on any offending row (NULLs pass range/value
-tests); "ge" kinds use ``mostly`` over non-NULL values (all rows for
-not-null).
+Semantics: strict kinds (model tests) fail on any offending row (NULLs pass
+range/value tests); ``expect_*`` kinds (batch expectations) use ``mostly``
+over non-NULL values (over all rows for not-null).
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import BAND_VALUES, PHASE_VALUES
 
-DBT_KINDS = {"not_null", "unique", "accepted_range", "accepted_values", "relationships"}
-GE_KINDS = {"row_count_between", "column_exists", "ge_not_null", "ge_between", "ge_in_set",
-            "ge_match_regex", "ge_unique", "ge_unique_proportion"}
+STRICT_KINDS = {"not_null", "unique", "accepted_range", "accepted_values", "relationships"}
+RATIO_KINDS = {"row_count_between", "column_exists", "expect_not_null", "expect_between", "expect_in_set",
+            "expect_match_regex", "expect_unique", "expect_unique_proportion"}
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ class Check:
     ref: tuple | None = None   # (reference name, reference column) for relationships
 
     def __post_init__(self):
-        if self.kind not in DBT_KINDS | GE_KINDS:
+        if self.kind not in STRICT_KINDS | RATIO_KINDS:
             raise ValueError(f"unknown check kind {self.kind}")
 
 
@@ -70,17 +70,17 @@ def _in_range(c: Column, chk: Check) -> Column:
 def _row_level(chk: Check, n: Column):
     """(unexpected, total) aggregate expressions for row-level checks."""
     c = F.col(chk.column)
-    if chk.kind == "not_null" or chk.kind == "ge_not_null":
+    if chk.kind == "not_null" or chk.kind == "expect_not_null":
         return F.count(F.when(c.isNull(), 1)), n
     if chk.kind == "accepted_range":
         return F.count(F.when(~_in_range(c, chk), 1)), n
     if chk.kind == "accepted_values":
         return F.count(F.when(~c.isin(list(chk.values)), 1)), n
-    if chk.kind == "ge_between":
+    if chk.kind == "expect_between":
         return F.count(F.when(c.isNotNull() & ~_in_range(c, chk), 1)), F.count(c)
-    if chk.kind == "ge_in_set":
+    if chk.kind == "expect_in_set":
         return F.count(F.when(c.isNotNull() & ~c.isin(list(chk.values)), 1)), F.count(c)
-    if chk.kind == "ge_match_regex":
+    if chk.kind == "expect_match_regex":
         return F.count(F.when(c.isNotNull() & ~c.rlike(chk.regex), 1)), F.count(c)
     raise ValueError(chk.kind)
 
@@ -128,12 +128,12 @@ def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
     rows = []
     n = F.col("_n")
     for i, chk in enumerate(suite.checks):
-        if chk.kind in ("not_null", "ge_not_null", "accepted_range", "accepted_values",
-                        "ge_between", "ge_in_set", "ge_match_regex"):
+        if chk.kind in ("not_null", "expect_not_null", "accepted_range", "accepted_values",
+                        "expect_between", "expect_in_set", "expect_match_regex"):
             u, t = _row_level(chk, F.count(F.lit(1)))
             aggs += [u.alias(f"_u{i}"), t.alias(f"_t{i}")]
             uu, tt = F.col(f"_u{i}"), F.col(f"_t{i}")
-            if chk.kind in DBT_KINDS:
+            if chk.kind in STRICT_KINDS:
                 ok = uu == 0
                 obs = uu
             else:
@@ -157,7 +157,7 @@ def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
 
     # 2) uniqueness / distinct proportion: one grouped count per column
     uniq_cols = sorted({c.column for c in suite.checks
-                        if c.kind in ("unique", "ge_unique", "ge_unique_proportion")})
+                        if c.kind in ("unique", "expect_unique", "expect_unique_proportion")})
     for col in uniq_cols:
         per_value = (df.filter(F.col(col).isNotNull()).groupBy(*by, col)
                      .agg(F.count(F.lit(1)).alias("_cnt")))
@@ -181,10 +181,10 @@ def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
                 continue
             if chk.kind == "unique":
                 urows.append(_row(suite.name, i, chk, dup, nn, dup, dup == 0))
-            elif chk.kind == "ge_unique":
+            elif chk.kind == "expect_unique":
                 urows.append(_row(suite.name, i, chk, F.when(nn > 0, (nn - dup).cast("double") / nn),
                                   nn, dup, _mostly_ok(dup, nn, chk.mostly)))
-            elif chk.kind == "ge_unique_proportion":
+            elif chk.kind == "expect_unique_proportion":
                 p = F.when(nn > 0, dist.cast("double") / nn)
                 ok = F.coalesce((p >= chk.min) & (p <= chk.max), F.lit(False))
                 urows.append(_row(suite.name, i, chk, p, nn, F.when(ok, 0).otherwise(1), ok))
@@ -238,30 +238,30 @@ RAW_SUITE = Suite("raw_positions_suite", [
     Check("column_exists", "latitude"),
     Check("column_exists", "longitude"),
     Check("column_exists", "baro_altitude"),
-    Check("ge_not_null", "icao24"),
-    Check("ge_not_null", "latitude", mostly=0.95),
-    Check("ge_between", "latitude", min=41.0, max=51.5, mostly=0.99),
-    Check("ge_between", "longitude", min=-5.5, max=10.0, mostly=0.99),
-    Check("ge_between", "baro_altitude", min=0, max=15000, mostly=0.95),
-    Check("ge_between", "vitesse", min=0, max=340, mostly=0.99),
-    Check("ge_match_regex", "icao24", regex="^[0-9a-f]{6}$", mostly=0.95),
-    Check("ge_unique_proportion", "icao24", min=0.3, max=1.0),
+    Check("expect_not_null", "icao24"),
+    Check("expect_not_null", "latitude", mostly=0.95),
+    Check("expect_between", "latitude", min=41.0, max=51.5, mostly=0.99),
+    Check("expect_between", "longitude", min=-5.5, max=10.0, mostly=0.99),
+    Check("expect_between", "baro_altitude", min=0, max=15000, mostly=0.95),
+    Check("expect_between", "vitesse", min=0, max=340, mostly=0.99),
+    Check("expect_match_regex", "icao24", regex="^[0-9a-f]{6}$", mostly=0.95),
+    Check("expect_unique_proportion", "icao24", min=0.3, max=1.0),
 ])
 
 FACT_SUITE = Suite("fact_positions_suite", [
     Check("row_count_between", min=1, max=10000000),
-    Check("ge_not_null", "position_sk"),
-    Check("ge_not_null", "vol_sk"),
-    Check("ge_not_null", "timestamp_utc"),
-    Check("ge_unique", "position_sk"),
-    Check("ge_between", "altitude_baro_ft", min=-500, max=60000, mostly=0.99),
-    Check("ge_between", "vitesse_kmh", min=0, max=1200, mostly=0.99),
-    Check("ge_in_set", "tranche_vol", values=tuple(BAND_VALUES)),
-    Check("ge_in_set", "phase_vol", values=tuple(PHASE_VALUES)),
-    Check("ge_between", "latitude", min=41.0, max=51.5),
-    Check("ge_between", "longitude", min=-5.5, max=10.0),
-    Check("ge_unique_proportion", "vol_sk", min=0.001, max=0.5),
-    Check("ge_not_null", "flag_changement_altitude_suspect", mostly=1.0),
+    Check("expect_not_null", "position_sk"),
+    Check("expect_not_null", "vol_sk"),
+    Check("expect_not_null", "timestamp_utc"),
+    Check("expect_unique", "position_sk"),
+    Check("expect_between", "altitude_baro_ft", min=-500, max=60000, mostly=0.99),
+    Check("expect_between", "vitesse_kmh", min=0, max=1200, mostly=0.99),
+    Check("expect_in_set", "tranche_vol", values=tuple(BAND_VALUES)),
+    Check("expect_in_set", "phase_vol", values=tuple(PHASE_VALUES)),
+    Check("expect_between", "latitude", min=41.0, max=51.5),
+    Check("expect_between", "longitude", min=-5.5, max=10.0),
+    Check("expect_unique_proportion", "vol_sk", min=0.001, max=0.5),
+    Check("expect_not_null", "flag_changement_altitude_suspect", mostly=1.0),
 ])
 
 STG_TESTS = Suite("stg_positions", [

@@ -6,7 +6,7 @@ check's meaning) and the results are combined with UNION ALL.
 
 from __future__ import annotations
 
-from ..operators.quality import DBT_KINDS, Check, Suite
+from ..operators.quality import STRICT_KINDS, Check, Suite
 
 
 def _lit(v) -> str:
@@ -49,21 +49,21 @@ def suite_sql(table: str, suite: Suite, columns: list[str], by: list[str] | None
     for i, chk in enumerate(suite.checks):
         c = chk.column
         k = chk.kind
-        if k in ("not_null", "ge_not_null"):
+        if k in ("not_null", "expect_not_null"):
             src = f"SELECT {b}count(*) FILTER (WHERE {c} IS NULL) AS u, count(*) AS t FROM {table}{grp}"
         elif k == "accepted_range":
             src = f"SELECT {b}count(*) FILTER (WHERE NOT {_range(c, chk)}) AS u, count(*) AS t FROM {table}{grp}"
         elif k == "accepted_values":
             vals = ", ".join(_lit(v) for v in chk.values)
             src = f"SELECT {b}count(*) FILTER (WHERE {c} NOT IN ({vals})) AS u, count(*) AS t FROM {table}{grp}"
-        elif k == "ge_between":
+        elif k == "expect_between":
             src = (f"SELECT {b}count(*) FILTER (WHERE {c} IS NOT NULL AND NOT {_range(c, chk)}) AS u, "
                    f"count({c}) AS t FROM {table}{grp}")
-        elif k == "ge_in_set":
+        elif k == "expect_in_set":
             vals = ", ".join(_lit(v) for v in chk.values)
             src = (f"SELECT {b}count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({vals})) AS u, "
                    f"count({c}) AS t FROM {table}{grp}")
-        elif k == "ge_match_regex":
+        elif k == "expect_match_regex":
             src = (f"SELECT {b}count(*) FILTER (WHERE {c} IS NOT NULL AND NOT regexp_matches({c}, {_lit(chk.regex)})) "
                    f"AS u, count({c}) AS t FROM {table}{grp}")
         elif k == "row_count_between":
@@ -82,13 +82,13 @@ def suite_sql(table: str, suite: Suite, columns: list[str], by: list[str] | None
             parts.append(_result(suite.name, i, chk, "1.0" if ex else "0.0", "n", "0" if ex else "1",
                                  "TRUE" if ex else "FALSE", by, src))
             continue
-        elif k in ("unique", "ge_unique", "ge_unique_proportion"):
+        elif k in ("unique", "expect_unique", "expect_unique_proportion"):
             inner = f"SELECT {b}{c}, count(*) AS cnt FROM {table} WHERE {c} IS NOT NULL GROUP BY {b}{c}"
             src = (f"SELECT {b}coalesce(sum(CASE WHEN cnt > 1 THEN cnt END), 0) AS dup, count(*) AS dist, "
                    f"coalesce(sum(cnt), 0) AS nn FROM ({inner}) y{grp}")
             if k == "unique":
                 parts.append(_result(suite.name, i, chk, "dup", "nn", "dup", "dup = 0", by, src))
-            elif k == "ge_unique":
+            elif k == "expect_unique":
                 parts.append(_result(suite.name, i, chk, "CASE WHEN nn > 0 THEN CAST(nn - dup AS DOUBLE) / nn END",
                                      "nn", "dup", _mostly("dup", "nn", chk.mostly), by, src))
             else:
@@ -105,7 +105,7 @@ def suite_sql(table: str, suite: Suite, columns: list[str], by: list[str] | None
             continue
         else:
             raise ValueError(k)
-        if k in DBT_KINDS:
+        if k in STRICT_KINDS:
             parts.append(_result(suite.name, i, chk, "u", "t", "u", "u = 0", by, src))
         else:
             parts.append(_result(suite.name, i, chk, "CASE WHEN t > 0 THEN CAST(t - u AS DOUBLE) / t END", "t", "u",

@@ -261,7 +261,7 @@ def test_empty_batch_flows_through(spark):
                      anomalies_actives=0, anomalies_24h=0)
     res = {r["check_name"] + str(r["column_name"]): r for r in run_suite(m.fact, FACT_SUITE).collect()}
     assert res["row_count_betweenNone"]["success"] is False
-    assert res["ge_unique_proportionvol_sk"]["success"] is False
+    assert res["expect_unique_proportionvol_sk"]["success"] is False
 
 
 def test_map_points_defaults(spark):

@@ -61,17 +61,17 @@ def test_quality_findings_sf001(spark):
     raw = raw_positions(spark, SF_MID)
     m = build_marts(raw, AS_OF, materialize=True)
     fs = {(r["check_name"], r["column_name"]): r for r in run_suite(m.fact, FACT_SUITE).collect()}
-    alt = fs[("ge_between", "altitude_baro_ft")]
+    alt = fs[("expect_between", "altitude_baro_ft")]
     assert round(alt["observed"] * 100, 2) == 98.12 and not alt["success"]
-    assert fs[("ge_between", "vitesse_kmh")]["unexpected"] == 0
-    assert fs[("ge_between", "latitude")]["unexpected"] == 0
-    assert fs[("ge_between", "longitude")]["unexpected"] == 0
-    prop = fs[("ge_unique_proportion", "vol_sk")]
+    assert fs[("expect_between", "vitesse_kmh")]["unexpected"] == 0
+    assert fs[("expect_between", "latitude")]["unexpected"] == 0
+    assert fs[("expect_between", "longitude")]["unexpected"] == 0
+    prop = fs[("expect_unique_proportion", "vol_sk")]
     assert round(prop["observed"], 4) == 0.0172 and prop["success"]
     ft = {(r["check_name"], r["column_name"]): r for r in
           run_suite(m.fact, FACT_TESTS, refs={"dim_vols": m.dim}).collect()}
     warn = ft[("accepted_range", "altitude_baro_ft")]
     assert warn["unexpected"] == 162 and warn["status"] == "warn"
     rs = {(r["check_name"], r["column_name"]): r for r in run_suite(raw, RAW_SUITE).collect()}
-    rx = rs[("ge_match_regex", "icao24")]
+    rx = rs[("expect_match_regex", "icao24")]
     assert round(rx["observed"] * 100, 1) == 85.7 and not rx["success"]

@@ -15,13 +15,13 @@ CASES = [
     (Check("not_null", "v"), [1.0, 2.0], [1.0, None]),
     (Check("accepted_range", "v", min=0, max=10), [0.0, 10.0, None], [0.0, 10.1]),
     (Check("accepted_values", "s", values=("A", "B")), ["A", "B", None], ["A", "C"]),
-    (Check("ge_not_null", "v", mostly=0.5), [1.0, None], [None, None, 1.0]),
-    (Check("ge_between", "v", min=0, max=10, mostly=0.5), [1.0, 11.0, None, None], [11.0, 12.0, 1.0]),
-    (Check("ge_in_set", "s", values=("A",)), ["A", None], ["A", "B"]),
-    (Check("ge_match_regex", "s", regex="^[0-9a-f]{6}$", mostly=0.95), ["abc123", None], ["abc123", "ABC123"]),
+    (Check("expect_not_null", "v", mostly=0.5), [1.0, None], [None, None, 1.0]),
+    (Check("expect_between", "v", min=0, max=10, mostly=0.5), [1.0, 11.0, None, None], [11.0, 12.0, 1.0]),
+    (Check("expect_in_set", "s", values=("A",)), ["A", None], ["A", "B"]),
+    (Check("expect_match_regex", "s", regex="^[0-9a-f]{6}$", mostly=0.95), ["abc123", None], ["abc123", "ABC123"]),
     (Check("unique", "s"), ["A", "B", None, None], ["A", "A", "B"]),
-    (Check("ge_unique", "s"), ["A", "B"], ["A", "A"]),
-    (Check("ge_unique_proportion", "s", min=0.3, max=1.0), ["A", "B", "C"], ["A", "A", "A", "A"]),
+    (Check("expect_unique", "s"), ["A", "B"], ["A", "A"]),
+    (Check("expect_unique_proportion", "s", min=0.3, max=1.0), ["A", "B", "C"], ["A", "A", "A", "A"]),
     (Check("row_count_between", min=2, max=3), [1.0, 2.0], [1.0]),
     (Check("column_exists", "v"), [1.0], None),
 ]
@@ -46,7 +46,7 @@ def test_missing_column_and_warn_severity(spark):
 
 
 def test_all_null_and_empty(spark):
-    checks = [Check("ge_between", "v", min=0, max=1), Check("ge_unique_proportion", "v", min=0.1, max=1),
+    checks = [Check("expect_between", "v", min=0, max=1), Check("expect_unique_proportion", "v", min=0.1, max=1),
               Check("not_null", "v"), Check("unique", "v")]
     res = _run(spark, [(None,), (None,)], "v double", checks)
     assert [r["success"] for r in res] == [True, False, False, True]
