@@ -108,3 +108,22 @@ def test_should_run_throttle():
     assert should_run("any", 1)
     hits = sum(should_run(f"run-{i}", 6) for i in range(600))
     assert 50 < hits < 150
+
+
+def test_airline_filter_and_row_counts(spark):
+    from aerosift.operators import serving
+    from aerosift.plans.transform import build_marts
+    from aerosift.sources.events_adapter import raw_positions
+
+    m = build_marts(raw_positions(spark, SF_SMALL), AS_OF, materialize=True)
+    live = serving.live_positions(m.fact, m.dim, AS_OF)
+    names = [r[0] for r in serving.airlines(live).collect()]
+    assert names == sorted(names) and "Air France" in names
+    assert serving.filter_airline(live, "Toutes").count() == live.count()
+    assert serving.filter_airline(live, None).count() == live.count()
+    assert serving.filter_airline(live, "Air France").count() == 2
+    counts = serving.row_counts({"fact_positions": m.fact, "dim_vols": m.dim})
+    serving.assert_non_empty(counts)
+    import pytest
+    with pytest.raises(RuntimeError):
+        serving.assert_non_empty(serving.row_counts({"empty": m.dim.limit(0)}))
