@@ -54,12 +54,16 @@ def flight_dim(inter: DataFrame, as_of: datetime) -> DataFrame:
 def position_fact(inter: DataFrame, dim: DataFrame, as_of: datetime) -> DataFrame:
     """Position fact: time parts, flight-level band and phase, dimension key.
 
-    The dimension side is tiny (one row per aircraft); the join is left to
-    the planner, which broadcasts it only when its measured size is under
+    The dimension key is ``surrogate_key(icao24)`` by construction, so it is
+    computed on each row; the upstream LEFT JOIN + ``vol_sk IS NOT NULL``
+    keeps exactly the rows whose aircraft has a dimension row, which is a
+    semi-join against the dimension's icao24 key set -- the narrowest side
+    there is. The planner broadcasts it while its measured size is under
     ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run time) and
-    otherwise sort-merges.
+    sort-merges beyond that; the intermediate rows are never widened by the
+    join.
     """
-    p = inter.join(dim.select("icao24", "vol_sk"), "icao24", "inner")
+    p = inter.join(dim.select("icao24"), "icao24", "left_semi").withColumn("vol_sk", surrogate_key("icao24"))
     ts = F.col("timestamp_position_utc")
     return p.select(
         surrogate_key("position_id").alias("position_sk"),
@@ -82,3 +86,12 @@ def position_fact(inter: DataFrame, dim: DataFrame, as_of: datetime) -> DataFram
 def orphan_positions(inter: DataFrame, dim: DataFrame) -> DataFrame:
     """Intermediate rows the fact join drops (no dimension row): FCT2."""
     return inter.join(dim.select("icao24"), "icao24", "left_anti")
+
+
+def orphan_count(inter: DataFrame, dim: DataFrame) -> DataFrame:
+    """Number of orphan positions, with the positions first reduced to one
+    (icao24, count) row per aircraft (partial aggregation), so only
+    aircraft-level rows meet the dimension keys."""
+    per_aircraft = inter.groupBy("icao24").agg(F.count(F.lit(1)).alias("_n"))
+    orphans = per_aircraft.join(dim.select("icao24"), "icao24", "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("nb_orphelins"))

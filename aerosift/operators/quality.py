@@ -191,16 +191,18 @@ def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
         if urows:
             parts.append(stats.select(*by, F.explode(F.array(*urows)).alias("r")).select(*by, "r.*"))
 
-    # 3) foreign keys: anti-join against the referenced table's key set
+    # 3) foreign keys: child values reduced to (value, rows) per group first (partial
+    #    aggregation), so only distinct values meet the parent's key set in the anti-join
     for i, chk in enumerate(suite.checks):
         if chk.kind != "relationships":
             continue
         ref_name, ref_col = chk.ref
         parent = refs[ref_name].select(F.col(ref_col).alias("_k")).distinct()
-        child = df.filter(F.col(chk.column).isNotNull())
+        child = (df.filter(F.col(chk.column).isNotNull()).groupBy(*by, chk.column)
+                 .agg(F.count(F.lit(1)).alias("_rows")))
         orphans = child.join(parent, child[chk.column] == parent["_k"], "left_anti")
-        cnt = orphans.groupBy(*by).agg(F.count(F.lit(1)).alias("_u")) if by else \
-            orphans.agg(F.count(F.lit(1)).alias("_u"))
+        total = F.coalesce(F.sum("_rows"), F.lit(0)).alias("_u")
+        cnt = orphans.groupBy(*by).agg(total) if by else orphans.agg(total)
         u = F.col("_u")
         parts.append(cnt.select(*by, _row(suite.name, i, chk, u, u, u, u == 0).alias("r")).select(*by, "r.*"))
 

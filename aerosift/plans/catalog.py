@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import serving
-from ..operators.marts import orphan_positions
+from ..operators.marts import orphan_count
 from ..session import ensure_utc
 from ..sources.events_adapter import raw_positions
 from .transform import Marts, build_marts
@@ -81,7 +81,7 @@ def q_fact(spark, sf_dir):
 @register("fact_orphans")
 def q_orphans(spark, sf_dir):
     m = marts(spark, sf_dir)
-    return orphan_positions(m.inter, m.dim).agg(F.count(F.lit(1)).alias("nb_orphelins"))
+    return orphan_count(m.inter, m.dim)
 
 
 @register("tranche_counts")
