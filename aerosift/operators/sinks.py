@@ -167,9 +167,13 @@ def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partit
         write_clustered(df, table_path, parts, cluster_col or key, mode="overwrite")
         return
     touched = df.select(*parts).distinct()
-    # semi-join on the partition columns: dynamic partition pruning reads the touched partitions only
-    kept = (existing.join(touched, parts, "left_semi")
-            .join(df.select(key), key, "left_anti"))
+    # timed partitions: equality semi-join (dynamic partition pruning reads the touched ones only);
+    # the NULL partition (rows without a time) is matched separately -- equality never matches NULL
+    in_touched = existing.join(touched.dropna(), parts, "left_semi")
+    null_p = F.col(parts[0]).isNull()
+    null_touched = touched.filter(null_p).select(F.lit(1).alias("_one")).distinct()
+    in_null = existing.filter(null_p).withColumn("_one", F.lit(1)).join(null_touched, "_one", "left_semi").drop("_one")
+    kept = in_touched.unionByName(in_null).join(df.select(key), key, "left_anti")
     merged = kept.unionByName(df)
     staged = os.path.join(staging_root or checkpoint_dir(spark), f"staged-{uuid.uuid4().hex}")
     write_clustered(merged, staged, parts, cluster_col or key, mode="overwrite")

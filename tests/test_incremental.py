@@ -56,3 +56,33 @@ def test_incremental_twice_is_idempotent(spark, full, tmp_path):
     incremental_update(spark, root, raw, raw.filter(late), AS_OF)
     a, b = read_int(spark, full), read_int(spark, root)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_incremental_with_untimed_rows(spark, tmp_path):
+    """Rows without a time form one NULL bucket per aircraft (dedup keeps one of them); a late
+    untimed row of one aircraft must not disturb another aircraft's untimed row."""
+    from aerosift.plans.incremental import incremental_update
+    from aerosift.plans.tables import build_tables, read_dim, read_fact, read_int
+    from tests.conftest import raw_df
+
+    t0 = 1704067200
+    rows = [dict(icao24="f00001", time_position=t0 + 10 * i, last_contact=t0 + 10 * i,
+                 baro_altitude=1000.0 + 50 * i) for i in range(12)]
+    rows += [dict(icao24="f00002", time_position=t0 + 10 * i, last_contact=t0 + 10 * i) for i in range(6)]
+    rows += [dict(icao24="f00001", time_position=None, baro_altitude=500.0, source_position=2),
+             dict(icao24="f00002", time_position=None, baro_altitude=700.0),
+             dict(icao24="f00001", time_position=None, baro_altitude=900.0, source_position=1),   # late, better
+             dict(icao24="f00001", time_position=t0 + 45, baro_altitude=3000.0)]                  # late, timed
+    raw = raw_df(spark, rows)
+    late = F.col("id").isin("id00020", "id00021")
+    full, inc = str(tmp_path / "full"), str(tmp_path / "inc")
+    build_tables(spark, raw, full, AS_OF)
+    build_tables(spark, raw.filter(~late), inc, AS_OF)
+    incremental_update(spark, inc, raw, raw.filter(late), AS_OF)
+    for read in (read_int, read_dim, read_fact):
+        a, b = read(spark, full), read(spark, inc)
+        assert a.count() == b.count()
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, read.__name__
+    untimed = read_int(spark, inc).filter(F.col("window_30s").isNull())
+    assert untimed.count() == 2
+    assert {r["icao24"]: r["altitude_baro_m"] for r in untimed.collect()} == {"f00001": 900.0, "f00002": 700.0}
