@@ -26,10 +26,25 @@ def callsign_groups(inter: DataFrame) -> DataFrame:
     )
 
 
+def merge_groups(partials: DataFrame) -> DataFrame:
+    """Combine partial group stats (e.g. one row per group and hour) into
+    whole-history stats: min of minima, max of maxima, sum of counts."""
+    return partials.groupBy("icao24", "callsign", "origine_pays").agg(
+        F.min("premiere_vue_utc").alias("premiere_vue_utc"),
+        F.max("derniere_vue_utc").alias("derniere_vue_utc"),
+        F.sum("nb_positions_total").alias("nb_positions_total"),
+    )
+
+
 def flight_dim(inter: DataFrame, as_of: datetime) -> DataFrame:
     """Main callsign per aircraft (most positions; ties: latest seen, then
     callsign, then country) with airline code/name and that group's stats."""
-    g = callsign_groups(inter)
+    return dim_from_groups(callsign_groups(inter), as_of)
+
+
+def dim_from_groups(g: DataFrame, as_of: datetime) -> DataFrame:
+    """Dimension rows from per-(icao24, callsign, country) stats; the window
+    runs over aggregated rows (a handful per aircraft)."""
     w = Window.partitionBy("icao24").orderBy(
         F.col("nb_positions_total").desc(),
         F.col("derniere_vue_utc").desc_nulls_last(),

@@ -3,6 +3,9 @@
 Layout under one root folder (a shared filesystem or object store):
 
 * ``int``  intermediate positions, partitioned by (``window_date``, ``window_hour``), clustered by icao24
+* ``dim_hourly`` per (icao24, callsign, country, hour) first/last seen and count,
+  partitioned like int -- the dimension's mergeable partial aggregates, so an
+  incremental update re-derives touched aircraft without re-reading their history
 * ``dim``  flight dimension (one row per aircraft; small)
 * ``fact`` position fact, partitioned by (``date_utc``, ``heure_journee``), clustered by ``vol_sk``
 
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import dedup
-from ..operators.marts import flight_dim, position_fact
+from ..operators.marts import dim_from_groups, flight_dim, merge_groups, position_fact
 from ..operators.sinks import write_clustered
 from ..operators.staging import stage
 from ..schemas import DIM_COLUMNS, FACT_COLUMNS, INT_COLUMNS, RAW_POSITIONS
@@ -33,7 +36,7 @@ FACT_PARTITIONS = ["date_utc", "heure_journee"]
 
 
 def paths(root: str) -> dict[str, str]:
-    return {name: os.path.join(root, name) for name in ("raw", "int", "dim", "fact")}
+    return {name: os.path.join(root, name) for name in ("raw", "int", "dim_hourly", "dim", "fact")}
 
 
 def with_int_partition(inter: DataFrame) -> DataFrame:
@@ -48,7 +51,8 @@ def table_schemas(spark: SparkSession) -> dict[str, T.StructType]:
     inter = dedup(stage(empty))
     dim = flight_dim(inter, datetime(2000, 1, 1))
     fact = position_fact(inter, dim, datetime(2000, 1, 1))
-    return {"int": with_int_partition(inter).schema, "dim": dim.schema, "fact": fact.schema}
+    return {"int": with_int_partition(inter).schema, "dim": dim.schema, "fact": fact.schema,
+            "dim_hourly": hourly_groups(with_int_partition(inter)).schema}
 
 
 def _read(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
@@ -59,6 +63,24 @@ def read_int(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, "int", INT_COLUMNS)
 
 
+def read_int_partitioned(spark: SparkSession, root: str) -> DataFrame:
+    """int with its partition columns (for partition-pruned reads)."""
+    return _read(spark, root, "int", INT_COLUMNS + INT_PARTITIONS)
+
+
+def hourly_groups(inter_partitioned: DataFrame) -> DataFrame:
+    """Dimension partial aggregates per (icao24, callsign, country, window hour)."""
+    return inter_partitioned.groupBy("icao24", "callsign", "origine_pays", *INT_PARTITIONS).agg(
+        F.min("timestamp_position_utc").alias("premiere_vue_utc"),
+        F.max("timestamp_position_utc").alias("derniere_vue_utc"),
+        F.count(F.lit(1)).alias("nb_positions_total"),
+    )
+
+
+def read_dim_hourly(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(table_schemas(spark)["dim_hourly"]).parquet(paths(root)["dim_hourly"])
+
+
 def read_dim(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, "dim", DIM_COLUMNS)
 
@@ -73,8 +95,9 @@ def build_tables(spark: SparkSession, raw: DataFrame, root: str, as_of: datetime
     p = paths(root)
     inter = dedup(stage(raw), window_s, max_gap_s, max_rate)
     write_clustered(with_int_partition(inter), p["int"], INT_PARTITIONS, "icao24")
+    write_clustered(hourly_groups(read_int_partitioned(spark, root)), p["dim_hourly"], INT_PARTITIONS, "icao24")
+    dim_from_groups(merge_groups(read_dim_hourly(spark, root)), as_of).write.mode("overwrite").parquet(p["dim"])
     stored = read_int(spark, root)
-    flight_dim(stored, as_of).write.mode("overwrite").parquet(p["dim"])
     fact = position_fact(stored, read_dim(spark, root), as_of)
     write_clustered(fact, p["fact"], FACT_PARTITIONS, "vol_sk")
 
