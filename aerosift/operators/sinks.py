@@ -186,17 +186,14 @@ def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partit
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, table_path: str, partition_cols,
-                       cluster_col: str, staging_root: str | None = None) -> None:
+                       cluster_col: str) -> None:
     """Overwrite exactly the partitions present in ``df`` (complete new content
-    for each of them), leaving all other partitions untouched."""
-    from ..session import checkpoint_dir
-
+    for each of them), leaving all other partitions untouched. ``df`` must not
+    read ``table_path`` itself (use ``upsert`` for that)."""
     parts = _as_list(partition_cols)
-    staged = os.path.join(staging_root or checkpoint_dir(spark), f"staged-{uuid.uuid4().hex}")
-    write_clustered(df, staged, parts, cluster_col, mode="overwrite")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").partitionBy(*parts).parquet(table_path)
+        write_clustered(df, table_path, parts, cluster_col, mode="overwrite")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
