@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import surrogate_key
 from ..operators.dedup import NO_SOURCE_SCORE, STG_PAYLOAD, clean_rows, dedup_order
 from ..operators.quality import RAW_SUITE, enforce, run_suite
-from ..operators.sinks import merge_raw
+from ..operators.sinks import EVENT_PARTITIONS, merge_raw
 from ..operators.staging import stage
 from ..plans.incremental import incremental_update
 from ..plans.tables import build_tables, paths
@@ -88,14 +88,15 @@ def process_landed_batch(spark: SparkSession, states: DataFrame, root: str, on_f
         enforce(run_suite(positions, RAW_SUITE), on_failure)
         p = paths(root)
         stats = merge_raw(spark, positions, p["raw"])
+        if stats["total"] == 0:
+            return stats
         raw = spark.read.parquet(p["raw"])
-        bid = positions.select("batch_id").first()
-        if bid is not None:
-            if _exists(spark, p["int"]):
-                new = raw.filter(F.col("batch_id") == F.lit(bid["batch_id"]))
-                incremental_update(spark, root, raw, new, as_of)
-            else:
-                build_tables(spark, raw, root, as_of)
+        if _exists(spark, p["int"]):
+            # the micro-batch itself is the slice: rows it re-sends only widen the recomputed
+            # windows, and the update is exact for any slice holding the new rows (no raw scan)
+            incremental_update(spark, root, raw, positions, as_of)
+        else:
+            build_tables(spark, raw.drop(*EVENT_PARTITIONS), root, as_of)
         return stats
     finally:
         positions.unpersist()
