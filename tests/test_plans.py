@@ -78,3 +78,27 @@ def test_traffic_by_country_aggregates_before_join(spark):
     p = plan(traffic_by_country(m.fact, m.dim))
     assert "Expand" in p                                   # rollup
     assert "count(distinct" not in p.lower()               # one row per flight: no distinct aggregation
+
+
+def test_hot_aircraft_spreads_over_all_tasks(spark):
+    """One aircraft with a third of the rows: its dedup/rate work is spread over every
+    shuffle partition (keyed by aircraft and 30 s window), not funnelled into one task."""
+    from aerosift.operators.dedup import dedup
+    from aerosift.operators.staging import stage
+    from tests.conftest import raw_df
+
+    t0 = 1704067200
+    hot = [dict(icao24="hot001", time_position=t0 + 7 * i, last_contact=t0 + 7 * i, baro_altitude=1000.0 + i % 50)
+           for i in range(1200)]
+    cold = [dict(icao24=f"c{i % 40:05d}", time_position=t0 + 13 * i, last_contact=t0 + 13 * i) for i in range(2400)]
+    # AQE would coalesce these tiny shuffle partitions into one; look at the hash distribution itself
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = dedup(stage(raw_df(spark, hot + cold))).withColumn("_p", F.spark_partition_id())
+        per_part = {r["_p"]: r["n"] for r in out.filter(F.col("icao24") == "hot001").groupBy("_p")
+                    .agg(F.count(F.lit(1)).alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(per_part) == n_parts
+    assert max(per_part.values()) < 0.5 * sum(per_part.values())
