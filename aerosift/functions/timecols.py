@@ -1,7 +1,10 @@
 """Epoch seconds <-> timestamp_ntz, and tumbling-bucket starts.
 
-The warehouse types are naive UTC timestamps; every conversion goes
-through a UTC session (``aerosift.session.ensure_utc``).
+The stored types are naive UTC timestamps (``timestamp_ntz``). Every
+conversion here is plain wall-clock arithmetic on ``timestamp_ntz``
+(epoch literal + day-time interval, ``timestamp_diff``), so results do not
+depend on the session time zone; literals are built from text, never from
+Python datetimes (those are converted through the session zone).
 """
 
 from __future__ import annotations
@@ -16,14 +19,21 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+EPOCH_TEXT = "1970-01-01 00:00:00"
+
+
+def epoch_ntz() -> Column:
+    return F.lit(EPOCH_TEXT).cast("timestamp_ntz")
+
+
 def epoch_to_ntz(col) -> Column:
     """``TO_TIMESTAMP_NTZ(epoch_seconds)``; NULL stays NULL."""
-    return F.timestamp_seconds(_c(col)).cast("timestamp_ntz")
+    return epoch_ntz() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), _c(col))
 
 
 def ntz_to_epoch(col) -> Column:
-    """Whole epoch seconds of a naive UTC timestamp (floor)."""
-    return F.unix_seconds(_c(col).cast("timestamp"))
+    """Whole epoch seconds of a naive UTC timestamp (whole seconds since the epoch)."""
+    return F.timestamp_diff("SECOND", epoch_ntz(), _c(col))
 
 
 def bucket_start(col, seconds: int) -> Column:
@@ -43,7 +53,7 @@ def shift_seconds(col, seconds) -> Column:
 
 
 def ntz_literal(ts: datetime) -> Column:
-    return F.lit(ts.replace(tzinfo=None)).cast("timestamp_ntz")
+    return F.lit(ts.replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def hours_before(as_of: datetime, hours: float) -> datetime:

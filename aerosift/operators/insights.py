@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import bucket_start
+from ..functions.timecols import bucket_start, epoch_to_ntz, ntz_to_epoch
 
 CELL_DEG = 0.5      # corridor grid cell
 SECTOR_DEG = 45     # heading sector
@@ -75,10 +75,18 @@ def traffic_by_hour(fact: DataFrame) -> DataFrame:
 
 def aircraft_in_air_sliding(fact: DataFrame, size_s: int = 3600, slide_s: int = 600) -> DataFrame:
     """INS1 over sliding windows (1 hour, every 10 minutes): distinct airborne
-    flights per window. ``window`` expands each row into size/slide windows
-    before a partial aggregation."""
-    w = F.window(F.col("timestamp_utc").cast("timestamp"), f"{size_s} seconds", f"{slide_s} seconds")
-    return (airborne(fact).groupBy(w.alias("_w"))
+    flights per window. Each row is emitted for the size/slide windows that
+    hold it (what ``window()`` expands to), in epoch arithmetic on
+    ``timestamp_ntz`` so window edges do not depend on the session zone."""
+    if size_s % slide_s:
+        raise ValueError("size_s must be a multiple of slide_s")
+    e = ntz_to_epoch("timestamp_utc")
+    first = e - F.pmod(e, F.lit(slide_s))
+    rows = (airborne(fact).filter(F.col("timestamp_utc").isNotNull())
+            .select("vol_sk", first.alias("_first"),
+                    F.explode(F.sequence(F.lit(0), F.lit(size_s // slide_s - 1))).alias("_k"))
+            .select("vol_sk", (F.col("_first") - F.col("_k") * slide_s).alias("_s")))
+    return (rows.groupBy("_s")
             .agg(F.countDistinct("vol_sk").alias("avions_en_vol"), F.count(F.lit(1)).alias("nb_positions"))
-            .select(F.col("_w.start").cast("timestamp_ntz").alias("debut"),
-                    F.col("_w.end").cast("timestamp_ntz").alias("fin"), "avions_en_vol", "nb_positions"))
+            .select(epoch_to_ntz("_s").alias("debut"), epoch_to_ntz(F.col("_s") + size_s).alias("fin"),
+                    "avions_en_vol", "nb_positions"))

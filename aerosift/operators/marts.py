@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.classify import airline_code, airline_name, flight_band, flight_phase
 from ..functions.keys import surrogate_key
-from ..functions.timecols import ntz_literal
+from ..functions.timecols import bucket_start, ntz_literal
 from ..schemas import DIM_COLUMNS, FACT_COLUMNS
 
 
@@ -84,7 +84,7 @@ def position_fact(inter: DataFrame, dim: DataFrame, as_of: datetime) -> DataFram
         surrogate_key("position_id").alias("position_sk"),
         "vol_sk",
         ts.alias("timestamp_utc"),
-        F.date_trunc("hour", ts).cast("timestamp_ntz").alias("heure_utc"),
+        bucket_start(ts, 3600).alias("heure_utc"),
         F.to_date(ts).alias("date_utc"),
         F.hour(ts).alias("heure_journee"),
         (F.dayofweek(ts) - 1).alias("jour_semaine"),

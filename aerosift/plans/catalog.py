@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..operators import serving
 from ..operators.marts import orphan_count
-from ..session import ensure_utc
 from ..sources.events_adapter import raw_positions
 from .transform import Marts, build_marts
 
@@ -36,7 +35,6 @@ def register(name: str):
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
     """Layers over the whole events table; ``inter`` is written once to the
     checkpoint folder when a query needs it (dim and fact both read it)."""
-    ensure_utc(spark)
     return build_marts(raw_positions(spark, sf_dir), AS_OF, materialize=True)
 
 
@@ -54,7 +52,6 @@ def anomalies_24h(spark, sf_dir) -> DataFrame:
 
 @register("raw_positions")
 def q_raw(spark, sf_dir):
-    ensure_utc(spark)
     return raw_positions(spark, sf_dir)
 
 
@@ -183,7 +180,6 @@ def q_hour(spark, sf_dir):
 @register("ingestion_stats_last_hour")
 def q_ingest_stats(spark, sf_dir):
     from ..operators.sinks import ingestion_stats
-    ensure_utc(spark)
     return ingestion_stats(raw_positions(spark, sf_dir), AS_OF)
 
 
@@ -191,7 +187,6 @@ def q_ingest_stats(spark, sf_dir):
 def q_merge_stats(spark, sf_dir):
     from ..operators.sinks import merge_stats
     from ..sources.events_adapter import replayed_batches
-    ensure_utc(spark)
     return merge_stats(replayed_batches(raw_positions(spark, sf_dir, keep_event_id=True)))
 
 
@@ -201,7 +196,6 @@ def q_merged(spark, sf_dir):
     from ..operators.sinks import one_per_id
     from ..schemas import RAW_COLUMNS
     from ..sources.events_adapter import replayed_batches
-    ensure_utc(spark)
     return one_per_id(replayed_batches(raw_positions(spark, sf_dir, keep_event_id=True))).select(*RAW_COLUMNS)
 
 
@@ -223,7 +217,6 @@ def q_dq_marts(spark, sf_dir):
 @register("dq_raw_suite_by_batch")
 def q_dq_raw(spark, sf_dir):
     from ..operators.quality import RAW_SUITE, run_suite
-    ensure_utc(spark)
     return run_suite(raw_positions(spark, sf_dir), RAW_SUITE, by=["batch_id"])
 
 
@@ -242,7 +235,6 @@ def q_coherence(spark, sf_dir):
 @register("source_freshness")
 def q_freshness(spark, sf_dir):
     from ..operators.quality import freshness
-    ensure_utc(spark)
     return freshness(raw_positions(spark, sf_dir), AS_OF)
 
 
@@ -262,7 +254,6 @@ def _incremental_root(spark, sf_dir) -> str:
     from .incremental import incremental_update
     from .tables import build_tables
 
-    ensure_utc(spark)
     raw = raw_positions(spark, sf_dir)
     root = os.path.join(checkpoint_dir(spark), f"marts-{uuid.uuid4().hex}")
     early = F.col("ingested_at") < ntz_literal(INCREMENTAL_CUT)
@@ -307,7 +298,6 @@ def q_stream_winners(spark, sf_dir):
     from ..session import checkpoint_dir
     from ..streaming.pipeline import window_winners_stream
 
-    ensure_utc(spark)
     base = os.path.join(checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
     raw_positions(spark, sf_dir).write.parquet(os.path.join(base, "landing"))
     src = spark.readStream.schema(RAW_POSITIONS).parquet(os.path.join(base, "landing"))

@@ -34,7 +34,8 @@ def raw_positions_from_events(events: DataFrame, keep_event_id: bool = False) ->
     base = events.select(
         F.col(e).alias("e"),
         F.col(u).alias("u"),
-        F.expr(f"{EPOCH0} + (unix_seconds(CAST(ts AS TIMESTAMP)) - {EPOCH0}) div {TIME_COMPRESSION}").alias("t"),
+        F.expr(f"{EPOCH0} + (timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) - {EPOCH0})"
+               f" div {TIME_COMPRESSION}").alias("t"),
     )
     base = base.withColumn("m", F.expr("(t + u * 37) % 7200"))
     base = base.withColumn("tri", F.expr("CASE WHEN m < 3600 THEN m ELSE 7200 - m END"))
@@ -72,7 +73,7 @@ def raw_positions_from_events(events: DataFrame, keep_event_id: bool = False) ->
         "taux_montee": "CAST((e * 13) % 301 - 150 AS DOUBLE) / CAST(10 AS DOUBLE)",
         "squawk": "lpad(CAST(e % 7778 AS STRING), 4, '0')",
         "source_position": "CAST(CASE WHEN e % 5 = 4 THEN NULL ELSE e % 5 END AS INT)",
-        "ingested_at": "CAST(timestamp_seconds(((t div 600) + 1) * 600) AS TIMESTAMP_NTZ)",
+        "ingested_at": "TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, ((t div 600) + 1) * 600)",
         "batch_id": "md5(CAST(t div 600 AS STRING))",
     }
     out = base.select(F.col("e").alias("event_id"), *[F.expr(v).alias(k) for k, v in cols.items()])

@@ -15,7 +15,8 @@
 * ``track_segments_stream`` (STR7): session windows with the 120 s gap.
 
 Watermarks need ``timestamp`` (not ``timestamp_ntz``): event times are cast
-on the way in and back to NTZ on the way out.
+on the way in and back to NTZ on the way out. 30 s window edges survive the
+round trip in any session zone (zone offsets are whole multiples of 30 s).
 """
 
 from __future__ import annotations

@@ -45,3 +45,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 15
     assert "icao24" in df.columns
+
+
+@pytest.mark.parametrize("name", ["fact_positions", "traffic_in_air_sliding", "source_freshness", "kpis"])
+def test_results_do_not_depend_on_session_zone(spark, name):
+    q = entry.queries()[name]
+    utc = q(spark, SF_SMALL).collect()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kathmandu")   # UTC+05:45
+    try:
+        other = q(spark, SF_SMALL).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(map(tuple, utc), key=repr) == sorted(map(tuple, other), key=repr)
