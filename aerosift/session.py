@@ -68,13 +68,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder (for staged writes)."""
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, name)
-    return path
-
-
 def materialize(df, name: str):
     """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
     and return the re-read table (column pruning, statistics, and it survives

@@ -122,10 +122,6 @@ def run_ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint_l
     return w.start()
 
 
-def stage_stream(raw_stream: DataFrame) -> DataFrame:
-    return stage(raw_stream)
-
-
 def dropped_by_watermark(query) -> int:
     """Rows the last micro-batch dropped as later than the watermark (STR4)."""
     p = query.lastProgress or {}

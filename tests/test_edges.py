@@ -278,3 +278,17 @@ def test_map_points_defaults(spark):
         ("a1", 0, 0, 0.0, "#34a853")
     assert a["infobulle"] == "⚠️ a1 — 0 ft — 0 km/h"
     assert (b["libelle"], b["couleur"], b["infobulle"]) == ("?", "#fbbc04", "? — 1,234 ft — 812 km/h")
+
+
+def test_orphan_positions(spark):
+    from aerosift.operators.marts import orphan_count, orphan_positions
+    from aerosift.plans.transform import build_marts
+
+    rows = [dict(icao24="g00001"), dict(icao24="g00002", time_position=T0 + 40)]
+    m = build_marts(raw_df(spark, rows), AS_OF)
+    partial_dim = m.dim.filter(F.col("icao24") == "g00001")
+    assert [r["icao24"] for r in orphan_positions(m.inter, partial_dim).collect()] == ["g00002"]
+    assert orphan_count(m.inter, partial_dim).first()[0] == 1
+    assert orphan_count(m.inter, m.dim).first()[0] == 0
+    assert m.fact.count() == 2 and set(r["vol_sk"] for r in m.fact.collect()) == set(
+        r["vol_sk"] for r in m.dim.collect())

@@ -65,6 +65,8 @@ def test_window_winners_stream_equals_batch_on_closed_windows(spark, tmp_dir):
          .option("path", os.path.join(tmp_dir, "out")).option("checkpointLocation", os.path.join(tmp_dir, "ck"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    from aerosift.streaming.pipeline import dropped_by_watermark
+    assert dropped_by_watermark(q) == 0          # one micro-batch: nothing arrives behind the watermark
     got = spark.read.parquet(os.path.join(tmp_dir, "out")).drop("position_id")
     batch = window_winners(stage(raw))
     wm = batch.agg(F.max("timestamp_position_utc")).first()[0]
