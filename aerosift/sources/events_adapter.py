@@ -101,8 +101,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     """Use every core on a scan with fewer splits than cores (a small file is
     one Parquet row group = one task). At scale the scan already has far more
     splits than cores and this is a no-op; it never shuffles a large input."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()   # planning only, no job
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view: leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def raw_positions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
