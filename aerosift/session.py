@@ -59,12 +59,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        master = spark.sparkContext.master or ""
+        master = spark.conf.get("spark.master", "") or ""
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared (distributed) folder")
         d = tempfile.mkdtemp(prefix="aerosift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)   # for DataFrame.checkpoint(); not needed by materialize()
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext view (Spark Connect)
+        pass
     return d
 
 
