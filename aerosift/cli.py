@@ -5,6 +5,7 @@
     spark-submit -m aerosift.cli ingest --landing DIR --root MARTS --checkpoint DIR [--every "10 minutes"]
     spark-submit -m aerosift.cli check  --root MARTS --on-failure raise
     spark-submit -m aerosift.cli serve  --root MARTS --as-of ... --out DIR
+    spark-submit -m aerosift.cli compact --table RAW [--before 2024-01-02]
 
 Paths are shared-storage folders; ``spark.checkpoint.dir`` must be set on a
 cluster (scratch data for staged writes goes there).
@@ -90,6 +91,15 @@ def cmd_serve(spark, a) -> dict:
     return {"written": sorted(outputs)}
 
 
+def cmd_compact(spark, a) -> dict:
+    from pyspark.sql import functions as F
+
+    from .operators.sinks import EVENT_PARTITIONS, compact
+
+    where = F.col(EVENT_PARTITIONS[0]) < F.lit(a.before).cast("date") if a.before else None
+    return {"rows": compact(spark, a.table, EVENT_PARTITIONS, "id", where)}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="aerosift")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -116,10 +126,14 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.add_argument("--as-of", required=True)
     s.add_argument("--out", required=True)
+    k = sub.add_parser("compact", help="rewrite raw-table days before --before into few files")
+    k.add_argument("--table", required=True)
+    k.add_argument("--before", default=None, help="YYYY-MM-DD; default: every partition")
     return p
 
 
-COMMANDS = {"build": cmd_build, "update": cmd_update, "ingest": cmd_ingest, "check": cmd_check, "serve": cmd_serve}
+COMMANDS = {"build": cmd_build, "update": cmd_update, "ingest": cmd_ingest, "check": cmd_check, "serve": cmd_serve,
+            "compact": cmd_compact}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:

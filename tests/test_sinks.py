@@ -101,3 +101,26 @@ def test_ingest_run(spark, tmp_dir):
     with open(os.path.join(empty, "e.json"), "w") as f:
         json.dump({"time": 1704067260, "states": []}, f)
     assert ingest_run(spark, read_states(spark, empty), table, AS_OF)["total"] == 0
+
+
+def test_compaction_keeps_content_and_reduces_files(spark, tmp_dir):
+    from aerosift.cli import main
+    from aerosift.operators.sinks import merge_raw
+    from aerosift.sources.events_adapter import raw_positions
+
+    raw = raw_positions(spark, SF_SMALL)
+    table = os.path.join(tmp_dir, "raw")
+    stamps = sorted(r[0] for r in raw.select("ingested_at").distinct().collect())
+    for s in stamps:                     # one append per landed batch: many small files
+        merge_raw(spark, raw.filter(F.col("ingested_at") == F.lit(s)), table)
+
+    def files():
+        return sum(f.endswith(".parquet") for _, _, fs in os.walk(table) for f in fs)
+
+    before_files, before = files(), spark.read.parquet(table)
+    snapshot = before.collect()
+    main(["compact", "--table", table], spark)
+    after = spark.read.parquet(table)
+    assert files() < before_files
+    assert after.count() == len(snapshot) == 1000
+    assert after.exceptAll(spark.createDataFrame(snapshot, before.schema)).count() == 0
