@@ -127,3 +127,22 @@ def test_airline_filter_and_row_counts(spark):
     import pytest
     with pytest.raises(RuntimeError):
         serving.assert_non_empty(serving.row_counts({"empty": m.dim.limit(0)}))
+
+
+def test_json_landing_roundtrip_and_bbox(spark, tmp_dir):
+    from aerosift.sources.states import FRANCE, parse_states, read_batch, read_states, write_batch
+
+    df = raw_df(spark, [dict(), dict(icao24="def456", ingested_at=datetime(2024, 1, 1, 1, 0))])
+    path = os.path.join(tmp_dir, "landed-json")
+    assert write_batch(df, path, fmt="json") == 2
+    back = read_batch(spark, path, fmt="json")
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+    landing = os.path.join(tmp_dir, "payloads")
+    _write_payloads(landing) if os.path.isdir(landing) else (os.makedirs(landing), _write_payloads(landing))
+    inside, _ = parse_states(read_states(spark, landing), AS_OF, bbox=FRANCE)
+    everything, _ = parse_states(read_states(spark, landing), AS_OF)
+    assert inside.count() == everything.count()        # all fixture states are inside the box
+    tiny = dict(lat_min=48.0, lat_max=49.0, lon_min=2.0, lon_max=3.0)
+    assert [r["icao24"] for r in parse_states(read_states(spark, landing), AS_OF, bbox=tiny)[0].collect()] \
+        == ["3c6444"]
