@@ -62,6 +62,11 @@ def merge_raw(spark: SparkSession, batch: DataFrame, table_path: str) -> dict:
     Returns ``{"inserted", "skipped", "total"}``; the counts come from
     observations on the same job that writes (no extra pass).
     """
+    from ..schemas import RAW_POSITIONS
+
+    # the stored schema is fixed: project (and type) every batch to the 18 raw columns
+    batch = batch.select(*[F.col(f.name).cast(f.dataType) if f.name in batch.columns
+                           else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_POSITIONS.fields])
     if batch.isEmpty():
         return {"inserted": 0, "skipped": 0, "total": 0}
     try:

@@ -146,3 +146,15 @@ def test_json_landing_roundtrip_and_bbox(spark, tmp_dir):
     tiny = dict(lat_min=48.0, lat_max=49.0, lon_min=2.0, lon_max=3.0)
     assert [r["icao24"] for r in parse_states(read_states(spark, landing), AS_OF, bbox=tiny)[0].collect()] \
         == ["3c6444"]
+
+
+def test_merge_projects_to_raw_schema(spark, tmp_dir):
+    from aerosift.operators.sinks import merge_raw
+    from aerosift.schemas import RAW_COLUMNS
+
+    table = os.path.join(tmp_dir, "raw")
+    df = raw_df(spark, [dict()]).withColumn("extra", F.lit(1))
+    merge_raw(spark, df.drop("squawk"), table)
+    stored = spark.read.parquet(table)
+    assert [c for c in stored.columns if c not in ("event_date", "event_hour")] == RAW_COLUMNS
+    assert stored.first()["squawk"] is None
