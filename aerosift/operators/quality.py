@@ -159,21 +159,16 @@ def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
     uniq_cols = sorted({c.column for c in suite.checks
                         if c.kind in ("unique", "expect_unique", "expect_unique_proportion")})
     for col in uniq_cols:
-        per_value = (df.filter(F.col(col).isNotNull()).groupBy(*by, col)
-                     .agg(F.count(F.lit(1)).alias("_cnt")))
-        stats = per_value.groupBy(*by).agg(
-            F.coalesce(F.sum(F.when(F.col("_cnt") > 1, F.col("_cnt"))), F.lit(0)).alias("_dup"),
-            F.count(F.lit(1)).alias("_distinct"),
-            F.sum("_cnt").alias("_nonnull"),
-        )
-        if not by:
-            # a table with no non-NULL value still yields one result row
-            empty = df.sparkSession.range(1).select(
-                F.lit(0).cast("long").alias("_dup"), F.lit(0).cast("long").alias("_distinct"),
-                F.lit(0).cast("long").alias("_nonnull"))
-            stats = stats.unionByName(empty).agg(F.sum("_dup").alias("_dup"),
-                                                 F.sum("_distinct").alias("_distinct"),
-                                                 F.sum("_nonnull").alias("_nonnull"))
+        # group by value *including* NULL so every ``by`` group (even an all-NULL one) yields a row
+        per_value = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_cnt"))
+        nn_value = F.col(col).isNotNull()
+        stats_aggs = [
+            F.coalesce(F.sum(F.when(nn_value & (F.col("_cnt") > 1), F.col("_cnt"))), F.lit(0)).alias("_dup"),
+            F.count(F.when(nn_value, 1)).alias("_distinct"),
+            F.coalesce(F.sum(F.when(nn_value, F.col("_cnt"))), F.lit(0)).alias("_nonnull"),
+        ]
+        # without ``by`` this is a global aggregate: one row even for an empty table
+        stats = per_value.groupBy(*by).agg(*stats_aggs) if by else per_value.agg(*stats_aggs)
         urows = []
         dup, dist, nn = F.col("_dup"), F.col("_distinct"), F.col("_nonnull")
         for i, chk in enumerate(suite.checks):
@@ -192,17 +187,18 @@ def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
             parts.append(stats.select(*by, F.explode(F.array(*urows)).alias("r")).select(*by, "r.*"))
 
     # 3) foreign keys: child values reduced to (value, rows) per group first (partial
-    #    aggregation), so only distinct values meet the parent's key set in the anti-join
+    #    aggregation); only distinct values meet the parent's key set, in a left join whose
+    #    missing side flags orphans (every group keeps a result row, even with no orphan)
     for i, chk in enumerate(suite.checks):
         if chk.kind != "relationships":
             continue
         ref_name, ref_col = chk.ref
-        parent = refs[ref_name].select(F.col(ref_col).alias("_k")).distinct()
-        child = (df.filter(F.col(chk.column).isNotNull()).groupBy(*by, chk.column)
-                 .agg(F.count(F.lit(1)).alias("_rows")))
-        orphans = child.join(parent, child[chk.column] == parent["_k"], "left_anti")
-        total = F.coalesce(F.sum("_rows"), F.lit(0)).alias("_u")
-        cnt = orphans.groupBy(*by).agg(total) if by else orphans.agg(total)
+        parent = refs[ref_name].select(F.col(ref_col).alias("_k")).distinct().withColumn("_found", F.lit(True))
+        child = df.groupBy(*by, chk.column).agg(F.count(F.lit(1)).alias("_rows"))
+        flagged = child.join(parent, child[chk.column] == parent["_k"], "left")
+        orphan = F.col(chk.column).isNotNull() & F.col("_found").isNull()
+        total = F.coalesce(F.sum(F.when(orphan, F.col("_rows"))), F.lit(0)).alias("_u")
+        cnt = flagged.groupBy(*by).agg(total) if by else flagged.agg(total)
         u = F.col("_u")
         parts.append(cnt.select(*by, _row(suite.name, i, chk, u, u, u, u == 0).alias("r")).select(*by, "r.*"))
 

@@ -83,9 +83,10 @@ def suite_sql(table: str, suite: Suite, columns: list[str], by: list[str] | None
                                  "TRUE" if ex else "FALSE", by, src))
             continue
         elif k in ("unique", "expect_unique", "expect_unique_proportion"):
-            inner = f"SELECT {b}{c}, count(*) AS cnt FROM {table} WHERE {c} IS NOT NULL GROUP BY {b}{c}"
-            src = (f"SELECT {b}coalesce(sum(CASE WHEN cnt > 1 THEN cnt END), 0) AS dup, count(*) AS dist, "
-                   f"coalesce(sum(cnt), 0) AS nn FROM ({inner}) y{grp}")
+            inner = f"SELECT {b}{c}, count(*) AS cnt FROM {table} GROUP BY {b}{c}"
+            src = (f"SELECT {b}coalesce(sum(CASE WHEN {c} IS NOT NULL AND cnt > 1 THEN cnt END), 0) AS dup, "
+                   f"count({c}) AS dist, coalesce(sum(CASE WHEN {c} IS NOT NULL THEN cnt END), 0) AS nn "
+                   f"FROM ({inner}) y{grp}")
             if k == "unique":
                 parts.append(_result(suite.name, i, chk, "dup", "nn", "dup", "dup = 0", by, src))
             elif k == "expect_unique":
@@ -99,8 +100,8 @@ def suite_sql(table: str, suite: Suite, columns: list[str], by: list[str] | None
         elif k == "relationships":
             ref_name, ref_col = chk.ref
             parent = refs[ref_name]
-            src = (f"SELECT {b}count(*) AS u FROM {table} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
-                   f"(SELECT 1 FROM {parent} pa WHERE pa.{ref_col} = ch.{c}){grp}")
+            src = (f"SELECT {b}count(*) FILTER (WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM {parent} pa WHERE pa.{ref_col} = ch.{c})) AS u FROM {table} ch{grp}")
             parts.append(_result(suite.name, i, chk, "u", "u", "u", "u = 0", by, src))
             continue
         else:

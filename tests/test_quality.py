@@ -74,3 +74,19 @@ def test_enforce_raise(spark):
     assert enforce(res, "warn")["failed"] == 1
     with pytest.raises(RuntimeError):
         enforce(res, "raise")
+
+
+def test_every_group_gets_a_row(spark):
+    """Per-group suites keep a result row for groups with an all-NULL column or no orphan."""
+    parent = spark.createDataFrame([("k1",)], "k string")
+    df = spark.createDataFrame([("g1", "k1"), ("g1", "k9"), ("g2", None), ("g2", None), ("g3", "k1")],
+                               "g string, k string")
+    res = run_suite(df, Suite("t", [Check("expect_unique_proportion", "k", min=0.1, max=1.0),
+                                    Check("unique", "k"), Check("relationships", "k", ref=("p", "k"))]),
+                    by=["g"], refs={"p": parent}).collect()
+    got = {(r["g"], r["check_name"]): (r["total"], r["unexpected"], r["success"]) for r in res}
+    assert len(got) == 9
+    assert got[("g2", "expect_unique_proportion")] == (0, 1, False)     # all NULL: no proportion
+    assert got[("g2", "unique")] == (0, 0, True)
+    assert got[("g1", "relationships")] == (1, 1, False)
+    assert got[("g3", "relationships")] == (0, 0, True)
