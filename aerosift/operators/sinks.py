@@ -153,6 +153,22 @@ def write_clustered(df: DataFrame, path: str, partition_cols="date_utc", cluster
        .write.mode(mode).partitionBy(*parts).parquet(path))
 
 
+def in_partitions(table: DataFrame, keys: DataFrame, partition_cols) -> DataFrame:
+    """Rows of ``table`` that lie in the partitions listed in ``keys``.
+
+    Timed partitions: equality semi-join, so dynamic partition pruning reads
+    only those partitions. The NULL partition (rows without a time; the first
+    partition column is NULL) is matched separately -- equality never matches NULL.
+    """
+    parts = _as_list(partition_cols)
+    keys = keys.select(*parts).distinct()
+    timed = table.join(keys.dropna(), parts, "left_semi")
+    null_p = F.col(parts[0]).isNull()
+    null_key = keys.filter(null_p).select(F.lit(1).alias("_one")).distinct()
+    untimed = table.filter(null_p).withColumn("_one", F.lit(1)).join(null_key, "_one", "left_semi").drop("_one")
+    return timed.unionByName(untimed)
+
+
 def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partition_cols,
            cluster_col: str | None = None, staging_root: str | None = None) -> None:
     """Replace rows by ``key`` in the touched partitions of a Parquet table.
@@ -171,14 +187,7 @@ def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partit
     if existing is None:
         write_clustered(df, table_path, parts, cluster_col or key, mode="overwrite")
         return
-    touched = df.select(*parts).distinct()
-    # timed partitions: equality semi-join (dynamic partition pruning reads the touched ones only);
-    # the NULL partition (rows without a time) is matched separately -- equality never matches NULL
-    in_touched = existing.join(touched.dropna(), parts, "left_semi")
-    null_p = F.col(parts[0]).isNull()
-    null_touched = touched.filter(null_p).select(F.lit(1).alias("_one")).distinct()
-    in_null = existing.filter(null_p).withColumn("_one", F.lit(1)).join(null_touched, "_one", "left_semi").drop("_one")
-    kept = in_touched.unionByName(in_null).join(df.select(key), key, "left_anti")
+    kept = in_partitions(existing, df, parts).join(df.select(key), key, "left_anti")
     merged = kept.unionByName(df)
     staged = os.path.join(staging_root or checkpoint_dir(spark), f"staged-{uuid.uuid4().hex}")
     write_clustered(merged, staged, parts, cluster_col or key, mode="overwrite")

@@ -17,10 +17,11 @@ first-seen/count (SURVEY §3.5 X1/X2). Here the update is exact:
    that slice and only emit windows are kept.
 4. int and fact are upserted by key in the touched date partitions.
 5. The dimension's hourly partial aggregates are recomputed for the touched
-   hours only (from int's touched hour partitions), and the dimension rows of
-   touched aircraft are re-derived from those partials -- no scan of an
-   aircraft's whole history (``vol_sk`` depends only on icao24, so no fact
-   row changes key).
+   hours only (from int's touched hour partitions), the daily partials for
+   the touched days only (from their 24 hourly partials), and the dimension
+   rows of touched aircraft are re-derived from the daily partials -- no
+   scan of an aircraft's history in positions (``vol_sk`` depends only on
+   icao24, so no fact row changes key).
 
 The result equals a full rebuild for any split of the input into batches.
 """
@@ -36,11 +37,12 @@ from pyspark.sql import functions as F
 from ..functions.timecols import bucket_start, epoch_to_ntz, shift_seconds
 from ..operators.dedup import dedup, windowed
 from ..operators.marts import dim_from_groups, merge_groups, position_fact
-from ..operators.sinks import EVENT_DATE, EVENT_HOUR, EVENT_PARTITIONS, replace_partitions, upsert, with_event_date
+from ..operators.sinks import (EVENT_DATE, EVENT_HOUR, EVENT_PARTITIONS, in_partitions, replace_partitions, upsert,
+                               with_event_date)
 from ..operators.staging import stage
 from ..session import materialize
-from .tables import (FACT_PARTITIONS, INT_PARTITIONS, hourly_groups, paths, read_dim, read_dim_hourly,
-                     read_int_partitioned, with_int_partition)
+from .tables import (DAY_PARTITION, FACT_PARTITIONS, INT_PARTITIONS, daily_groups, hourly_groups, paths,
+                     read_dim, read_dim_daily, read_dim_hourly, read_int_partitioned, with_int_partition)
 
 
 def touched_windows(new_raw: DataFrame, window_s: int = 30) -> DataFrame:
@@ -97,19 +99,18 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
     new_int = materialize(new_int, "int-delta")
     upsert(spark, with_int_partition(new_int), p["int"], "position_id", INT_PARTITIONS, "icao24")
 
-    # dimension partials: the touched hours re-aggregated from int's touched hour partitions
+    # dimension partials: touched hours re-aggregated from int's touched hour partitions,
+    # touched days re-rolled from their hourly partials (both partition-pruned reads)
     hours = with_int_partition(new_int).select(*INT_PARTITIONS).distinct()
-    int_p = read_int_partitioned(spark, root)
-    timed_hours = int_p.join(hours.dropna(), INT_PARTITIONS, "left_semi")          # dynamic pruning
-    null_hours = hours.filter(F.col(INT_PARTITIONS[0]).isNull()).select(F.lit(1).alias("_one")).distinct()
-    untimed = (int_p.filter(F.col(INT_PARTITIONS[0]).isNull()).withColumn("_one", F.lit(1))
-               .join(null_hours, "_one", "left_semi").drop("_one"))
-    replace_partitions(spark, hourly_groups(timed_hours.unionByName(untimed)), p["dim_hourly"], INT_PARTITIONS,
-                       "icao24")
-
-    # dimension: touched aircraft re-derived from the (small) hourly partials
+    int_hours = in_partitions(read_int_partitioned(spark, root), hours, INT_PARTITIONS)
+    replace_partitions(spark, hourly_groups(int_hours), p["dim_hourly"], INT_PARTITIONS, "icao24")
+    days = hours.select(*DAY_PARTITION).distinct()
+    replace_partitions(spark, daily_groups(in_partitions(read_dim_hourly(spark, root), days, DAY_PARTITION)),
+                       p["dim_daily"], DAY_PARTITION, "icao24")
+
+    # dimension: touched aircraft re-derived from the daily partials
     aircraft = touched.select("icao24").distinct()
-    partials = read_dim_hourly(spark, root).join(aircraft, "icao24", "left_semi")
+    partials = read_dim_daily(spark, root).join(aircraft, "icao24", "left_semi")
     dim_new = dim_from_groups(merge_groups(partials), as_of)
     dim_old = read_dim(spark, root)
     dim_all = dim_old.join(aircraft, "icao24", "left_anti").unionByName(dim_new)

@@ -3,9 +3,11 @@
 Layout under one root folder (a shared filesystem or object store):
 
 * ``int``  intermediate positions, partitioned by (``window_date``, ``window_hour``), clustered by icao24
-* ``dim_hourly`` per (icao24, callsign, country, hour) first/last seen and count,
-  partitioned like int -- the dimension's mergeable partial aggregates, so an
-  incremental update re-derives touched aircraft without re-reading their history
+* ``dim_hourly`` / ``dim_daily`` per (icao24, callsign, country) first/last seen and
+  count per hour / per day, partitioned like int / by day -- the dimension's
+  mergeable partial aggregates: an update re-aggregates touched hours from
+  int, re-rolls touched days from their 24 hourly partials, and derives
+  touched aircraft from daily partials (no re-read of any history)
 * ``dim``  flight dimension (one row per aircraft; small)
 * ``fact`` position fact, partitioned by (``date_utc``, ``heure_journee``), clustered by ``vol_sk``
 
@@ -36,7 +38,7 @@ FACT_PARTITIONS = ["date_utc", "heure_journee"]
 
 
 def paths(root: str) -> dict[str, str]:
-    return {name: os.path.join(root, name) for name in ("raw", "int", "dim_hourly", "dim", "fact")}
+    return {name: os.path.join(root, name) for name in ("raw", "int", "dim_hourly", "dim_daily", "dim", "fact")}
 
 
 def with_int_partition(inter: DataFrame) -> DataFrame:
@@ -51,8 +53,9 @@ def table_schemas(spark: SparkSession) -> dict[str, T.StructType]:
     inter = dedup(stage(empty))
     dim = flight_dim(inter, datetime(2000, 1, 1))
     fact = position_fact(inter, dim, datetime(2000, 1, 1))
+    hourly = hourly_groups(with_int_partition(inter))
     return {"int": with_int_partition(inter).schema, "dim": dim.schema, "fact": fact.schema,
-            "dim_hourly": hourly_groups(with_int_partition(inter)).schema}
+            "dim_hourly": hourly.schema, "dim_daily": daily_groups(hourly).schema}
 
 
 def _read(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
@@ -77,10 +80,26 @@ def hourly_groups(inter_partitioned: DataFrame) -> DataFrame:
     )
 
 
+DAY_PARTITION = ["window_date"]
+
+
+def daily_groups(hourly: DataFrame) -> DataFrame:
+    """Roll hourly partials up to one row per (group, day)."""
+    return hourly.groupBy("icao24", "callsign", "origine_pays", *DAY_PARTITION).agg(
+        F.min("premiere_vue_utc").alias("premiere_vue_utc"),
+        F.max("derniere_vue_utc").alias("derniere_vue_utc"),
+        F.sum("nb_positions_total").alias("nb_positions_total"),
+    )
+
+
 def read_dim_hourly(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(table_schemas(spark)["dim_hourly"]).parquet(paths(root)["dim_hourly"])
 
 
+def read_dim_daily(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(table_schemas(spark)["dim_daily"]).parquet(paths(root)["dim_daily"])
+
+
 def read_dim(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, "dim", DIM_COLUMNS)
 
@@ -96,7 +115,8 @@ def build_tables(spark: SparkSession, raw: DataFrame, root: str, as_of: datetime
     inter = dedup(stage(raw), window_s, max_gap_s, max_rate)
     write_clustered(with_int_partition(inter), p["int"], INT_PARTITIONS, "icao24")
     write_clustered(hourly_groups(read_int_partitioned(spark, root)), p["dim_hourly"], INT_PARTITIONS, "icao24")
-    dim_from_groups(merge_groups(read_dim_hourly(spark, root)), as_of).write.mode("overwrite").parquet(p["dim"])
+    write_clustered(daily_groups(read_dim_hourly(spark, root)), p["dim_daily"], DAY_PARTITION, "icao24")
+    dim_from_groups(merge_groups(read_dim_daily(spark, root)), as_of).write.mode("overwrite").parquet(p["dim"])
     stored = read_int(spark, root)
     fact = position_fact(stored, read_dim(spark, root), as_of)
     write_clustered(fact, p["fact"], FACT_PARTITIONS, "vol_sk")
