@@ -18,9 +18,10 @@ first-seen/count (SURVEY §3.5 X1/X2). Here the update is exact:
 4. int and fact are upserted by key in the touched date partitions.
 5. The dimension's hourly partial aggregates are recomputed for the touched
    hours only (from int's touched hour partitions), the daily partials for
-   the touched days only (from their 24 hourly partials), and the dimension
-   rows of touched aircraft are re-derived from the daily partials -- no
-   scan of an aircraft's history in positions (``vol_sk`` depends only on
+   the touched days only (from their 24 hourly partials), the monthly
+   partials for the touched months (from their daily partials), and the
+   dimension rows of touched aircraft are re-derived from the monthly
+   partials -- per-update work does not grow with the history (``vol_sk`` depends only on
    icao24, so no fact row changes key).
 
 The result equals a full rebuild for any split of the input into batches.
@@ -41,8 +42,9 @@ from ..operators.sinks import (EVENT_DATE, EVENT_HOUR, EVENT_PARTITIONS, in_part
                                with_event_date)
 from ..operators.staging import stage
 from ..session import materialize
-from .tables import (DAY_PARTITION, FACT_PARTITIONS, INT_PARTITIONS, daily_groups, hourly_groups, paths,
-                     read_dim, read_dim_daily, read_dim_hourly, read_int_partitioned, with_int_partition)
+from .tables import (DAY_PARTITION, FACT_PARTITIONS, INT_PARTITIONS, MONTH_PARTITION, daily_groups, hourly_groups,
+                     monthly_groups, paths, read_dim, read_dim_daily, read_dim_hourly, read_dim_monthly,
+                     read_int_partitioned, with_int_partition)
 
 
 def touched_windows(new_raw: DataFrame, window_s: int = 30) -> DataFrame:
@@ -107,10 +109,17 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
     days = hours.select(*DAY_PARTITION).distinct()
     replace_partitions(spark, daily_groups(in_partitions(read_dim_hourly(spark, root), days, DAY_PARTITION)),
                        p["dim_daily"], DAY_PARTITION, "icao24")
-
-    # dimension: touched aircraft re-derived from the daily partials
+    # touched months: their days listed (<= 31 per month) so the daily read is partition-pruned
+    month = F.trunc(DAY_PARTITION[0], "month")
+    month_days = days.select(F.explode(F.when(F.col(DAY_PARTITION[0]).isNull(), F.array(F.lit(None).cast("date")))
+                                       .otherwise(F.sequence(month, F.last_day(DAY_PARTITION[0]))))
+                             .alias(DAY_PARTITION[0])).distinct()
+    replace_partitions(spark, monthly_groups(in_partitions(read_dim_daily(spark, root), month_days, DAY_PARTITION)),
+                       p["dim_monthly"], MONTH_PARTITION, "icao24")
+
+    # dimension: touched aircraft re-derived from the monthly partials
     aircraft = touched.select("icao24").distinct()
-    partials = read_dim_daily(spark, root).join(aircraft, "icao24", "left_semi")
+    partials = read_dim_monthly(spark, root).join(aircraft, "icao24", "left_semi")
     dim_new = dim_from_groups(merge_groups(partials), as_of)
     dim_old = read_dim(spark, root)
     dim_all = dim_old.join(aircraft, "icao24", "left_anti").unionByName(dim_new)

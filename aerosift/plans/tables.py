@@ -3,11 +3,12 @@
 Layout under one root folder (a shared filesystem or object store):
 
 * ``int``  intermediate positions, partitioned by (``window_date``, ``window_hour``), clustered by icao24
-* ``dim_hourly`` / ``dim_daily`` per (icao24, callsign, country) first/last seen and
-  count per hour / per day, partitioned like int / by day -- the dimension's
-  mergeable partial aggregates: an update re-aggregates touched hours from
-  int, re-rolls touched days from their 24 hourly partials, and derives
-  touched aircraft from daily partials (no re-read of any history)
+* ``dim_hourly`` / ``dim_daily`` / ``dim_monthly`` per (icao24, callsign, country)
+  first/last seen and count per hour / day / month -- the dimension's mergeable
+  partial aggregates: an update re-aggregates touched hours from int, re-rolls
+  touched days from their 24 hourly partials and touched months from their
+  daily partials, and derives touched aircraft from monthly partials (per-update
+  work does not grow with the length of the history)
 * ``dim``  flight dimension (one row per aircraft; small)
 * ``fact`` position fact, partitioned by (``date_utc``, ``heure_journee``), clustered by ``vol_sk``
 
@@ -38,7 +39,8 @@ FACT_PARTITIONS = ["date_utc", "heure_journee"]
 
 
 def paths(root: str) -> dict[str, str]:
-    return {name: os.path.join(root, name) for name in ("raw", "int", "dim_hourly", "dim_daily", "dim", "fact")}
+    return {name: os.path.join(root, name)
+            for name in ("raw", "int", "dim_hourly", "dim_daily", "dim_monthly", "dim", "fact")}
 
 
 def with_int_partition(inter: DataFrame) -> DataFrame:
@@ -55,7 +57,8 @@ def table_schemas(spark: SparkSession) -> dict[str, T.StructType]:
     fact = position_fact(inter, dim, datetime(2000, 1, 1))
     hourly = hourly_groups(with_int_partition(inter))
     return {"int": with_int_partition(inter).schema, "dim": dim.schema, "fact": fact.schema,
-            "dim_hourly": hourly.schema, "dim_daily": daily_groups(hourly).schema}
+            "dim_hourly": hourly.schema, "dim_daily": daily_groups(hourly).schema,
+            "dim_monthly": monthly_groups(daily_groups(hourly)).schema}
 
 
 def _read(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
@@ -100,6 +103,22 @@ def read_dim_daily(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(table_schemas(spark)["dim_daily"]).parquet(paths(root)["dim_daily"])
 
 
+MONTH_PARTITION = ["window_month"]
+
+
+def monthly_groups(daily: DataFrame) -> DataFrame:
+    """Roll daily partials up to one row per (group, month)."""
+    return (daily.withColumn(MONTH_PARTITION[0], F.trunc(DAY_PARTITION[0], "month"))
+            .groupBy("icao24", "callsign", "origine_pays", *MONTH_PARTITION).agg(
+                F.min("premiere_vue_utc").alias("premiere_vue_utc"),
+                F.max("derniere_vue_utc").alias("derniere_vue_utc"),
+                F.sum("nb_positions_total").alias("nb_positions_total")))
+
+
+def read_dim_monthly(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(table_schemas(spark)["dim_monthly"]).parquet(paths(root)["dim_monthly"])
+
+
 def read_dim(spark: SparkSession, root: str) -> DataFrame:
     return _read(spark, root, "dim", DIM_COLUMNS)
 
@@ -116,7 +135,8 @@ def build_tables(spark: SparkSession, raw: DataFrame, root: str, as_of: datetime
     write_clustered(with_int_partition(inter), p["int"], INT_PARTITIONS, "icao24")
     write_clustered(hourly_groups(read_int_partitioned(spark, root)), p["dim_hourly"], INT_PARTITIONS, "icao24")
     write_clustered(daily_groups(read_dim_hourly(spark, root)), p["dim_daily"], DAY_PARTITION, "icao24")
-    dim_from_groups(merge_groups(read_dim_daily(spark, root)), as_of).write.mode("overwrite").parquet(p["dim"])
+    write_clustered(monthly_groups(read_dim_daily(spark, root)), p["dim_monthly"], MONTH_PARTITION, "icao24")
+    dim_from_groups(merge_groups(read_dim_monthly(spark, root)), as_of).write.mode("overwrite").parquet(p["dim"])
     stored = read_int(spark, root)
     fact = position_fact(stored, read_dim(spark, root), as_of)
     write_clustered(fact, p["fact"], FACT_PARTITIONS, "vol_sk")

@@ -88,14 +88,15 @@ def test_incremental_with_untimed_rows(spark, tmp_path):
     assert {r["icao24"]: r["altitude_baro_m"] for r in untimed.collect()} == {"f00001": 900.0, "f00002": 700.0}
 
 
-def test_incremental_over_several_days(spark, tmp_path):
-    """Positions spread over three days (hour and day partials in several partitions)."""
+@pytest.mark.parametrize("step_days", [1, 31])
+def test_incremental_over_several_days(spark, tmp_path, step_days):
+    """Positions spread over three days / three months (partials in several partitions)."""
     from aerosift.plans.incremental import incremental_update
     from aerosift.plans.tables import build_tables, read_dim, read_fact, read_int
     from aerosift.sources.events_adapter import raw_positions
 
     raw = raw_positions(spark, SF_SMALL).withColumn(
-        "time_position", F.col("time_position") + F.pmod(F.xxhash64("icao24"), F.lit(3)) * 86400)
+        "time_position", F.col("time_position") + F.pmod(F.xxhash64("icao24"), F.lit(3)) * 86400 * step_days)
     late = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
     full, inc = str(tmp_path / "full"), str(tmp_path / "inc")
     build_tables(spark, raw, full, AS_OF)
