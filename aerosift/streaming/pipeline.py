@@ -30,7 +30,6 @@ from ..functions.keys import surrogate_key
 from ..operators.dedup import NO_SOURCE_SCORE, STG_PAYLOAD, clean_rows, dedup_order
 from ..operators.quality import RAW_SUITE, enforce, run_suite
 from ..operators.sinks import EVENT_PARTITIONS, merge_raw
-from ..operators.staging import stage
 from ..plans.incremental import incremental_update
 from ..plans.tables import build_tables, paths
 from ..sources.states import parse_states, read_states

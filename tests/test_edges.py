@@ -4,7 +4,6 @@ from datetime import datetime, timedelta
 from fractions import Fraction
 import decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF, raw_df

@@ -1,7 +1,6 @@
 """Exact incremental update == full rebuild, for several ways of splitting the input."""
 
 import os
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
