@@ -239,3 +239,20 @@ def compact(spark: SparkSession, table_path: str, partition_cols, cluster_col: s
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     return spark.read.parquet(staged).count()
+
+
+def replace_keys(spark: SparkSession, df: DataFrame, table_path: str, key: str,
+                 staging_root: str | None = None) -> None:
+    """Upsert ``df`` by ``key`` into a small unpartitioned table (one row per key,
+    e.g. the latest position per flight): stored rows of other keys plus ``df``,
+    staged and swapped in (never overwrite a path being read)."""
+    from ..session import checkpoint_dir
+
+    try:
+        existing = spark.read.schema(df.schema).parquet(table_path)
+        merged = existing.join(df.select(key), key, "left_anti").unionByName(df)
+    except AnalysisException:  # first write
+        merged = df
+    staged = os.path.join(staging_root or checkpoint_dir(spark), f"staged-{uuid.uuid4().hex}")
+    merged.write.mode("overwrite").parquet(staged)
+    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(table_path)

@@ -312,3 +312,28 @@ def q_stream_winners(spark, sf_dir):
 def q_in_air_sliding(spark, sf_dir):
     from ..operators.insights import aircraft_in_air_sliding
     return aircraft_in_air_sliding(marts(spark, sf_dir).fact)
+
+
+@register("stream_latest_positions")
+def q_stream_latest(spark, sf_dir):
+    """Latest position per flight maintained by a streaming aggregation in update
+    mode: the fact lands as several files (one micro-batch each), ``max_by``
+    keeps one row of state per flight, and every micro-batch's updated keys are
+    upserted into a table through ``foreachBatch``."""
+    import os
+    import uuid
+
+    from ..operators.sinks import replace_keys
+    from ..session import checkpoint_dir
+    from ..streaming.pipeline import latest_positions_stream
+
+    base = os.path.join(checkpoint_dir(spark), f"latest-{uuid.uuid4().hex}")
+    fact = marts(spark, sf_dir).fact
+    fact.repartition(4, "date_utc", "heure_journee").write.parquet(os.path.join(base, "landing"))
+    src = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", "1").parquet(os.path.join(base, "landing"))
+    table = os.path.join(base, "latest")
+    q = (latest_positions_stream(src).writeStream.outputMode("update")
+         .foreachBatch(lambda df, _epoch: replace_keys(spark, df, table, "vol_sk"))
+         .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(table)
