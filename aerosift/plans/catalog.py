@@ -337,3 +337,25 @@ def q_stream_latest(spark, sf_dir):
          .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(table)
+
+
+@register("stream_track_segments")
+def q_stream_segments(spark, sf_dir):
+    """Track segments per aircraft as streaming session windows (gap 120 s) over
+    the landed raw positions; segments the watermark has closed are emitted."""
+    import os
+    import uuid
+
+    from ..operators.staging import stage
+    from ..schemas import RAW_POSITIONS
+    from ..session import checkpoint_dir
+    from ..streaming.pipeline import track_segments_stream
+
+    base = os.path.join(checkpoint_dir(spark), f"segments-{uuid.uuid4().hex}")
+    raw_positions(spark, sf_dir).write.parquet(os.path.join(base, "landing"))
+    src = spark.readStream.schema(RAW_POSITIONS).parquet(os.path.join(base, "landing"))
+    q = (track_segments_stream(stage(src), 120, STREAM_WATERMARK).writeStream.format("parquet")
+         .option("path", os.path.join(base, "out")).option("checkpointLocation", os.path.join(base, "ck"))
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out"))

@@ -67,8 +67,9 @@ def latest_positions_stream(fact_rows: DataFrame, key: str = "vol_sk", ts: str =
 
 
 def track_segments_stream(stg: DataFrame, gap_s: int = 120, watermark: str = "2 hours") -> DataFrame:
-    """Track segments per aircraft: positions closer than ``gap_s`` seconds
-    belong to one session window."""
+    """Track segments per aircraft: consecutive positions at most ``gap_s``
+    seconds apart belong to one session window (the 120 s continuity rule of
+    the climb rate: Δt <= 120 s is continuous); segment end = last position + gap."""
     s = _event_time(clean_rows(stg)).withWatermark(EVENT_TS, watermark)
     g = s.groupBy("icao24", F.session_window(EVENT_TS, f"{gap_s} seconds").alias("_s")).agg(
         F.count(F.lit(1)).alias("nb_positions"))

@@ -1,7 +1,7 @@
 """Structured Streaming paths compared with their batch equivalents."""
 
 import os
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -106,3 +106,25 @@ def test_dedup_ids_and_latest_and_segments_stream(spark, tmp_dir):
     q3.awaitTermination()
     got = sorted((r["debut"], r["nb_positions"]) for r in spark.table("seg_out").collect())
     assert got[0] == (datetime(2024, 1, 1, 0, 0), 3)
+
+
+def test_segment_gap_boundary(spark, tmp_dir):
+    """Δt = 120 s continues a segment (continuity rule), 121 s starts a new one."""
+    from aerosift.operators.staging import stage
+    from aerosift.schemas import RAW_POSITIONS
+    from aerosift.streaming.pipeline import track_segments_stream
+
+    t0 = 1704067200
+    secs = [0, 120, 241, 300]          # 120 -> same segment, 121 -> new segment, 59 -> same
+    path = os.path.join(tmp_dir, "landing")
+    rows = [dict(icao24="h00001", time_position=t0 + s, last_contact=t0 + s) for s in secs]
+    rows.append(dict(icao24="h00002", time_position=t0 + 1000, last_contact=t0 + 1000))   # moves the watermark on
+    raw_df(spark, rows).write.parquet(path)
+    src = spark.readStream.schema(RAW_POSITIONS).parquet(path)
+    q = (track_segments_stream(stage(src), 120, "1 second").writeStream.format("memory").queryName("gap_out")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r["debut"], r["fin"], r["nb_positions"])
+                 for r in spark.table("gap_out").filter(F.col("icao24") == "h00001").collect())
+    base = datetime(2024, 1, 1)
+    assert got == [(base, base + timedelta(seconds=240), 2), (base + timedelta(seconds=241), base + timedelta(seconds=420), 2)]
