@@ -136,8 +136,12 @@ def _as_list(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+# per-write option (no session-wide setting): overwrite only the partitions present in the data
+DYNAMIC = ("partitionOverwriteMode", "dynamic")
+
+
 def write_clustered(df: DataFrame, path: str, partition_cols="date_utc", cluster_col: str = "vol_sk",
-                    mode: str = "overwrite", range_partitions: int | None = None) -> None:
+                    mode: str = "overwrite", range_partitions: int | None = None, dynamic: bool = False) -> None:
     """Partition by ``partition_cols``; every file sorted by (partition cols, cluster_col).
 
     By default the rows keep the partitioning they arrive with (no extra
@@ -149,8 +153,10 @@ def write_clustered(df: DataFrame, path: str, partition_cols="date_utc", cluster
     parts = _as_list(partition_cols)
     if range_partitions:
         df = df.repartitionByRange(range_partitions, *parts, cluster_col)
-    (df.sortWithinPartitions(*parts, cluster_col)
-       .write.mode(mode).partitionBy(*parts).parquet(path))
+    w = df.sortWithinPartitions(*parts, cluster_col).write.mode(mode)
+    if dynamic:
+        w = w.option(*DYNAMIC)
+    w.partitionBy(*parts).parquet(path)
 
 
 def in_partitions(table: DataFrame, keys: DataFrame, partition_cols) -> DataFrame:
@@ -191,12 +197,8 @@ def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partit
     merged = kept.unionByName(df)
     staged = os.path.join(staging_root or checkpoint_dir(spark), f"staged-{uuid.uuid4().hex}")
     write_clustered(merged, staged, parts, cluster_col or key, mode="overwrite")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").partitionBy(*parts).parquet(table_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (spark.read.schema(df.schema).parquet(staged).write.mode("overwrite")
+     .option(DYNAMIC[0], DYNAMIC[1]).partitionBy(*parts).parquet(table_path))
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, table_path: str, partition_cols,
@@ -205,12 +207,7 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table_path: str, part
     for each of them), leaving all other partitions untouched. ``df`` must not
     read ``table_path`` itself (use ``upsert`` for that)."""
     parts = _as_list(partition_cols)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_clustered(df, table_path, parts, cluster_col, mode="overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    write_clustered(df, table_path, parts, cluster_col, mode="overwrite", dynamic=True)
 
 
 def compact(spark: SparkSession, table_path: str, partition_cols, cluster_col: str, where=None,
@@ -231,13 +228,8 @@ def compact(spark: SparkSession, table_path: str, partition_cols, cluster_col: s
     staged = os.path.join(staging_root or checkpoint_dir(spark), f"compact-{uuid.uuid4().hex}")
     write_clustered(rows, staged, parts, cluster_col, mode="overwrite",
                     range_partitions=max(1, n_parts * files_per_partition))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        back = spark.read.schema(table.schema).parquet(staged)
-        back.write.mode("overwrite").partitionBy(*parts).parquet(table_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    back = spark.read.schema(table.schema).parquet(staged)
+    back.write.mode("overwrite").option(DYNAMIC[0], DYNAMIC[1]).partitionBy(*parts).parquet(table_path)
     return spark.read.parquet(staged).count()
 
 

@@ -30,7 +30,6 @@ def get_session(master: str | None = None, app: str = "aerosift", shuffle_partit
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
