@@ -6,6 +6,7 @@
     spark-submit -m aerosift.cli check  --root MARTS --on-failure raise
     spark-submit -m aerosift.cli serve  --root MARTS --as-of ... --out DIR
     spark-submit -m aerosift.cli compact --table RAW [--before 2024-01-02]
+    spark-submit -m aerosift.cli compact --table MARTS/fact --partitions date_utc,heure_journee --cluster vol_sk
 
 Paths are shared-storage folders; ``spark.checkpoint.dir`` must be set on a
 cluster (scratch data for staged writes goes there).
@@ -94,10 +95,11 @@ def cmd_serve(spark, a) -> dict:
 def cmd_compact(spark, a) -> dict:
     from pyspark.sql import functions as F
 
-    from .operators.sinks import EVENT_PARTITIONS, compact
+    from .operators.sinks import compact
 
-    where = F.col(EVENT_PARTITIONS[0]) < F.lit(a.before).cast("date") if a.before else None
-    return {"rows": compact(spark, a.table, EVENT_PARTITIONS, "id", where)}
+    parts = a.partitions.split(",")
+    where = F.col(parts[0]) < F.lit(a.before).cast("date") if a.before else None
+    return {"rows": compact(spark, a.table, parts, a.cluster, where)}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -126,8 +128,12 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--root", required=True)
     s.add_argument("--as-of", required=True)
     s.add_argument("--out", required=True)
-    k = sub.add_parser("compact", help="rewrite raw-table days before --before into few files")
+    k = sub.add_parser("compact", help="rewrite a table's partitions (days before --before) into few files")
     k.add_argument("--table", required=True)
+    k.add_argument("--partitions", default="event_date,event_hour",
+                   help="partition columns, first one a date (raw: event_date,event_hour; "
+                        "int: window_date,window_hour; fact: date_utc,heure_journee)")
+    k.add_argument("--cluster", default="id", help="sort key inside files (raw: id; int: icao24; fact: vol_sk)")
     k.add_argument("--before", default=None, help="YYYY-MM-DD; default: every partition")
     return p
 
