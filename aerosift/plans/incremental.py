@@ -89,6 +89,8 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
     p = paths(root)
     k = max(1, math.ceil(max_gap_s / window_s))
     touched = touched_windows(new_raw, window_s)
+    if touched.isEmpty():          # nothing new (or only flagged rows): the tables are already current
+        return {"recomputed_positions": 0}
     emit = _expand(touched, 0, k, window_s)
     context = _expand(touched, -k, k, window_s)
     slice_rows = affected_raw(raw, context, window_s)

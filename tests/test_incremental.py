@@ -105,3 +105,17 @@ def test_incremental_over_several_days(spark, tmp_path, step_days):
     for read in (read_int, read_dim, read_fact):
         a, b = read(spark, full), read(spark, inc)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, read.__name__
+
+
+def test_empty_slice_changes_nothing(spark, full, tmp_path):
+    from aerosift.plans.incremental import incremental_update
+    from aerosift.plans.tables import build_tables, read_dim, read_fact, read_int
+    from aerosift.sources.events_adapter import raw_positions
+
+    raw = raw_positions(spark, SF_SMALL)
+    root = str(tmp_path / "same")
+    build_tables(spark, raw, root, AS_OF)
+    assert incremental_update(spark, root, raw, raw.limit(0), AS_OF) == {"recomputed_positions": 0}
+    for read in (read_int, read_dim, read_fact):
+        a, b = read(spark, full), read(spark, root)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
