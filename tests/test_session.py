@@ -35,3 +35,11 @@ def test_configured_folder_is_used_and_local_falls_back():
     local = _FakeSession({"spark.master": "local[2]"})
     d = checkpoint_dir(local)
     assert d and local.conf.get("spark.checkpoint.dir") == d
+
+
+def test_public_api_resolves():
+    import aerosift
+
+    assert all(callable(getattr(aerosift, n)) for n in aerosift.__all__)
+    with pytest.raises(AttributeError):
+        aerosift.not_there  # noqa: B018
