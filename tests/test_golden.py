@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF, SF_MID, SF_SMALL
 
+SF_BIG = "/root/testdata/sf0.1"
+
 GOLDEN = {
     SF_SMALL: dict(raw=1000, raw_null_icao=6, stg=985, flags=(13, 15, 3), inter=875, rates=376, jumps=11,
                    dim=15, dim_positions=704, fact=875, live=15, anomalies=11, af=2, ezy=2,
@@ -18,10 +20,16 @@ GOLDEN = {
                               CROISIERE_HAUTE=2421, TRES_HAUTE_ALTITUDE=284),
                  phase=dict(SOL=63, DECOLLAGE=40, ATTERRISSAGE=50, MONTEE=403, DESCENTE=399, CROISIERE=2925,
                             TRANSITION=4847)),
+    SF_BIG: dict(raw=100000, raw_null_icao=508, stg=98507, flags=(1355, 1632, 321), inter=87413, rates=38994,
+                 jumps=1492, dim=1500, dim_positions=71531, fact=87413, live=1500, anomalies=1492, af=116, ezy=116,
+                 tranche=dict(SOL=741, BASSE_ALTITUDE=20701, TRANSITION=16922, CROISIERE_BASSE=23670,
+                              CROISIERE_HAUTE=22511, TRES_HAUTE_ALTITUDE=2868),
+                 phase=dict(SOL=741, DECOLLAGE=454, ATTERRISSAGE=563, MONTEE=4011, DESCENTE=4250, CROISIERE=27452,
+                            TRANSITION=49942)),
 }
 
 
-@pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MID, SF_BIG])
 def test_golden_counts(spark, sf):
     from aerosift.operators import serving
     from aerosift.plans.transform import build_marts
