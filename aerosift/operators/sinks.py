@@ -183,7 +183,7 @@ def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partit
     key's own timestamp), so only the touched partitions are rewritten: with
     (day, hour) partitions a 10-minute batch rewrites the hours it touches.
     """
-    from ..session import checkpoint_dir
+    from ..session import scratch_path
 
     parts = _as_list(partition_cols)
     try:
@@ -195,7 +195,7 @@ def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partit
         return
     kept = in_partitions(existing, df, parts).join(df.select(key), key, "left_anti")
     merged = kept.unionByName(df)
-    staged = os.path.join(staging_root or checkpoint_dir(spark), f"staged-{uuid.uuid4().hex}")
+    staged = scratch_path(spark, "staged")
     write_clustered(merged, staged, parts, cluster_col or key, mode="overwrite")
     (spark.read.schema(df.schema).parquet(staged).write.mode("overwrite")
      .option(DYNAMIC[0], DYNAMIC[1]).partitionBy(*parts).parquet(table_path))
@@ -217,7 +217,7 @@ def compact(spark: SparkSession, table_path: str, partition_cols, cluster_col: s
     range-clustered on ``cluster_col``. Frequent small appends (one per landed
     batch) leave many small files; compaction keeps scans cheap. Content is
     unchanged; returns the number of rows rewritten."""
-    from ..session import checkpoint_dir
+    from ..session import scratch_path
 
     parts = _as_list(partition_cols)
     table = spark.read.parquet(table_path)
@@ -225,7 +225,7 @@ def compact(spark: SparkSession, table_path: str, partition_cols, cluster_col: s
     n_parts = rows.select(*parts).distinct().count()
     if n_parts == 0:
         return 0
-    staged = os.path.join(staging_root or checkpoint_dir(spark), f"compact-{uuid.uuid4().hex}")
+    staged = scratch_path(spark, "compact")
     write_clustered(rows, staged, parts, cluster_col, mode="overwrite",
                     range_partitions=max(1, n_parts * files_per_partition))
     back = spark.read.schema(table.schema).parquet(staged)
@@ -238,13 +238,13 @@ def replace_keys(spark: SparkSession, df: DataFrame, table_path: str, key: str,
     """Upsert ``df`` by ``key`` into a small unpartitioned table (one row per key,
     e.g. the latest position per flight): stored rows of other keys plus ``df``,
     staged and swapped in (never overwrite a path being read)."""
-    from ..session import checkpoint_dir
+    from ..session import scratch_path
 
     try:
         existing = spark.read.schema(df.schema).parquet(table_path)
         merged = existing.join(df.select(key), key, "left_anti").unionByName(df)
     except AnalysisException:  # first write
         merged = df
-    staged = os.path.join(staging_root or checkpoint_dir(spark), f"staged-{uuid.uuid4().hex}")
+    staged = scratch_path(spark, "staged")
     merged.write.mode("overwrite").parquet(staged)
     spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(table_path)

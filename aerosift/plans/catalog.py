@@ -250,12 +250,12 @@ def _incremental_root(spark, sf_dir) -> str:
     import uuid
 
     from ..functions.timecols import ntz_literal
-    from ..session import checkpoint_dir
+    from ..session import scratch_path
     from .incremental import incremental_update
     from .tables import build_tables
 
     raw = raw_positions(spark, sf_dir)
-    root = os.path.join(checkpoint_dir(spark), f"marts-{uuid.uuid4().hex}")
+    root = scratch_path(spark, "marts")
     early = F.col("ingested_at") < ntz_literal(INCREMENTAL_CUT)
     build_tables(spark, raw.filter(early), root, AS_OF)
     incremental_update(spark, root, raw, raw.filter(~early), AS_OF)
@@ -295,10 +295,10 @@ def q_stream_winners(spark, sf_dir):
 
     from ..operators.staging import stage
     from ..schemas import RAW_POSITIONS
-    from ..session import checkpoint_dir
+    from ..session import scratch_path
     from ..streaming.pipeline import window_winners_stream
 
-    base = os.path.join(checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    base = scratch_path(spark, "stream")
     raw_positions(spark, sf_dir).write.parquet(os.path.join(base, "landing"))
     src = spark.readStream.schema(RAW_POSITIONS).parquet(os.path.join(base, "landing"))
     q = (window_winners_stream(stage(src), STREAM_WATERMARK).writeStream.format("parquet")
@@ -324,10 +324,10 @@ def q_stream_latest(spark, sf_dir):
     import uuid
 
     from ..operators.sinks import replace_keys
-    from ..session import checkpoint_dir
+    from ..session import scratch_path
     from ..streaming.pipeline import latest_positions_stream
 
-    base = os.path.join(checkpoint_dir(spark), f"latest-{uuid.uuid4().hex}")
+    base = scratch_path(spark, "latest")
     fact = marts(spark, sf_dir).fact
     fact.repartition(4, "date_utc", "heure_journee").write.parquet(os.path.join(base, "landing"))
     src = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", "1").parquet(os.path.join(base, "landing"))
@@ -348,10 +348,10 @@ def q_stream_segments(spark, sf_dir):
 
     from ..operators.staging import stage
     from ..schemas import RAW_POSITIONS
-    from ..session import checkpoint_dir
+    from ..session import scratch_path
     from ..streaming.pipeline import track_segments_stream
 
-    base = os.path.join(checkpoint_dir(spark), f"segments-{uuid.uuid4().hex}")
+    base = scratch_path(spark, "segments")
     raw_positions(spark, sf_dir).write.parquet(os.path.join(base, "landing"))
     src = spark.readStream.schema(RAW_POSITIONS).parquet(os.path.join(base, "landing"))
     q = (track_segments_stream(stage(src), 120, STREAM_WATERMARK).writeStream.format("parquet")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -49,25 +47,31 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """Shared folder for lineage cuts: ``spark.checkpoint.dir`` of the session.
 
-    Read ``spark.checkpoint.dir`` from the session. Only a local-mode
-    session (tests, laptops) may fall back to a fresh temporary folder; a
-    cluster session without the setting is a configuration error, because a
-    machine-local folder does not survive the loss of that executor.
+    Where it is unset (tests, laptops) the folder ``_scratch`` inside the SQL
+    warehouse is used, which is as shared as the session's own tables. The
+    session's settings are not changed.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared (distributed) folder")
-        d = tempfile.mkdtemp(prefix="aerosift-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)   # for DataFrame.checkpoint(); not needed by materialize()
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext view (Spark Connect)
-        pass
-    return d
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return d.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder. It is registered for deletion when
+    the driver's JVM ends, because lazy frames may read it until then."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(jpath)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(jpath, True)
 
 
 def materialize(df, name: str):
@@ -75,6 +79,6 @@ def materialize(df, name: str):
     and return the re-read table (column pruning, statistics, and it survives
     the loss of any executor, unlike a cache or a local checkpoint)."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Checkpoint-folder policy: shared folder from the session; a temp folder only in local mode."""
+"""Checkpoint-folder policy: the shared folder named by the session, else one inside the warehouse."""
 
 import pytest
 
@@ -20,21 +20,15 @@ class _FakeSession:
         raise RuntimeError("no SparkContext view")
 
 
-def test_cluster_without_checkpoint_dir_raises():
+@pytest.mark.parametrize("master", ["yarn", "local[2]", "local-cluster[1,1,1024]"])
+def test_checkpoint_folder_does_not_depend_on_the_master(master):
     from aerosift.session import checkpoint_dir
 
-    with pytest.raises(RuntimeError):
-        checkpoint_dir(_FakeSession({"spark.master": "yarn"}))
-
-
-def test_configured_folder_is_used_and_local_falls_back():
-    from aerosift.session import checkpoint_dir
-
-    assert checkpoint_dir(_FakeSession({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/ckpt"})) \
-        == "hdfs://x/ckpt"
-    local = _FakeSession({"spark.master": "local[2]"})
-    d = checkpoint_dir(local)
-    assert d and local.conf.get("spark.checkpoint.dir") == d
+    conf = {"spark.master": master, "spark.sql.warehouse.dir": "hdfs://x/wh"}
+    session = _FakeSession(conf)
+    assert checkpoint_dir(session) == "hdfs://x/wh/_scratch"
+    assert "spark.checkpoint.dir" not in session.conf          # the caller's settings stay as they are
+    assert checkpoint_dir(_FakeSession({**conf, "spark.checkpoint.dir": "hdfs://x/ckpt/"})) == "hdfs://x/ckpt"
 
 
 def test_public_api_resolves():
