@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, packing, pii, quality, topk
+from . import bpe, exact_dedup, line_dedup, near_dedup, packing, pii, ppm, quality, suffix_dedup, topk
 from .common import table, workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,17 @@ def register(name: str):
     return deco
 
 
+@register("op1_suffix_dedup")
+def op1(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op2_ppm")
+def op2(spark, sf_dir):
+    return ppm.ppm_scores(table(spark, sf_dir, "documents"))
+
+
 @register("op3_packing")
 def op3(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -43,6 +54,11 @@ def op4(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@register("op5_near_dedup")
+def op5(spark, sf_dir):
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 @register("op6_bpe")
 def op6(spark, sf_dir):
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
