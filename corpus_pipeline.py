@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerosift.llm import exact_dedup, packing, pii, quality
+from aerosift.llm import exact_dedup, near_dedup, packing, pii, quality
 from aerosift.llm.common import table, workers_import
 from aerosift.session import materialize
 
@@ -35,6 +35,12 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _keep(docs, exact_dedup.exact_dedup(docs).where("kept"))
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the smallest id stays."""
+    workers_import(spark)
+    return _keep(docs, near_dedup.near_dedup(docs).where("kept"))
+
+
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes its kind in brackets; ``n_chars`` follows the text."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -49,6 +55,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality", quality_stage),
     ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
     ("pii", pii_stage),
     ("packing", packing_stage),
 ]
