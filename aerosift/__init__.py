@@ -22,7 +22,7 @@ _API = {
     "map_points": "operators.serving", "active_anomalies": "operators.serving",
     "anomaly_table": "operators.serving", "airlines": "operators.serving", "filter_airline": "operators.serving",
     "run_suite": "operators.quality", "enforce": "operators.quality", "altitude_coherence": "operators.quality",
-    "merge_raw": "operators.sinks", "upsert": "operators.sinks", "compact": "operators.sinks",
+    "merge_raw": "operators.sinks", "upsert": "operators.sinks", "merge_rows": "operators.sinks",
     "build_tables": "plans.tables", "incremental_update": "plans.incremental",
     "run_ingest_stream": "streaming.pipeline",
 }

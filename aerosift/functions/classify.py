@@ -33,7 +33,8 @@ TOP_BAND = "TRES_HAUTE_ALTITUDE"
 GROUND = "SOL"
 BAND_VALUES = ["SOL", "BASSE_ALTITUDE", "TRANSITION", "CROISIERE_BASSE", "CROISIERE_HAUTE", "TRES_HAUTE_ALTITUDE"]
 
-# Flight phase thresholds: feet 1500 / 10000 / 25000, climb rate +-2 m/s.
+# Flight phases: altitude limits in feet, and the climb rate in m/s beyond which a flight climbs or sinks.
+PHASE_LOW_FT, PHASE_MID_FT, PHASE_CRUISE_FT, PHASE_RATE = 1500, 10000, 25000, 2
 PHASE_VALUES = ["SOL", "DECOLLAGE", "MONTEE", "CROISIERE", "DESCENTE", "ATTERRISSAGE", "TRANSITION"]
 PHASE_COLORS = {
     "CROISIERE": "#1a73e8",
@@ -78,11 +79,11 @@ def flight_phase(au_sol, alt_ft, rate) -> Column:
     ft, r = _c(alt_ft), _c(rate)
     return (
         F.when(_c(au_sol) == F.lit(True), F.lit("SOL"))
-        .when((ft < 1500) & (r > 2), F.lit("DECOLLAGE"))
-        .when((ft < 1500) & (r < -2), F.lit("ATTERRISSAGE"))
-        .when((ft < 10000) & (r > 2), F.lit("MONTEE"))
-        .when((ft < 10000) & (r < -2), F.lit("DESCENTE"))
-        .when((ft >= 25000) & (F.abs(F.coalesce(r, F.lit(0.0))) <= 2), F.lit("CROISIERE"))
+        .when((ft < PHASE_LOW_FT) & (r > PHASE_RATE), F.lit("DECOLLAGE"))
+        .when((ft < PHASE_LOW_FT) & (r < -PHASE_RATE), F.lit("ATTERRISSAGE"))
+        .when((ft < PHASE_MID_FT) & (r > PHASE_RATE), F.lit("MONTEE"))
+        .when((ft < PHASE_MID_FT) & (r < -PHASE_RATE), F.lit("DESCENTE"))
+        .when((ft >= PHASE_CRUISE_FT) & (F.abs(F.coalesce(r, F.lit(0.0))) <= PHASE_RATE), F.lit("CROISIERE"))
         .otherwise(F.lit("TRANSITION"))
     )
 

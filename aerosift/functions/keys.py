@@ -16,6 +16,7 @@ KEY_SEPARATOR = "|"
 POSITION_ID_SEPARATOR = "_"
 PY_NONE = "None"
 BATCH_CLOCK_FORMAT = "%Y%m%d_%H%M%S"
+BATCH_CLOCK_PATTERN = "yyyyMMdd_HHmmss"     # the same for date_format
 
 
 def _c(col) -> Column:

@@ -1,60 +1,50 @@
-"""Previous row of the same key within a time reach -- LAG without a per-key sort.
+"""Previous row of the same key within a time reach, with the key's history cut into chunks.
 
 A LAG over ``PARTITION BY aircraft ORDER BY ts`` puts an aircraft's whole
-history into one task; with one aircraft holding a large share of the rows
-that task never finishes. All the consumers of the previous row only use it
-when it is at most ``max_gap_s`` old (else the rate is NULL / the flag is
-FALSE). With at most one row per (key, bucket), the previous row that
-matters lies in one of the ``ceil(max_gap_s / bucket_s)`` preceding buckets,
-so it is found with one aggregation keyed by (key, bucket):
-
-* every row is emitted for its own bucket (carrying itself) and offers
-  itself to the next k buckets (k + 1 rows out per row in),
-* a per-(key, bucket) ``max_by`` keeps the latest offer next to the row
-  (partial aggregation before the shuffle).
-
-The (key, bucket) hash partitioning spreads a hot key over all tasks, and
-the input is read once. When the attached row is further than ``max_gap_s`` away it
-is still the true predecessor (the latest earlier bucket), so callers get
-the same Δt a LAG would give whenever Δt <= max_gap_s.
+history into one task. Every consumer here uses the previous row only when it
+is at most ``max_gap_s`` old, so the history can be cut into chunks of
+``CHUNK_BUCKETS`` time buckets: rows of the last buckets within reach of a chunk's
+end are copied into the next chunk (about 3 % more rows), one shuffle deals the
+rows by (key, chunk), a real ``lag`` runs inside each chunk, and the copies are
+dropped. The longest sort is one key's rows of one chunk.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import shift_seconds
+from ..functions.timecols import ntz_to_epoch
+
+CHUNK_BUCKETS = 120     # of 30 s: one hour
+
+
+def with_chunks(df: DataFrame, bucket: str, bucket_s: int, max_gap_s: int) -> DataFrame:
+    """Add ``_chunk`` and ``_copy``; rows within reach of their chunk's end come twice.
+
+    Rows without a bucket share the NULL chunk and are never copied."""
+    k = max(1, math.ceil(max_gap_s / bucket_s))
+    number = F.floor(ntz_to_epoch(bucket) / bucket_s).cast("long")
+    chunk = F.floor(number / CHUNK_BUCKETS).cast("long")
+    late = number % CHUNK_BUCKETS >= CHUNK_BUCKETS - k
+    both = F.when(late, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.select("*", F.explode(both).alias("_next")).withColumns(
+        {"_chunk": chunk + F.col("_next"), "_copy": F.col("_next") == 1}).drop("_next")
+
+
+def previous_in_chunk(df: DataFrame, key: str, bucket: str, ts: str, cols: list[str], prefix: str) -> DataFrame:
+    """``lag`` of ``ts`` and ``cols`` inside (key, chunk); the copies go."""
+    w = Window.partitionBy(key, "_chunk").orderBy(bucket)
+    return df.withColumns({prefix + c: F.lag(c).over(w) for c in [ts, *cols]}).where("NOT _copy").drop("_chunk", "_copy")
 
 
 def attach_previous(df: DataFrame, key: str, bucket: str, ts: str, cols: list[str],
                     bucket_s: int = 30, max_gap_s: int = 120, prefix: str = "prev_") -> DataFrame:
-    """Add ``prefix+ts`` and ``prefix+c`` for c in cols (NULL when no row within reach).
+    """Add ``prefix+ts`` and ``prefix+c`` for c in cols: the true predecessor whenever it is within ``max_gap_s``.
 
-    Precondition: at most one row per (key, bucket) -- true for the 30 s
-    dedup output and for the position fact. One pass: every row is emitted
-    for its own bucket (carrying itself) and as an offer to the next k
-    buckets; one ``groupBy(key, bucket)`` keeps the row and its latest offer.
-    """
-    k = max(1, math.ceil(max_gap_s / bucket_s))
-    steps = F.when(F.col(bucket).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(k)))
-    own = F.col("_step") == 0
-    ex = df.select(*df.columns, F.explode(steps).alias("_step")).select(
-        F.col(key),
-        F.when(own, F.col(bucket)).otherwise(shift_seconds(bucket, F.col("_step") * bucket_s)).alias(bucket),
-        F.when(own, F.struct(*[F.col(c) for c in df.columns if c not in (key, bucket)])).alias("_self"),
-        F.when(own, F.lit(0)).alias("_self_o"),
-        F.when(~own, F.struct(F.col(ts).alias("t"), *[F.col(c).alias(c) for c in cols])).alias("_p"),
-        F.when(~own, F.col(ts)).alias("_p_o"),
-    )
-    g = ex.groupBy(key, bucket).agg(
-        F.min_by("_self", "_self_o").alias("_self"), F.max_by("_p", "_p_o").alias("_p"),
-        F.count("_self_o").alias("_n"),
-    ).filter(F.col("_n") > 0)
-    return g.select(
-        key, bucket, "_self.*",
-        F.col("_p.t").alias(prefix + ts),
-        *[F.col("_p." + c).alias(prefix + c) for c in cols],
-    ).select(*df.columns, prefix + ts, *[prefix + c for c in cols])
+    Precondition: at most one row per (key, bucket), as after the 30 s dedup."""
+    dealt = with_chunks(df, bucket, bucket_s, max_gap_s).repartition(key, "_chunk")
+    return previous_in_chunk(dealt, key, bucket, ts, cols, prefix).select(
+        *df.columns, prefix + ts, *[prefix + c for c in cols])

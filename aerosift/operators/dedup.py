@@ -1,33 +1,23 @@
 """30-second dedup per aircraft, computed climb rate and altitude-jump flag.
 
-One aggregation does both the dedup and the previous-position lookup.
-Each clean staged row is emitted once for its own (icao24, window) -- as a
-candidate winner -- and once for each of the next k = ceil(120 / 30)
-windows -- as an offer of "previous position". Grouped by (icao24, window):
-
-* ``min_by(row, dedup order)`` over the own-window rows is the window's
-  winner (sensor quality, highest altitude, earliest ingest, raw id);
-* ``min_by(offer, (source window DESC, dedup order))`` over the offers is
-  the winner of the latest earlier window within reach -- exactly the
-  row a ``LAG`` over the deduplicated rows returns whenever it is at most
-  120 s old (older predecessors give a NULL rate / FALSE flag anyway).
-
-So raw is read once and shuffled once, the aggregation is partial
-(map-side) before the shuffle, and the key (aircraft, 30 s window) spreads a
-hot aircraft over all tasks; no per-aircraft sort of the whole history.
+Clean rows are dealt once by (aircraft, hour chunk), see ``continuity``: inside a
+chunk ``row_number`` picks the winner of each 30 s window (sensor quality, highest
+altitude, earliest ingest, raw id), and ``lag`` over the winners gives the
+previous position. Both windows are satisfied by the one exchange, and the
+second by the first one's sort. Rows of the last 120 s of a chunk are also in the
+next chunk, so the lag is right across its start; these copies are dropped last.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..functions.kinematics import altitude_jump, climb_rate
-from ..functions.timecols import bucket_start, ntz_to_epoch, shift_seconds
+from ..functions.timecols import bucket_start, ntz_to_epoch
 from ..schemas import INT_COLUMNS
+from .continuity import previous_in_chunk, with_chunks
 
 NO_SOURCE_SCORE = 99  # fixed value: quality score when the sensor source is unknown
 
@@ -67,38 +57,13 @@ def window_winners(stg: DataFrame, window_s: int = 30) -> DataFrame:
 
 
 def winners_with_previous(stg: DataFrame, window_s: int = 30, max_gap_s: int = 120) -> DataFrame:
-    """Window winners plus ``prev_timestamp`` / ``prev_altitude_m`` in one aggregation."""
-    k = max(1, math.ceil(max_gap_s / window_s))
-    w = windowed(stg, window_s)
-    src_epoch = ntz_to_epoch("window_30s")
-    steps = F.when(F.col("window_30s").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(k)))
-    ex = w.select(
-        "icao24", "window_30s", "quality_score", *[c for c in STG_PAYLOAD if c != "icao24"],
-        src_epoch.alias("_src"), F.explode(steps).alias("_step"),
-    )
-    own = F.col("_step") == 0
-    order = F.struct(*dedup_order())
-    offer_order = F.struct(-F.col("_src"), *dedup_order())
-    ex = ex.select(
-        "icao24",
-        F.when(own, F.col("window_30s")).otherwise(shift_seconds("window_30s", F.col("_step") * window_s))
-        .alias("window_30s"),
-        F.when(own, F.struct(*[F.col(c) for c in STG_PAYLOAD if c != "icao24"], F.col("quality_score")))
-        .alias("_self"),
-        F.when(own, order).alias("_self_o"),
-        F.when(~own, F.struct(F.col("timestamp_position_utc").alias("t"), F.col("altitude_baro_m").alias("alt")))
-        .alias("_offer"),
-        F.when(~own, offer_order).alias("_offer_o"),
-    )
-    g = ex.groupBy("icao24", "window_30s").agg(
-        F.min_by("_self", "_self_o").alias("_w"),
-        F.min_by("_offer", "_offer_o").alias("_p"),
-        F.count("_self_o").alias("_n_self"),
-    ).filter(F.col("_n_self") > 0)
-    return g.select(
-        "icao24", "window_30s", "_w.*",
-        F.col("_p.t").alias("prev_timestamp"), F.col("_p.alt").alias("prev_altitude_m"),
-    )
+    """Window winners plus ``prev_timestamp`` / ``prev_altitude_m``, with one shuffle."""
+    rows = windowed(stg, window_s).select("icao24", "window_30s", "quality_score", *[c for c in STG_PAYLOAD if c != "icao24"])
+    dealt = with_chunks(rows, "window_30s", window_s, max_gap_s).repartition("icao24", "_chunk")
+    best = Window.partitionBy("icao24", "_chunk", "window_30s").orderBy(*dedup_order())
+    winners = dealt.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").drop("_rn")
+    return previous_in_chunk(winners, "icao24", "window_30s", "timestamp_position_utc", ["altitude_baro_m"], "_prev_").withColumnsRenamed(
+        {"_prev_timestamp_position_utc": "prev_timestamp", "_prev_altitude_baro_m": "prev_altitude_m"})
 
 
 def dedup(stg: DataFrame, window_s: int = 30, max_gap_s: int = 120, max_rate: int = 100) -> DataFrame:

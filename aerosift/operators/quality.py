@@ -111,15 +111,9 @@ def _row(suite, i, chk, observed, total, unexpected, success):
 
 
 def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
-              refs: dict[str, DataFrame] | None = None, sample: int | None = None) -> DataFrame:
-    """Evaluate every check of ``suite`` on ``df`` (optionally per ``by`` group).
-
-    ``sample`` keeps the first ``n`` rows (upstream's optional head/limit);
-    the default is the whole table, which one aggregation pass makes cheap.
-    """
+              refs: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Evaluate every check of ``suite`` on the whole of ``df`` (optionally per ``by`` group)."""
     by = list(by or [])
-    if sample is not None:
-        df = df.limit(sample)
     cols = set(df.columns)
     parts: list[DataFrame] = []
 
@@ -197,10 +191,11 @@ def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
         child = df.groupBy(*by, chk.column).agg(F.count(F.lit(1)).alias("_rows"))
         flagged = child.join(parent, child[chk.column] == parent["_k"], "left")
         orphan = F.col(chk.column).isNotNull() & F.col("_found").isNull()
-        total = F.coalesce(F.sum(F.when(orphan, F.col("_rows"))), F.lit(0)).alias("_u")
-        cnt = flagged.groupBy(*by).agg(total) if by else flagged.agg(total)
-        u = F.col("_u")
-        parts.append(cnt.select(*by, _row(suite.name, i, chk, u, u, u, u == 0).alias("r")).select(*by, "r.*"))
+        counts = [F.coalesce(F.sum(F.when(cond, F.col("_rows"))), F.lit(0)).alias(name)
+                  for name, cond in (("_u", orphan), ("_t", F.col(chk.column).isNotNull()))]
+        cnt = flagged.groupBy(*by).agg(*counts) if by else flagged.agg(*counts)
+        u, t = F.col("_u"), F.col("_t")
+        parts.append(cnt.select(*by, _row(suite.name, i, chk, u, t, u, u == 0).alias("r")).select(*by, "r.*"))
 
     out = parts[0]
     for p in parts[1:]:
@@ -308,9 +303,9 @@ def altitude_coherence(fact: DataFrame, max_gap_s: int = 120, max_rate: float =
     since the previous airborne position of the same flight, 1..max_gap_s
     seconds earlier (warn-level singular test: rows returned = failures).
 
-    The previous airborne position is found by the bounded equi-join of
-    ``continuity.attach_previous`` (the fact holds one row per flight and
-    30 s bucket), not by a per-flight sort.
+    The previous airborne position comes from ``continuity.attach_previous``
+    (the fact holds one row per flight and 30 s bucket): a lag inside hour
+    chunks, not a sort of a flight's whole history.
     """
     from ..functions.timecols import bucket_start, ntz_to_epoch
     from .continuity import attach_previous

@@ -131,7 +131,8 @@ def _int0(col: str):
 
 def map_points(live: DataFrame) -> DataFrame:
     """Marker attributes per live aircraft (SRV6): colour by phase, rotation,
-    whole feet / km/h (NULL -> 0), label callsign -> icao24 -> '?', tooltip."""
+    whole feet / km/h (NULL -> 0), label callsign -> icao24 -> '?', tooltip, and the
+    popup's airline, country, phase and climb rates. The tooltip's wording is a fixed value."""
     p = live.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     anom = F.coalesce(F.col("flag_changement_altitude_suspect"), F.lit(False))
     alt, spd = _int0("altitude_baro_ft"), _int0("vitesse_kmh")
@@ -146,6 +147,9 @@ def map_points(live: DataFrame) -> DataFrame:
         F.concat(F.when(anom, F.lit("⚠️ ")).otherwise(F.lit("")), _label(), F.lit(" — "),
                  F.format_number(alt, 0), F.lit(" ft — "), F.format_number(spd, 0), F.lit(" km/h"))
         .alias("infobulle"),
+        # the popup's further attributes
+        *[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in ("compagnie_nom", "origine_pays", "phase_vol")],
+        "taux_montee_calcule_ms", "taux_montee_declare_ms",
     )
 
 

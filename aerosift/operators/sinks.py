@@ -2,28 +2,29 @@
 
 Parquet has no MERGE; each operation is a set-based plan:
 
-* insert-only merge (SNK1): one row per id inside the batch (fixed order),
-  anti-join against the stored ids of the touched event dates only
-  (partition pruning), append.
+* insert-only merge (SNK1): one row per id inside the batch (a total order),
+  anti-join against the stored ids of the touched event hours and of the
+  untimed partition (partition pruning), append.
 * keyed upsert (SNK2): rows of the touched partitions minus the replaced
   keys, plus the new rows, written to a staged folder first and then swapped
   in with a dynamic partition overwrite (never overwrite a path being read).
-* clustered write (SNK3): range-partitioned on (partition column, cluster
-  column) so each file covers a narrow key range (row-group min/max skipping)
-  without funnelling a whole day into one task.
+* clustered write (SNK3): range-partitioned on (partition columns, cluster
+  column) and sorted, so a table has about as many files as its size asks for
+  and each file covers a narrow key range.
+* versioned tables (one row per key, e.g. the dimension): each write is a new
+  folder; readers take the newest complete one, so a crash loses nothing.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
 from pyspark.sql.observation import Observation
 
 from ..functions.timecols import epoch_to_ntz
+from ..schemas import RAW_COLUMNS, RAW_POSITIONS
+from ..session import delete_path, scratch_path
 
 EVENT_DATE = "event_date"
 EVENT_HOUR = "event_hour"
@@ -38,48 +39,63 @@ def with_event_date(raw: DataFrame) -> DataFrame:
     return raw.withColumn(EVENT_DATE, F.to_date(t)).withColumn(EVENT_HOUR, F.hour(t))
 
 
+RAW_TABLE = T.StructType([*RAW_POSITIONS.fields, T.StructField(EVENT_DATE, T.DateType()),
+                          T.StructField(EVENT_HOUR, T.IntegerType())])
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder, for its own scheme."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
+
+
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None if there is no such path. Errors of an existing one are raised."""
+    fs, folder = _folder(spark, path)
+    return spark.read.schema(schema).format(fmt).load(path) if fs.exists(folder) else None
+
+
 def one_per_id(batch: DataFrame) -> DataFrame:
-    """First row per id in a fixed order (earliest ingest, then batch id)."""
-    w = Window.partitionBy("id").orderBy(F.col("ingested_at").asc_nulls_last(), F.col("batch_id").asc_nulls_last())
+    """First row per id in a total order: earliest ingest, batch id, then every other raw column."""
+    order = ["ingested_at", "batch_id", *[c for c in RAW_COLUMNS if c not in ("id", "ingested_at", "batch_id")]]
+    w = Window.partitionBy("id").orderBy(*[F.col(c).asc_nulls_last() for c in order if c in batch.columns])
     return batch.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def new_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """Rows of ``batch`` whose id is not stored yet (one per id)."""
-    b = one_per_id(batch.drop(*EVENT_PARTITIONS))
-    b = with_event_date(b)
+    b = with_event_date(one_per_id(batch.drop(*EVENT_PARTITIONS)))
     if existing is None:
         return b
-    touched = b.select(*EVENT_PARTITIONS).distinct()
-    # semi-join on the partition columns: dynamic partition pruning reads only touched hours
-    stored = existing.join(touched, EVENT_PARTITIONS, "left_semi").select("id", *EVENT_PARTITIONS)
-    return b.join(stored, ["id", *EVENT_PARTITIONS], "left_anti")
+    # equal ids share their partition, so only the batch's partitions (the untimed one too) are read
+    stored = in_partitions(existing, b, EVENT_PARTITIONS).select("id")
+    return b.join(stored, "id", "left_anti")
 
 
-def merge_raw(spark: SparkSession, batch: DataFrame, table_path: str) -> dict:
-    """Insert-only merge of one landed batch into the raw Parquet table.
-
-    Returns ``{"inserted", "skipped", "total"}``; the counts come from
-    observations on the same job that writes (no extra pass).
-    """
-    from ..schemas import RAW_POSITIONS
+def merge_rows(spark: SparkSession, batch: DataFrame, table_path: str) -> tuple[dict, DataFrame | None]:
+    """Insert-only merge of a landed batch into the raw Parquet table.
 
-    # the stored schema is fixed: project (and type) every batch to the 18 raw columns
+    Returns ``{"inserted", "skipped", "total"}`` and the inserted rows, stored
+    beside the table: a later incremental update reads them instead of scanning raw."""
+    # the stored schema is fixed: project (and type) every batch to the raw columns
     batch = batch.select(*[F.col(f.name).cast(f.dataType) if f.name in batch.columns
                            else F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_POSITIONS.fields])
     if batch.isEmpty():
-        return {"inserted": 0, "skipped": 0, "total": 0}
-    try:
-        existing = spark.read.parquet(table_path)
-    except Exception:  # noqa: BLE001 - first load: no table yet
-        existing = None
-    total_obs, ins_obs = Observation("batch_total"), Observation("batch_inserted")
-    b = batch.observe(total_obs, F.count(F.lit(1)).alias("n"))
-    fresh = new_rows(b, existing).observe(ins_obs, F.count(F.lit(1)).alias("n"))
-    fresh.write.mode("append").partitionBy(*EVENT_PARTITIONS).parquet(table_path)
-    total = total_obs.get["n"]
-    inserted = ins_obs.get["n"]
-    return {"inserted": inserted, "skipped": total - inserted, "total": total}
+        return {"inserted": 0, "skipped": 0, "total": 0}, None
+    existing = read_if_exists(spark, table_path, RAW_TABLE)
+    total, inserted = Observation("batch_total"), Observation("batch_inserted")
+    fresh = new_rows(batch.observe(total, F.count(F.lit(1)).alias("n")), existing)
+    staged = scratch_path(spark, "inserted")
+    fresh.observe(inserted, F.count(F.lit(1)).alias("n")).write.parquet(staged)
+    rows = spark.read.schema(RAW_TABLE).parquet(staged)
+    write_clustered(rows, table_path, EVENT_PARTITIONS, "icao24", mode="append")
+    n, m = total.get["n"], inserted.get["n"]
+    return {"inserted": m, "skipped": n - m, "total": n}, rows
+
+
+def merge_raw(spark: SparkSession, batch: DataFrame, table_path: str) -> dict:
+    """``merge_rows`` for callers that only want the counts."""
+    return merge_rows(spark, batch, table_path)[0]
 
 
 def dedup_rate(stats: dict) -> float:
@@ -108,30 +124,22 @@ def merge_stats(batches: DataFrame, batch_key: str = "ingested_at") -> DataFrame
     )
 
 
-def ingestion_stats(raw: DataFrame, as_of, hours: float = 1, approx: bool = False) -> DataFrame:
+def ingestion_stats(raw: DataFrame, as_of, hours: float = 1) -> DataFrame:
     """Rows, distinct aircraft, distinct batches and newest ingest of the last hour (ING12)."""
     from datetime import timedelta
 
     from ..functions.timecols import ntz_literal
 
     since = as_of - timedelta(hours=hours)
-    cd = F.approx_count_distinct if approx else F.countDistinct
     r = raw.filter(F.col("ingested_at") >= ntz_literal(since))
     return r.agg(
         F.count(F.lit(1)).alias("total_positions"),
-        cd("icao24").alias("avions_uniques"),
-        cd("batch_id").alias("nombre_batches"),
+        F.countDistinct("icao24").alias("avions_uniques"),
+        F.countDistinct("batch_id").alias("nombre_batches"),
         F.max("ingested_at").alias("dernier_batch"),
     )
 
 
-def sync_schema(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``sync_all_columns``: keep exactly the new schema's columns, adding
-    missing ones as NULL (SNK8)."""
-    present = set(df.columns)
-    return df.select(*[F.col(c) if c in present else F.lit(None).alias(c) for c in columns])
-
-
 def _as_list(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
@@ -141,19 +149,13 @@ DYNAMIC = ("partitionOverwriteMode", "dynamic")
 
 
 def write_clustered(df: DataFrame, path: str, partition_cols="date_utc", cluster_col: str = "vol_sk",
-                    mode: str = "overwrite", range_partitions: int | None = None, dynamic: bool = False) -> None:
-    """Partition by ``partition_cols``; every file sorted by (partition cols, cluster_col).
-
-    By default the rows keep the partitioning they arrive with (no extra
-    shuffle) and each task sorts its rows, so each file is clustered on the
-    key and Parquet row-group min/max statistics skip most of it for a key
-    filter. ``range_partitions`` adds a range shuffle (one sampling pass +
-    shuffle) for a compaction run that wants fewer, disjoint files.
-    """
+                    mode: str = "overwrite", dynamic: bool = False) -> None:
+    """Partition by ``partition_cols``; every file sorted by, and a narrow range of, (partition cols, cluster_col).
+
+    The range shuffle deals whole key ranges to tasks (adaptive execution merges small ones), so the
+    number of files follows the data's size and the number of partitions, not their product with the tasks."""
     parts = _as_list(partition_cols)
-    if range_partitions:
-        df = df.repartitionByRange(range_partitions, *parts, cluster_col)
-    w = df.sortWithinPartitions(*parts, cluster_col).write.mode(mode)
+    w = df.repartitionByRange(*parts, cluster_col).sortWithinPartitions(*parts, cluster_col).write.mode(mode)
     if dynamic:
         w = w.option(*DYNAMIC)
     w.partitionBy(*parts).parquet(path)
@@ -162,43 +164,33 @@ def write_clustered(df: DataFrame, path: str, partition_cols="date_utc", cluster
 def in_partitions(table: DataFrame, keys: DataFrame, partition_cols) -> DataFrame:
     """Rows of ``table`` that lie in the partitions listed in ``keys``.
 
-    Timed partitions: equality semi-join, so dynamic partition pruning reads
-    only those partitions. The NULL partition (rows without a time; the first
-    partition column is NULL) is matched separately -- equality never matches NULL.
-    """
+    Timed partitions: equality semi-join, so dynamic partition pruning reads only
+    those. The partition without a time (NULL) is read only if ``keys`` has one."""
     parts = _as_list(partition_cols)
     keys = keys.select(*parts).distinct()
-    timed = table.join(keys.dropna(), parts, "left_semi")
-    null_p = F.col(parts[0]).isNull()
-    null_key = keys.filter(null_p).select(F.lit(1).alias("_one")).distinct()
-    untimed = table.filter(null_p).withColumn("_one", F.lit(1)).join(null_key, "_one", "left_semi").drop("_one")
-    return timed.unionByName(untimed)
+    found = table.join(keys.dropna(subset=parts[:1]), parts, "left_semi")
+    null_part = F.col(parts[0]).isNull()
+    return found if keys.filter(null_part).isEmpty() else found.unionByName(table.filter(null_part))
 
 
 def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partition_cols,
-           cluster_col: str | None = None, staging_root: str | None = None) -> None:
+           cluster_col: str | None = None) -> None:
     """Replace rows by ``key`` in the touched partitions of a Parquet table.
 
     Keys never move across partitions (the partition values derive from the
     key's own timestamp), so only the touched partitions are rewritten: with
     (day, hour) partitions a 10-minute batch rewrites the hours it touches.
     """
-    from ..session import scratch_path
-
     parts = _as_list(partition_cols)
-    try:
-        existing = spark.read.schema(df.schema).parquet(table_path)
-    except AnalysisException:  # path does not exist: first write
-        existing = None
+    existing = read_if_exists(spark, table_path, df.schema)
     if existing is None:
-        write_clustered(df, table_path, parts, cluster_col or key, mode="overwrite")
+        write_clustered(df, table_path, parts, cluster_col or key)
         return
     kept = in_partitions(existing, df, parts).join(df.select(key), key, "left_anti")
-    merged = kept.unionByName(df)
     staged = scratch_path(spark, "staged")
-    write_clustered(merged, staged, parts, cluster_col or key, mode="overwrite")
-    (spark.read.schema(df.schema).parquet(staged).write.mode("overwrite")
-     .option(DYNAMIC[0], DYNAMIC[1]).partitionBy(*parts).parquet(table_path))
+    kept.unionByName(df).write.parquet(staged)
+    write_clustered(spark.read.schema(df.schema).parquet(staged), table_path, parts, cluster_col or key, dynamic=True)
+    delete_path(spark, staged)
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, table_path: str, partition_cols,
@@ -206,45 +198,39 @@ def replace_partitions(spark: SparkSession, df: DataFrame, table_path: str, part
     """Overwrite exactly the partitions present in ``df`` (complete new content
     for each of them), leaving all other partitions untouched. ``df`` must not
     read ``table_path`` itself (use ``upsert`` for that)."""
-    parts = _as_list(partition_cols)
-    write_clustered(df, table_path, parts, cluster_col, mode="overwrite", dynamic=True)
+    write_clustered(df, table_path, _as_list(partition_cols), cluster_col, dynamic=True)
 
 
-def compact(spark: SparkSession, table_path: str, partition_cols, cluster_col: str, where=None,
-            files_per_partition: int = 1, staging_root: str | None = None) -> int:
-    """Rewrite the partitions selected by ``where`` (a Column over the partition
-    columns; all when None) into about ``files_per_partition`` files each,
-    range-clustered on ``cluster_col``. Frequent small appends (one per landed
-    batch) leave many small files; compaction keeps scans cheap. Content is
-    unchanged; returns the number of rows rewritten."""
-    from ..session import scratch_path
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a versioned table, oldest first."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    done = [n for n in names if n.startswith("v=") and fs.exists(
+        spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return sorted(int(n[2:]) for n in done)
 
-    parts = _as_list(partition_cols)
-    table = spark.read.parquet(table_path)
-    rows = table if where is None else table.filter(where)
-    n_parts = rows.select(*parts).distinct().count()
-    if n_parts == 0:
-        return 0
-    staged = scratch_path(spark, "compact")
-    write_clustered(rows, staged, parts, cluster_col, mode="overwrite",
-                    range_partitions=max(1, n_parts * files_per_partition))
-    back = spark.read.schema(table.schema).parquet(staged)
-    back.write.mode("overwrite").option(DYNAMIC[0], DYNAMIC[1]).partitionBy(*parts).parquet(table_path)
-    return spark.read.parquet(staged).count()
-
-
-def replace_keys(spark: SparkSession, df: DataFrame, table_path: str, key: str,
-                 staging_root: str | None = None) -> None:
-    """Upsert ``df`` by ``key`` into a small unpartitioned table (one row per key,
-    e.g. the latest position per flight): stored rows of other keys plus ``df``,
-    staged and swapped in (never overwrite a path being read)."""
-    from ..session import scratch_path
-
-    try:
-        existing = spark.read.schema(df.schema).parquet(table_path)
-        merged = existing.join(df.select(key), key, "left_anti").unionByName(df)
-    except AnalysisException:  # first write
-        merged = df
-    staged = scratch_path(spark, "staged")
-    merged.write.mode("overwrite").parquet(staged)
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(table_path)
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Newest complete version of a versioned table (no version: an empty frame)."""
+    versions = _versions(spark, path)
+    if not versions:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/v={versions[-1]}")
+
+
+def write_version(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write ``df`` as a new version; the one before stays for readers, older ones go.
+
+    A write that dies leaves no ``_SUCCESS`` and is never read."""
+    versions = _versions(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/v={(versions[-1] if versions else 0) + 1}")
+    for v in versions[:-1]:
+        delete_path(spark, f"{path}/v={v}")
+
+
+def replace_keys(spark: SparkSession, df: DataFrame, table_path: str, key: str) -> None:
+    """Upsert ``df`` by ``key`` into a versioned table (one row per key): stored rows of other keys plus ``df``."""
+    stored = read_version(spark, table_path, df.schema)
+    write_version(spark, stored.join(df.select(key), key, "left_anti").unionByName(df), table_path)

@@ -8,12 +8,14 @@ the fixture's 3-hour day (FIXTURES.md §4).
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import serving
+from ..session import materialize, scratch_path
 from ..operators.marts import orphan_count
 from ..sources.events_adapter import raw_positions
 from .transform import Marts, build_marts
@@ -34,7 +36,7 @@ def register(name: str):
 
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
     """Layers over the whole events table; ``inter`` is written once to the
-    checkpoint folder when a query needs it (dim and fact both read it)."""
+    checkpoint folder for the queries that read it more than once (dim and fact)."""
     return build_marts(raw_positions(spark, sf_dir), AS_OF, materialize=True)
 
 
@@ -57,12 +59,12 @@ def q_raw(spark, sf_dir):
 
 @register("stg_positions")
 def q_stg(spark, sf_dir):
-    return marts(spark, sf_dir).stg
+    return build_marts(raw_positions(spark, sf_dir), AS_OF).stg
 
 
 @register("int_positions_deduped")
 def q_int(spark, sf_dir):
-    return marts(spark, sf_dir).inter
+    return build_marts(raw_positions(spark, sf_dir), AS_OF).inter
 
 
 @register("dim_vols")
@@ -199,6 +201,73 @@ def q_merged(spark, sf_dir):
     return one_per_id(replayed_batches(raw_positions(spark, sf_dir, keep_event_id=True))).select(*RAW_COLUMNS)
 
 
+def _merge_batches(spark, sf_dir):
+    """Merge the replayed batches one after the other with ``merge_raw``, then the last one again.
+
+    The batches hold rows without a time and differing twins of one id. Returns the table's
+    path and the log [(ingested_at text, total, inserted, skipped)]."""
+    from ..operators.sinks import merge_raw
+    from ..sources.events_adapter import awkward_batches
+
+    batches = materialize(awkward_batches(raw_positions(spark, sf_dir, keep_event_id=True)), "batches")
+    table = scratch_path(spark, "raw")
+    stamps = [r[0] for r in batches.select(F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss")).distinct().collect()]
+    log = []
+    for step, stamp in enumerate([*sorted(stamps), max(stamps)]):      # the last batch lands twice
+        got = merge_raw(spark, batches.where(F.col("ingested_at") == F.lit(stamp).cast("timestamp_ntz")), table)
+        log.append((step, stamp, got["total"], got["inserted"], got["skipped"]))
+    return table, log
+
+
+@register("raw_table_merged")
+def q_table_merged(spark, sf_dir):
+    """The raw table after real merges, batch after batch: one row per id, the first landing in a total order."""
+    from ..operators.sinks import RAW_TABLE
+    from ..schemas import RAW_COLUMNS
+
+    table, _ = _merge_batches(spark, sf_dir)
+    return spark.read.schema(RAW_TABLE).parquet(table).select(*RAW_COLUMNS)
+
+
+@register("raw_merge_log")
+def q_merge_log(spark, sf_dir):
+    """What each real merge inserted and skipped; merging the last batch again inserts nothing."""
+    _, log = _merge_batches(spark, sf_dir)
+    return spark.createDataFrame(log, "step int, landed string, total long, inserted long, skipped long").withColumn(
+        "landed", F.col("landed").cast("timestamp_ntz"))
+
+
+def _payloads(spark, sf_dir):
+    """The whole raw table landed as JSON payloads with the feed's faults, and one file that is no payload; read back."""
+    from ..sources.events_adapter import payloads
+    from ..sources.states import read_states
+
+    landing = scratch_path(spark, "payloads")
+    folder = ["slot", "part"]      # one payload a file
+    payloads(raw_positions(spark, sf_dir, keep_event_id=True)).write.partitionBy(*folder).json(landing)
+    broken = spark.range(1).select(F.lit('{"time": 1704067200, "states": [["abc').alias("value"), F.lit(0).alias("slot"), F.lit(0).alias("part"))
+    broken.write.mode("append").partitionBy(*folder).text(landing)
+    return read_states(spark, landing)
+
+
+@register("payload_positions")
+def q_payload_positions(spark, sf_dir):
+    """Landed JSON payloads -> typed positions inside the region."""
+    from ..sources.states import FRANCE, parse_states
+
+    return parse_states(_payloads(spark, sf_dir), None, FRANCE)[0]
+
+
+@register("payload_rejects")
+def q_payload_rejects(spark, sf_dir):
+    """State vectors that do not type, by the first field that does not, and files that do not parse."""
+    from ..sources.states import parse_states
+
+    rejects = parse_states(_payloads(spark, sf_dir))[1]
+    return rejects.groupBy(F.col("corrupt").isNotNull().alias("corrupt_file"), F.coalesce("icao24", F.lit("?")).alias("icao24")).agg(
+        F.count("*").alias("n"))
+
+
 # ---- quality ------------------------------------------------------------------
 
 @register("dq_stg_tests")
@@ -226,6 +295,18 @@ def q_dq_fact(spark, sf_dir):
     return run_suite(marts(spark, sf_dir).fact, FACT_SUITE)
 
 
+@register("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    """The blocking decision per suite: failed checks of severity error block, the others warn."""
+    from ..operators.quality import DIM_TESTS, FACT_SUITE, FACT_TESTS, run_suite
+    m = marts(spark, sf_dir)
+    results = run_suite(m.dim, DIM_TESTS).unionByName(run_suite(m.fact, FACT_TESTS, refs={"dim_vols": m.dim})).unionByName(
+        run_suite(m.fact, FACT_SUITE))
+    failed = F.count_if(F.col("status") == "fail")
+    return results.groupBy("suite").agg(F.count("*").alias("checks"), failed.alias("failed"),
+                                        F.count_if(F.col("status") == "warn").alias("warned"), (failed > 0).alias("blocked"))
+
+
 @register("altitude_coherence")
 def q_coherence(spark, sf_dir):
     from ..operators.quality import altitude_coherence
@@ -246,11 +327,7 @@ INCREMENTAL_CUT = datetime(2024, 1, 1, 2, 0, 0)   # rows ingested from 02:00 on
 def _incremental_root(spark, sf_dir) -> str:
     """Build the marts from rows ingested before the cut, then apply the rest
     with the exact incremental update; returns the table root."""
-    import os
-    import uuid
-
     from ..functions.timecols import ntz_literal
-    from ..session import scratch_path
     from .incremental import incremental_update
     from .tables import build_tables
 
@@ -285,27 +362,38 @@ def q_dim_incremental(spark, sf_dir):
 STREAM_WATERMARK = "2 hours"
 
 
-@register("stream_window_winners")
-def q_stream_winners(spark, sf_dir):
-    """30 s dedup as a watermarked streaming aggregation over the raw table
-    landed as Parquet files (drained with availableNow). Only windows the
-    watermark has closed are emitted (append mode)."""
-    import os
-    import uuid
+CLOSING = "closing"     # aircraft of the row that ends a stream
 
+
+def _drain(spark, sf_dir, name: str, transform) -> DataFrame:
+    """Land the raw table in three hourly slices and a closing row a day later, draining the
+    stream after each: several micro-batches with a restart between, and every window closed."""
+    from ..functions.timecols import ntz_literal
     from ..operators.staging import stage
     from ..schemas import RAW_POSITIONS
-    from ..session import scratch_path
+
+    base = scratch_path(spark, name)
+    raw = raw_positions(spark, sf_dir)
+    hour = F.hour("ingested_at")
+    closing = spark.createDataFrame(
+        [(CLOSING, CLOSING, CLOSING, "-", int(AS_OF.replace(tzinfo=timezone.utc).timestamp()) + 86_400, None, 2.0, 46.0, 0.0, 0.0, False,
+          1.0, 0.0, 0.0, None, 0)], T.StructType(RAW_POSITIONS.fields[:16])).withColumns(
+        {"ingested_at": ntz_literal(AS_OF), "batch_id": F.lit(CLOSING)})
+    for landed in (raw.where(hour == 0), raw.where(hour == 1), raw.where(hour >= 2), closing):
+        landed.write.mode("append").parquet(f"{base}/landing")
+        src = spark.readStream.schema(RAW_POSITIONS).parquet(f"{base}/landing")
+        q = (transform(stage(src)).writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/ck").outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").where(F.col("icao24") != CLOSING)
+
+
+@register("stream_window_winners")
+def q_stream_winners(spark, sf_dir):
+    """30 s dedup as a watermarked streaming aggregation over the landed raw table; every window closes."""
     from ..streaming.pipeline import window_winners_stream
 
-    base = scratch_path(spark, "stream")
-    raw_positions(spark, sf_dir).write.parquet(os.path.join(base, "landing"))
-    src = spark.readStream.schema(RAW_POSITIONS).parquet(os.path.join(base, "landing"))
-    q = (window_winners_stream(stage(src), STREAM_WATERMARK).writeStream.format("parquet")
-         .option("path", os.path.join(base, "out")).option("checkpointLocation", os.path.join(base, "ck"))
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "out"))
+    return _drain(spark, sf_dir, "stream", lambda stg: window_winners_stream(stg, STREAM_WATERMARK))
 
 
 @register("traffic_in_air_sliding")
@@ -320,42 +408,25 @@ def q_stream_latest(spark, sf_dir):
     mode: the fact lands as several files (one micro-batch each), ``max_by``
     keeps one row of state per flight, and every micro-batch's updated keys are
     upserted into a table through ``foreachBatch``."""
-    import os
-    import uuid
-
-    from ..operators.sinks import replace_keys
-    from ..session import scratch_path
+    from ..operators.sinks import read_version, replace_keys
     from ..streaming.pipeline import latest_positions_stream
 
     base = scratch_path(spark, "latest")
     fact = marts(spark, sf_dir).fact
-    fact.repartition(4, "date_utc", "heure_journee").write.parquet(os.path.join(base, "landing"))
-    src = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", "1").parquet(os.path.join(base, "landing"))
-    table = os.path.join(base, "latest")
+    fact.write.partitionBy("heure_journee").parquet(f"{base}/landing")
+    src = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", "4").parquet(f"{base}/landing").select(*fact.columns)
+    table = f"{base}/latest"
     q = (latest_positions_stream(src).writeStream.outputMode("update")
          .foreachBatch(lambda df, _epoch: replace_keys(spark, df, table, "vol_sk"))
-         .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True).start())
+         .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(table)
+    return read_version(spark, table, fact.schema)
 
 
 @register("stream_track_segments")
 def q_stream_segments(spark, sf_dir):
     """Track segments per aircraft as streaming session windows (gap 120 s) over
-    the landed raw positions; segments the watermark has closed are emitted."""
-    import os
-    import uuid
-
-    from ..operators.staging import stage
-    from ..schemas import RAW_POSITIONS
-    from ..session import scratch_path
+    the landed raw positions; every session closes."""
     from ..streaming.pipeline import track_segments_stream
 
-    base = scratch_path(spark, "segments")
-    raw_positions(spark, sf_dir).write.parquet(os.path.join(base, "landing"))
-    src = spark.readStream.schema(RAW_POSITIONS).parquet(os.path.join(base, "landing"))
-    q = (track_segments_stream(stage(src), 120, STREAM_WATERMARK).writeStream.format("parquet")
-         .option("path", os.path.join(base, "out")).option("checkpointLocation", os.path.join(base, "ck"))
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(os.path.join(base, "out"))
+    return _drain(spark, sf_dir, "segments", lambda stg: track_segments_stream(stg, 120, STREAM_WATERMARK))

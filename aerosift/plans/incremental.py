@@ -21,8 +21,8 @@ first-seen/count (SURVEY §3.5 X1/X2). Here the update is exact:
    the touched days only (from their 24 hourly partials), the monthly
    partials for the touched months (from their daily partials), and the
    dimension rows of touched aircraft are re-derived from the monthly
-   partials -- per-update work does not grow with the history (``vol_sk`` depends only on
-   icao24, so no fact row changes key).
+   partials (``vol_sk`` depends only on icao24, so no fact row changes key). The
+   dimension, one row per aircraft, is written anew as a further version.
 
 The result equals a full rebuild for any split of the input into batches.
 """
@@ -39,7 +39,7 @@ from ..functions.timecols import bucket_start, epoch_to_ntz, shift_seconds
 from ..operators.dedup import dedup, windowed
 from ..operators.marts import dim_from_groups, merge_groups, position_fact
 from ..operators.sinks import (EVENT_DATE, EVENT_HOUR, EVENT_PARTITIONS, in_partitions, replace_partitions, upsert,
-                               with_event_date)
+                               with_event_date, write_version)
 from ..operators.staging import stage
 from ..session import materialize
 from .tables import (DAY_PARTITION, FACT_PARTITIONS, INT_PARTITIONS, MONTH_PARTITION, daily_groups, hourly_groups,
@@ -88,7 +88,7 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
     """Apply the new raw rows (already merged into ``raw``) to int, dim and fact."""
     p = paths(root)
     k = max(1, math.ceil(max_gap_s / window_s))
-    touched = touched_windows(new_raw, window_s)
+    touched = materialize(touched_windows(new_raw, window_s), "touched")      # read five times below
     if touched.isEmpty():          # nothing new (or only flagged rows): the tables are already current
         return {"recomputed_positions": 0}
     emit = _expand(touched, 0, k, window_s)
@@ -123,13 +123,11 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
     aircraft = touched.select("icao24").distinct()
     partials = read_dim_monthly(spark, root).join(aircraft, "icao24", "left_semi")
     dim_new = dim_from_groups(merge_groups(partials), as_of)
-    dim_old = read_dim(spark, root)
-    dim_all = dim_old.join(aircraft, "icao24", "left_anti").unionByName(dim_new)
-    dim_all = materialize(dim_all, "dim-staged")      # never overwrite a path being read
-    dim_all.write.mode("overwrite").parquet(p["dim"])
+    # a new version: a run that dies here leaves the old one, and its rerun repeats the same steps
+    write_version(spark, read_dim(spark, root).join(aircraft, "icao24", "left_anti").unionByName(dim_new), p["dim"])
 
     # fact rows of the emitted windows (their keys and partitions are fixed by position_id)
-    fact_new = position_fact(new_int, read_dim(spark, root), as_of)
+    fact_new = materialize(position_fact(new_int, read_dim(spark, root), as_of), "fact-delta")
     upsert(spark, fact_new, p["fact"], "position_sk", FACT_PARTITIONS, "vol_sk")
     return {"recomputed_positions": new_int.count()}
 

@@ -1,4 +1,4 @@
-"""One ingest run: landed payloads -> parse -> raw suite (warn) -> insert-only merge -> stats."""
+"""One ingest run: landed payloads -> parse -> raw suite -> insert-only merge -> stats."""
 
 from __future__ import annotations
 
@@ -6,29 +6,28 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import RAW_SUITE, enforce, run_suite, should_run
+from ..operators.quality import RAW_SUITE, enforce, run_suite, store_results
 from ..operators.sinks import dedup_rate, merge_raw
-from ..sources.states import parse_states
+from ..sources.states import FRANCE, parse_states
 
 
 def ingest_run(spark: SparkSession, states: DataFrame, raw_table: str, as_of: datetime, run_id: str = "",
-               validate_every: int = 1, sample: int | None = None, on_failure: str = "warn",
-               bbox: dict | None = None) -> dict:
-    """Parse a landed batch, validate it (every ``validate_every``-th run, on
-    the whole batch unless ``sample`` is given), merge it into the raw table
-    and return the run's statistics. An empty batch skips validation and load."""
+               on_failure: str = "warn", bbox: dict | None = FRANCE, results_path: str | None = None) -> dict:
+    """Parse a landed batch, keep the region's positions, validate the whole batch, merge it into the
+    raw table and return the run's statistics. Validation results are appended to ``results_path``
+    if given. An empty batch skips validation and load."""
     positions, rejects = parse_states(states, as_of, bbox)
     positions = positions.persist()
     try:
         if positions.isEmpty():
             stats = {"inserted": 0, "skipped": 0, "total": 0}
         else:
-            if should_run(run_id, validate_every):
-                stats_q = enforce(run_suite(positions, RAW_SUITE, sample=sample), on_failure)
-            else:
-                stats_q = None
+            results = run_suite(positions, RAW_SUITE)
+            if results_path:
+                store_results(results, results_path, run_id, as_of)
+            quality = enforce(results, on_failure)
             stats = merge_raw(spark, positions, raw_table)
-            stats["quality"] = stats_q
+            stats["quality"] = quality
         stats["rejects"] = rejects.count()
         stats["dedup_rate_pct"] = dedup_rate(stats)
         return stats

@@ -101,8 +101,8 @@ def suite_sql(table: str, suite: Suite, columns: list[str], by: list[str] | None
             ref_name, ref_col = chk.ref
             parent = refs[ref_name]
             src = (f"SELECT {b}count(*) FILTER (WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
-                   f"(SELECT 1 FROM {parent} pa WHERE pa.{ref_col} = ch.{c})) AS u FROM {table} ch{grp}")
-            parts.append(_result(suite.name, i, chk, "u", "u", "u", "u = 0", by, src))
+                   f"(SELECT 1 FROM {parent} pa WHERE pa.{ref_col} = ch.{c})) AS u, count(ch.{c}) AS t FROM {table} ch{grp}")
+            parts.append(_result(suite.name, i, chk, "u", "t", "u", "u = 0", by, src))
             continue
         else:
             raise ValueError(k)

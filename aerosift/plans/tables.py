@@ -9,7 +9,7 @@ Layout under one root folder (a shared filesystem or object store):
   touched days from their 24 hourly partials and touched months from their
   daily partials, and derives touched aircraft from monthly partials (per-update
   work does not grow with the length of the history)
-* ``dim``  flight dimension (one row per aircraft; small)
+* ``dim``  flight dimension (one row per aircraft; small), in versioned folders
 * ``fact`` position fact, partitioned by (``date_utc``, ``heure_journee``), clustered by ``vol_sk``
 
 (day, hour) partitions keep an incremental upsert to the hours a batch
@@ -26,13 +26,12 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.dedup import dedup
-from ..operators.marts import dim_from_groups, flight_dim, merge_groups, position_fact
-from ..operators.sinks import write_clustered
+from ..operators.marts import dim_from_groups, merge_groups, position_fact
+from ..operators.sinks import read_version, write_clustered, write_version
 from ..operators.staging import stage
-from ..schemas import DIM_COLUMNS, FACT_COLUMNS, INT_COLUMNS, RAW_POSITIONS
+from ..schemas import DIM_COLUMNS, FACT_COLUMNS, INT_COLUMNS, TABLE_SCHEMAS
 
 INT_PARTITIONS = ["window_date", "window_hour"]
 FACT_PARTITIONS = ["date_utc", "heure_journee"]
@@ -48,21 +47,9 @@ def with_int_partition(inter: DataFrame) -> DataFrame:
             .withColumn("window_hour", F.hour("window_30s")))
 
 
-def table_schemas(spark: SparkSession) -> dict[str, T.StructType]:
-    """Stored schemas, derived from the operators by analysing an empty input
-    (no job runs); reading with them also works for an empty table."""
-    empty = spark.createDataFrame([], RAW_POSITIONS)
-    inter = dedup(stage(empty))
-    dim = flight_dim(inter, datetime(2000, 1, 1))
-    fact = position_fact(inter, dim, datetime(2000, 1, 1))
-    hourly = hourly_groups(with_int_partition(inter))
-    return {"int": with_int_partition(inter).schema, "dim": dim.schema, "fact": fact.schema,
-            "dim_hourly": hourly.schema, "dim_daily": daily_groups(hourly).schema,
-            "dim_monthly": monthly_groups(daily_groups(hourly)).schema}
-
-
-def _read(spark: SparkSession, root: str, name: str, columns: list[str]) -> DataFrame:
-    return spark.read.schema(table_schemas(spark)[name]).parquet(paths(root)[name]).select(*columns)
+def _read(spark: SparkSession, root: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    df = spark.read.schema(TABLE_SCHEMAS[name]).parquet(paths(root)[name])
+    return df.select(*columns) if columns else df
 
 
 def read_int(spark: SparkSession, root: str) -> DataFrame:
@@ -96,11 +83,11 @@ def daily_groups(hourly: DataFrame) -> DataFrame:
 
 
 def read_dim_hourly(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(table_schemas(spark)["dim_hourly"]).parquet(paths(root)["dim_hourly"])
+    return _read(spark, root, "dim_hourly")
 
 
 def read_dim_daily(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(table_schemas(spark)["dim_daily"]).parquet(paths(root)["dim_daily"])
+    return _read(spark, root, "dim_daily")
 
 
 MONTH_PARTITION = ["window_month"]
@@ -116,11 +103,11 @@ def monthly_groups(daily: DataFrame) -> DataFrame:
 
 
 def read_dim_monthly(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(table_schemas(spark)["dim_monthly"]).parquet(paths(root)["dim_monthly"])
+    return _read(spark, root, "dim_monthly")
 
 
 def read_dim(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, root, "dim", DIM_COLUMNS)
+    return read_version(spark, paths(root)["dim"], TABLE_SCHEMAS["dim"]).select(*DIM_COLUMNS)
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:
@@ -136,7 +123,7 @@ def build_tables(spark: SparkSession, raw: DataFrame, root: str, as_of: datetime
     write_clustered(hourly_groups(read_int_partitioned(spark, root)), p["dim_hourly"], INT_PARTITIONS, "icao24")
     write_clustered(daily_groups(read_dim_hourly(spark, root)), p["dim_daily"], DAY_PARTITION, "icao24")
     write_clustered(monthly_groups(read_dim_daily(spark, root)), p["dim_monthly"], MONTH_PARTITION, "icao24")
-    dim_from_groups(merge_groups(read_dim_monthly(spark, root)), as_of).write.mode("overwrite").parquet(p["dim"])
+    write_version(spark, dim_from_groups(merge_groups(read_dim_monthly(spark, root)), as_of), p["dim"])
     stored = read_int(spark, root)
     fact = position_fact(stored, read_dim(spark, root), as_of)
     write_clustered(fact, p["fact"], FACT_PARTITIONS, "vol_sk")

@@ -58,3 +58,24 @@ FACT_COLUMNS = [
     "au_sol", "squawk", "source_capteur", "flag_changement_altitude_suspect", "ingested_at",
     "batch_id", "dbt_updated_at",
 ]
+
+
+def _struct(columns: list[str], kinds: str) -> T.StructType:
+    """Fields by name, with one letter a type: s string, i int, l long, d double, b boolean, t timestamp_ntz, y date."""
+    of = {"s": T.StringType(), "i": T.IntegerType(), "l": T.LongType(), "d": T.DoubleType(), "b": T.BooleanType(),
+          "t": T.TimestampNTZType(), "y": T.DateType()}
+    return T.StructType([T.StructField(c, of[k]) for c, k in zip(columns, kinds, strict=True)])
+
+
+_GROUP = ["icao24", "callsign", "origine_pays"]
+_GROUP_STATS = ["premiere_vue_utc", "derniere_vue_utc", "nb_positions_total"]
+
+#: Stored tables; a test compares them with what the operators return.
+TABLE_SCHEMAS = {
+    "int": _struct([*INT_COLUMNS, "window_date", "window_hour"], "ssssttts" "dddddddd" "dd" "bs" "ii" "b" "yi"),
+    "dim": _struct(DIM_COLUMNS, "ssssssttlt"),
+    "fact": _struct(FACT_COLUMNS, "sstty" "ii" "dddd" "s" "ddddd" "s" "bs" "i" "b" "tst"),
+    "dim_hourly": _struct([*_GROUP, "window_date", "window_hour", *_GROUP_STATS], "sss" "yi" "ttl"),
+    "dim_daily": _struct([*_GROUP, "window_date", *_GROUP_STATS], "sss" "y" "ttl"),
+    "dim_monthly": _struct([*_GROUP, "window_month", *_GROUP_STATS], "sss" "y" "ttl"),
+}

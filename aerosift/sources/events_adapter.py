@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import position_id
 from ..schemas import RAW_COLUMNS
 
 # ---- Fixed values of the adapter (FIXTURES.md §3) --------------------------
@@ -77,19 +78,7 @@ def raw_positions_from_events(events: DataFrame, keep_event_id: bool = False) ->
         "batch_id": "md5(CAST(t div 600 AS STRING))",
     }
     out = base.select(F.col("e").alias("event_id"), *[F.expr(v).alias(k) for k, v in cols.items()])
-    out = out.withColumn(
-        "id",
-        F.sha2(
-            F.concat_ws(
-                "_",
-                F.coalesce(F.col("icao24"), F.lit("None")),
-                F.col("time_position").cast("string"),
-                F.coalesce(F.col("latitude").cast("decimal(9,4)").cast("string"), F.lit("None")),
-                F.coalesce(F.col("longitude").cast("decimal(9,4)").cast("string"), F.lit("None")),
-            ),
-            256,
-        ),
-    )
+    out = out.withColumn("id", position_id("icao24", "time_position", "latitude", "longitude"))
     return out.select(*RAW_COLUMNS, *(["event_id"] if keep_event_id else []))
 
 
@@ -97,21 +86,9 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Use every core on a scan with fewer splits than cores (a small file is
-    one Parquet row group = one task). At scale the scan already has far more
-    splits than cores and this is a no-op; it never shuffles a large input."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()   # planning only, no job
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view: leave the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def raw_positions(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """Raw position table derived from ``{sf_dir}/events.parquet``."""
-    events = spread_small_scan(read_events(spark, sf_dir).select("event_id", "user_id", "ts"))
+    events = read_events(spark, sf_dir).select("event_id", "user_id", "ts")
     return raw_positions_from_events(events, keep_event_id)
 
 
@@ -127,3 +104,32 @@ def replayed_batches(raw_e: DataFrame) -> DataFrame:
     ).withColumn("ingested_at", shift_seconds("ingested_at", 600))
     twins = raw_e.filter(F.col("event_id") % 50 == 0)
     return raw_e.unionByName(replay).unionByName(twins)
+
+
+def awkward_batches(raw_e: DataFrame) -> DataFrame:
+    """``replayed_batches`` with the two cases that a merge gets wrong most easily: rows with
+    ``event_id % 83 = 0`` have no time (their id follows), and the twins of a batch differ in their squawk."""
+    untimed = F.col("event_id") % 83 == 0
+    raw_e = raw_e.withColumn("time_position", F.when(~untimed, F.col("time_position")))
+    raw_e = raw_e.withColumn("id", position_id("icao24", "time_position", "latitude", "longitude"))
+    twins = raw_e.filter(F.col("event_id") % 50 == 0).withColumn("squawk", F.lit("0000"))
+    return replayed_batches(raw_e).unionByName(twins).drop("event_id")
+
+
+def payloads(raw_e: DataFrame) -> DataFrame:
+    """The raw table as landed payloads, four per 10-minute batch: (time, states) and the folder (slot, part) of its file.
+
+    Faults (FIXTURES.md §3 has the others): ``event_id % 41 = 0`` a time that is no number, ``% 43 = 0`` an altitude
+    that is none, ``% 47 = 0`` an array that ends before ``au_sol``, callsigns padded with blanks."""
+    from ..functions.timecols import ntz_to_epoch
+    from ..schemas import STATE_FIELDS
+
+    e = F.col("event_id")
+    text = {c: F.col(c).cast("string") for c in STATE_FIELDS if c not in ("sensors", "spi")}
+    text["callsign"] = F.concat(F.lit(" "), F.col("callsign"), F.lit("  "))
+    text["time_position"] = F.when(e % 41 == 0, "notatime").otherwise(text["time_position"])
+    text["baro_altitude"] = F.when(e % 43 == 0, "n/a").otherwise(text["baro_altitude"])
+    full = F.array(*[text.get(c, F.lit(None).cast("string")) for c in STATE_FIELDS])
+    state = F.when(e % 47 == 0, F.slice(full, 1, STATE_FIELDS.index("au_sol"))).otherwise(full)
+    return raw_e.select(ntz_to_epoch("ingested_at").alias("time"), (e % 4).alias("part"), state.alias("state")).groupBy("time", "part").agg(
+        F.collect_list("state").alias("states")).withColumn("slot", F.col("time"))

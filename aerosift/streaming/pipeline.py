@@ -2,11 +2,11 @@
 
 * ``run_ingest_stream`` (STR1, STR2, STR4, STR5): landed payload files as a
   file stream; each micro-batch (``foreachBatch``) is parsed, checked with
-  the raw suite (warn), merged insert-only into the raw table, and applied
-  to the stored marts with the exact incremental update. The ingest stamp
-  of a micro-batch is the newest payload time in it, so a replayed
-  micro-batch (after a failure) gets the same batch id and re-applies the
-  same rows: merge and incremental update are both idempotent.
+  the raw suite per landed payload (warn), merged insert-only into the raw table, and applied
+  to the stored marts with the exact incremental update. Ingest stamp and batch id come
+  from each row's own payload time, so they do not depend on how files fall into
+  micro-batches, and a replayed micro-batch re-applies the same rows: merge and
+  incremental update are both idempotent. Rejects are counted and stored.
 * ``window_winners_stream`` (STR3): 30 s dedup as a watermarked streaming
   aggregation (``min_by`` over an ordering struct; ``row_number`` is not
   available on streams).
@@ -28,11 +28,13 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..operators.dedup import NO_SOURCE_SCORE, STG_PAYLOAD, clean_rows, dedup_order
-from ..operators.quality import RAW_SUITE, enforce, run_suite
-from ..operators.sinks import EVENT_PARTITIONS, merge_raw
+from ..functions.timecols import ntz_to_epoch
+from ..operators.quality import RAW_SUITE, enforce, run_suite, store_results
+from ..operators.sinks import EVENT_PARTITIONS, RAW_TABLE, _versions, merge_rows, read_if_exists
 from ..plans.incremental import incremental_update
 from ..plans.tables import build_tables, paths
-from ..sources.states import parse_states, read_states
+from ..schemas import TABLE_SCHEMAS
+from ..sources.states import FRANCE, parse_states, read_states
 
 EVENT_TS = "_event_ts"
 
@@ -77,46 +79,43 @@ def track_segments_stream(stg: DataFrame, gap_s: int = 120, watermark: str = "2
                     F.col("_s.end").cast("timestamp_ntz").alias("fin"), "nb_positions")
 
 
-def process_landed_batch(spark: SparkSession, states: DataFrame, root: str, on_failure: str = "warn") -> dict:
-    """One micro-batch of landed state vectors -> raw table -> marts."""
-    stamp = states.agg(F.max("payload_time").alias("t")).first()["t"]
-    if stamp is None:
-        return {"inserted": 0, "skipped": 0, "total": 0}
-    as_of = datetime.fromtimestamp(int(stamp), timezone.utc).replace(tzinfo=None)
-    positions, _rejects = parse_states(states, as_of)
+def process_landed_batch(spark: SparkSession, states: DataFrame, root: str, on_failure: str = "warn",
+                         bbox: dict | None = FRANCE) -> dict:
+    """One micro-batch of landed state vectors -> raw table -> marts; rejects -> ``rejects``, checks -> ``checks``."""
+    positions, rejects = parse_states(states, None, bbox)
     positions = positions.persist()
     try:
-        enforce(run_suite(positions, RAW_SUITE), on_failure)
         p = paths(root)
-        stats = merge_raw(spark, positions, p["raw"])
-        if stats["total"] == 0:
-            return stats
-        raw = spark.read.parquet(p["raw"])
-        if _exists(spark, p["int"]):
+        n_rejects = rejects.count()
+        if n_rejects:
+            rejects.write.mode("append").parquet(f"{root}/rejects")
+        stamp = positions.agg(F.max(ntz_to_epoch("ingested_at"))).first()[0]
+        if stamp is None:
+            return {"inserted": 0, "skipped": 0, "total": 0, "rejects": n_rejects}
+        as_of = datetime.fromtimestamp(int(stamp), timezone.utc).replace(tzinfo=None)
+        results = run_suite(positions, RAW_SUITE, by=["batch_id"])
+        store_results(results, f"{root}/checks", str(stamp), as_of)
+        enforce(results, on_failure)
+        stats, _ = merge_rows(spark, positions, p["raw"])
+        raw = spark.read.schema(RAW_TABLE).parquet(p["raw"])
+        if _versions(spark, p["dim"]) and read_if_exists(spark, p["fact"], TABLE_SCHEMAS["fact"]) is not None:
             # the micro-batch itself is the slice: rows it re-sends only widen the recomputed
             # windows, and the update is exact for any slice holding the new rows (no raw scan)
             incremental_update(spark, root, raw, positions, as_of)
         else:
             build_tables(spark, raw.drop(*EVENT_PARTITIONS), root, as_of)
-        return stats
+        return {**stats, "rejects": n_rejects}
     finally:
         positions.unpersist()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - AnalysisException: path does not exist
-        return False
-
-
 def run_ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint_location: str,
-                      available_now: bool = True, interval: str = "10 minutes", max_files_per_trigger: int | None = None):
+                      available_now: bool = True, interval: str = "10 minutes", max_files_per_trigger: int | None = None,
+                      bbox: dict | None = FRANCE):
     """Start the landed-file stream (``availableNow`` drains what is there and
     stops; otherwise one micro-batch per ``interval``)."""
     stream = read_states(spark, landing, streaming=True, max_files_per_trigger=max_files_per_trigger)
-    w = stream.writeStream.foreachBatch(lambda df, _epoch: process_landed_batch(spark, df, root)) \
+    w = stream.writeStream.foreachBatch(lambda df, _epoch: process_landed_batch(spark, df, root, bbox=bbox)) \
         .option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

@@ -28,22 +28,3 @@ def test_build_update_check_serve(spark, tmp_dir):
     main(["serve", "--root", root, "--as-of", "2024-01-01 03:00:00", "--out", out], spark)
     assert spark.read.parquet(os.path.join(out, "live_positions")).count() == 15
     assert spark.read.parquet(os.path.join(out, "kpis")).first()["n_avions"] == 15
-
-
-def test_compact_fact_table(spark, tmp_dir):
-    from aerosift.cli import main
-    from aerosift.plans.incremental import incremental_update
-    from aerosift.plans.tables import build_tables, read_fact
-    from aerosift.sources.events_adapter import raw_positions
-
-    raw = raw_positions(spark, SF_SMALL)
-    root = os.path.join(tmp_dir, "marts")
-    late = F.pmod(F.xxhash64("id"), F.lit(3)) == 0
-    build_tables(spark, raw.filter(~late), root, AS_OF)
-    incremental_update(spark, root, raw, raw.filter(late), AS_OF)
-    before = read_fact(spark, root).collect()
-    main(["compact", "--table", os.path.join(root, "fact"), "--partitions", "date_utc,heure_journee",
-          "--cluster", "vol_sk"], spark)
-    after = read_fact(spark, root)
-    assert after.count() == len(before) == 875
-    assert after.exceptAll(spark.createDataFrame(before, after.schema)).count() == 0

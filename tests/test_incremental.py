@@ -119,3 +119,44 @@ def test_empty_slice_changes_nothing(spark, full, tmp_path):
     for read in (read_int, read_dim, read_fact):
         a, b = read(spark, full), read(spark, root)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_stored_schemas_equal_the_operators_output(spark):
+    from datetime import datetime
+
+    from aerosift.operators.dedup import dedup
+    from aerosift.operators.marts import flight_dim, position_fact
+    from aerosift.operators.staging import stage
+    from aerosift.plans.tables import daily_groups, hourly_groups, monthly_groups, with_int_partition
+    from aerosift.schemas import RAW_POSITIONS, TABLE_SCHEMAS
+
+    inter = dedup(stage(spark.createDataFrame([], RAW_POSITIONS)))
+    dim = flight_dim(inter, datetime(2000, 1, 1))
+    hourly = hourly_groups(with_int_partition(inter))
+    got = {"int": with_int_partition(inter), "dim": dim, "fact": position_fact(inter, dim, datetime(2000, 1, 1)),
+           "dim_hourly": hourly, "dim_daily": daily_groups(hourly), "dim_monthly": monthly_groups(daily_groups(hourly))}
+    kinds = lambda schema: [(f.name, f.dataType) for f in schema]
+    assert {k: kinds(v.schema) for k, v in got.items()} == {k: kinds(v) for k, v in TABLE_SCHEMAS.items()}
+
+
+def test_an_update_that_dies_before_the_dimension_is_repeated_exactly(spark, full, tmp_path, monkeypatch):
+    from aerosift.plans import incremental
+    from aerosift.plans.tables import build_tables, read_dim, read_fact, read_int
+    from aerosift.sources.events_adapter import raw_positions
+
+    raw = raw_positions(spark, SF_SMALL)
+    late = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
+    root = str(tmp_path / "dies")
+    build_tables(spark, raw.filter(~late), root, AS_OF)
+
+    def die(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "write_version", die)
+        with pytest.raises(RuntimeError):
+            incremental.incremental_update(spark, root, raw, raw.filter(late), AS_OF)
+    incremental.incremental_update(spark, root, raw, raw.filter(late), AS_OF)
+    for read in (read_int, read_dim, read_fact):
+        a, b = read(spark, full), read(spark, root)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, read.__name__

@@ -1,9 +1,11 @@
 """Landed payloads, insert-only merge and ingest statistics."""
 
+import hashlib
 import json
 import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import AS_OF, SF_SMALL, raw_df
@@ -37,18 +39,36 @@ def test_parse_states(spark, tmp_dir):
     _write_payloads(tmp_dir)
     pos, rej = parse_states(read_states(spark, tmp_dir), AS_OF)
     got = {r["icao24"]: r for r in pos.collect()}
-    assert set(got) == {"3c6444", "abc123", "def456", "bbb222"}
+    assert set(got) == {"3c6444", "abc123", "def456"}
     a = got["3c6444"]
     assert a["callsign"] == "DLH9LF" and a["baro_altitude"] == 10972.8 and a["au_sol"] is False
     assert a["source_position"] == 0 and a["time_position"] == 1704067200
-    import hashlib
     assert a["id"] == hashlib.sha256(b"3c6444_1704067200_48.8500_2.3500").hexdigest()
     assert a["batch_id"] == hashlib.md5(AS_OF.strftime(BATCH_CLOCK_FORMAT).encode()).hexdigest()
     assert a["ingested_at"] == AS_OF
     assert got["abc123"]["au_sol"] is None            # explicit null stays NULL
     assert got["def456"]["au_sol"] is False           # absent field defaults to FALSE
-    assert got["bbb222"]["baro_altitude"] is None     # unparsable optional value -> NULL
-    assert [r["icao24"] for r in rej.collect()] == ["ccc333"]
+    assert sorted(r["icao24"] for r in rej.collect()) == ["bbb222", "ccc333"]      # any value that does not type
+
+
+def test_malformed_values_and_files_become_rejects(spark, tmp_dir):
+    from aerosift.sources.states import parse_states, read_states
+
+    bad_time = ["ddd444", "Z", "France", "notatime", 1704067200, 3.0, 46.0]
+    with open(os.path.join(tmp_dir, "a.json"), "w") as f:
+        json.dump({"time": 1704067260, "states": [STATE, bad_time]}, f)
+    with open(os.path.join(tmp_dir, "b.json"), "w") as f:
+        f.write(json.dumps({"time": 1704067860, "states": [STATE]})[:40])
+    with open(os.path.join(tmp_dir, "c.json"), "w") as f:
+        json.dump({"time": 1704067860, "states": [STATE]}, f)
+    pos, rej = parse_states(read_states(spark, tmp_dir))
+    rows = rej.collect()
+    assert sorted((r["icao24"], r["corrupt"] is None) for r in rows if r["corrupt"] is None) == [("ddd444", True)]
+    assert sum(r["corrupt"] is not None for r in rows) == 1
+    # stamp and batch id follow each row's own payload
+    assert sorted((r["ingested_at"], r["batch_id"]) for r in pos.collect()) == sorted(
+        (t, hashlib.md5(t.strftime("%Y%m%d_%H%M%S").encode()).hexdigest())
+        for t in (datetime(2024, 1, 1, 0, 1), datetime(2024, 1, 1, 0, 11)))
 
 
 def test_landed_batch_roundtrip(spark, tmp_dir):
@@ -78,6 +98,45 @@ def test_merge_raw_idempotent_and_twins(spark, tmp_dir):
     assert dedup_rate({"inserted": 0, "skipped": 0, "total": 0}) == 0.0
 
 
+def test_merge_of_untimed_rows_inserts_them_once(spark, tmp_dir):
+    from aerosift.operators.sinks import merge_raw
+
+    table = os.path.join(tmp_dir, "raw")
+    batch = raw_df(spark, [dict(), dict(time_position=None, last_contact=None)])
+    assert [merge_raw(spark, batch, table)["inserted"] for _ in range(3)] == [2, 0, 0]
+    assert spark.read.parquet(table).count() == 2
+
+
+def test_differing_twins_keep_one_row_whatever_the_input_order(spark):
+    from aerosift.operators.sinks import one_per_id
+
+    rows = [dict(callsign=c, squawk=q) for c, q in (("BBB", "1"), ("AAA", "2"), ("AAA", "1"), (None, "0"))]
+    df = raw_df(spark, rows).withColumn("id", F.lit("same"))
+    kept = {tuple(one_per_id(df.orderBy(F.rand(seed))).first()[["callsign", "squawk"][i]] for i in (0, 1)) for seed in range(4)}
+    assert kept == {("AAA", "1")}
+
+
+def test_an_unreadable_table_is_an_error_not_an_empty_one(spark, tmp_dir):
+    from aerosift.operators.sinks import merge_raw
+    from aerosift.sources.states import read_batch
+
+    table = os.path.join(tmp_dir, "raw")
+    batch = raw_df(spark, [dict()])
+    merge_raw(spark, batch, table)
+    for d, _, files in os.walk(table):
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(os.path.join(d, f), "wb") as out:
+                    out.write(b"not a parquet file")
+                crc = os.path.join(d, f".{f}.crc")
+                if os.path.exists(crc):
+                    os.remove(crc)
+    with pytest.raises(Exception, match="(?i)parquet|footer|read"):
+        merge_raw(spark, batch, table)
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        read_batch(spark, table).collect()
+
+
 def test_merge_stats_equal_sequential_merges(spark, tmp_dir):
     """Set-based per-batch stats equal merging the batches one after the other."""
     from aerosift.operators.sinks import merge_raw, merge_stats
@@ -124,7 +183,6 @@ def test_airline_filter_and_row_counts(spark):
     assert serving.filter_airline(live, "Air France").count() == 2
     counts = serving.row_counts({"fact_positions": m.fact, "dim_vols": m.dim})
     serving.assert_non_empty(counts)
-    import pytest
     with pytest.raises(RuntimeError):
         serving.assert_non_empty(serving.row_counts({"empty": m.dim.limit(0)}))
 

@@ -17,16 +17,21 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-def test_dedup_is_one_partial_aggregation_without_per_aircraft_sort(spark):
-    from aerosift.operators.dedup import dedup
+def test_dedup_shuffles_once_without_per_aircraft_sort(spark):
+    from aerosift.operators.continuity import with_chunks
+    from aerosift.operators.dedup import dedup, windowed
     from aerosift.operators.staging import stage
     from aerosift.sources.events_adapter import raw_positions
 
-    p = plan(dedup(stage(raw_positions(spark, SF_SMALL))))
-    assert "partial_min_by" in p                     # map-side combine before the shuffle
-    assert "Window" not in p                         # no LAG / row_number over an aircraft's history
-    assert len(re.findall(r"^\(\d+\) Scan parquet", p, re.M)) == 1   # raw read once
-    assert "hashpartitioning(icao24" in p and "window_30s" in p
+    stg = stage(raw_positions(spark, SF_SMALL))
+    p = plan(dedup(stg))
+    assert len(re.findall(r"^\(\d+\) Exchange", p, re.M)) == 1          # both windows use one deal of the rows
+    assert len(re.findall(r"^\(\d+\) Sort\b", p, re.M)) == 1              # and the first one's order
+    assert "SortAggregate" not in p
+    assert len(re.findall(r"^\(\d+\) Scan parquet", p, re.M)) == 1      # raw read once
+    assert "hashpartitioning(icao24" in p and "_chunk" in p
+    rows = windowed(stg)
+    assert with_chunks(rows, "window_30s", 30, 120).count() < 1.1 * rows.count()
 
 
 def test_serving_prunes_partitions_and_pushes_filters(spark, tmp_path):
@@ -81,14 +86,14 @@ def test_traffic_by_country_aggregates_before_join(spark):
 
 
 def test_hot_aircraft_spreads_over_all_tasks(spark):
-    """One aircraft with a third of the rows: its dedup/rate work is spread over every
-    shuffle partition (keyed by aircraft and 30 s window), not funnelled into one task."""
+    """One aircraft with a third of the rows, over a day: its dedup/rate work is spread over every
+    shuffle partition (keyed by aircraft and hour), not funnelled into one task."""
     from aerosift.operators.dedup import dedup
     from aerosift.operators.staging import stage
     from tests.conftest import raw_df
 
     t0 = 1704067200
-    hot = [dict(icao24="hot001", time_position=t0 + 7 * i, last_contact=t0 + 7 * i, baro_altitude=1000.0 + i % 50)
+    hot = [dict(icao24="hot001", time_position=t0 + 70 * i, last_contact=t0 + 70 * i, baro_altitude=1000.0 + i % 50)
            for i in range(1200)]
     cold = [dict(icao24=f"c{i % 40:05d}", time_position=t0 + 13 * i, last_contact=t0 + 13 * i) for i in range(2400)]
     # AQE would coalesce these tiny shuffle partitions into one; look at the hash distribution itself
@@ -102,3 +107,30 @@ def test_hot_aircraft_spreads_over_all_tasks(spark):
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert len(per_part) == n_parts
     assert max(per_part.values()) < 0.5 * sum(per_part.values())
+
+
+def test_stored_layout_has_few_files_of_narrow_key_ranges(spark, tmp_path):
+    """40 shuffle partitions and 3 hours: no tasks x hours files, and a file covers few keys."""
+    import os
+
+    import pyarrow.parquet as pq
+
+    from aerosift.operators.sinks import write_clustered
+
+    df = spark.range(40_000).select((F.col("id") % 3).alias("h"), F.sha2(F.col("id").cast("string"), 256).alias("k"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_clustered(df.repartition(40, "k"), str(tmp_path / "t"), "h", "k")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path / "t") for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 43
+    spans = []
+    for f in files:
+        keys = pq.read_table(f, columns=["k"]).column("k").to_pylist()
+        assert keys == sorted(keys)
+        spans.append(int(keys[-1][:4], 16) - int(keys[0][:4], 16))
+    assert sorted(spans)[len(spans) // 2] < 0.15 * 0x10000

@@ -1,4 +1,4 @@
-"""Keyed upsert, schema sync, clustered layout, result store, views, ingest run."""
+"""Keyed upsert, clustered layout, versioned tables, result store, views, ingest run."""
 
 import json
 import os
@@ -22,14 +22,6 @@ def test_upsert_replaces_by_key_in_touched_partitions(spark, tmp_dir):
     assert got == [("k1", "d1", 1), ("k2", "d1", 20), ("k3", "d2", 3), ("k4", "d1", 4)]
 
 
-def test_sync_schema(spark):
-    from aerosift.operators.sinks import sync_schema
-
-    df = spark.createDataFrame([(1, "x")], "a int, old string")
-    out = sync_schema(df, ["a", "new"])
-    assert out.columns == ["a", "new"] and out.first()["new"] is None
-
-
 def test_clustered_files_are_sorted(spark, tmp_dir):
     from aerosift.operators.sinks import write_clustered
 
@@ -91,7 +83,9 @@ def test_ingest_run(spark, tmp_dir):
     with open(os.path.join(landing, "p.json"), "w") as f:
         json.dump({"time": 1704067260, "states": [state, state, bad]}, f)
     table = os.path.join(tmp_dir, "raw")
-    s1 = ingest_run(spark, read_states(spark, landing), table, AS_OF, run_id="r1")
+    checks = os.path.join(tmp_dir, "checks")
+    s1 = ingest_run(spark, read_states(spark, landing), table, AS_OF, run_id="r1", results_path=checks)
+    assert spark.read.parquet(checks).where("run_id = 'r1'").count() == 13
     assert (s1["inserted"], s1["skipped"], s1["total"], s1["rejects"]) == (1, 1, 2, 1)
     assert s1["quality"]["failed"] >= 1          # 2 rows < the 50-row minimum: warned, not blocking
     s2 = ingest_run(spark, read_states(spark, landing), table, AS_OF, run_id="r2")
@@ -103,24 +97,18 @@ def test_ingest_run(spark, tmp_dir):
     assert ingest_run(spark, read_states(spark, empty), table, AS_OF)["total"] == 0
 
 
-def test_compaction_keeps_content_and_reduces_files(spark, tmp_dir):
-    from aerosift.cli import main
-    from aerosift.operators.sinks import merge_raw
-    from aerosift.sources.events_adapter import raw_positions
-
-    raw = raw_positions(spark, SF_SMALL)
-    table = os.path.join(tmp_dir, "raw")
-    stamps = sorted(r[0] for r in raw.select("ingested_at").distinct().collect())
-    for s in stamps:                     # one append per landed batch: many small files
-        merge_raw(spark, raw.filter(F.col("ingested_at") == F.lit(s)), table)
-
-    def files():
-        return sum(f.endswith(".parquet") for _, _, fs in os.walk(table) for f in fs)
-
-    before_files, before = files(), spark.read.parquet(table)
-    snapshot = before.collect()
-    main(["compact", "--table", table], spark)
-    after = spark.read.parquet(table)
-    assert files() < before_files
-    assert after.count() == len(snapshot) == 1000
-    assert after.exceptAll(spark.createDataFrame(snapshot, before.schema)).count() == 0
+def test_versioned_table_survives_a_write_that_dies(spark, tmp_dir):
+    from aerosift.operators.sinks import read_version, replace_keys, write_version
+
+    path = os.path.join(tmp_dir, "dim")
+    schema = "k string, v int"
+    first = spark.createDataFrame([("a", 1), ("b", 2)], schema)
+    write_version(spark, first, path)
+    replace_keys(spark, spark.createDataFrame([("b", 20), ("c", 3)], schema), path, "k")
+    want = [("a", 1), ("b", 20), ("c", 3)]
+    assert sorted(map(tuple, read_version(spark, path, first.schema).collect())) == want
+    first.write.parquet(os.path.join(path, "v=3"))                        # a version without its end mark
+    os.remove(os.path.join(path, "v=3", "_SUCCESS"))
+    assert sorted(map(tuple, read_version(spark, path, first.schema).collect())) == want
+    replace_keys(spark, spark.createDataFrame([("a", 10)], schema), path, "k")
+    assert sorted(map(tuple, read_version(spark, path, first.schema).collect())) == [("a", 10), ("b", 20), ("c", 3)]

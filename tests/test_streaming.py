@@ -36,9 +36,10 @@ def test_ingest_stream_equals_batch_build(spark, tmp_dir):
     assert q.exception() is None
     stored_raw = spark.read.parquet(os.path.join(root, "raw"))
     n_expected = raw.filter(F.col("ingested_at").isin(stamps)).filter(
-        F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).count()
+        F.col("latitude").between(41.0, 51.5) & F.col("longitude").between(-5.5, 10.0)).count()      # the region's box
     assert stored_raw.count() == n_expected
     assert stored_raw.select("batch_id").distinct().count() == 4
+    assert spark.read.parquet(os.path.join(root, "checks")).select("batch_id").distinct().count() == 4    # stored per payload
     ref = os.path.join(tmp_dir, "ref")
     build_tables(spark, stored_raw.drop("event_date", "event_hour"), ref, AS_OF)
     a, b = read_int(spark, ref), read_int(spark, root)
