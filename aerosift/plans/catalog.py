@@ -237,33 +237,32 @@ def q_merge_log(spark, sf_dir):
         "landed", F.col("landed").cast("timestamp_ntz"))
 
 
-def _payloads(spark, sf_dir):
-    """The whole raw table landed as JSON payloads with the feed's faults, and one file that is no payload; read back."""
+def _land_payloads(spark, sf_dir) -> str:
+    """The whole raw table landed as JSON payloads with the feed's faults, and one file that is no payload."""
     from ..sources.events_adapter import payloads
-    from ..sources.states import read_states
 
     landing = scratch_path(spark, "payloads")
     folder = ["slot", "part"]      # one payload a file
     payloads(raw_positions(spark, sf_dir, keep_event_id=True)).write.partitionBy(*folder).json(landing)
     broken = spark.range(1).select(F.lit('{"time": 1704067200, "states": [["abc').alias("value"), F.lit(0).alias("slot"), F.lit(0).alias("part"))
     broken.write.mode("append").partitionBy(*folder).text(landing)
-    return read_states(spark, landing)
+    return landing
 
 
 @register("payload_positions")
 def q_payload_positions(spark, sf_dir):
     """Landed JSON payloads -> typed positions inside the region."""
-    from ..sources.states import FRANCE, parse_states
+    from ..sources.states import FRANCE, parse_states, read_states
 
-    return parse_states(_payloads(spark, sf_dir), None, FRANCE)[0]
+    return parse_states(read_states(spark, _land_payloads(spark, sf_dir)), None, FRANCE)[0]
 
 
 @register("payload_rejects")
 def q_payload_rejects(spark, sf_dir):
     """State vectors that do not type, by the first field that does not, and files that do not parse."""
-    from ..sources.states import parse_states
+    from ..sources.states import parse_states, read_states
 
-    rejects = parse_states(_payloads(spark, sf_dir))[1]
+    rejects = parse_states(read_states(spark, _land_payloads(spark, sf_dir)))[1]
     return rejects.groupBy(F.col("corrupt").isNotNull().alias("corrupt_file"), F.coalesce("icao24", F.lit("?")).alias("icao24")).agg(
         F.count("*").alias("n"))
 
@@ -365,12 +364,16 @@ STREAM_WATERMARK = "2 hours"
 CLOSING = "closing"     # aircraft of the row that ends a stream
 
 
-def _drain(spark, sf_dir, name: str, transform) -> DataFrame:
+def _drain(spark, sf_dir, name: str, transform, late: bool = False) -> tuple[DataFrame, int]:
     """Land the raw table in three hourly slices and a closing row a day later, draining the
-    stream after each: several micro-batches with a restart between, and every window closed."""
+    stream after each: several micro-batches with a restart between, and every window closed.
+
+    With ``late`` the first slice lands once more after that. Returns the result and the number
+    of groups that the watermark dropped."""
     from ..functions.timecols import ntz_literal
     from ..operators.staging import stage
     from ..schemas import RAW_POSITIONS
+    from ..streaming.pipeline import dropped_by_watermark
 
     base = scratch_path(spark, name)
     raw = raw_positions(spark, sf_dir)
@@ -379,13 +382,16 @@ def _drain(spark, sf_dir, name: str, transform) -> DataFrame:
         [(CLOSING, CLOSING, CLOSING, "-", int(AS_OF.replace(tzinfo=timezone.utc).timestamp()) + 86_400, None, 2.0, 46.0, 0.0, 0.0, False,
           1.0, 0.0, 0.0, None, 0)], T.StructType(RAW_POSITIONS.fields[:16])).withColumns(
         {"ingested_at": ntz_literal(AS_OF), "batch_id": F.lit(CLOSING)})
-    for landed in (raw.where(hour == 0), raw.where(hour == 1), raw.where(hour >= 2), closing):
+    slices = [raw.where(hour == 0), raw.where(hour == 1), raw.where(hour >= 2), closing]
+    dropped = 0
+    for landed in slices + slices[:1] * late:
         landed.write.mode("append").parquet(f"{base}/landing")
         src = spark.readStream.schema(RAW_POSITIONS).parquet(f"{base}/landing")
         q = (transform(stage(src)).writeStream.format("parquet").option("path", f"{base}/out")
              .option("checkpointLocation", f"{base}/ck").outputMode("append").trigger(availableNow=True).start())
         q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").where(F.col("icao24") != CLOSING)
+        dropped += dropped_by_watermark(q)
+    return spark.read.parquet(f"{base}/out").where(F.col("icao24") != CLOSING), dropped
 
 
 @register("stream_window_winners")
@@ -393,7 +399,48 @@ def q_stream_winners(spark, sf_dir):
     """30 s dedup as a watermarked streaming aggregation over the landed raw table; every window closes."""
     from ..streaming.pipeline import window_winners_stream
 
-    return _drain(spark, sf_dir, "stream", lambda stg: window_winners_stream(stg, STREAM_WATERMARK))
+    return _drain(spark, sf_dir, "stream", lambda stg: window_winners_stream(stg, STREAM_WATERMARK))[0]
+
+
+@register("stream_late_rows")
+def q_stream_late(spark, sf_dir):
+    """The first hour lands again behind the watermark: none of its windows is emitted twice, and the drops are counted."""
+    from ..streaming.pipeline import window_winners_stream
+
+    out, dropped = _drain(spark, sf_dir, "late", lambda stg: window_winners_stream(stg, STREAM_WATERMARK), late=True)
+    return out.agg(F.count("*").alias("windows"), F.countDistinct("position_id").alias("distinct_windows"),
+                   F.lit(dropped).cast("long").alias("late_windows"))
+
+
+@register("stream_ids")
+def q_stream_ids(spark, sf_dir):
+    """Ids of the replayed batches, each once, though most batches re-land rows of the one before."""
+    from ..schemas import RAW_POSITIONS
+    from ..sources.events_adapter import replayed_batches
+    from ..streaming.pipeline import dedup_ids_stream
+
+    base = scratch_path(spark, "ids")
+    batches = replayed_batches(raw_positions(spark, sf_dir, keep_event_id=True)).drop("event_id")
+    for hour in (F.hour("ingested_at") == 0, F.hour("ingested_at") == 1, F.hour("ingested_at") >= 2):
+        batches.where(hour).write.mode("append").parquet(f"{base}/landing")
+        src = spark.readStream.schema(RAW_POSITIONS).parquet(f"{base}/landing")
+        q = (dedup_ids_stream(src, STREAM_WATERMARK).writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/ck").outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("id")
+
+
+@register("stream_ingest_fact")
+def q_stream_ingest(spark, sf_dir):
+    """The position fact after the whole ingest stream: landed JSON payloads with faults, several
+    micro-batches, rates computed across them by the exact incremental update."""
+    from ..streaming.pipeline import run_ingest_stream
+    from .tables import read_fact
+
+    root = scratch_path(spark, "ingested")
+    q = run_ingest_stream(spark, _land_payloads(spark, sf_dir), root, f"{root}/ck", max_files_per_trigger=25)
+    q.awaitTermination()
+    return read_fact(spark, root).drop("dbt_updated_at")     # its stamp is that of the last micro-batch that touched the row
 
 
 @register("traffic_in_air_sliding")
@@ -429,4 +476,4 @@ def q_stream_segments(spark, sf_dir):
     the landed raw positions; every session closes."""
     from ..streaming.pipeline import track_segments_stream
 
-    return _drain(spark, sf_dir, "segments", lambda stg: track_segments_stream(stg, 120, STREAM_WATERMARK))
+    return _drain(spark, sf_dir, "segments", lambda stg: track_segments_stream(stg, 120, STREAM_WATERMARK))[0]

@@ -122,6 +122,5 @@ def run_ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint_l
 
 
 def dropped_by_watermark(query) -> int:
-    """Rows the last micro-batch dropped as later than the watermark (STR4)."""
-    p = query.lastProgress or {}
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+    """Rows (after partial aggregation) that a query's micro-batches dropped as later than the watermark (STR4)."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p.get("stateOperators", []))
