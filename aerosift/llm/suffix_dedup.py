@@ -58,6 +58,11 @@ class Rolling:
         self.up, self.down = powers(len(buf))
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[buf] * self.up[:len(buf)], dtype=np.uint64)])
 
+    def all(self, length: int) -> np.ndarray:
+        """The substring of ``length`` bytes at every place."""
+        n = len(self.sums) - length
+        return mix(((self.sums[length:] - self.sums[:-length]) * self.down[:n]) ^ _SEED)
+
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mix(((self.sums[stop] - self.sums[start]) * self.down[start]) ^ _SEED)
 
@@ -73,8 +78,7 @@ def stand_ins(bodies: list[bytes]):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
     rolling = Rolling(buf)
-    at = np.arange(len(buf) - DIGIT + 1)
-    digit = rolling.of(at, at + DIGIT)
+    digit = rolling.all(DIGIT)
     # sliding minimum by doubling
     low, have = digit, 1
     while 2 * have <= width:
@@ -83,11 +87,13 @@ def stand_ins(bodies: list[bytes]):
     if have < width:
         low = np.minimum(low[:len(low) - (width - have)], low[width - have:])
     doc_start = np.cumsum(lengths) - lengths
-    doc = np.repeat(np.arange(len(bodies)), lengths)[:len(low)]
-    inside = np.arange(len(low)) + LENGTH <= (doc_start + lengths)[doc]
-    new = np.concatenate([[True], (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])])
+    new = np.ones(len(low), bool)
+    np.not_equal(low[1:], low[:-1], out=new[1:])
+    new[doc_start[doc_start < len(low)]] = True
     start = np.flatnonzero(new)
-    count = np.add.reduceat(inside.astype(np.int64), start)       # the strings that end inside the text come first
+    of = np.searchsorted(doc_start, start, "right") - 1
+    # a run's strings: up to the next run, and as long as they end inside the text
+    count = np.minimum(np.append(start[1:], len(low)), (doc_start + lengths)[of] - LENGTH + 1) - start
     keep = count > 0
     start, count = start[keep], count[keep]
     # the leftmost smallest digit of the first string is the place (equal digits may repeat inside a string)
@@ -111,7 +117,7 @@ def stand_ins(bodies: list[bytes]):
         over = np.concatenate([np.zeros(len(over), bool), first + rest - 1 > nxt])
     order = np.argsort(start, kind="stable")
     start, count, place = start[order], count[order], place[order]
-    d = doc[start]
+    d = np.searchsorted(doc_start, start, "right") - 1
     # the stretch is told apart by its bytes and by where the digit lies in it
     stretch = mix(rolling.of(start, start + count - 1 + LENGTH) ^ ((place - start) * 512 + count).astype(np.uint64))
     return d, start - doc_start[d], count, place - doc_start[d], low[start], stretch
@@ -354,17 +360,16 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gr
     parts = shuffle_partitions(spark)
     texts = base.repartition(parts, "doc", "version")        # one exchange for both joins below
 
-    def bodies(stretches):
+    def bodies(stretches, run=_bodies, kind="digit long, doc long, version long, pos long, body binary"):
         wanted = stretches.groupBy("doc", "version").agg(F.collect_list(F.struct("digit", "pos")).alias("wanted"))
-        return texts.join(wanted, ["doc", "version"]).select("doc", "version", "text", "wanted").mapInArrow(
-            _bodies, "digit long, doc long, version long, pos long, body binary")
+        return texts.join(wanted, ["doc", "version"]).select("doc", "version", "text", "wanted").mapInArrow(run, kind)
 
     small = bodies(deeper.join(large, "digit", "left_anti"))
     sorted_ = small.repartition("digit").sortWithinPartitions("digit", "doc", "version", "pos").mapInArrow(_sort_groups, _SPANS)
     spans = same.union(sorted_)
     if not large.isEmpty():
-        strings = bodies(deeper.join(large, "digit", "left_semi")).mapInArrow(
-            _string_rows, "digit long, lag int, hash long, doc long, version long, start int")
+        strings = bodies(deeper.join(large, "digit", "left_semi"), lambda batches: _string_rows(_bodies(batches)),
+                         "digit long, lag int, hash long, doc long, version long, start int")
         strings = materialize(strings, "suffix-strings")
         at = F.struct("doc", "version", "start")
         least = strings.groupBy("digit", "lag", "hash").agg(F.min(at).alias("least"))
