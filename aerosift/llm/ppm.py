@@ -51,9 +51,9 @@ SYMBOLS, END = 257, 256
 _BITS = 9
 _PIECE = 256
 #: Entries of the table of answers, a power of two.
-_ASKED_BITS = 21
+_ASKED_BITS = 20
 #: Distinct keys a task adds up before it hands them on.
-_HELD = 1 << 21
+_HELD = 1 << 20
 #: The end token's key among the word hashes.
 END_WORD = np.uint64(0x5BD1E9955BD1E995)
 _GRAM, _WORD = 0, 1
@@ -113,7 +113,7 @@ class Counter:
         return keys[first], np.add.reduceat(counts, first)
 
     def full(self) -> bool:
-        if self.size < 2 * _HELD:
+        if self.size < 3 * _HELD // 2:
             return False
         self.parts = [self.merged()]
         self.size = len(self.parts[0][0])
@@ -221,7 +221,7 @@ class Trie:
         self._fill(code.astype(np.uint64), np.log10(n).astype(np.float32), moves)
 
     def _fill(self, code, logs, moves) -> None:
-        bits = max(4, int(np.ceil(np.log2(3 * max(len(code), 1)))))
+        bits = max(4, int(np.ceil(np.log2(1.4 * max(len(code), 1)))))
         empty = np.uint64(2**64 - 1)
         self.shift = np.uint64(64 - bits)
         self.keys = np.full(1 << bits, empty)
@@ -341,7 +341,7 @@ def ppm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         model, keys, logs = shared.value
         for batch in batches:
             bodies = batch.column(1).cast(pa.binary()).to_pylist()
-            for a, b in steps([len(x) for x in bodies], 4 << 20):
+            for a, b in steps([len(x) for x in bodies]):
                 part = bodies[a:b]
                 doc, w = words(part)
                 doc = np.concatenate([doc, np.arange(b - a)])

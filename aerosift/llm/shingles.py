@@ -83,7 +83,7 @@ def shingle_sets(bodies: list[bytes], size: int = 5) -> tuple[np.ndarray, np.nda
     return np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=n_docs))]), values
 
 
-def steps(lengths, limit: int = 2 << 20):
+def steps(lengths, limit: int = 1 << 19):
     """Slices (start, stop) of consecutive rows of about ``limit`` bytes together."""
     at, held = 0, 0
     for i, n in enumerate(lengths):
