@@ -46,6 +46,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     held = materialize(line_positions(docs, min_chars), "line-positions")     # read twice below
     common = held.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc")).where(
         F.col("n_docs") >= min_docs).select("key", "last_doc")
+    common = materialize(common, "line-common")      # a written side leaves a hot key of the join to be split
     drops = held.join(common, "key").where("doc_id < last_doc").groupBy("doc_id").agg(
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("drops"))
     starts = F.concat(F.array(F.lit(0)), F.transform("drops", lambda p: p + 1))
