@@ -8,16 +8,16 @@
 2. Documents with equal sets form one class. Classes that share a band key are
    candidates. At similarity 0.75 a pair shares none of the 40 bands of 4 rows
    with probability 2.5e-7, at 0.8 with 6e-10.
-3. First round: in each bucket every class is compared with the bucket's
-   smallest class only, so a bucket of m classes gives m - 1 candidates. The
-   odd sketch drops clear misses (more than five deviations below the
-   threshold); every other pair is decided on its full shingle sets.
-4. Links are joined to components by alternating star contraction.
-5. Second round: buckets whose classes are still in several components are
-   joined with themselves on pairs of different components, with the sketch and
-   size tests inside the join, and survivors are decided on full sets. A group
-   of thousands of near copies is one component by then and costs nothing here.
-   After this round every candidate link is verified or inside a component.
+3. First round: every class is compared with one class, the smallest that it meets as
+   the smallest of a bucket. Second round: with the smallest classes of its other buckets that are
+   not in its component yet. The odd sketch drops clear misses (more than five
+   deviations below the threshold); every other pair is decided on its full shingle sets.
+4. Links are joined to components by alternating star contraction after each round. A
+   group of thousands of near copies gives a pair or few for each member and is one component then.
+5. Third round: buckets whose classes are still in several components are joined with
+   themselves on pairs of different components, with the sketch and size tests
+   inside the join and each pair in the first bucket it shares only; survivors
+   are decided on full sets. Now every candidate link is verified or inside a component.
 
 Every decision uses whole sets; sketches only rule pairs out.
 
@@ -174,34 +174,47 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min("doc_id").alias("rep_id"), F.min("place").alias("place"))
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "near-classes")
 
-    rows = classes.select("cid", F.explode("bands").alias("bucket"))
+    rows = classes.select("cid", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.min("cid").alias("center"), F.count("*").alias("m")).where("m > 1")
     shared = materialize(shared, "near-shared")       # a written side leaves the hot buckets of the join to be split
     members = materialize(rows.join(shared, "bucket"), "near-buckets")
-    # the texts of all candidate classes, fetched once for both rounds
+    # the texts of all candidate classes, fetched once for all rounds
     wanted = members.select("cid").distinct().join(classes.select("cid", "key", "place"), "cid")
     texts = _texts_of(base, wanted)
-
-    about = classes.select("cid", "n", "odd")
-    first = members.where("cid <> center").select(F.col("center").alias("a"), F.col("cid").alias("b")).distinct()
-    first = first.join(about.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("odd").alias("odd_b")), "b").join(
-        about.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("odd").alias("odd_a")), "a").where(
-        may_link(F.col("n_a"), F.col("n_b"), F.col("odd_a"), F.col("odd_b"), percent)).select("a", "b")
-    links = materialize(verified(first, texts, percent), "near-links")
+    about = classes.select("cid", "n", "odd", "bands")
+
+    def likely(pairs):
+        """Pairs that sizes and sketches do not rule out."""
+        sides = [about.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("odd").alias(f"odd_{c}")) for c in "ab"]
+        return pairs.join(sides[1], "b").join(sides[0], "a").where(
+            may_link(F.col("n_a"), F.col("n_b"), F.col("odd_a"), F.col("odd_b"), percent)).select("a", "b")
+
+    # first round: one pair for each class, with the smallest center of all its buckets
+    stars = members.where("cid <> center").select(F.col("center").alias("a"), F.col("cid").alias("b"))
+    first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = materialize(verified(likely(first), texts, percent), "near-links")
     roots = components(links)
 
-    # buckets that still hold several components; the smallest class was compared with all others
+    # second round: centers of other buckets that are not in the class's component yet
+    side = {c: roots.select(F.col("cid").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"}
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    other = stars.join(side["a"], "a", "left").join(side["b"], "b", "left").where(apart).select("a", "b").distinct()
+    links, roots = _grow(links, roots, verified(likely(other.join(first, ["a", "b"], "left_anti")), texts, percent))
+
+    # third round: buckets that still hold several components; their centers were compared with all members
     rooted = members.where("m > 2").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     split = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    rest = materialize(rooted.where("cid <> center").join(split.select("bucket"), "bucket", "left_semi").join(
-        about, "cid").select("bucket", "cid", "root", "n", "odd"), "near-rest")
+    split = materialize(split.select("bucket"), "near-split")
+    rest = materialize(rooted.where("cid <> center").join(split, "bucket", "left_semi").join(about, "cid").select(
+        "bucket", "band", "cid", "root", "n", "odd", "bands"), "near-rest")
     x, y = rest.alias("x"), rest.alias("y")
-    second = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cid") < F.col("y.cid")) & (
-        F.col("x.root") != F.col("y.root")) & may_link(F.col("x.n"), F.col("y.n"), F.col("x.odd"), F.col("y.odd"), percent)).select(
-        F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
-    more = materialize(verified(second, texts, percent), "near-links")
-    if not more.isEmpty():
-        roots = components(links.union(more))
+    # a pair that shares several buckets is looked at in the first of them only
+    earlier = F.exists(F.zip_with(F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("x.band")),
+                                  lambda p, q: p == q), lambda same: same)
+    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cid") < F.col("y.cid")) & (
+        F.col("x.root") != F.col("y.root")) & may_link(F.col("x.n"), F.col("y.n"), F.col("x.odd"), F.col("y.odd"), percent)
+        & ~earlier).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
+    links, roots = _grow(links, roots, verified(across, texts, percent))
 
     owned = classes.select("key", "cid", "rep_id").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = owned.groupBy("root").agg(F.min("rep_id").alias("component_id"))
@@ -212,6 +225,15 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _grow(links: DataFrame, roots: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and roots with the links that a round found."""
+    found = materialize(found, "near-links")
+    if found.isEmpty():
+        return links, roots
+    links = links.union(found)
+    return links, components(links)
+
+
 def _texts_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cid, text): one text of each wanted class, joined by the hash of the text; its set's key confirms it."""
     def own(batches):
