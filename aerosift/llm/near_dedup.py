@@ -12,8 +12,9 @@
    the smallest of a bucket. Second round: with the smallest classes of its other buckets that are
    not in its component yet. The odd sketch drops clear misses (more than five
    deviations below the threshold); every other pair is decided on its full shingle sets.
-4. Links are joined to components by alternating star contraction after each round. A
-   group of thousands of near copies gives a pair or few for each member and is one component then.
+4. The first round's links give each class one smaller neighbour; pointer jumping
+   makes them components. Later links join components by alternating star contraction. A group of
+   thousands of near copies gives a pair or few for each member and is one component then.
 5. Third round: buckets whose classes are still in several components are joined with
    themselves on pairs of different components, with the sketch and size tests
    inside the join and each pair in the first bucket it shares only; survivors
@@ -104,7 +105,8 @@ def _sketch(batches):
 
 
 def flips(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    """Population count of the XOR of two sketches, word by word (compiled, unlike a higher-order function)."""
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, BITS // 64)), F.bit_count(a[0].bitwiseXOR(b[0])))
 
 
 def may_link(n_a: Column, n_b: Column, odd_a: Column, odd_b: Column, percent: int) -> Column:
@@ -193,13 +195,13 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stars = members.where("cid <> center").select(F.col("center").alias("a"), F.col("cid").alias("b"))
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = materialize(verified(likely(first), texts, percent), "near-links")
-    roots = components(links)
+    roots = _forest_roots(links.select(F.col("b").alias("cid"), F.col("a").alias("root")))
 
     # second round: centers of other buckets that are not in the class's component yet
     side = {c: roots.select(F.col("cid").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"}
     apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
     other = stars.join(side["a"], "a", "left").join(side["b"], "b", "left").where(apart).select("a", "b").distinct()
-    links, roots = _grow(links, roots, verified(likely(other.join(first, ["a", "b"], "left_anti")), texts, percent))
+    roots = _grow(roots, verified(likely(other.join(first, ["a", "b"], "left_anti")), texts, percent))
 
     # third round: buckets that still hold several components; their centers were compared with all members
     rooted = members.where("m > 2").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
@@ -214,7 +216,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cid") < F.col("y.cid")) & (
         F.col("x.root") != F.col("y.root")) & may_link(F.col("x.n"), F.col("y.n"), F.col("x.odd"), F.col("y.odd"), percent)
         & ~earlier).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
-    links, roots = _grow(links, roots, verified(across, texts, percent))
+    roots = _grow(roots, verified(across, texts, percent))
 
     owned = classes.select("key", "cid", "rep_id").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = owned.groupBy("root").agg(F.min("rep_id").alias("component_id"))
@@ -225,13 +227,30 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _grow(links: DataFrame, roots: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and roots with the links that a round found."""
+def _forest_roots(parents: DataFrame) -> DataFrame:
+    """(cid, root) of a forest of (cid, root) rows, one smaller parent for each cid, by pointer jumping."""
+    while True:
+        up = parents.select(F.col("cid").alias("root"), F.col("root").alias("above"))
+        jumped = parents.join(up, "root", "left").select("cid", F.coalesce("above", "root").alias("root"),
+                                                         F.col("above").isNotNull().alias("moved"))
+        jumped = materialize(jumped, "near-roots")
+        parents = jumped.select("cid", "root")
+        if jumped.where("moved").isEmpty():
+            return parents
+
+
+def _grow(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """Roots with the links (a, b) that a round found: components of the few edges between roots."""
     found = materialize(found, "near-links")
     if found.isEmpty():
-        return links, roots
-    links = links.union(found)
-    return links, components(links)
+        return roots
+    side = {c: roots.select(F.col("cid").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"}
+    edges = found.join(side["a"], "a", "left").join(side["b"], "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    merged = components(edges)
+    moved = roots.join(merged.select(F.col("cid").alias("root"), F.col("root").alias("above")), "root", "left").select(
+        "cid", F.coalesce("above", "root").alias("root"))
+    return materialize(moved.union(merged), "near-roots")
 
 
 def _texts_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
