@@ -271,12 +271,17 @@ def test_map_points_defaults(spark):
     df = spark.createDataFrame(rows, "icao24 string, callsign_principal string, compagnie_nom string, "
                                      "latitude double, longitude double, altitude_baro_ft double, vitesse_kmh double, "
                                      "cap_degres double, phase_vol string, flag_changement_altitude_suspect boolean")
+    # the live set's further columns, which the popup shows
+    df = df.withColumns({"origine_pays": F.lit(None).cast("string"), "taux_montee_calcule_ms": F.lit(1.5),
+                         "taux_montee_declare_ms": F.lit(None).cast("double")})
     got = map_points(df).collect()
     a, b = got[0], got[1]
     assert (a["libelle"], a["altitude_ft"], a["vitesse_kmh"], a["rotation_deg"], a["couleur"]) == \
         ("a1", 0, 0, 0.0, "#34a853")
     assert a["infobulle"] == "⚠️ a1 — 0 ft — 0 km/h"
     assert (b["libelle"], b["couleur"], b["infobulle"]) == ("?", "#fbbc04", "? — 1,234 ft — 812 km/h")
+    assert (a["compagnie_nom"], a["origine_pays"], a["phase_vol"], a["taux_montee_calcule_ms"], a["taux_montee_declare_ms"]) == \
+        ("", "?", "MONTEE", 1.5, None)
 
 
 def test_orphan_positions(spark):
