@@ -89,4 +89,4 @@ def test_every_group_gets_a_row(spark):
     assert got[("g2", "expect_unique_proportion")] == (0, 1, False)     # all NULL: no proportion
     assert got[("g2", "unique")] == (0, 0, True)
     assert got[("g1", "relationships")] == (2, 1, False)                # total: the rows checked, not the orphans
-    assert got[("g3", "relationships")] == (0, 0, True)
+    assert got[("g3", "relationships")] == (1, 0, True)
