@@ -3,25 +3,24 @@
 Training. Tasks count, over all whole training texts, every context of ``ORDER``
 symbols with the symbol that follows (symbols are bytes, and an end after each
 text), and every word. Counts are summed by a shuffle, so what is gathered
-grows with the corpus. Shorter contexts are sums of longer ones.
-
-Trie. A (context, symbol) pair is kept if it makes up at least 1/``PAIRS`` of all
-positions. As the pairs of one order add up to all positions, an order has at
-most ``PAIRS`` of them, whatever the corpus; the share is the only rule. A context
-with a kept pair is a node. Dropping a context's oldest symbol keeps it kept.
-
-Probabilities (method C). A node with T occurrences and D different symbols
-predicts a kept symbol seen c times with c / (T + D) and escapes with the rest: D, and the
-occurrences of symbols that are not kept. After an escape the next shorter context is asked with the
-kept symbols of the longer one excluded from its counts; below order 0 all
-symbols not yet excluded are equally likely. As a node's symbols are among those
-of its shorter contexts, all exclusions depend on the last node only, so each
-node stores the totals that its shorter context has after the exclusion.
-
-Scoring. The trie is a hash table of (node, symbol) with the next node (the longest
-context that is a node). A node depends on the last ``ORDER`` symbols only, so texts are cut
-into pieces that first replay ``ORDER`` symbols, and all pieces of a batch walk the
-table together; a document's score is the sum over all its pieces.
+grows with the corpus. Shorter contexts are sums of longer ones. Every counted
+(context, symbol) pair, called a gram, stays in the written table and counts.
+
+Probabilities (method C). A context with T occurrences and D different symbols
+predicts a symbol seen c times with c / (T + D) and escapes with D / (T + D). After
+an escape the next shorter context is asked with the symbols of the longer one
+excluded from its counts; below order 0 all symbols not yet excluded are equally
+likely. As a context's symbols are among those of its shorter contexts, all
+exclusions depend on the last context only: E is what its symbols count in the
+shorter one, whose T + D then is less by E.
+
+Scoring. A symbol's probability depends on its gram only, so a document's score is
+a sum over its grams. The at most ``PAIRS`` most frequent grams travel to the tasks
+as the head; it saves work and changes no result. Each document's other grams are
+looked up by a join with the counts. Grams that training has not seen are asked once
+each, order by order: ``asked`` goes down to the first context that has the symbol, and
+the logs come back up. Every join goes by a pair or a context that at most
+``SYMBOLS`` rows share on either side, but for the documents' own grams, whose side can be split.
 
 The base score is a smoothed unigram. Words that make up at least 1/``HEAD`` of the
 training tokens (at most ``HEAD`` of them) travel to the tasks; all other words are
@@ -39,10 +38,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import delete_path, materialize, scratch_path
 from .common import fold, one_row_per_doc
 from .shingles import steps, words
 
@@ -146,27 +145,135 @@ def _count(batches):
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
-    """(kind, key, n): grams and words of all rows of ``texts`` (one column, text)."""
-    return texts.mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    """(kind, key, n, t, d): grams and words of all rows of ``texts`` (one column, text).
+
+    t, d: all occurrences and all different symbols of a gram's context. One shuffle, by the context, serves both."""
+    own = F.when(F.col("kind") == _GRAM, context(F.col("key"))).otherwise(F.col("key"))
+    dealt = texts.mapInArrow(_count, "kind int, key long, n long").withColumn("ctx", own).repartition("kind", "ctx")
+    same = Window.partitionBy("kind", "ctx")
+    return dealt.groupBy("kind", "ctx", "key").agg(F.sum("n").alias("n")).select(
+        "kind", "key", "n", F.sum("n").over(same).alias("t"), F.count("*").over(same).alias("d"))
+
+
+def shorter(key: Column, k: int) -> Column:
+    """The pair of order ``k`` that a longer pair's key ends with."""
+    return key.bitwiseAND((1 << (_BITS * (k + 1))) - 1)
+
+
+def context(key: Column) -> Column:
+    return F.shiftright(key, _BITS)
+
+
+def head_grams(grams: DataFrame) -> pa.Table:
+    """(key, log) of the most frequent grams, whole classes of counts, ``PAIRS`` grams at most."""
+    level = F.floor(4 * F.log2(F.col("n").cast("double")))
+    least, held = 1 << 10, 0
+    for r in sorted(grams.groupBy(level.alias("level")).count().collect(), reverse=True):      # at most 256 rows
+        held += r["count"]
+        if held > PAIRS:
+            break
+        least = r["level"]
+    return grams.where(level >= least).select("key", F.log10(F.col("n") / (F.col("t") + F.col("d"))).alias("log")).toArrow()
+
+
+def asked(keys: DataFrame, pairs: DataFrame, below: DataFrame | None, k: int) -> DataFrame:
+    """(key, n, t, d, e): each pair of order ``k`` in ``keys`` (distinct) with its count and its context's totals.
+
+    ``below`` has the pairs of the next shorter order. What training has not seen is null."""
+    wanted = keys.select(context(F.col("key")).alias("ctx")).distinct()
+    own = pairs.withColumn("ctx", context(F.col("key"))).join(wanted, "ctx", "left_semi")
+    if below is None:
+        own = own.withColumn("m", F.lit(1))
+    else:
+        own = own.withColumn("short", shorter(F.col("key"), k - 1)).join(
+            below.select(F.col("key").alias("short"), F.col("n").alias("m")), "short")
+    # a context has at most SYMBOLS pairs
+    nodes = own.groupBy("ctx").agg(F.sum("n").alias("t"), F.count("*").alias("d"), F.sum("m").alias("e"),
+                                   F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("has"))
+    return keys.withColumn("ctx", context(F.col("key"))).join(nodes, "ctx", "left").select(
+        "key", F.try_element_at("has", "key").alias("n"), "t", "d", "e")
+
+
+def unseen_logs(keys: DataFrame, grams: DataFrame) -> DataFrame:
+    """(key, log) of distinct grams that training has not seen.
+
+    A pair's probability, asked after a longer context with exclusion E, is 10^part / (total - E)."""
+    spark, paths = grams.sparkSession, {}
+    pairs = {ORDER: grams.select("key", "n")}
+    for k in range(ORDER - 1, -1, -1):
+        paths[k] = scratch_path(spark, "ppm-pairs")
+        pairs[k + 1].groupBy(shorter(F.col("key"), k).alias("key")).agg(F.sum("n").alias("n")).write.parquet(paths[k])
+        pairs[k] = spark.read.schema(pairs[ORDER].schema).parquet(paths[k])
+    found = {}
+    for k in range(ORDER, -1, -1):
+        found[k] = materialize(asked(keys, pairs[k], pairs.get(k - 1), k), "ppm-asked")
+        keys = found[k].where("n IS NULL").select(shorter(F.col("key"), k - 1).alias("key")).distinct()
+    for path in paths.values():
+        delete_path(spark, path)
+    below = None
+    for k in range(ORDER + 1):
+        own = found[k]
+        if below is None:
+            own = own.withColumns({"low_part": F.lit(0.0), "low_total": F.lit(SYMBOLS)})
+        else:
+            own = own.withColumn("short", shorter(F.col("key"), k - 1)).join(below, "short", "left")
+        part = F.when(F.col("t").isNull(), F.col("low_part")).when(F.col("n").isNotNull(), F.log10("n")).otherwise(
+            F.log10("d") + F.col("low_part") - F.log10(F.col("low_total") - F.col("e")))
+        total = F.when(F.col("t").isNull(), F.col("low_total")).otherwise(F.col("t") + F.col("d"))
+        logs = own.select("key", part.alias("part"), total.alias("total"))
+        below = logs.select(F.col("key").alias("short"), F.col("part").alias("low_part"), F.col("total").alias("low_total"))
+    return materialize(logs.select("key", (F.col("part") - F.log10("total")).alias("log")), "ppm-new")
+
+
+class Table:
+    """A hash table of keys that are not negative, and a log for each."""
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray):
+        bits = max(4, int(np.ceil(np.log2(1.4 * max(len(keys), 1)))))
+        self.shift, self.keys, self.logs = np.uint64(64 - bits), np.full(1 << bits, -1), np.zeros(1 << bits)
+        slot = self._slot(keys)
+        while len(keys):
+            first = np.zeros(len(keys), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            put = first & (self.keys[slot] < 0)
+            self.keys[slot[put]], self.logs[slot[put]] = keys[put], logs[put]
+            keys, logs, slot = keys[~put], logs[~put], (slot[~put] + 1) & ((1 << bits) - 1)
+
+    def _slot(self, keys):
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slot of each key, or -1."""
+        slot = self._slot(keys)
+        seen = self.keys[slot]
+        out = np.where(seen == keys, slot, -1)
+        look = np.flatnonzero((seen != keys) & (seen >= 0))
+        slot = slot[look]
+        while len(look):
+            slot = (slot + 1) & (len(self.keys) - 1)
+            seen = self.keys[slot]
+            hit = seen == keys[look]
+            out[look[hit]] = slot[hit]
+            go = ~hit & (seen >= 0)
+            look, slot = look[go], slot[go]
+        return out
 
 
-def kept_pairs(grams: DataFrame, positions: int) -> tuple[pa.Table, pa.Table]:
-    """The trie's content: (k, key, n), the kept (context, symbol) pairs, key's low bits being the symbol, and
-    (k, ctx, t, d), all occurrences and all different symbols of the contexts that have a kept pair."""
-    masked = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("key").bitwiseAND((1 << (_BITS * (k + 1))) - 1).alias("key"))
-                                 for k in range(ORDER + 1)]))
-    pairs = grams.select(masked.alias("p"), "n").groupBy("p.k", "p.key").agg(F.sum("n").alias("n"))
-    often = F.col("n") * PAIRS >= positions
-    # contexts without a frequent symbol are no nodes
-    nodes = pairs.groupBy("k", F.shiftright("key", _BITS).alias("ctx")).agg(
-        F.sum("n").alias("t"), F.count("*").alias("d"), F.max("n").alias("most")).where(
-        F.col("most") * PAIRS >= positions).select("k", "ctx", "t", "d")
-    # at most (ORDER + 1) * PAIRS rows each
-    return pairs.where(often).select("k", "key", "n").toArrow(), nodes.toArrow()
+def times_of(doc: np.ndarray, key: np.ndarray, docs: int) -> pa.ListArray:
+    """For each document its different keys and how often it has each."""
+    by = np.lexsort((key, doc))
+    doc, key = doc[by], key[by]
+    new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])) if len(doc) else np.zeros(0, np.int64)
+    times = np.diff(np.concatenate([new, [len(doc)]]))
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(doc[new], minlength=docs))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(
+        [pa.array(key[new]), pa.array(times.astype(np.int32))], ["key", "times"]))
 
 
 class Trie:
-    """Nodes with their escapes, and a hash table of (node, symbol) -> log count and next node."""
+    """The same model in memory, for counts that fit; the operator is tested against it.
+
+    Nodes with their escapes, and a hash table of (node, symbol) -> log count and next node."""
 
     def __init__(self, pairs: pa.Table, nodes: pa.Table):
         k, key, n = (pairs.column(c).to_numpy() for c in ("k", "key", "n"))
@@ -324,18 +431,19 @@ def ppm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     base = one_row_per_doc(docs, doc_id, text)
-    counts = materialize(corpus_counts(base.where(fold(F.col("doc_id"), 5) != 1).select("text")), "ppm-counts")
-    grams = counts.where(F.col("kind") == _GRAM).select("key", "n")
+    learned = F.coalesce(fold(F.col("doc_id"), 5) != 1, F.lit(False))
+    counts = materialize(corpus_counts(base.where(learned).select("text")), "ppm-counts")
+    grams = counts.where(F.col("kind") == _GRAM).select("key", "n", "t", "d")
     known = counts.where(F.col("kind") == _WORD).select("key", "n")
-    size = counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()      # two rows
-    positions = next((r["n"] for r in size if r["kind"] == _GRAM), 0)
-    n_train, n_types = next(((r["n"], r["v"]) for r in size if r["kind"] == _WORD), (0, 0))
-    trie = Trie(*kept_pairs(grams, positions))
+    size = known.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    n_train, n_types = size["n"] or 0, size["v"]
+    common = head_grams(grams)
+    table = Table(common.column("key").to_numpy(), common.column("log").to_numpy())
     # at most HEAD words, by the share rule
     head = known.where(F.col("n") * HEAD >= n_train).toArrow()
     order = np.argsort(head.column("key").to_numpy())
     head_keys, head_counts = head.column("key").to_numpy()[order], head.column("n").to_numpy()[order]
-    shared = spark.sparkContext.broadcast((trie, head_keys, np.log10(head_counts + 0.5)))
+    shared = spark.sparkContext.broadcast((table, head_keys, np.log10(head_counts + 0.5)))
 
     def score(batches):
         model, keys, logs = shared.value
@@ -348,31 +456,35 @@ def ppm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 w = np.concatenate([w, np.full(b - a, END_WORD)]).astype(np.int64)
                 spot = np.minimum(np.searchsorted(keys, w), max(len(keys) - 1, 0))
                 hit = keys[spot] == w if len(keys) else np.zeros(len(w), bool)
-                sums = np.bincount(doc[hit], weights=logs[spot[hit]], minlength=b - a)
+                sums = np.bincount(doc[hit], weights=logs[spot[hit]], minlength=b - a).astype(float)
                 in_head = np.bincount(doc[hit], minlength=b - a)
-                # the others, as (word, times) of each document
-                td, tw = doc[~hit], w[~hit]
-                by = np.lexsort((tw, td))
-                td, tw = td[by], tw[by]
-                new = np.flatnonzero(np.concatenate([[True], (td[1:] != td[:-1]) | (tw[1:] != tw[:-1])])) if len(td) else np.zeros(0, np.int64)
-                times = np.diff(np.concatenate([new, [len(td)]]))
-                bounds = np.concatenate([[0], np.cumsum(np.bincount(td[new], minlength=b - a))]).astype(np.int32)
-                rare = pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays(
-                    [pa.array(tw[new]), pa.array(times.astype(np.int32))], ["key", "times"]))
+                g = grams_of(part)
+                of = np.repeat(np.arange(b - a), [len(x) + 1 for x in part])
+                at = model.find(g)
+                quick = at >= 0
+                gram_sum = np.bincount(of[quick], weights=model.logs[at[quick]], minlength=b - a).astype(float)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(np.bincount(doc, minlength=b - a).astype(np.int64)),
-                     pa.array(in_head.astype(np.int64)), pa.array(sums), pa.array(model.score(part)), rare],
-                    ["doc_id", "n_tokens", "in_head", "head_sum", "score", "rare"])
+                     pa.array(in_head.astype(np.int64)), pa.array(sums), pa.array(gram_sum), times_of(doc[~hit], w[~hit], b - a),
+                     times_of(of[~quick], g[~quick], b - a)],
+                    ["doc_id", "n_tokens", "in_head", "head_sum", "gram_sum", "rare", "grams"])
 
-    scored = base.mapInArrow(score, "doc_id long, n_tokens long, in_head long, head_sum double, score double, "
-                                    "rare array<struct<key: long, times: int>>")
+    scored = base.mapInArrow(score, "doc_id long, n_tokens long, in_head long, head_sum double, gram_sum double, "
+                                    "rare array<struct<key: long, times: int>>, grams array<struct<key: long, times: int>>")
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "ppm-scored")
     looked = scored.select("row", F.explode("rare").alias("w")).select("row", "w.key", "w.times").join(known, "key", "left")
     c = F.coalesce("n", F.lit(0))
     rare = looked.groupBy("row").agg(F.sum(F.col("times") * F.log10(c + 0.5)).alias("rare_sum"),
                                      F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"))
+    # only texts that were not learned from have grams that training has not seen
+    new = scored.where(~learned).select(F.explode("grams.key").alias("key")).distinct().join(grams, "key", "left_anti")
+    new = unseen_logs(materialize(new, "ppm-unseen"), grams)
+    model = grams.select("key", F.log10(F.col("n") / (F.col("t") + F.col("d"))).alias("log")).unionByName(new)
+    left = scored.select("row", F.explode("grams").alias("g")).select("row", "g.key", "g.times").join(model, "key")
+    left = left.groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("left_sum"))
     floor = math.log10(n_train + 0.5 * (n_types + 1))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    return scored.drop("rare", "grams").join(rare, "row", "left").join(left, "row", "left").select(
         "doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens",
         (F.col("in_head") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("head_sum") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * floor).alias("base_score"), "score")
+        (F.col("head_sum") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * floor).alias("base_score"),
+        (F.col("gram_sum") + F.coalesce("left_sum", F.lit(0.0))).alias("score"))

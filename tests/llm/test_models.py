@@ -131,6 +131,28 @@ def test_ppm_pieces_do_not_change_scores(monkeypatch):
     assert np.allclose(ppm.Trie(*table).score(texts), whole)
 
 
+def test_ppm_scores_use_every_pair_whatever_the_head(spark, empty, monkeypatch):
+    """A small head, as at a large corpus, must not change the score: rare pairs count."""
+    fold = lambda i: None if i is None else zlib.crc32(str(i).encode()) % 5
+    small = [(i, t[:300]) for i, t in _documents(spark)[1][:30]]
+    short = [(i, t) for i, t in EDGE_ROWS if len(t or "") < 1000]
+    for rows in (small, short, [(None, "ab")]):
+        df, of = frame(spark, rows), [(i, (t or "").encode()) for i, t in rows]
+        monkeypatch.setattr(ppm, "PAIRS", 1 << 40)
+        kept, nodes = _trie([t for i, t in of if fold(i) not in (None, 1)])
+
+        def log(body, kept=kept, nodes=nodes):
+            symbols = [ppm.END] * ppm.ORDER + [*body, ppm.END]
+            return sum(_ppm_log(kept, nodes, symbols[:p], symbols[p]) for p in range(ppm.ORDER, len(symbols)))
+
+        monkeypatch.setattr(ppm, "PAIRS", 40)
+        got = sorted(((r.doc_id is None, r.doc_id or 0, r.score) for r in ppm.ppm_scores(df).collect()))
+        want = sorted((i is None, i or 0, log(t)) for i, t in of)
+        assert [x[:2] for x in got] == [x[:2] for x in want]
+        assert [x[2] for x in got] == pytest.approx([x[2] for x in want], rel=1e-9)
+    assert ppm.ppm_scores(empty).collect() == []
+
+
 def test_grams_match_plain_counting():
     bodies = [b"", b"ab", b"abcdefgh", b"", b"xyz"]
     want = collections.Counter()
