@@ -1,11 +1,13 @@
 """Packing: optimal length buckets and token-budget batches.
 
-1. One aggregation gives the global histogram of token counts. Lengths are
-   rounded up to a grid of at most 1/``GRID`` relative width (exact below
-   2 * GRID), so the histogram has a bounded number of rows for any corpus.
+1. One aggregation gives the global histogram of token counts. Its cells are
+   a grid of at most 1/``GRID`` relative width (one length each below
+   2 * GRID), so the histogram has a bounded number of rows for any corpus; a
+   cell's length is the longest that occurs in it.
 2. Dynamic programming over the whole histogram chooses ``buckets`` boundaries
    that minimise the padded tokens (every document is padded to its bucket's
-   length). Documents are never cut: the last boundary is the longest length.
+   length) among cuts between cells. Documents are never cut: the last boundary is
+   the longest length, and every boundary is a length that occurs.
 3. Inside a bucket, documents get consecutive places. A place is the sum of the
    documents in earlier shards plus the place inside the shard; shards are
    hash-dealt and their number follows the row count, so a bucket with most of
@@ -85,15 +87,16 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokens: st
     # the row number is stored, so that a retried task deals and orders rows as before
     sized = materialize(sized.withColumns({"length": grid_length(F.col("n_tokens")),
                                            "row": F.monotonically_increasing_id()}), "pack-lengths")
-    hist = sized.groupBy("length").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t")).orderBy("length").collect()
-    bounds = optimal_boundaries(np.array([r["length"] for r in hist]), np.array([r["n"] for r in hist]),
+    hist = sized.groupBy("length").agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t"),
+                                       F.max("n_tokens").alias("longest")).orderBy("length").collect()
+    bounds = optimal_boundaries(np.array([r["longest"] for r in hist]), np.array([r["n"] for r in hist]),
                                 np.array([r["t"] for r in hist]), buckets)
     n_shards = max(1, -(-sum(r["n"] for r in hist) // shard_rows))
     bucket = F.lit(None).cast("int")
     size = F.lit(None).cast("long")
     for k in range(len(bounds) - 1, -1, -1):
-        bucket = F.when(F.col("length") <= bounds[k], k).otherwise(bucket)
-        size = F.when(F.col("length") <= bounds[k], F.lit(bounds[k])).otherwise(size)
+        bucket = F.when(F.col("n_tokens") <= bounds[k], k).otherwise(bucket)
+        size = F.when(F.col("n_tokens") <= bounds[k], F.lit(bounds[k])).otherwise(size)
     placed = sized.select("doc_id", "n_tokens", "row", bucket.cast("int").alias("bucket_id"), size.cast("long").alias("bucket_tokens"),
                           F.pmod(F.xxhash64("row"), F.lit(n_shards)).cast("int").alias("shard"))
     counts = placed.groupBy("bucket_id", "shard").agg(F.count("*").alias("rows"))

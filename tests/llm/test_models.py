@@ -225,6 +225,16 @@ def test_packing(spark, edge, empty):
     assert packing.pack(empty).collect() == []
 
 
+def test_packing_pads_to_lengths_that_occur(spark):
+    rows = [(i, "w " * (n - 1)) for i, n in enumerate([131, 131, 129, 5461, 5461, 5461, 300])]
+    got = packing.pack(frame(spark, rows), buckets=2).collect()
+    longest = collections.defaultdict(int)
+    for r in got:
+        longest[r.bucket_id] = max(longest[r.bucket_id], r.n_tokens)
+    assert all(r.bucket_tokens == longest[r.bucket_id] for r in got)
+    assert len({r.batch_id for r in got if r.n_tokens == 5461}) == 1        # three of 5,461 fit the budget
+
+
 # ---- top-k ------------------------------------------------------------------
 
 def brute_top(rows, k, is_query):
