@@ -95,6 +95,13 @@ def test_line_dedup(spark, edge):
     assert _rows(line_dedup.line_dedup(df), *cols) == brute_lines(rows)
 
 
+def test_line_dedup_keeps_positions_of_other_texts_under_the_same_id(spark):
+    common, own = "a common line that is long enough to be a key", "a unique line that only this one row has, at position 0"
+    rows = [(1, common + "\nx"), (1, own + "\ny"), (1, own + "\ny"), *((i, common) for i in range(2, 7))]
+    got = _rows(line_dedup.line_dedup(frame(spark, rows)).where("doc_id = 1"), "n_dropped", "kept_text")
+    assert got == {(1, "x"): 1, (0, own + "\ny"): 2}
+
+
 def test_line_dedup_runs_no_python(spark):
     df, _ = _documents(spark)
     plan = line_dedup.line_dedup(df)._jdf.queryExecution().executedPlan().toString()
