@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, near_dedup, packing, pii, ppm, quality, suffix_dedup, topk
+from . import bpe, exact_dedup, filter_audit, line_dedup, near_dedup, packing, pii, ppm, quality, suffix_dedup, topk
 from .common import table, workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,11 @@ def op10(spark, sf_dir):
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op11_filter_audit")
+def op11(spark, sf_dir):
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 ORACLE["op4_exact_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
 g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
@@ -117,3 +122,47 @@ WITH v AS (
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+ORACLE["op11_filter_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), firsts AS (SELECT body, min(doc_id) AS first_id FROM d GROUP BY body),
+good AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         len(words) < 200 AS A, 100 * len(list_distinct(words)) < 50 * len(words) AS B,
+         100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g'))) > 2 * length(body) AS C,
+         regexp_matches(body, '[#$%&*|]') AS D, coalesce(d.doc_id > first_id, false) AS E, count(*) AS n
+  FROM d JOIN firsts USING (body) LEFT JOIN good ON good.doc_id = d.doc_id GROUP BY ALL
+), fails AS (
+  SELECT *, CASE letter WHEN 'A' THEN A WHEN 'B' THEN B WHEN 'C' THEN C WHEN 'D' THEN D ELSE E END AS failed,
+         A::INT + B::INT + C::INT + D::INT + E::INT AS n_failed
+  FROM cells, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS l(letter)
+), orders AS (
+  SELECT a || b || c || d || e AS filter_order
+  FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS a), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS b),
+       (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c), (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS d),
+       (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS e)
+  WHERE len(list_distinct([a, b, c, d, e])) = 5
+), steps AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step:step] AS letter, filter_order[1:step - 1] AS before
+             FROM orders, range(1, 6) AS r(step)),
+audited AS (
+  SELECT part, filter_order, step, s.letter, failed, good, toxic, n, n_failed,
+         (A AND contains(before, 'A')) OR (B AND contains(before, 'B')) OR (C AND contains(before, 'C'))
+         OR (D AND contains(before, 'D')) OR (E AND contains(before, 'E')) AS gone
+  FROM steps s JOIN fails f ON s.letter = f.letter
+), summed AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (NOT failed AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (failed AND NOT gone), 0) AS removed,
+         coalesce(sum(n) FILTER (failed AND gone), 0) AS redundant,
+         coalesce(sum(n) FILTER (failed AND n_failed = 1), 0) AS unique_fails,
+         coalesce(sum(n) FILTER (failed AND NOT gone AND good), 0) AS good_lost,
+         coalesce(sum(n) FILTER (failed AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM audited GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM summed
+"""
