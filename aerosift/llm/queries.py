@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, filter_audit, line_dedup, near_dedup, packing, pii, ppm, quality, suffix_dedup, topk
+from . import bpe, exact_dedup, filter_audit, line_dedup, near_dedup, packing, pii, ppm, quality, simhash, suffix_dedup, topk
 from .common import table, workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,11 @@ def op11(spark, sf_dir):
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register("op12_simhash")
+def op12(spark, sf_dir):
+    return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op4_exact_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
 g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
