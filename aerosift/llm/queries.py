@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, filter_audit, line_dedup, near_dedup, packing, pii, ppm, quality, simhash, suffix_dedup, topk
+from . import bpe, exact_dedup, filter_audit, lexical, line_dedup, near_dedup, packing, pii, ppm, quality, simhash, suffix_dedup, topk
 from .common import table, workers_import
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ def op12(spark, sf_dir):
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+@register("op13_lexical_search")
+def op13(spark, sf_dir):
+    return lexical.lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 ORACLE["op4_exact_dedup"] = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
 g AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
@@ -171,3 +176,24 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
        CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
 FROM summed
 """
+
+ORACLE["op13_lexical_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), sizes AS (SELECT r, doc_id, len(terms) AS n, terms FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM sizes) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * total.docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, total.docs),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), scores AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * total.docs) // total.terms)))) AS BIGINT) AS score
+  FROM items JOIN w USING (term) JOIN tf USING (term), total GROUP BY item_id, r, doc_id
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
