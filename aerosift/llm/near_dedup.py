@@ -1,24 +1,25 @@
 """MinHash near-dedup with odd sketches.
 
-1. A task hashes each whole text to its set of distinct five-word shingles and
-   takes ``BANDS * ROWS`` MinHash samples. Samples are folded two ways: into
-   ``BANDS`` band keys, and into an odd sketch, a bitmap of ``BITS`` parities in
-   which sample i flips one bit chosen by (i, value). The population count of the
-   XOR of two sketches estimates high similarities closely.
+1. A task hashes each whole text to its set of distinct five-word shingles. ``BANDS * ROWS``
+   MinHash samples give ``BANDS`` band keys. ``SAMPLES`` further samples, the least shingle of each of as many
+   bins, give an odd sketch: a bitmap of ``BITS`` parities in which each sample flips the bit
+   chosen by its value. The population count of the XOR of two sketches estimates high similarities closely.
 2. Documents with equal sets form one class. Classes that share a band key are
    candidates. At similarity 0.75 a pair shares none of the 40 bands of 4 rows
    with probability 2.5e-7, at 0.8 with 6e-10.
 3. First round: every class is compared with one class, the smallest that it meets as
    the smallest of a bucket. Second round: with the smallest classes of its other buckets that are
    not in its component yet. The odd sketch drops clear misses (more than five
-   deviations below the threshold); every other pair is decided on its full shingle sets.
+   deviations beyond the threshold); every other pair is decided on its full shingle sets.
 4. The first round's links give each class one smaller neighbour; pointer jumping
    makes them components. Later links join components by alternating star contraction. A group of
    thousands of near copies gives a pair or few for each member and is one component then.
-5. Third round: buckets whose classes are still in several components are joined with
-   themselves on pairs of different components, with the sketch and size tests
-   inside the join and each pair in the first bucket it shares only; survivors
-   are decided on full sets. Now every candidate link is verified or inside a component.
+5. Third round: the members of buckets that still hold several components meet in one task for each
+   bucket, or, where their texts exceed ``BUCKET_BYTES``, one for each pair of the bucket's blocks. A pair that reaches
+   the similarity shares one of the rarest quarter of either set's shingles (rarity as counted among the members), so
+   members whose rarest quarter is found in no other component leave at once: those that share a common passage only. Among
+   the others sizes and sketches rule pairs out, full sets decide, and only links that join two
+   components are returned. Now every candidate link is verified or inside a component.
 
 Every decision uses whole sets; sketches only rule pairs out.
 
@@ -27,7 +28,8 @@ shingles, are linked with nothing and stay. Fewer than five words make one
 shingle of the whole sequence. Rows that repeat an id are members like any other
 (their texts may differ); a row stays if its id is the smallest of its
 component. A component of null ids only has a null ``component_id`` and its rows
-stay. An empty table gives an empty result. Further columns are ignored.
+stay. A very long text is hashed as a whole inside one task (about 40 bytes of memory for
+each of its bytes). An empty table gives an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,24 +46,43 @@ from ..session import materialize
 from .common import one_row_per_doc
 from .shingles import mix, shingle_sets, steps
 
-BANDS, ROWS, BITS = 40, 4, 1024
+BANDS, ROWS, SAMPLES, BITS = 40, 4, 1024, 4096
+#: Text that a task of the third round holds, for one block of a bucket.
+BUCKET_BYTES = 24 << 20
 SIMILARITY_PERCENT = 75
-_SAMPLES = BANDS * ROWS
+_MINIMA = BANDS * ROWS
 _rng = np.random.default_rng(4242)
-_MULTIPLY = _rng.integers(0, 2**32, _SAMPLES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_ADD = _rng.integers(0, 2**32, _SAMPLES, dtype=np.uint64).astype(np.uint32)
-_SALT = _rng.integers(0, 2**63, _SAMPLES, dtype=np.uint64)
+_MULTIPLY = _rng.integers(0, 2**32, _MINIMA, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+_ADD = _rng.integers(0, 2**32, _MINIMA, dtype=np.uint64).astype(np.uint32)
+_SALT = _rng.integers(0, 2**63, _MINIMA, dtype=np.uint64)
 _BAND_SALT = _rng.integers(0, 2**63, BANDS, dtype=np.uint64)
 
 
-def most_flips(percent: int, samples: int = _SAMPLES, bits: int = BITS, deviations: float = 5.0) -> int:
-    """Largest XOR population count of a pair that may reach the similarity.
+def most_flips(n_a, n_b, percent: int, functions=np, deviations: float = 5.0):
+    """Largest XOR population count of a pair of sets of these sizes that may reach the similarity.
 
-    Of ``samples`` samples, those that differ are binomial; each flips two random bits."""
+    The union has at most (n_a + n_b) * 100 / (100 + percent) shingles, so that many bins or ``SAMPLES`` have a sample; those
+    that differ are at most binomial, and each flips two random bits. ``functions``: numpy, or Spark's functions for columns."""
     miss = 1 - percent / 100
-    differ = samples * miss + deviations * math.sqrt(samples * miss * (1 - miss))
-    expected = bits / 2 * (1 - (1 - 2 / bits) ** (2 * differ))
-    return int(expected + deviations * math.sqrt(expected / 2)) + 1
+    union = (n_a + n_b) * (100 / (100 + percent))
+    bins = np.minimum(union, SAMPLES) if functions is np else functions.least(union, functions.lit(float(SAMPLES)))
+    differ = bins * miss + functions.sqrt(bins * (miss * (1 - miss))) * deviations
+    expected = (functions.exp(differ * (-4 / BITS)) * -1 + 1) * (BITS / 2)
+    return expected + functions.sqrt(expected / 2) * deviations + 1
+
+
+def odd_sketches(bounds: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Odd sketches of non-empty sorted sets: the least hash of each bin flips one bit. One row of 64-bit words for each set."""
+    n_sets = len(bounds) - 1
+    mixed = mix(values ^ np.uint64(0x6A09E667F3BCC909))
+    of = np.repeat(np.arange(n_sets), np.diff(bounds))
+    cell = of * SAMPLES + (mixed >> np.uint64(64 - int(SAMPLES).bit_length() + 1)).astype(np.int64)
+    order = np.lexsort((mixed, cell))
+    cell, mixed = cell[order], mixed[order]
+    least = np.concatenate([[True], cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, bool)
+    at = (cell[least] // SAMPLES) * BITS + (mix(mixed[least]) & np.uint64(BITS - 1)).astype(np.int64)
+    parity = (np.bincount(at, minlength=n_sets * BITS) & 1).astype(np.uint8).reshape(n_sets, BITS)
+    return np.packbits(parity, axis=1).view(np.int64)
 
 
 def sketch_batch(bodies: list[bytes]):
@@ -71,18 +92,17 @@ def sketch_batch(bodies: list[bytes]):
     some = np.flatnonzero(sizes)
     keys = [hashlib.blake2b(values[bounds[i]:bounds[i + 1]].tobytes(), digest_size=16).digest() if sizes[i] else None
             for i in range(len(bodies))]
-    samples = np.empty((_SAMPLES, len(some)), np.uint32)
+    samples = np.empty((_MINIMA, len(some)), np.uint32)
     low = (values ^ (values >> np.uint64(32))).astype(np.uint32)
-    for k in range(_SAMPLES if len(some) else 0):
+    for k in range(_MINIMA if len(some) else 0):
         samples[k] = np.minimum.reduceat(low * _MULTIPLY[k] + _ADD[k], bounds[some])
     wide = mix(samples.astype(np.uint64) ^ _SALT[:, None])
     grouped = wide.reshape(BANDS, ROWS, -1)
     band = _BAND_SALT[:, None] * np.ones(len(some), np.uint64)
     for r in range(ROWS):
         band = mix(band ^ grouped[:, r] * np.uint64(2 * r + 3))
-    flips = (wide & np.uint64(BITS - 1)).astype(np.int64) + np.arange(len(some)) * BITS
-    parity = (np.bincount(flips.ravel(), minlength=len(some) * BITS) & 1).astype(np.uint8).reshape(-1, BITS)
-    return sizes, keys, some, band.T.astype(np.int64), np.packbits(parity, axis=1).view(np.int64)
+    odd = odd_sketches(np.concatenate([[0], np.cumsum(sizes[some])]), values)
+    return sizes, keys, some, band.T.astype(np.int64), odd
 
 
 _SKETCH = "doc_id long, place long, n long, key binary, bands array<long>, odd array<long>"
@@ -111,7 +131,7 @@ def flips(a: Column, b: Column) -> Column:
 
 def may_link(n_a: Column, n_b: Column, odd_a: Column, odd_b: Column, percent: int) -> Column:
     """Sizes and sketches that do not rule the pair out."""
-    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (flips(odd_a, odd_b) <= most_flips(percent))
+    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (flips(odd_a, odd_b) <= most_flips(n_a, n_b, percent, F))
 
 
 def _decide(percent: int):
@@ -183,7 +203,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # the texts of all candidate classes, fetched once for all rounds
     wanted = members.select("cid").distinct().join(classes.select("cid", "key", "place"), "cid")
     texts = _texts_of(base, wanted)
-    about = classes.select("cid", "n", "odd", "bands")
+    about = classes.select("cid", "n", "odd")
 
     def likely(pairs):
         """Pairs that sizes and sketches do not rule out."""
@@ -207,16 +227,8 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rooted = members.where("m > 2").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     split = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
     split = materialize(split.select("bucket"), "near-split")
-    rest = materialize(rooted.where("cid <> center").join(split, "bucket", "left_semi").join(about, "cid").select(
-        "bucket", "band", "cid", "root", "n", "odd", "bands"), "near-rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    # a pair that shares several buckets is looked at in the first of them only
-    earlier = F.exists(F.zip_with(F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("x.band")),
-                                  lambda p, q: p == q), lambda same: same)
-    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cid") < F.col("y.cid")) & (
-        F.col("x.root") != F.col("y.root")) & may_link(F.col("x.n"), F.col("y.n"), F.col("x.odd"), F.col("y.odd"), percent)
-        & ~earlier).select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
-    roots = _grow(roots, verified(across, texts, percent))
+    rest = rooted.where("cid <> center").join(split, "bucket", "left_semi").select("bucket", "cid", "root")
+    roots = _grow(roots, _within_buckets(materialize(rest, "near-rest"), about, texts, percent))
 
     owned = classes.select("key", "cid", "rep_id").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = owned.groupBy("root").agg(F.min("rep_id").alias("component_id"))
@@ -227,6 +239,85 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _within_buckets(rest: DataFrame, about: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components inside buckets; ``rest``: bucket, cid, root."""
+    full = rest.join(texts, "cid").join(about.select("cid", "odd"), "cid")
+    sizes = rest.join(texts.select("cid", F.octet_length("text").alias("size")), "cid").groupBy("bucket").agg(
+        F.ceil(F.sum("size") / BUCKET_BYTES).cast("int").alias("blocks"))
+    full = full.join(materialize(sizes, "near-blocks"), "bucket").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = full.select("bucket", "cid", "root", "odd", "text", "own", other)
+    return pairs.groupBy("bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two")).applyInArrow(
+        _bucket_links(percent), "a long, b long")
+
+
+def prefixes(bounds: np.ndarray, number: np.ndarray, count: np.ndarray, percent: int) -> np.ndarray:
+    """Which shingles are among the rarest of their set that a set must share one of to reach the similarity.
+
+    number: each value's place among the distinct shingles; count: how many sets hold a distinct shingle."""
+    n = np.diff(bounds)
+    of = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((number, count[number], of))
+    place = np.empty(len(number), np.int64)
+    place[order] = np.arange(len(number)) - np.repeat(bounds[:-1], n)
+    return place < (n + (-percent * n) // 100 + 1)[of]
+
+
+def linked_members(bodies: list[bytes], root: np.ndarray, odd: np.ndarray, side: np.ndarray | None, percent: int, rows: int = 64):
+    """(i, j) of members whose links join components: a spanning forest between the roots.
+
+    ``side``: pairs between the sides 0 and 1 only; None: all pairs."""
+    sets = [shingle_sets([body])[1] for body in bodies]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
+    values = np.concatenate(sets)
+    distinct, number, count = np.unique(values, return_inverse=True, return_counts=True)
+    of = np.repeat(np.arange(len(sets)), np.diff(bounds))
+    order = np.argsort(number, kind="stable")
+    first = np.concatenate([[0], np.cumsum(count)[:-1]])
+    across = np.minimum.reduceat(root[of[order]], first) < np.maximum.reduceat(root[of[order]], first)
+    stays = np.zeros(len(sets), bool)
+    stays[of[prefixes(bounds, number, count, percent) & across[number]]] = True
+    alive = np.flatnonzero(stays)
+    label, n, found = np.unique(root, return_inverse=True)[1], np.diff(bounds), []
+    words = odd.view(np.uint64)
+    for at in range(0, len(alive), rows):
+        left = alive[at:at + rows]
+        right = alive[at + 1:] if side is None else alive
+        a, b = n[left][:, None], n[right][None, :]
+        may = (label[left][:, None] != label[right][None, :]) & (np.minimum(a, b) * 100 >= np.maximum(a, b) * percent)
+        if side is not None:
+            may &= (side[left] == 0)[:, None] & (side[right] == 1)[None, :]
+        else:
+            may &= np.arange(len(right))[None, :] >= np.arange(len(left))[:, None]
+        for k in np.flatnonzero(may.any(axis=1)):
+            i, js = left[k], right[may[k]]
+            js = js[label[js] != label[i]]
+            js = js[np.bitwise_count(words[js] ^ words[i]).sum(axis=1, dtype=np.int64) <= most_flips(n[i], n[js], percent)]
+            if not len(js):
+                continue
+            held = np.zeros(len(distinct), bool)
+            held[number[bounds[i]:bounds[i + 1]]] = True
+            for j in js:
+                both = int(held[number[bounds[j]:bounds[j + 1]]].sum())
+                if label[j] != label[i] and 100 * both >= percent * (n[i] + n[j] - both):
+                    found.append((i, j))
+                    label[label == label[j]] = label[i]
+    return found
+
+
+def _bucket_links(percent: int):
+    def run(key, rows):
+        one, two = key[1].as_py(), key[2].as_py()
+        side = None if one == two else (rows.column("own").to_numpy() != one).astype(int)
+        bodies = rows.column("text").cast(pa.binary()).to_pylist()
+        odd = np.array(rows.column("odd").to_pylist(), np.int64).reshape(len(bodies), -1)
+        cid = rows.column("cid").to_numpy()
+        found = np.array(linked_members(bodies, rows.column("root").to_numpy(), odd, side, percent), np.int64).reshape(-1, 2)
+        return pa.table({"a": cid[found].min(axis=1), "b": cid[found].max(axis=1)})
+
+    return run
+
+
 def _forest_roots(parents: DataFrame) -> DataFrame:
     """(cid, root) of a forest of (cid, root) rows, one smaller parent for each cid, by pointer jumping."""
     while True:

@@ -215,3 +215,57 @@ def test_near_dedup_chains_and_unlike_documents_that_share_a_passage(spark):
 @pytest.mark.parametrize("fn", [exact_dedup.exact_dedup, line_dedup.line_dedup, suffix_dedup.suffix_dedup, near_dedup.near_dedup])
 def test_empty_table(empty, fn):
     assert fn(empty).collect() == []
+
+
+def test_bucket_links_join_the_same_components_as_all_pairs_in_any_blocks():
+    import numpy as np
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    passage = [word() for _ in range(80)]
+    texts = [" ".join(passage[rng.randint(0, 30):] + [word() for _ in range(rng.randint(0, 25))]) for _ in range(150)]
+    sets = [shingles(t) for t in texts]
+    bodies = [t.encode() for t in texts]
+    _, _, some, _, odd = near_dedup.sketch_batch(bodies)
+    assert len(some) == len(bodies)
+
+    def roots(edges, start):
+        up = dict(enumerate(start))
+        def find(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+        for a, b in edges:
+            a, b = find(int(a)), find(int(b))
+            up[max(a, b)] = min(a, b)
+        return [find(i) for i in range(len(start))]
+
+    true = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert len(true) > 100
+    start = [i - i % 2 if i < 20 else i for i in range(len(sets))]       # some are in components already
+    found = near_dedup.linked_members(bodies, np.array(start), odd, None, 75)
+    assert {(max(p), min(p)) for p in found} <= set(true)
+    assert roots(found, start) == roots(true, start)
+    assert len(found) < len(sets)
+    side = np.array([i % 2 for i in range(len(sets))])
+    found = near_dedup.linked_members(bodies, np.array(start), odd, side, 75)
+    assert roots(found, start) == roots([p for p in true if side[p[0]] != side[p[1]]], start)
+
+
+def test_odd_sketches_rule_no_link_out_and_separate_clear_misses():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (4, 40, 400, 4000):
+        for _ in range(60):
+            pool = np.unique(rng.integers(0, 2**63, 2 * n).astype(np.uint64))
+            for k, linked in ((n // 8, True), (n // 2, False)):
+                a, b = np.sort(pool[:n]), np.sort(pool[k:n + k])
+                both = len(np.intersect1d(a, b))
+                similar = both / (2 * n - both)
+                odd = near_dedup.odd_sketches(np.array([0, n, 2 * n]), np.concatenate([a, b])).view(np.uint64)
+                passes = np.bitwise_count(odd[0] ^ odd[1]).sum() <= near_dedup.most_flips(n, n, 75)
+                if linked and similar >= 0.75:
+                    assert passes
+                elif not linked and n >= 4000:
+                    assert not passes
