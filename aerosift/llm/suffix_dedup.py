@@ -15,25 +15,29 @@ the digit, hash of the whole stretch its strings cover, document, place), which
 also spreads a digit that a third of all documents share over many partitions.
 One pass over that order drops digits that occur once.
 
-Equal stretches. Where digit and stretch are equal, all strings are; everything but
+Equal stretches. Where digit and stretch are equal (two hashes of 64 bits), all strings are; everything but
 the first occurrence goes, and only the first goes on to the next digits.
 
 Further digits. Groups of one digit with several different stretches fetch the
 stretches' bytes, put all their strings in a table and sort on, eight bytes at
-a time, dropping what is alone, down to full depth. Groups of more than
-``GROUP`` stretches are sorted by the digit pass of the shuffle instead: their strings
-become rows of (digit, string hash) whose smallest position is summed per task
-before the rows meet.
+a time, dropping what is alone, down to full depth. A group of more than ``GROUP`` stretches
+is too large for one task's table: it takes another digit pass through the shuffle first. The digit is widened by as
+many bytes as every string still holds on one of its sides (32, 66, 83, 92, ... 100), strings with room on the
+right take the bytes there, the others those on the left, and the two parts of each stretch are
+sorted like stand-ins: unique digits go, equal parts are decided at once, groups that are small now are sorted in
+a table. A stretch is at most two rows in each pass, and at the last one digits are whole strings.
 
 Defined results: null texts and texts shorter than ``LENGTH`` lose nothing. Rows that
-repeat an id are ordered by their text's hash and then alike: a string in both
-counts as earlier in the one that sorts first, and of two rows with equal id
-and equal text neither is earlier, so both lose what repeats elsewhere or inside.
-A null id sorts last. An empty table gives an empty result. Further columns are ignored.
+repeat an id are ordered by their text's hash: a string in both counts as earlier in the one
+that sorts first. Rows with equal id and equal text are one text: neither is earlier, and both lose
+alike what repeats elsewhere or inside. A null id sorts last. A very long text is hashed
+as a whole inside one task, which takes about 60 bytes of memory for each of its bytes. An empty table gives an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,7 +48,7 @@ from .common import shuffle_partitions, text_of
 from .shingles import mix, powers, steps
 
 LENGTH, DIGIT = 100, 32
-#: Stretches that one task sorts together; larger groups are sorted by rows.
+#: Stretches that one task sorts together; larger groups take further digit passes first.
 GROUP = 512
 _rng = np.random.default_rng(991)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
@@ -136,18 +140,57 @@ _STAND_INS = "digit long, stretch long, doc long, version long, pos long"
 _ORDER = ["digit", "stretch", "doc", "version", "pos"]
 
 
-def _emit(batches):
+def _emitted(batches):
+    """Stand-ins of (doc, version, text) rows, a few texts at a time."""
     for batch in batches:
         bodies = batch.column(2).cast(pa.binary()).to_pylist()
         for a, b in steps([len(x) for x in bodies]):
             row, first, n, place, digit, stretch = stand_ins(bodies[a:b])
-            doc, version = (batch.column(i).slice(a, b - a).take(pa.array(row)) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digit.astype(np.int64)), pa.array(stretch.astype(np.int64)), doc, version,
-                 pa.array(pack_place(first, n, place - first))], _ORDER)
+            doc, version = (batch.column(i).slice(a, b - a).take(pa.array(row)).to_numpy() for i in (0, 1))
+            yield digit.astype(np.int64), stretch.astype(np.int64), doc, version, pack_place(first, n, place - first)
+
+
+def _sampled(every: int):
+    """A sample of the stand-ins, for bounds: one of ``every``."""
+    def run(batches):
+        for columns in _emitted(batches):
+            keep = mix(columns[1].view(np.uint64) ^ columns[4].astype(np.uint64)) % np.uint64(every) == 0
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], _ORDER)
+
+    return run
+
+
+def _dealt(bounds: np.ndarray):
+    """Stand-ins with the number of their range; ``bounds`` are sorted rows of ``_ORDER``."""
+    digits, rows = bounds[:, 0], list(map(tuple, bounds.tolist()))
+
+    def run(batches):
+        for columns in _emitted(batches):
+            low, high = np.searchsorted(digits, columns[0], "left"), np.searchsorted(digits, columns[0], "right")
+            part = high.copy()
+            for i in np.flatnonzero(low < high):      # the digit is a bound itself: compare the rest of the row
+                part[i] = bisect.bisect_right(rows, tuple(int(c[i]) for c in columns), int(low[i]), int(high[i]))
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(part.astype(np.int32))], [*_ORDER, "part"])
+
+    return run
+
 
+def _by_range(base: DataFrame, parts: int, rows: int) -> DataFrame:
+    """Stand-ins of ``base``, partitioned by ranges of ``_ORDER`` and sorted.
 
-_MARKED = _STAND_INS + ", head boolean, alone boolean, opening boolean"
+    The bounds come from a sample of the texts (about 8 for each partition) and of their stand-ins, so that texts are hashed
+    once; any bounds give the same result. A digit of many rows is several bounds, and so several partitions."""
+    every = max(1, rows // (8 * parts))
+    looked = base.where(F.pmod(F.xxhash64("doc", "version"), F.lit(every)) == 0)
+    found = looked.mapInArrow(_sampled(8), _STAND_INS).toArrow()
+    table = np.stack([found.column(c).to_numpy() for c in _ORDER], axis=1) if found.num_rows else np.zeros((0, len(_ORDER)), np.int64)
+    table = table[np.lexsort(table.T[::-1])]
+    bounds = table[np.linspace(0, len(table), parts + 1).astype(int)[1:-1]] if len(table) >= parts else table
+    dealt = base.mapInArrow(_dealt(bounds), _STAND_INS + ", part int")
+    return dealt.repartitionById(len(bounds) + 1, "part").drop("part").sortWithinPartitions(*_ORDER)
+
+
+_MARKS = ", head boolean, alone boolean, opening boolean"
 
 
 def _marked(batches):
@@ -193,10 +236,10 @@ def _marked(batches):
         open_, now = out, (digit[-1], stretch[-1])
         opening = (digit == start[0]) & (stretch == start[1])
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(head), pa.array(alone), pa.array(opening)],
-                                         [*_ORDER, "head", "alone", "opening"]).filter(pa.array(keep))
+                                         [*batch.schema.names, "head", "alone", "opening"]).filter(pa.array(keep))
     if held is not None:
         flags = [pa.array([x]) for x in (True, False, False)]
-        yield pa.RecordBatch.from_arrays([*held.columns, *flags], [*_ORDER, "head", "alone", "opening"])
+        yield pa.RecordBatch.from_arrays([*held.columns, *flags], [*held.schema.names, "head", "alone", "opening"])
 
 
 def msd_groups(words: np.ndarray, at: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,20 +321,55 @@ def _sort_groups(batches):
         yield from flush(held)
 
 
-def _string_rows(batches):
-    """Stretches of large groups -> a row per string."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        row, start, lag, at, buf = _strings_of(batch.column(3).to_numpy(), batch.column(4).to_pylist())
-        take = pa.array(row)
-        hashes = Rolling(buf).of(at, at + LENGTH)
-        for a in range(0, len(row), 1 << 16):
-            part = slice(a, a + (1 << 16))
+def widths() -> list[int]:
+    """Digit widths of the passes: each string holds the next digit on one side of the last."""
+    out = [DIGIT]
+    while out[-1] < LENGTH:
+        out.append((LENGTH + 1 + out[-1]) // 2)
+    return out
+
+
+def wider(pos: np.ndarray, bodies: list[bytes], digit: np.ndarray, old: int, new: int):
+    """The two parts of each stretch under a digit of ``new`` bytes instead of ``old``.
+
+    Returns (row, digit, stretch, pos, begin, end): the part's bytes are bodies[row][begin:end]."""
+    first, n, lag = unpack_place(pos)
+    row, more = np.arange(len(pos)), new - old
+    # string i has its digit at lag - i; strings with at most LENGTH - new bytes left of it have room on the right
+    cut = np.clip(lag - (LENGTH - new), 0, n)
+    parts = []
+    for at, count, shift in ((np.zeros_like(cut), cut, more), (cut, n - cut, 0)):
+        some = count > 0
+        parts.append((row[some], at[some], count[some], (lag - at - shift)[some], np.full(int(some.sum()), shift > 0)))
+    row, at, count, lag, left = (np.concatenate(x) for x in zip(*parts))
+    start = np.cumsum([0] + [len(x) for x in bodies])[:-1][row] + at
+    rolling = Rolling(np.frombuffer(b"".join(bodies), np.uint8))
+    place = start + lag
+    # the old digit is part of the key, so that groups only become finer
+    key = mix(rolling.of(place, place + new) ^ mix(digit[row].view(np.uint64) ^ left.astype(np.uint64)))
+    end = at + count - 1 + LENGTH
+    stretch = mix(rolling.of(start, start - at + end) ^ (lag * 512 + count).astype(np.uint64))
+    return row, key.view(np.int64), stretch.view(np.int64), pack_place(first[row] + at, count, lag), at, end
+
+
+_BODY = ["digit", "doc", "version", "pos", "body"]
+_WIDE = _STAND_INS + ", body binary"
+
+
+def _widened(old: int, new: int):
+    """Stretches of large groups with their bytes -> their parts under the wider digit."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            bodies = batch.column(4).to_pylist()
+            row, digit, stretch, pos, begin, end = wider(batch.column(3).to_numpy(), bodies, batch.column(0).to_numpy(), old, new)
+            take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take[part]), pa.array(lag[part].astype(np.int32)), pa.array(hashes[part].astype(np.int64)),
-                 batch.column(1).take(take[part]), batch.column(2).take(take[part]), pa.array(start[part].astype(np.int32))],
-                ["digit", "lag", "hash", "doc", "version", "start"])
+                [pa.array(digit), pa.array(stretch), batch.column(1).take(take), batch.column(2).take(take), pa.array(pos),
+                 pa.array([bodies[r][a:b] for r, a, b in zip(row, begin, end)], pa.binary())], [*_ORDER, "body"])
+
+    return run
 
 
 def _bodies(batches):
@@ -332,49 +410,53 @@ def _cut(batches):
 _LAST = 2**63 - 1
 
 
-def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (bytes)."""
-    spark = docs.sparkSession
-    # versions tell the texts of a repeated id apart; without repeated ids they are all 0
-    repeated = docs.groupBy(docs[doc_id].cast("long")).count().where("count > 1").limit(1)
-    version = F.lit(0).cast("long") if repeated.isEmpty() else F.xxhash64("text")
-    base = docs.select(F.coalesce(docs[doc_id].cast("long"), F.lit(_LAST)).alias("doc"), text_of(docs, text).alias("text")).select(
-        "doc", version.alias("version"), "text")
-    rows = base.mapInArrow(_emit, _STAND_INS).repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
-    marked = materialize(rows.mapInArrow(_marked, _MARKED), "suffix-marked")
-
+def _first_and_same(marked: DataFrame):
+    """(rows of marked that are first in their (digit, stretch), spans of the others)."""
     # a (digit, stretch) that began in an earlier partition is not first there: at most one key for each partition
     opening = F.broadcast(marked.where("head AND opening").select("digit", "stretch"))
     place = F.struct("doc", "version", "pos")
     firsts = marked.where("head").join(opening, ["digit", "stretch"], "left_semi").groupBy("digit", "stretch").agg(
         F.min(place).alias("first_place"))
-    marked = marked.join(F.broadcast(firsts), ["digit", "stretch"], "left").withColumn(
+    found = marked.join(F.broadcast(firsts), ["digit", "stretch"], "left").withColumn(
         "first", F.col("head") & (F.col("first_place").isNull() | (place == F.col("first_place"))))
-
     start, n = F.shiftright("pos", 14), F.shiftright("pos", 7).bitwiseAND(127)
-    same = marked.where("NOT first").select("doc", "version", start.cast("int").alias("start"),
-                                            (start + n - 1 + LENGTH).cast("int").alias("stop"))
-    deeper = marked.where("first AND NOT alone").select("digit", "doc", "version", "pos")
-    large = materialize(deeper.groupBy("digit").count().where(F.col("count") > group).select("digit"), "suffix-large")
+    same = found.where("NOT first").select("doc", "version", start.cast("int").alias("start"),
+                                           (start + n - 1 + LENGTH).cast("int").alias("stop"))
+    return found.where("first AND NOT alone"), same
+
 
+def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (bytes)."""
+    spark = docs.sparkSession
+    ids = docs.groupBy(docs[doc_id].cast("long")).agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    repeated = (ids.most or 0) > 1
+    # versions tell the texts of a repeated id apart; without repeated ids they are all 0
+    version = F.xxhash64("text") if repeated else F.lit(0).cast("long")
+    base = docs.select(F.coalesce(docs[doc_id].cast("long"), F.lit(_LAST)).alias("doc"), text_of(docs, text).alias("text")).select(
+        "doc", version.alias("version"), "text")
+    once = base.dropDuplicates(["doc", "version"]) if repeated else base
     parts = shuffle_partitions(spark)
-    texts = base.repartition(parts, "doc", "version")        # one exchange for both joins below
+    marked = materialize(_by_range(once, parts, ids.rows or 0).mapInArrow(_marked, _STAND_INS + _MARKS), "suffix-marked")
+    deeper, spans = _first_and_same(marked)
+    deeper = deeper.select("digit", "doc", "version", "pos")
 
-    def bodies(stretches, run=_bodies, kind="digit long, doc long, version long, pos long, body binary"):
-        wanted = stretches.groupBy("doc", "version").agg(F.collect_list(F.struct("digit", "pos")).alias("wanted"))
-        return texts.join(wanted, ["doc", "version"]).select("doc", "version", "text", "wanted").mapInArrow(run, kind)
-
-    small = bodies(deeper.join(large, "digit", "left_anti"))
-    sorted_ = small.repartition("digit").sortWithinPartitions("digit", "doc", "version", "pos").mapInArrow(_sort_groups, _SPANS)
-    spans = same.union(sorted_)
-    if not large.isEmpty():
-        strings = bodies(deeper.join(large, "digit", "left_semi"), lambda batches: _string_rows(_bodies(batches)),
-                         "digit long, lag int, hash long, doc long, version long, start int")
-        strings = materialize(strings, "suffix-strings")
-        at = F.struct("doc", "version", "start")
-        least = strings.groupBy("digit", "lag", "hash").agg(F.min(at).alias("least"))
-        spans = spans.union(strings.join(least, ["digit", "lag", "hash"]).where(at > F.col("least")).select(
-            "doc", "version", "start", (F.col("start") + LENGTH).cast("int").alias("stop")))
+    texts = base.repartition(parts, "doc", "version")        # one exchange for both joins below
+    wanted = deeper.groupBy("doc", "version").agg(F.collect_list(F.struct("digit", "pos")).alias("wanted"))
+    held = (texts.dropDuplicates(["doc", "version"]) if repeated else texts).join(wanted, ["doc", "version"])
+    deeper = held.select("doc", "version", "text", "wanted").mapInArrow(_bodies, "digit long, doc long, version long, pos long, body binary")
+    for old, new in zip(widths(), [*widths()[1:], None]):
+        deeper = materialize(deeper, "suffix-deeper")
+        counts = deeper.groupBy("digit").count().where(F.col("count") > group).select("digit")
+        large = materialize(counts, "suffix-large") if new else counts.limit(0)
+        small = deeper.join(large, "digit", "left_anti")
+        spans = spans.union(small.repartition("digit").sortWithinPartitions("digit", "doc", "version", "pos").mapInArrow(_sort_groups, _SPANS))
+        if new is None or large.isEmpty():
+            break
+        wide = materialize(deeper.join(large, "digit", "left_semi").mapInArrow(_widened(old, new), _WIDE), "suffix-wide")
+        sorted_ = wide.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER)
+        marked = materialize(sorted_.mapInArrow(_marked, _WIDE + _MARKS), "suffix-marked")
+        deeper, same = _first_and_same(marked)
+        deeper, spans = deeper.select(*_BODY), spans.union(same)
     listed = spans.groupBy("doc", "version").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     cut = texts.join(listed, ["doc", "version"], "left").select("doc", "text", "spans").mapInArrow(
         _cut, "doc long, n_bytes long, n_removed long, n_spans long, kept binary")

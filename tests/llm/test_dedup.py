@@ -142,6 +142,55 @@ def test_suffix_dedup(spark, edge, group):
     assert collections.Counter(tuple(bytes(r[c]) if c == "kept" else r[c] for c in cols) for r in got.collect()) == brute_suffix(rows)
 
 
+def _cut_rows(got):
+    return collections.Counter(tuple(bytes(r[c]) if c == "kept" else r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept"))
+                               for r in got.collect())
+
+
+def test_suffix_dedup_leaves_a_repeated_row_whole(spark):
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    own, shared = text(400), text(150)
+    rows = [(1, own)] * 300 + [(2, text(300)), (3, text(50) + shared), (4, shared + text(70))] + [(4, "no other has this " * 2)] + [(None, own[::-1])] * 2
+    got = _cut_rows(suffix_dedup.suffix_dedup(frame(spark, rows)))
+    assert {k[:4]: n for k, n in got.items() if k[0] in (1, None)} == {(1, 400, 0, 0): 300, (None, 400, 0, 0): 2}
+    assert {k[2] for k in got if k[0] == 4} == {150, 0} and {k[2] for k in got if k[0] in (2, 3)} == {0}
+
+
+@pytest.mark.parametrize("group", [1, 3])
+def test_suffix_dedup_of_large_groups_takes_wider_digits(spark, group):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    lines = [text(n) for n in (40, 64, 70, 90, 99, 100, 101, 140, 260)]
+    rows = [(i, text(rng.randint(0, 90)) + line[rng.randint(0, 3):] + text(rng.randint(0, 90))) for i, line in enumerate(lines * 9)]
+    assert _cut_rows(suffix_dedup.suffix_dedup(frame(spark, rows), group=group)) == brute_suffix(rows)
+
+
+def test_wider_digits_stay_inside_their_strings_and_agree():
+    import numpy as np
+
+    rng = random.Random(3)
+    passage = bytes(rng.choice(b"abcdef") for _ in range(260))
+    bodies = [bytes(rng.choice(b"xyz") for _ in range(rng.randint(0, 80))) + passage[rng.randint(0, 60):] for _ in range(6)]
+    doc, first, n, place, digit, _ = suffix_dedup.stand_ins(bodies)
+    pos = suffix_dedup.pack_place(first, n, place - first)
+    held = [bodies[d][a:a + m - 1 + 100] for d, a, m in zip(doc, first, n)]
+    digit = digit.astype(np.int64)
+    for old, new in zip(suffix_dedup.widths(), suffix_dedup.widths()[1:]):
+        row, digit, _, pos, begin, end = suffix_dedup.wider(pos, held, digit, old, new)
+        doc, held = doc[row], [held[r][a:b] for r, a, b in zip(row, begin, end)]
+        covered, alike = set(), {}
+        for d, p, body, key in zip(doc, pos, held, digit):
+            first, m, lag = (int(x) for x in suffix_dedup.unpack_place(p))
+            assert body == bodies[d][first:first + m - 1 + 100]
+            for i in range(m):
+                assert (d, first + i) not in covered and 0 <= lag - i and lag - i + new <= 100
+                covered.add((d, first + i))
+                string = bodies[d][first + i:first + i + 100]
+                assert alike.setdefault(string, (key, lag - i)) == (key, lag - i)
+        assert len(covered) == sum(max(0, len(b) - 99) for b in bodies)
+
+
 def test_stand_ins_cover_every_string_once_and_alike():
     rng = random.Random(5)
     for t in range(30):
