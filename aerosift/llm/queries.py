@@ -197,3 +197,43 @@ items AS (
 ), ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+ORACLE["op1_suffix_dedup"] = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (
+  SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS p FROM d)
+), gone AS (
+  SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS nth FROM strings) WHERE nth > 1
+), runs AS (
+  SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM (
+    SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (
+      SELECT *, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh FROM gone))
+  GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs
+), cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last_b,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept || substr(h, 2 * last_b + 1), h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+ORACLE["op5_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                                 WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w
+), sizes AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach(r, other) AS (SELECT r, r FROM w UNION SELECT reach.r, links.y FROM reach JOIN links ON links.x = reach.other),
+least AS (SELECT reach.r AS r, min(w.doc_id) AS component_id FROM reach JOIN w ON w.r = reach.other GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM w JOIN least USING (r) LEFT JOIN sizes USING (r)
+"""
