@@ -477,3 +477,8 @@ def q_stream_segments(spark, sf_dir):
     from ..streaming.pipeline import track_segments_stream
 
     return _drain(spark, sf_dir, "segments", lambda stg: track_segments_stream(stg, 120, STREAM_WATERMARK))[0]
+
+
+from . import catalog_history  # noqa: E402
+
+REGISTRY |= catalog_history.REGISTRY
