@@ -1,7 +1,8 @@
 """Job entry points for spark-submit (the scheduled runs of the upstream pipeline).
 
     spark-submit -m aerosift.cli build  --raw RAW --root MARTS --as-of "2024-01-01 03:00:00"
-    spark-submit -m aerosift.cli update --raw RAW --root MARTS --as-of ... [--lookback-hours 2]
+    spark-submit -m aerosift.cli land   --landing DIR --raw RAW --feed FEED --key 2024-01-01T03-00 --as-of ...
+    spark-submit -m aerosift.cli update --raw RAW --root MARTS --as-of ... [--feed FEED | --lookback-hours 2]
     spark-submit -m aerosift.cli ingest --landing DIR --root MARTS --checkpoint DIR [--every "10 minutes"]
     spark-submit -m aerosift.cli check  --root MARTS --on-failure raise
     spark-submit -m aerosift.cli serve  --root MARTS --as-of ... --out DIR
@@ -37,9 +38,23 @@ def cmd_build(spark, a) -> dict:
     return {"built": a.root}
 
 
+def cmd_land(spark, a) -> dict:
+    """One landed batch -> raw table and change feed, as its own run."""
+    from .operators.feed import merge_to_feed
+    from .sources.states import FRANCE, parse_states, read_states
+
+    positions, _ = parse_states(read_states(spark, a.landing), _ts(a.as_of), FRANCE)
+    return merge_to_feed(spark, positions, a.raw, a.feed, a.key)
+
+
 def cmd_update(spark, a) -> dict:
+    """Apply what the feed holds and this reader has not applied, or without a feed the upstream look-back slice."""
+    from .operators.feed import apply_feed
     from .plans.incremental import incremental_update, lookback_slice
 
+    if a.feed:
+        return {"applied": apply_feed(spark, a.raw, a.feed, "marts", lambda rows: incremental_update(
+            spark, a.root, _raw(spark, a.raw), rows, _ts(a.as_of)))}
     raw = _raw(spark, a.raw)
     return incremental_update(spark, a.root, raw, lookback_slice(raw, _ts(a.as_of), a.lookback_hours),
                               _ts(a.as_of))
@@ -102,6 +117,10 @@ def parser() -> argparse.ArgumentParser:
     u.add_argument("--root", required=True)
     u.add_argument("--as-of", required=True)
     u.add_argument("--lookback-hours", type=float, default=2)
+    u.add_argument("--feed", default=None, help="change feed to apply instead of a look-back slice")
+    n = sub.add_parser("land")
+    for name in ("--landing", "--raw", "--feed", "--key", "--as-of"):
+        n.add_argument(name, required=True)
     i = sub.add_parser("ingest")
     i.add_argument("--landing", required=True)
     i.add_argument("--root", required=True)
@@ -119,7 +138,7 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-COMMANDS = {"build": cmd_build, "update": cmd_update, "ingest": cmd_ingest, "check": cmd_check, "serve": cmd_serve}
+COMMANDS = {"build": cmd_build, "land": cmd_land, "update": cmd_update, "ingest": cmd_ingest, "check": cmd_check, "serve": cmd_serve}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:

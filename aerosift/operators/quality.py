@@ -110,22 +110,26 @@ def _row(suite, i, chk, observed, total, unexpected, success):
     )
 
 
-def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
-              refs: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Evaluate every check of ``suite`` on the whole of ``df`` (optionally per ``by`` group)."""
-    by = list(by or [])
-    cols = set(df.columns)
-    parts: list[DataFrame] = []
+ROW_KINDS = {"not_null", "expect_not_null", "accepted_range", "accepted_values", "expect_between", "expect_in_set",
+             "expect_match_regex"}
+VALUE_KINDS = {"unique", "expect_unique", "expect_unique_proportion"}
 
-    # 1) one aggregation for all row-level checks + row counts
-    aggs: list[Column] = [F.count(F.lit(1)).alias("_n")]
-    rows = []
-    n = F.col("_n")
+
+def row_counts(suite: Suite) -> list[Column]:
+    """The suite's row-level checks as counts (``_n`` rows, ``_u<i>`` unexpected, ``_t<i>`` total): they add up over parts."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
     for i, chk in enumerate(suite.checks):
-        if chk.kind in ("not_null", "expect_not_null", "accepted_range", "accepted_values",
-                        "expect_between", "expect_in_set", "expect_match_regex"):
+        if chk.kind in ROW_KINDS:
             u, t = _row_level(chk, F.count(F.lit(1)))
             aggs += [u.alias(f"_u{i}"), t.alias(f"_t{i}")]
+    return aggs
+
+
+def row_results(counts: DataFrame, suite: Suite, columns: set[str], by: list[str]) -> DataFrame | None:
+    """Results of the row-level, row-count and column checks from ``row_counts``."""
+    rows, n = [], F.col("_n")
+    for i, chk in enumerate(suite.checks):
+        if chk.kind in ROW_KINDS:
             uu, tt = F.col(f"_u{i}"), F.col(f"_t{i}")
             if chk.kind in STRICT_KINDS:
                 ok = uu == 0
@@ -142,43 +146,63 @@ def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
                 ok = ok & (n <= chk.max)
             rows.append(_row(suite.name, i, chk, n, n, F.when(ok, 0).otherwise(1), ok))
         elif chk.kind == "column_exists":
-            exists = chk.column in cols
+            exists = chk.column in columns
             rows.append(_row(suite.name, i, chk, F.lit(1.0 if exists else 0.0), n,
                              F.lit(0 if exists else 1), F.lit(exists)))
-    if rows:
-        agg = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-        parts.append(agg.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*"))
-
-    # 2) uniqueness / distinct proportion: one grouped count per column
-    uniq_cols = sorted({c.column for c in suite.checks
-                        if c.kind in ("unique", "expect_unique", "expect_unique_proportion")})
-    for col in uniq_cols:
-        # group by value *including* NULL so every ``by`` group (even an all-NULL one) yields a row
+    return counts.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*") if rows else None
+
+
+def value_columns(suite: Suite) -> list[str]:
+    """Columns that the suite's uniqueness and proportion checks look at."""
+    return sorted({c.column for c in suite.checks if c.kind in VALUE_KINDS})
+
+
+def value_counts(per_value: DataFrame, column: str, by: list[str]) -> DataFrame:
+    """(value, _cnt) -> ``_dup`` rows of repeated values, ``_distinct`` values, ``_nonnull`` rows."""
+    known = F.col(column).isNotNull()
+    aggs = [F.coalesce(F.sum(F.when(known & (F.col("_cnt") > 1), F.col("_cnt"))), F.lit(0)).alias("_dup"),
+            F.count(F.when(known, 1)).alias("_distinct"),
+            F.coalesce(F.sum(F.when(known, F.col("_cnt"))), F.lit(0)).alias("_nonnull")]
+    # without ``by`` this is a global aggregate: one row even for an empty table
+    return per_value.groupBy(*by).agg(*aggs) if by else per_value.agg(*aggs)
+
+
+def value_results(stats: DataFrame, suite: Suite, column: str, by: list[str]) -> DataFrame:
+    """Results of the uniqueness and proportion checks of a column from ``value_counts``."""
+    rows = []
+    dup, dist, nn = F.col("_dup"), F.col("_distinct"), F.col("_nonnull")
+    for i, chk in enumerate(suite.checks):
+        if chk.column != column:
+            continue
+        if chk.kind == "unique":
+            rows.append(_row(suite.name, i, chk, dup, nn, dup, dup == 0))
+        elif chk.kind == "expect_unique":
+            rows.append(_row(suite.name, i, chk, F.when(nn > 0, (nn - dup).cast("double") / nn),
+                             nn, dup, _mostly_ok(dup, nn, chk.mostly)))
+        elif chk.kind == "expect_unique_proportion":
+            p = F.when(nn > 0, dist.cast("double") / nn)
+            ok = F.coalesce((p >= chk.min) & (p <= chk.max), F.lit(False))
+            rows.append(_row(suite.name, i, chk, p, nn, F.when(ok, 0).otherwise(1), ok))
+    return stats.select(*by, F.explode(F.array(*rows)).alias("r")).select(*by, "r.*")
+
+
+def run_suite(df: DataFrame, suite: Suite, by: list[str] | None = None,
+              refs: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Evaluate every check of ``suite`` on the whole of ``df`` (optionally per ``by`` group)."""
+    by = list(by or [])
+    parts: list[DataFrame] = []
+
+    # 1) one aggregation for all row-level checks + row counts
+    aggs = row_counts(suite)
+    found = row_results(df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs), suite, set(df.columns), by)
+    if found is not None:
+        parts.append(found)
+
+    # 2) uniqueness / distinct proportion: one grouped count per column, by value *including* NULL,
+    #    so every ``by`` group (even an all-NULL one) yields a row
+    for col in value_columns(suite):
         per_value = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("_cnt"))
-        nn_value = F.col(col).isNotNull()
-        stats_aggs = [
-            F.coalesce(F.sum(F.when(nn_value & (F.col("_cnt") > 1), F.col("_cnt"))), F.lit(0)).alias("_dup"),
-            F.count(F.when(nn_value, 1)).alias("_distinct"),
-            F.coalesce(F.sum(F.when(nn_value, F.col("_cnt"))), F.lit(0)).alias("_nonnull"),
-        ]
-        # without ``by`` this is a global aggregate: one row even for an empty table
-        stats = per_value.groupBy(*by).agg(*stats_aggs) if by else per_value.agg(*stats_aggs)
-        urows = []
-        dup, dist, nn = F.col("_dup"), F.col("_distinct"), F.col("_nonnull")
-        for i, chk in enumerate(suite.checks):
-            if chk.column != col:
-                continue
-            if chk.kind == "unique":
-                urows.append(_row(suite.name, i, chk, dup, nn, dup, dup == 0))
-            elif chk.kind == "expect_unique":
-                urows.append(_row(suite.name, i, chk, F.when(nn > 0, (nn - dup).cast("double") / nn),
-                                  nn, dup, _mostly_ok(dup, nn, chk.mostly)))
-            elif chk.kind == "expect_unique_proportion":
-                p = F.when(nn > 0, dist.cast("double") / nn)
-                ok = F.coalesce((p >= chk.min) & (p <= chk.max), F.lit(False))
-                urows.append(_row(suite.name, i, chk, p, nn, F.when(ok, 0).otherwise(1), ok))
-        if urows:
-            parts.append(stats.select(*by, F.explode(F.array(*urows)).alias("r")).select(*by, "r.*"))
+        parts.append(value_results(value_counts(per_value, col, by), suite, col, by))
 
     # 3) foreign keys: child values reduced to (value, rows) per group first (partial
     #    aggregation); only distinct values meet the parent's key set, in a left join whose

@@ -115,3 +115,110 @@ def q_feed_fact(spark, sf_dir):
             apply_feed(spark, table, feed, "marts", update if i else build)
     apply_feed(spark, table, feed, "marts", update)
     return read_fact(spark, root)
+
+
+# ---- state on streams (STR5) -------------------------------------------------------
+
+@register("stream_state_rates")
+def q_state_rates(spark, sf_dir):
+    """Climb rates from per-aircraft state, over several micro-batches with restarts between; every window closes."""
+    from ..streaming.rates import rocksdb_state, state_rates_stream
+    from .catalog import STREAM_WATERMARK, _drain
+
+    with rocksdb_state(spark):
+        return _drain(spark, sf_dir, "rates", lambda stg: state_rates_stream(stg, STREAM_WATERMARK))[0]
+
+
+# ---- incremental suites (DQ19) -------------------------------------------------------
+
+def _in_slices(spark, sf_dir, follow) -> str:
+    """The marts built from the rows of the first two hours, then updated with the rest. ``follow(root, touched)`` is called
+    after both, with the hours that were written. Returns the tables' root."""
+    from ..functions.timecols import ntz_literal
+    from .catalog import INCREMENTAL_CUT
+    from .incremental import incremental_update
+    from .tables import FACT_PARTITIONS, build_tables, read_fact
+
+    raw = raw_positions(spark, sf_dir)
+    root, early = scratch_path(spark, "sliced-marts"), F.col("ingested_at") < ntz_literal(INCREMENTAL_CUT)
+    build_tables(spark, raw.where(early), root, AS_OF)
+    follow(root, read_fact(spark, root).select(*FACT_PARTITIONS).distinct())
+    incremental_update(spark, root, raw, raw.where(~early), AS_OF,
+                       on_delta=lambda delta: follow(root, delta.select(*FACT_PARTITIONS).distinct()))
+    return root
+
+
+def _checked_in_slices(spark, sf_dir, suite, pinned=()):
+    """``_in_slices`` with the suite's states kept up to date; returns the root of the tables and that of the states."""
+    from ..operators.quality_state import update_states
+    from .tables import FACT_PARTITIONS, read_fact
+
+    root = _in_slices(spark, sf_dir, lambda root, touched: update_states(
+        spark, read_fact(spark, root), touched, f"{root}/dq", suite, FACT_PARTITIONS, pinned))
+    return root, f"{root}/dq"
+
+
+@register("dq_fact_incremental")
+def q_dq_incremental(spark, sf_dir):
+    """The fact suite from states of each hour; the update checked the hours that it rewrote, no others."""
+    from ..operators.quality import FACT_SUITE
+    from ..operators.quality_state import suite_results
+    from .tables import FACT_PARTITIONS, read_fact
+
+    pinned = ("position_sk",)        # hashes the row's own 30 s window, which lies in one hour
+    root, states = _checked_in_slices(spark, sf_dir, FACT_SUITE, pinned)
+    return suite_results(spark, read_fact(spark, root), states, FACT_SUITE, FACT_PARTITIONS, pinned)
+
+
+@register("dq_mart_incremental")
+def q_dq_mart_incremental(spark, sf_dir):
+    """The fact's model tests, the foreign key among them, from states of each hour."""
+    from ..operators.quality import FACT_TESTS
+    from ..operators.quality_state import suite_results
+    from .tables import FACT_PARTITIONS, read_dim, read_fact
+
+    root, states = _checked_in_slices(spark, sf_dir, FACT_TESTS)
+    return suite_results(spark, read_fact(spark, root), states, FACT_TESTS, FACT_PARTITIONS, (), {"dim_vols": read_dim(spark, root)})
+
+
+# ---- bitmap rollups (INS1, INS3, INS4) -------------------------------------------------
+
+def _rolled_up(spark, sf_dir) -> str:
+    from ..operators.rollups import update_rollups
+    from .tables import read_fact
+
+    return _in_slices(spark, sf_dir, lambda root, touched: update_rollups(spark, read_fact(spark, root), touched, f"{root}/rollup"))
+
+
+RANGE = (datetime(2024, 1, 1, 0, 50), datetime(2024, 1, 1, 2, 20))
+
+
+@register("rollup_traffic")
+def q_rollup_traffic(spark, sf_dir):
+    """Distinct aircraft from the hour bitmaps, after an update that replaced the touched hours only: for each slot and each sliding
+    hour in the air, each weekday and hour, and one range that begins and ends inside an hour."""
+    from ..functions.timecols import ntz_literal
+    from ..operators import rollups as r
+
+    rollup = r.read_rollup(spark, f"{_rolled_up(spark, sf_dir)}/rollup")
+    none = {"debut": F.lit(None).cast("timestamp_ntz"), "jour_semaine": F.lit(None).cast("int"), "heure_journee": F.lit(None).cast("int")}
+    answers = {"slot": r.in_air(rollup).withColumnRenamed("tranche_10min", "debut"), "sliding": r.in_air_sliding(rollup),
+               "hour": r.by_hour(rollup), "range": r.distinct_aircraft(r.in_range(rollup, *map(ntz_literal, RANGE)))}
+    out = None
+    for name, frame in answers.items():
+        frame = frame.select(F.lit(name).alias("question"), *[F.col(c) if c in frame.columns else v.alias(c) for c, v in none.items()],
+                             "avions", "nb_positions")
+        out = frame if out is None else out.unionByName(frame)
+    return out
+
+
+@register("rollup_by_country")
+def q_rollup_country(spark, sf_dir):
+    """Aircraft seen in a range, by country, from bitmaps alone."""
+    from ..functions.timecols import ntz_literal
+    from ..operators import rollups as r
+    from .tables import read_dim
+
+    root = _rolled_up(spark, sf_dir)
+    rollup = r.in_range(r.read_rollup(spark, f"{root}/rollup"), *map(ntz_literal, RANGE))
+    return r.by_country(rollup, r.numbers(spark, f"{root}/rollup"), read_dim(spark, root))

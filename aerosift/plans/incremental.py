@@ -30,6 +30,7 @@ The result equals a full rebuild for any split of the input into batches.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,8 +85,11 @@ def affected_raw(raw: DataFrame, context: DataFrame, window_s: int = 30) -> Data
 
 
 def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw: DataFrame, as_of: datetime,
-                       window_s: int = 30, max_gap_s: int = 120, max_rate: int = 100) -> dict:
-    """Apply the new raw rows (already merged into ``raw``) to int, dim and fact."""
+                       window_s: int = 30, max_gap_s: int = 120, max_rate: int = 100,
+                       on_delta: Callable[[DataFrame], object] | None = None) -> dict:
+    """Apply the new raw rows (already merged into ``raw``) to int, dim and fact.
+
+    ``on_delta`` gets the stored fact rows that were replaced or added, after all tables are written."""
     p = paths(root)
     k = max(1, math.ceil(max_gap_s / window_s))
     touched = materialize(touched_windows(new_raw, window_s), "touched")      # read five times below
@@ -129,6 +133,8 @@ def incremental_update(spark: SparkSession, root: str, raw: DataFrame, new_raw:
     # fact rows of the emitted windows (their keys and partitions are fixed by position_id)
     fact_new = materialize(position_fact(new_int, read_dim(spark, root), as_of), "fact-delta")
     upsert(spark, fact_new, p["fact"], "position_sk", FACT_PARTITIONS, "vol_sk")
+    if on_delta:
+        on_delta(fact_new)
     return {"recomputed_positions": new_int.count()}
 
 

@@ -43,16 +43,18 @@ def _event_time(df: DataFrame, col: str = "timestamp_position_utc") -> DataFrame
     return df.withColumn(EVENT_TS, F.col(col).cast("timestamp"))
 
 
-def window_winners_stream(stg: DataFrame, watermark: str = "2 hours", window_s: int = 30) -> DataFrame:
+def window_winners_stream(stg: DataFrame, watermark: str = "2 hours", window_s: int = 30, event_time: bool = False) -> DataFrame:
     """Best row per (icao24, 30 s window) on a stream of staged rows; a window
-    is emitted (append mode) once the watermark passes its end."""
+    is emitted (append mode) once the watermark passes its end. ``event_time`` adds the window's time
+    under that name, with the watermark, for a further stateful operator."""
     s = _event_time(clean_rows(stg)).withColumn(
         "quality_score", F.coalesce(F.col("source_capteur"), F.lit(NO_SOURCE_SCORE)))
     s = s.withWatermark(EVENT_TS, watermark)
     payload = F.struct(*[F.col(c) for c in STG_PAYLOAD if c != "icao24"], F.col("quality_score"))
     g = s.groupBy("icao24", F.window(EVENT_TS, f"{window_s} seconds").alias("_win")).agg(
         F.min_by(payload, F.struct(*dedup_order())).alias("_w"))
-    out = g.select("icao24", F.col("_win.start").cast("timestamp_ntz").alias("window_30s"), "_w.*")
+    time = [F.window_time("_win").alias("event_time")] * event_time
+    out = g.select("icao24", F.col("_win.start").cast("timestamp_ntz").alias("window_30s"), "_w.*", *time)
     return out.select(surrogate_key("icao24", "window_30s").alias("position_id"), *out.columns)
 
 
