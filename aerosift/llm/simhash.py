@@ -142,7 +142,7 @@ def grow(sample: np.ndarray, half, scale: float, shard: int, block: int, seed: i
     Returns nodes in a list: (node, numbers of its children) or (None, blocks of the shard)."""
     rng, nodes = np.random.default_rng(seed), []
     # a shard whose sample is small says little about balance, so it is not split further here
-    enough = max(shard / scale, 16)
+    enough = max(shard / max(scale, 1), 16)
 
     def build(a, b):
         at = len(nodes)
