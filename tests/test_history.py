@@ -160,3 +160,116 @@ def test_an_update_that_dies_or_never_runs_is_made_up_whatever_its_age(spark, tm
     assert feed.merge_to_feed(spark, batches[1], table, log, "b2")["inserted"] == 0
     with pytest.raises(ValueError):          # a new reader cannot start from a forgotten feed
         feed.apply_feed(spark, table, log, "other", update)
+
+
+# ---- rates from state -----------------------------------------------------------
+
+def test_state_rates_agree_with_the_batch_formula_over_any_split():
+    import numpy as np
+
+    from aerosift.streaming.rates import climb_rates
+
+    rng = np.random.default_rng(1)
+    seconds = np.cumsum(rng.choice([1, 30, 60, 119, 120, 121, 200], 300))
+    altitude = np.round(rng.uniform(0, 12000, 300), 1)
+    altitude[rng.random(300) < 0.1] = np.nan
+    rate, flag = climb_rates(seconds, altitude, 120, 100)
+    for i in range(1, 300):
+        dt, known = int(seconds[i] - seconds[i - 1]), not np.isnan(altitude[i - 1:i + 1]).any()
+        if dt <= 120 and known:
+            d = int(round(altitude[i] * 10)) - int(round(altitude[i - 1] * 10))
+            assert rate[i] == np.sign(d) * ((20 * abs(d) + dt) // (2 * dt)) / 100 and flag[i] == (abs(d) > 1000 * dt)
+        else:
+            assert np.isnan(rate[i]) and not flag[i]
+    assert np.isnan(rate[0]) and not flag[0]
+
+
+def test_state_survives_a_restart_and_a_silent_aircraft_starts_anew(spark, tmp_path):
+    from aerosift.operators.staging import stage
+    from aerosift.schemas import RAW_POSITIONS
+    from aerosift.streaming.rates import rocksdb_state, state_rates_stream
+
+    t0, path = 1704067200, str(tmp_path)
+    batches = [[("a00001", 0, 1000.0), ("a00002", 5, 500.0)], [("a00001", 60, 1600.0)], [("a00001", 400, 1000.0), ("a00002", 65, 500.0)],
+               [("a00001", 430, 1090.0)], [("closing", 90_000, 0.0)]]
+    with rocksdb_state(spark):
+        for i, rows in enumerate(batches):
+            raw_df(spark, [dict(icao24=a, time_position=t0 + s, last_contact=t0 + s, baro_altitude=h) for a, s, h in rows]).write.mode(
+                "append").parquet(f"{path}/in")
+            src = spark.readStream.schema(RAW_POSITIONS).parquet(f"{path}/in")
+            q = (state_rates_stream(stage(src), "10 minutes").writeStream.format("parquet").option("path", f"{path}/out")
+                 .option("checkpointLocation", f"{path}/ck").outputMode("append").trigger(availableNow=True).start())
+            q.awaitTermination()
+    got = {(r.icao24, r.timestamp_position_utc.minute * 60 + r.timestamp_position_utc.second): r.taux_montee_calcule_ms
+           for r in spark.read.parquet(f"{path}/out").collect()}
+    assert got == {("a00001", 0): None, ("a00002", 5): None, ("a00001", 60): 10.0, ("a00002", 65): 0.0,
+                   ("a00001", 400): None, ("a00001", 430): 3.0}
+    rows = q.lastProgress["stateOperators"]
+    assert sum(op["numRowsTotal"] for op in rows) <= 6      # timers have dropped the silent aircraft
+
+
+# ---- incremental suites and rollups ------------------------------------------------
+
+def _small_fact(spark, rows):
+    from aerosift.schemas import TABLE_SCHEMAS
+
+    names = [f.name for f in TABLE_SCHEMAS["fact"]]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], TABLE_SCHEMAS["fact"])
+
+
+def _fact_rows(seed, hours=(0, 1, 2), n=40):
+    import random
+    from datetime import date, datetime
+
+    rng = random.Random(seed)
+    return [dict(position_sk=f"p{h}-{rng.randrange(n) if rng.random() < 0.2 else i}-{seed if h == 2 else 0}", vol_sk=rng.choice([None, *"abcdefg"]),
+                 timestamp_utc=datetime(2024, 1, 1, h, rng.randrange(60)), date_utc=date(2024, 1, 1), heure_journee=h, jour_semaine=1,
+                 latitude=rng.choice([None, 45.0, 60.0]), longitude=2.0, altitude_baro_ft=rng.choice([None, 100.0, 90000.0]),
+                 vitesse_kmh=300.0, tranche_vol=rng.choice(["SOL", "??", None]), phase_vol="MONTEE", au_sol=rng.choice([None, False, True]),
+                 flag_changement_altitude_suspect=False) for h in hours for i in range(n)]
+
+
+@pytest.mark.parametrize("suite, pinned", [("FACT_SUITE", ("position_sk",)), ("FACT_SUITE", ()), ("FACT_TESTS", ())])
+def test_suite_states_equal_the_suite_and_touch_only_their_hours(spark, tmp_path, suite, pinned):
+    from aerosift.operators import quality
+    from aerosift.operators.quality_state import suite_results, update_states
+
+    suite, parts, root = getattr(quality, suite), ["date_utc", "heure_journee"], str(tmp_path / "dq")
+    dim = spark.createDataFrame([(x,) for x in "abcdx"], "vol_sk string")
+    one = _small_fact(spark, _fact_rows(1))
+    two = _small_fact(spark, [r for r in _fact_rows(1) if r["heure_journee"] < 2] + _fact_rows(9, hours=(2,)))
+
+    def same(fact):
+        want = quality.run_suite(fact, suite, refs={"dim_vols": dim})
+        got = suite_results(spark, fact, root, suite, parts, pinned, {"dim_vols": dim})
+        assert _rows(got) == _rows(want)
+
+    same(one.limit(0))
+    update_states(spark, one, one.select(*parts).distinct(), root, suite, parts, pinned)
+    same(one)
+    before = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "dq").rglob("heure_journee=[01]/*.parquet")}
+    assert before
+    update_states(spark, two, two.where("heure_journee = 2").select(*parts).distinct(), root, suite, parts, pinned)
+    same(two)
+    assert before == {str(f): f.stat().st_mtime_ns for f in (tmp_path / "dq").rglob("heure_journee=[01]/*.parquet")}
+
+
+def test_rollups_count_any_range_exactly_and_keep_numbers(spark, tmp_path):
+    from datetime import datetime
+
+    from aerosift.functions.timecols import ntz_literal
+    from aerosift.operators import rollups
+
+    root, fact = str(tmp_path / "r"), _small_fact(spark, _fact_rows(3))
+    assert _rows(rollups.distinct_aircraft(rollups.read_rollup(spark, root))) == [(0, 0)]
+    parts = fact.select(*rollups.PARTITIONS).distinct()
+    rollups.update_rollups(spark, fact, parts, root)
+    known = _rows(rollups.numbers(spark, root))
+    rollups.update_rollups(spark, fact, parts.where("heure_journee = 1"), root)       # again: nothing changes
+    assert _rows(rollups.numbers(spark, root)) == known and sorted(n for _, n in known) == list(range(1, 8))
+    rollup = rollups.read_rollup(spark, root)
+    for start, stop in ((0, 180), (10, 130), (50, 60), (170, 180)):
+        a, b = (datetime(2024, 1, 1, m // 60, m % 60) if m < 180 else datetime(2024, 1, 1, 3) for m in (start, stop))
+        rows = [r for r in _fact_rows(3) if a <= r["timestamp_utc"] < b and r["vol_sk"]]
+        got = rollups.distinct_aircraft(rollups.in_range(rollup, ntz_literal(a), ntz_literal(b))).collect()
+        assert [(r.avions, r.nb_positions) for r in got] == [(len({r["vol_sk"] for r in rows}), len(rows))]
