@@ -7,7 +7,8 @@ Parquet has no MERGE; each operation is a set-based plan:
   untimed partition (partition pruning), append.
 * keyed upsert (SNK2): rows of the touched partitions minus the replaced
   keys, plus the new rows, written to a staged folder first and then swapped
-  in with a dynamic partition overwrite (never overwrite a path being read).
+  in with a dynamic partition overwrite (never overwrite a path being read); the
+  next upsert finishes a swap that died.
 * clustered write (SNK3): range-partitioned on (partition columns, cluster
   column) and sorted, so a table has about as many files as its size asks for
   and each file covers a narrow key range.
@@ -180,17 +181,35 @@ def upsert(spark: SparkSession, df: DataFrame, table_path: str, key: str, partit
     Keys never move across partitions (the partition values derive from the
     key's own timestamp), so only the touched partitions are rewritten: with
     (day, hour) partitions a 10-minute batch rewrites the hours it touches.
+
+    Their whole new content is staged inside the table's folder (``_upsert``, which readers skip) before the
+    swap, which deletes a partition before it renames the new one. A run that dies in the swap leaves the staged rows,
+    and the next upsert finishes it first.
     """
     parts = _as_list(partition_cols)
+    finish_upsert(spark, table_path, df.schema, parts, cluster_col or key)
     existing = read_if_exists(spark, table_path, df.schema)
     if existing is None:
         write_clustered(df, table_path, parts, cluster_col or key)
         return
     kept = in_partitions(existing, df, parts).join(df.select(key), key, "left_anti")
-    staged = scratch_path(spark, "staged")
-    kept.unionByName(df).write.parquet(staged)
-    write_clustered(spark.read.schema(df.schema).parquet(staged), table_path, parts, cluster_col or key, dynamic=True)
+    kept.unionByName(df).write.mode("overwrite").parquet(_staged(table_path))
+    finish_upsert(spark, table_path, df.schema, parts, cluster_col or key)
+
+
+def _staged(table_path: str) -> str:
+    return f"{table_path}/_upsert"
+
+
+def finish_upsert(spark: SparkSession, table_path: str, schema: T.StructType, partition_cols, cluster_col: str) -> bool:
+    """Swap in the staged partitions of an upsert, also of one that died; staged rows that are incomplete go. True if swapped."""
+    staged = _staged(table_path)
+    fs, done = _folder(spark, f"{staged}/_SUCCESS")
+    complete = fs.exists(done)
+    if complete:
+        write_clustered(spark.read.schema(schema).parquet(staged), table_path, _as_list(partition_cols), cluster_col, dynamic=True)
     delete_path(spark, staged)
+    return complete
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, table_path: str, partition_cols,

@@ -273,3 +273,34 @@ def test_rollups_count_any_range_exactly_and_keep_numbers(spark, tmp_path):
         rows = [r for r in _fact_rows(3) if a <= r["timestamp_utc"] < b and r["vol_sk"]]
         got = rollups.distinct_aircraft(rollups.in_range(rollup, ntz_literal(a), ntz_literal(b))).collect()
         assert [(r.avions, r.nb_positions) for r in got] == [(len({r["vol_sk"] for r in rows}), len(rows))]
+
+
+# ---- upsert ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("at", ["swap", "staging"])
+def test_an_upsert_that_dies_loses_no_row(spark, tmp_path, monkeypatch, at):
+    import shutil
+
+    from aerosift.operators import sinks
+
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(r, "k string, p int, x int")
+    sinks.upsert(spark, rows(("a", 1, 1), ("b", 1, 2), ("c", 2, 3)), path, "k", "p")
+    write = sinks.write_clustered
+
+    def dying(df, target, *a, **b):
+        if at == "swap":                     # the commit had removed the old partition
+            shutil.rmtree(f"{path}/p=1")
+        else:                                # the staged rows are not complete
+            (tmp_path / "t" / "_upsert" / "_SUCCESS").unlink()
+        raise Died
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "write_clustered", dying)
+        with pytest.raises(Died):
+            sinks.upsert(spark, rows(("a", 1, 10)), path, "k", "p")
+    assert sinks.write_clustered is write
+    sinks.upsert(spark, rows(("d", 2, 4)), path, "k", "p")          # another batch finishes or clears it
+    got = _rows(spark.read.schema("k string, p int, x int").parquet(path).select("k", "p", "x"))
+    assert got == [("a", 1, 10 if at == "swap" else 1), ("b", 1, 2), ("c", 2, 3), ("d", 2, 4)]
+    assert not (tmp_path / "t" / "_upsert").exists()
