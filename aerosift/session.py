@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -82,3 +83,12 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def python_workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it: for local mode and shared
+    installations; elsewhere pass ``--py-files`` to spark-submit. Needed by the one Python operator of the position layers."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..session import python_workers_import
 from .pipeline import window_winners_stream
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -96,6 +97,7 @@ class ClimbRates(StatefulProcessor):
 def state_rates_stream(stg: DataFrame, watermark: str = "2 hours", window_s: int = 30, max_gap_s: int = 120,
                        max_rate: int = 100) -> DataFrame:
     """Window winners of a stream of staged rows with their computed climb rate and jump flag (append mode)."""
+    python_workers_import(stg.sparkSession)
     winners = window_winners_stream(stg, watermark, window_s, event_time=True)
     rows = winners.select("icao24", "event_time", "position_id", "timestamp_position_utc", "altitude_baro_m",
                           F.unix_seconds(F.col("timestamp_position_utc").cast("timestamp")).alias("second"))
