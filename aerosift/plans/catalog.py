@@ -364,13 +364,23 @@ STREAM_WATERMARK = "2 hours"
 CLOSING = "closing"     # aircraft of the row that ends a stream
 
 
+def closing_row(spark) -> DataFrame:
+    """A position a day after all others, which moves a stream's watermark past every window."""
+    from ..functions.timecols import ntz_literal
+    from ..schemas import RAW_POSITIONS
+
+    return spark.createDataFrame(
+        [(CLOSING, CLOSING, CLOSING, "-", int(AS_OF.replace(tzinfo=timezone.utc).timestamp()) + 86_400, None, 2.0, 46.0, 0.0, 0.0, False,
+          1.0, 0.0, 0.0, None, 0)], T.StructType(RAW_POSITIONS.fields[:16])).withColumns(
+        {"ingested_at": ntz_literal(AS_OF), "batch_id": F.lit(CLOSING)})
+
+
 def _drain(spark, sf_dir, name: str, transform, late: bool = False) -> tuple[DataFrame, int]:
     """Land the raw table in three hourly slices and a closing row a day later, draining the
     stream after each: several micro-batches with a restart between, and every window closed.
 
     With ``late`` the first slice lands once more after that. Returns the result and the number
     of groups that the watermark dropped."""
-    from ..functions.timecols import ntz_literal
     from ..operators.staging import stage
     from ..schemas import RAW_POSITIONS
     from ..streaming.pipeline import dropped_by_watermark
@@ -378,11 +388,7 @@ def _drain(spark, sf_dir, name: str, transform, late: bool = False) -> tuple[Dat
     base = scratch_path(spark, name)
     raw = raw_positions(spark, sf_dir)
     hour = F.hour("ingested_at")
-    closing = spark.createDataFrame(
-        [(CLOSING, CLOSING, CLOSING, "-", int(AS_OF.replace(tzinfo=timezone.utc).timestamp()) + 86_400, None, 2.0, 46.0, 0.0, 0.0, False,
-          1.0, 0.0, 0.0, None, 0)], T.StructType(RAW_POSITIONS.fields[:16])).withColumns(
-        {"ingested_at": ntz_literal(AS_OF), "batch_id": F.lit(CLOSING)})
-    slices = [raw.where(hour == 0), raw.where(hour == 1), raw.where(hour >= 2), closing]
+    slices = [raw.where(hour == 0), raw.where(hour == 1), raw.where(hour >= 2), closing_row(spark)]
     dropped = 0
     for landed in slices + slices[:1] * late:
         landed.write.mode("append").parquet(f"{base}/landing")
@@ -391,7 +397,8 @@ def _drain(spark, sf_dir, name: str, transform, late: bool = False) -> tuple[Dat
              .option("checkpointLocation", f"{base}/ck").outputMode("append").trigger(availableNow=True).start())
         q.awaitTermination()
         dropped += dropped_by_watermark(q)
-    return spark.read.parquet(f"{base}/out").where(F.col("icao24") != CLOSING), dropped
+    out = spark.read.parquet(f"{base}/out")
+    return out.where(F.col("icao24") != CLOSING) if "icao24" in out.columns else out, dropped
 
 
 @register("stream_window_winners")
@@ -479,6 +486,6 @@ def q_stream_segments(spark, sf_dir):
     return _drain(spark, sf_dir, "segments", lambda stg: track_segments_stream(stg, 120, STREAM_WATERMARK))[0]
 
 
-from . import catalog_history  # noqa: E402
+from . import catalog_history, catalog_streams  # noqa: E402
 
-REGISTRY |= catalog_history.REGISTRY
+REGISTRY |= catalog_history.REGISTRY | catalog_streams.REGISTRY
