@@ -367,9 +367,16 @@ def freshness(raw: DataFrame, as_of, warn_after_s: int = 3600, error_after_s: in
 
 
 def store_results(results: DataFrame, path: str, run_id: str, as_of) -> None:
-    """Append a suite's results to the validation-result store (SNK5), stamped
-    with the run id and time; partitioned by suite for cheap history reads."""
-    from ..functions.timecols import ntz_literal
+    """A suite's results into the validation-result store (SNK5), stamped with the run id and time.
 
-    (results.withColumn("run_id", F.lit(run_id)).withColumn("run_at", ntz_literal(as_of))
-     .write.mode("append").partitionBy("suite").parquet(path))
+    A run stores each suite once: a replay of the run finds its rows (one append is one commit, so all or none of
+    them are there) and adds nothing. Partitioned by suite and day, so that look-up and history read one day's files."""
+    from ..functions.timecols import ntz_literal
+    from .sinks import read_if_exists
+
+    new = results.withColumns({"run_id": F.lit(run_id), "run_at": ntz_literal(as_of), "run_day": F.lit(as_of.date())})
+    stored = read_if_exists(results.sparkSession, path, new.schema)
+    if stored is not None:
+        known = stored.where((F.col("run_day") == F.lit(as_of.date())) & (F.col("run_id") == run_id)).select("suite").distinct()
+        new = new.join(known, "suite", "left_anti").select(*new.columns)
+    new.write.mode("append").partitionBy("suite", "run_day").parquet(path)

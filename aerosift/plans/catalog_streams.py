@@ -1,10 +1,10 @@
-"""Registered queries of batch segments, sliding windows on a stream, the live stream and corrected late rows.
+"""Registered queries of batch segments, sliding windows on a stream, the live stream, corrected late rows and ingest runs.
 
 Each works on the whole events table, landed in slices by ingest hour."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,3 +114,76 @@ def q_late_corrected(spark, sf_dir):
     for _ in range(2):
         merge_winners(spark, winners_of(late), f"{root}/winners")
     return rated_winners(spark.read.parquet(f"{root}/winners").select(*WINNER).where(F.col("icao24") != CLOSING))
+
+
+# ---- landed batches and ingest runs (SRC3, SRC4, SRC7, SNK5, SNK7, DQ17, DQ18) ------------------
+
+@register("landed_batches")
+def q_landed(spark, sf_dir):
+    """Each ingest hour's batch landed, the first one twice, and read back with the row count that the writer observed;
+    a batch that never landed reads as an empty one."""
+    from ..sources.states import read_batch, write_batch
+    from .catalog_history import _by_hour
+
+    root, out = scratch_path(spark, "landed"), None
+    batches = list(_by_hour(spark, raw_positions(spark, sf_dir)))
+    written = {key: write_batch(batch, f"{root}/{key}") for key, batch in [*batches, batches[0]]}
+    for key in [*written, "never"]:
+        back = read_batch(spark, f"{root}/{key}").withColumns({"batch_key": F.lit(key), "written": F.lit(written.get(key, 0)).cast("long")})
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@register("raw_lookback")
+def q_lookback(spark, sf_dir):
+    """The upstream incremental selection: rows that arrived in the last two hours."""
+    from .incremental import lookback_slice
+
+    return lookback_slice(raw_positions(spark, sf_dir), AS_OF, 2)
+
+
+CHECK_EVERY = 2
+
+
+@register("ingest_run_log")
+def q_ingest_runs(spark, sf_dir):
+    """Ingest runs over the landed payloads, an hour each, then the last one again and one without positions: what each
+    loaded, what it rejected, and the check results that the store holds for its run id. Every second run id, by hash, validates."""
+    from ..sources.states import read_states
+    from .catalog import _land_payloads
+    from .ingest import ingest_run
+
+    root = scratch_path(spark, "runs")
+    states = read_states(spark, _land_payloads(spark, sf_dir))
+    states = materialize(states, "run-states")
+    hour = F.floor(F.col("payload_time") / 3600)
+    hours = sorted(r[0] for r in states.where("payload_time IS NOT NULL").select(hour).distinct().collect())
+    first = int(AS_OF.replace(tzinfo=timezone.utc).timestamp()) // 3600 - 3
+    log = []
+    for step, at in enumerate([*hours, hours[-1], None]):
+        run_id = "empty" if at is None else f"run-{at - first}"
+        stats = ingest_run(spark, states.limit(0) if at is None else states.where(hour == at), f"{root}/raw", AS_OF, run_id,
+                           results_path=f"{root}/checks", check_every=CHECK_EVERY)
+        log.append((step, run_id, stats["inserted"], stats["skipped"], stats["total"], stats["rejects"]))
+    runs = spark.createDataFrame(log, "step int, run_id string, inserted long, skipped long, total long, rejects long")
+    stored = spark.read.parquet(f"{root}/checks").groupBy("run_id").agg(F.count("*").alias("stored_checks"))
+    return runs.join(stored, "run_id", "left").withColumn("stored_checks", F.coalesce("stored_checks", F.lit(0).cast("long")))
+
+
+@register("dq_enforced")
+def q_enforced(spark, sf_dir):
+    """What ``enforce`` does with each mart suite, warning and raising."""
+    from ..operators.quality import DIM_TESTS, FACT_SUITE, FACT_TESTS, STG_TESTS, enforce, run_suite
+    from .catalog import marts
+
+    m, rows = marts(spark, sf_dir), []
+    for name, frame, suite in (("stg", m.stg, STG_TESTS), ("dim", m.dim, DIM_TESTS), ("fact", m.fact, FACT_TESTS), ("fact", m.fact, FACT_SUITE)):
+        results = materialize(run_suite(frame, suite, refs={"dim_vols": m.dim}), f"enforce-{name}")
+        for action in ("warn", "raise"):
+            try:
+                enforce(results, action)
+                outcome = "passed"
+            except RuntimeError:
+                outcome = "blocked"
+            rows.append((suite.name, action, outcome))
+    return spark.createDataFrame(rows, "suite string, on_failure string, outcome string")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from ..operators import quality as q
+from ..schemas import FACT_COLUMNS
 from . import oracle as o
+from .oracle_quality import suite_sql
 
 #: Every eleventh row reaches the feed three hours after its batch.
 _LATE = """
@@ -16,3 +19,28 @@ QUERIES = {
     "stream_late_corrected": "WITH " + ",".join([o.ADAPTER, _LATE, o.STG.replace("FROM raw ", "FROM delayed "), o.INT]).strip()
     + "\nSELECT * FROM inter",
 }
+
+QUERIES["landed_batches"] = o.with_layers("raw", """
+SELECT *, strftime(ingested_at, '%Y-%m-%d-%H') AS batch_key,
+       count(*) OVER (PARTITION BY time_bucket(INTERVAL 1 HOUR, ingested_at)) AS written FROM raw""")
+QUERIES["raw_lookback"] = o.with_layers("raw", f"SELECT * FROM raw WHERE ingested_at >= {o.AS_OF} - INTERVAL 2 HOUR")
+QUERIES["ingest_run_log"] = o.with_layers("raw", f"""
+SELECT step, run_id, inserted, skipped, total, rejects, if(checked AND total > 0, {len(q.RAW_SUITE.checks)}, 0) AS stored_checks
+FROM (
+  SELECT *, instr('02468ace', right(md5(run_id), 1)) > 0 AS checked FROM (
+    SELECT CAST(h AS INTEGER) AS step, 'run-' || h AS run_id, total AS inserted, 0 AS skipped, total, rejects FROM hours
+    UNION ALL SELECT CAST(h + 1 AS INTEGER), 'run-' || h, 0, total, total, rejects FROM hours WHERE h = (SELECT max(h) FROM hours)
+    UNION ALL SELECT CAST(max(h) + 2 AS INTEGER), 'empty', 0, 0, 0, 0 FROM hours))""", """
+hours AS (
+  SELECT hour(ingested_at) AS h, count(*) FILTER (NOT bad AND inside) AS total, count(*) FILTER (bad AND latitude + longitude IS NOT NULL) AS rejects
+  FROM (SELECT *, event_id % 41 = 0 OR event_id % 43 = 0 AS bad,
+               ifnull(latitude BETWEEN 41.0 AND 51.5 AND longitude BETWEEN -5.5 AND 10.0, FALSE) AS inside FROM raw_e)
+  GROUP BY 1
+)""")
+
+_SUITES = " UNION ALL ".join((suite_sql("stg", q.STG_TESTS, []), suite_sql("dim", q.DIM_TESTS, []),
+                              suite_sql("fact", q.FACT_TESTS, FACT_COLUMNS, refs={"dim_vols": "dim"}),
+                              suite_sql("fact", q.FACT_SUITE, FACT_COLUMNS)))
+QUERIES["dq_enforced"] = o.with_layers("fact", f"""
+SELECT suite, on_failure, if(failed AND on_failure = 'raise', 'blocked', 'passed') AS outcome
+FROM (SELECT suite, count(*) FILTER (status = 'fail') > 0 AS failed FROM ({_SUITES}) GROUP BY suite), (VALUES ('warn'), ('raise')) AS a(on_failure)""")

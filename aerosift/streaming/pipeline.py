@@ -82,21 +82,27 @@ def track_segments_stream(stg: DataFrame, gap_s: int = 120, watermark: str = "2
 
 
 def process_landed_batch(spark: SparkSession, states: DataFrame, root: str, on_failure: str = "warn",
-                         bbox: dict | None = FRANCE) -> dict:
-    """One micro-batch of landed state vectors -> raw table -> marts; rejects -> ``rejects``, checks -> ``checks``."""
+                         bbox: dict | None = FRANCE, epoch: int | None = None) -> dict:
+    """One micro-batch of landed state vectors -> raw table -> marts; rejects -> ``rejects``, checks -> ``checks``.
+
+    The run id is the newest payload time, with the micro-batch's number where there is one. A replayed micro-batch
+    replaces the rejects of its run id and stores its checks once."""
     positions, rejects = parse_states(states, None, bbox)
     positions = positions.persist()
     try:
         p = paths(root)
-        n_rejects = rejects.count()
-        if n_rejects:
-            rejects.write.mode("append").parquet(f"{root}/rejects")
         stamp = positions.agg(F.max(ntz_to_epoch("ingested_at"))).first()[0]
+        run_id = str(stamp) if epoch is None else f"{stamp}-{epoch}"
+        n_rejects = rejects.count()
+        if n_rejects and stamp is not None:
+            rejects.write.mode("overwrite").parquet(f"{root}/rejects/run_id={run_id}")
+        elif n_rejects:                 # nothing to name the run by
+            rejects.write.mode("append").parquet(f"{root}/rejects/run_id=none")
         if stamp is None:
             return {"inserted": 0, "skipped": 0, "total": 0, "rejects": n_rejects}
         as_of = datetime.fromtimestamp(int(stamp), timezone.utc).replace(tzinfo=None)
         results = run_suite(positions, RAW_SUITE, by=["batch_id"])
-        store_results(results, f"{root}/checks", str(stamp), as_of)
+        store_results(results, f"{root}/checks", run_id, as_of)
         enforce(results, on_failure)
         stats, _ = merge_rows(spark, positions, p["raw"])
         raw = spark.read.schema(RAW_TABLE).parquet(p["raw"])
@@ -117,7 +123,7 @@ def run_ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint_l
     """Start the landed-file stream (``availableNow`` drains what is there and
     stops; otherwise one micro-batch per ``interval``)."""
     stream = read_states(spark, landing, streaming=True, max_files_per_trigger=max_files_per_trigger)
-    w = stream.writeStream.foreachBatch(lambda df, _epoch: process_landed_batch(spark, df, root, bbox=bbox)) \
+    w = stream.writeStream.foreachBatch(lambda df, epoch: process_landed_batch(spark, df, root, bbox=bbox, epoch=epoch)) \
         .option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()

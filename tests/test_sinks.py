@@ -53,6 +53,8 @@ def test_store_results_and_views(spark, tmp_dir):
     store_results(res, store, "run-2", AS_OF)
     hist = spark.read.parquet(store)
     assert hist.count() == 10 and hist.select("run_id").distinct().count() == 2
+    store_results(res, store, "run-2", AS_OF)          # a replay
+    assert spark.read.parquet(store).count() == 10
 
 
 def test_lookback_slice_feeds_exact_update(spark, tmp_dir):
@@ -88,6 +90,13 @@ def test_ingest_run(spark, tmp_dir):
     assert spark.read.parquet(checks).where("run_id = 'r1'").count() == 13
     assert (s1["inserted"], s1["skipped"], s1["total"], s1["rejects"]) == (1, 1, 2, 1)
     assert s1["quality"]["failed"] >= 1          # 2 rows < the 50-row minimum: warned, not blocking
+    ingest_run(spark, read_states(spark, landing), os.path.join(tmp_dir, "raw2"), AS_OF, run_id="r1", results_path=checks)
+    assert spark.read.parquet(checks).count() == 13                       # a replayed run id
+    from aerosift.operators.quality import should_run
+    skipped = next(f"s{i}" for i in range(99) if not should_run(f"s{i}", 4))
+    unchecked = ingest_run(spark, read_states(spark, landing), os.path.join(tmp_dir, "raw3"), AS_OF, run_id=skipped, results_path=checks,
+                           on_failure="raise", check_every=4)
+    assert unchecked["inserted"] == 1 and "quality" not in unchecked and spark.read.parquet(checks).count() == 13
     s2 = ingest_run(spark, read_states(spark, landing), table, AS_OF, run_id="r2")
     assert (s2["inserted"], s2["skipped"]) == (0, 2) and s2["dedup_rate_pct"] == 100.0
     empty = os.path.join(tmp_dir, "empty")

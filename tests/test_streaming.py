@@ -129,3 +129,22 @@ def test_segment_gap_boundary(spark, tmp_dir):
                  for r in spark.table("gap_out").filter(F.col("icao24") == "h00001").collect())
     base = datetime(2024, 1, 1)
     assert got == [(base, base + timedelta(seconds=240), 2), (base + timedelta(seconds=241), base + timedelta(seconds=420), 2)]
+
+
+def test_a_replayed_micro_batch_stores_rejects_and_checks_once(spark, tmp_dir):
+    from aerosift.sources.states import read_states
+    from aerosift.streaming.pipeline import process_landed_batch
+
+    landing, root = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "marts")
+    rows = raw_df(spark, [{"icao24": f"c{i}", "time_position": 1704067200 + 60 * i} for i in range(5)])
+    to_state_payloads(rows).coalesce(1).write.json(landing)
+    with open(os.path.join(landing, "bad.json"), "w") as f:
+        f.write('{"time": 1704067800, "states": [["d1", "X", "France", 1, 1, 2.0, "oops"]]}')
+    for _ in range(2):
+        stats = process_landed_batch(spark, read_states(spark, landing), root, epoch=7)
+        assert stats["rejects"] == 1
+        assert spark.read.parquet(os.path.join(root, "rejects")).count() == 1
+        checks = spark.read.parquet(os.path.join(root, "checks"))
+        assert checks.count() == checks.dropDuplicates(["batch_id", "suite", "check_order"]).count() > 0
+    process_landed_batch(spark, read_states(spark, landing), root, epoch=8)
+    assert spark.read.parquet(os.path.join(root, "rejects")).count() == 2
