@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import bucket_start, epoch_to_ntz, ntz_to_epoch
+from .continuity import attach_previous
 
 CELL_DEG = 0.5      # corridor grid cell
 SECTOR_DEG = 45     # heading sector
@@ -90,3 +91,64 @@ def aircraft_in_air_sliding(fact: DataFrame, size_s: int = 3600, slide_s: int =
             .agg(F.countDistinct("vol_sk").alias("avions_en_vol"), F.count(F.lit(1)).alias("nb_positions"))
             .select(epoch_to_ntz("_s").alias("debut"), epoch_to_ntz(F.col("_s") + size_s).alias("fin"),
                     "avions_en_vol", "nb_positions"))
+
+
+MICRO = 1_000_000           # legs are traced in whole millionths of a degree, which staging rounds to
+CELL_MICRO = 500_000        # 0.5 degrees
+TURN = 360 * MICRO
+
+
+def _floor_div(a, b):
+    """Exact floor(a / b) of whole numbers, b > 0."""
+    return F.call_function("div", a - F.pmod(a, b), b)
+
+
+def legs(fact: DataFrame, max_gap_s: int = 120, bucket_s: int = 30) -> DataFrame:
+    """Legs between an airborne position and the one before it, at most ``max_gap_s`` older: ``vol_sk, x0, y0, x1, y1`` in
+    millionths of a degree and the later position's heading. A leg takes the short way over the antimeridian (x1 beyond 180 degrees)."""
+    points = airborne(fact).where("timestamp_utc IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL").select(
+        "vol_sk", "timestamp_utc", "cap_degres", bucket_start("timestamp_utc", bucket_s).alias("_bucket"),
+        F.round(F.col("longitude") * MICRO).cast("long").alias("x1"), F.round(F.col("latitude") * MICRO).cast("long").alias("y1"))
+    p = attach_previous(points, "vol_sk", "_bucket", "timestamp_utc", ["x1", "y1"], bucket_s, max_gap_s)
+    dt = ntz_to_epoch("timestamp_utc") - ntz_to_epoch("prev_timestamp_utc")
+    dx = F.col("x1") - F.col("prev_x1")
+    x1 = F.when(dx > TURN // 2, F.col("x1") - TURN).when(dx < -(TURN // 2), F.col("x1") + TURN).otherwise(F.col("x1"))
+    return p.where((dt > 0) & (dt <= max_gap_s)).select(
+        "vol_sk", "cap_degres", F.col("prev_x1").alias("x0"), F.col("prev_y1").alias("y0"), x1.alias("x1"), "y1")
+
+
+def leg_cells(traced: DataFrame, cell: int = CELL_MICRO) -> DataFrame:
+    """Every grid cell that a straight leg passes, once a leg: the columns of ``traced`` and ``i, j`` (cells east and north).
+
+    Row by row in whole numbers: in a row of cells the leg passes the columns between those where it enters and leaves the row.
+    A leg through a corner passes the cell east of it on the row that it leaves when it goes east, none besides when it goes west."""
+    c = F.lit(cell)
+    dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    up = dy > 0
+    rows = traced.withColumns({"_j0": _floor_div(F.col("y0"), c), "_j1": _floor_div(F.col("y1"), c)}).withColumn(
+        "j", F.explode(F.sequence(F.least("_j0", "_j1"), F.greatest("_j0", "_j1"))))
+
+    def column_at(y):
+        """Column of cells where the leg is at height y (dy is not 0 where this is used)."""
+        sign = F.when(up, F.lit(1)).otherwise(F.lit(-1)).cast("long")
+        return _floor_div((F.col("x0") * dy + (y - F.col("y0")) * dx) * sign, F.greatest(F.abs(dy), F.lit(1)) * c)
+
+    below, above = F.col("j") * c, (F.col("j") + 1) * c
+    enters = F.when(F.col("j") == F.col("_j0"), _floor_div(F.col("x0"), c)).otherwise(column_at(F.when(up, below).otherwise(above)))
+    leaves = F.when(F.col("j") == F.col("_j1"), _floor_div(F.col("x1"), c)).otherwise(column_at(F.when(up, above).otherwise(below)))
+    ends = rows.withColumns({"_a": enters, "_b": leaves})
+    cells = ends.withColumn("i", F.explode(F.sequence(F.least("_a", "_b"), F.greatest("_a", "_b"))))
+    around = TURN // cell
+    return cells.select(*traced.columns, (F.pmod(F.col("i") + around // 2, F.lit(around)) - around // 2).alias("i"), "j")
+
+
+def corridor_legs(fact: DataFrame, top: int = 20) -> DataFrame:
+    """INS2 by what aircraft fly through, not only where they report: top ``top`` (0.5 degree cell, 45 degree heading sector) by
+    distinct flights among the cells of all legs."""
+    cells = leg_cells(legs(fact).where("cap_degres IS NOT NULL"))
+    per = cells.select(
+        (F.col("j") * CELL_DEG).alias("cellule_lat"), (F.col("i") * CELL_DEG).alias("cellule_lon"),
+        (F.pmod(F.floor(F.col("cap_degres") / SECTOR_DEG), F.lit(360 // SECTOR_DEG)) * SECTOR_DEG).cast("int").alias("secteur_cap"), "vol_sk")
+    g = per.groupBy("cellule_lat", "cellule_lon", "secteur_cap").agg(
+        F.countDistinct("vol_sk").alias("avions"), F.count(F.lit(1)).alias("nb_trajets"))
+    return g.orderBy(F.col("avions").desc(), F.col("nb_trajets").desc(), "cellule_lat", "cellule_lon", "secteur_cap").limit(top)

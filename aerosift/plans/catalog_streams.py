@@ -46,6 +46,25 @@ def q_segments_merged(spark, sf_dir):
     return join_segments(merge_hours(stored, hour_segments(stage(raw.where(second)))))
 
 
+@register("corridor_legs")
+def q_corridor_legs(spark, sf_dir):
+    """Busiest corridors by every cell that a leg between successive positions passes."""
+    from ..operators.insights import corridor_legs
+    from .catalog import marts
+
+    return corridor_legs(marts(spark, sf_dir).fact)
+
+
+@register("leg_cell_traffic")
+def q_leg_cells(spark, sf_dir):
+    """All cells that legs pass, with their legs and flights (no top)."""
+    from ..operators.insights import leg_cells, legs
+    from .catalog import marts
+
+    return leg_cells(legs(marts(spark, sf_dir).fact)).groupBy("i", "j").agg(
+        F.count("*").alias("nb_trajets"), F.countDistinct("vol_sk").alias("avions"))
+
+
 # ---- sliding windows on a stream (STR7, INS1) -------------------------------------------
 
 @register("stream_traffic_sliding")

@@ -44,3 +44,41 @@ _SUITES = " UNION ALL ".join((suite_sql("stg", q.STG_TESTS, []), suite_sql("dim"
 QUERIES["dq_enforced"] = o.with_layers("fact", f"""
 SELECT suite, on_failure, if(failed AND on_failure = 'raise', 'blocked', 'passed') AS outcome
 FROM (SELECT suite, count(*) FILTER (status = 'fail') > 0 AS failed FROM ({_SUITES}) GROUP BY suite), (VALUES ('warn'), ('raise')) AS a(on_failure)""")
+
+#: A leg walks from cell to cell, over whichever edge it meets first, until the cell of its end.
+_WALK = """
+points AS (
+  SELECT vol_sk, timestamp_utc AS ts, cap_degres, CAST(round(longitude * 1000000) AS BIGINT) AS x, CAST(round(latitude * 1000000) AS BIGINT) AS y
+  FROM fact WHERE NOT au_sol AND timestamp_utc IS NOT NULL
+),
+flown AS (
+  SELECT row_number() OVER () AS leg, vol_sk, cap_degres, px AS x0, py AS y0, x AS x1, y AS y1,
+         CAST(floor(px / 500000) AS BIGINT) AS i0, CAST(floor(py / 500000) AS BIGINT) AS j0,
+         CAST(floor(x / 500000) AS BIGINT) AS i1, CAST(floor(y / 500000) AS BIGINT) AS j1
+  FROM (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lag(ts) OVER w AS since FROM points WINDOW w AS (PARTITION BY vol_sk ORDER BY ts))
+  WHERE date_diff('second', since, ts) BETWEEN 1 AND 120
+),
+walk AS (
+  SELECT leg, i0 AS i, j0 AS j FROM flown
+  UNION ALL
+  SELECT leg, if(east_west, i + sign(i1 - i), i), if(east_west, j, j + sign(j1 - j))
+  FROM (
+    SELECT *, i <> i1 AND (j = j1 OR reach_x * abs(y1 - y0) < reach_y * abs(x1 - x0)
+                           OR (reach_x * abs(y1 - y0) = reach_y * abs(x1 - x0) AND x1 > x0)) AS east_west
+    FROM (SELECT *, abs((i + if(x1 > x0, 1, 0)) * 500000 - x0) AS reach_x, abs((j + if(y1 > y0, 1, 0)) * 500000 - y0) AS reach_y
+          FROM walk JOIN flown USING (leg) WHERE i <> i1 OR j <> j1)
+  )
+)"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+QUERIES["leg_cell_traffic"] = _recursive(o.with_layers("fact", """
+SELECT i, j, count(*) AS nb_trajets, count(DISTINCT vol_sk) AS avions FROM walk JOIN flown USING (leg) GROUP BY i, j""", _WALK))
+QUERIES["corridor_legs"] = _recursive(o.with_layers("fact", """
+SELECT j * 0.5::DOUBLE AS cellule_lat, i * 0.5::DOUBLE AS cellule_lon, CAST((CAST(floor(cap_degres / 45) AS INTEGER) % 8) * 45 AS INTEGER) AS secteur_cap,
+       count(DISTINCT vol_sk) AS avions, count(*) AS nb_trajets
+FROM walk JOIN flown USING (leg) WHERE cap_degres IS NOT NULL
+GROUP BY ALL ORDER BY avions DESC, nb_trajets DESC, cellule_lat, cellule_lon, secteur_cap LIMIT 20""", _WALK))

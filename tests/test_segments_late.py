@@ -166,3 +166,47 @@ def test_live_slots_equal_the_batch_answer_at_any_time(spark, tmp_path):
         want = serving.live_positions(fact, dim, as_of, hours)
         got = live_from_slots(spark, table, as_of, hours)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+# ---- cells of a leg --------------------------------------------------------------------------
+
+def _walked(x0, y0, x1, y1, c):
+    """From cell to cell over the edge that the leg meets first."""
+    from fractions import Fraction
+
+    i, j, i1, j1 = x0 // c, y0 // c, x1 // c, y1 // c
+    out = {(i, j)}
+    while (i, j) != (i1, j1):
+        tx = Fraction((i + (x1 > x0)) * c - x0, x1 - x0) if i != i1 else None
+        ty = Fraction((j + (y1 > y0)) * c - y0, y1 - y0) if j != j1 else None
+        if ty is None or (tx is not None and (tx < ty or (tx == ty and x1 > x0))):
+            i += 1 if i1 > i else -1
+        else:
+            j += 1 if j1 > j else -1
+        out.add((i, j))
+    return out
+
+
+def test_leg_cells_equal_a_walk_from_cell_to_cell(spark):
+    from aerosift.operators.insights import CELL_MICRO, leg_cells
+
+    r = random.Random(4)
+    coarse = lambda lo, hi: r.randrange(lo, hi) * CELL_MICRO // 4  # noqa: E731  (many corners and edges)
+    legs = [tuple(coarse(-20, 20) for _ in range(4)) for _ in range(300)]
+    legs += [tuple(r.randrange(-5_000_000, 5_000_000) for _ in range(4)) for _ in range(200)] + [(7, 7, 7, 7)]
+    frame = spark.createDataFrame([(n, *leg) for n, leg in enumerate(legs)], "leg int, x0 long, y0 long, x1 long, y1 long")
+    got = {}
+    for row in leg_cells(frame).collect():
+        assert (row.i, row.j) not in got.setdefault(row.leg, set())
+        got[row.leg].add((row.i, row.j))
+    assert got == {n: _walked(*leg, CELL_MICRO) for n, leg in enumerate(legs)}
+
+
+def test_a_leg_over_the_antimeridian_takes_the_short_way(spark):
+    from aerosift.operators.insights import leg_cells, legs
+    from aerosift.plans.transform import Marts
+
+    rows = [{"icao24": "pac", "time_position": T0, "longitude": 179.7, "latitude": 10.1},
+            {"icao24": "pac", "time_position": T0 + 60, "longitude": -179.3, "latitude": 10.2}]
+    cells = leg_cells(legs(Marts(raw_df(spark, rows), datetime(2024, 1, 1, 3)).fact)).select("i", "j").collect()
+    assert sorted(map(tuple, cells)) == [(-360, 20), (-359, 20), (359, 20)]
