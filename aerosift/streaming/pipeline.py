@@ -14,21 +14,21 @@
 * ``latest_positions_stream`` (STR6): newest position per aircraft, update mode.
 * ``track_segments_stream`` (STR7): session windows with the 120 s gap.
 
-Watermarks need ``timestamp`` (not ``timestamp_ntz``): event times are cast
-on the way in and back to NTZ on the way out. 30 s window edges survive the
-round trip in any session zone (zone offsets are whole multiples of 30 s).
+Watermarks need ``timestamp`` (not ``timestamp_ntz``): event times are made from
+epoch seconds on the way in and back on the way out, so windows of any length
+begin where they do in UTC, whatever the session zone.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
 from ..operators.dedup import NO_SOURCE_SCORE, STG_PAYLOAD, clean_rows, dedup_order
-from ..functions.timecols import ntz_to_epoch
+from ..functions.timecols import epoch_to_ntz, ntz_to_epoch
 from ..operators.quality import RAW_SUITE, enforce, run_suite, store_results
 from ..operators.sinks import EVENT_PARTITIONS, RAW_TABLE, _versions, merge_rows, read_if_exists
 from ..plans.incremental import incremental_update
@@ -40,7 +40,12 @@ EVENT_TS = "_event_ts"
 
 
 def _event_time(df: DataFrame, col: str = "timestamp_position_utc") -> DataFrame:
-    return df.withColumn(EVENT_TS, F.col(col).cast("timestamp"))
+    return df.withColumn(EVENT_TS, F.timestamp_seconds(ntz_to_epoch(col)))
+
+
+def naive(col: str) -> Column:
+    """A window's edge as naive UTC time."""
+    return epoch_to_ntz(F.unix_seconds(col))
 
 
 def window_winners_stream(stg: DataFrame, watermark: str = "2 hours", window_s: int = 30, event_time: bool = False) -> DataFrame:
@@ -54,7 +59,7 @@ def window_winners_stream(stg: DataFrame, watermark: str = "2 hours", window_s:
     g = s.groupBy("icao24", F.window(EVENT_TS, f"{window_s} seconds").alias("_win")).agg(
         F.min_by(payload, F.struct(*dedup_order())).alias("_w"))
     time = [F.window_time("_win").alias("event_time")] * event_time
-    out = g.select("icao24", F.col("_win.start").cast("timestamp_ntz").alias("window_30s"), "_w.*", *time)
+    out = g.select("icao24", naive("_win.start").alias("window_30s"), "_w.*", *time)
     return out.select(surrogate_key("icao24", "window_30s").alias("position_id"), *out.columns)
 
 
@@ -77,8 +82,8 @@ def track_segments_stream(stg: DataFrame, gap_s: int = 120, watermark: str = "2
     s = _event_time(clean_rows(stg)).withWatermark(EVENT_TS, watermark)
     g = s.groupBy("icao24", F.session_window(EVENT_TS, f"{gap_s} seconds").alias("_s")).agg(
         F.count(F.lit(1)).alias("nb_positions"))
-    return g.select("icao24", F.col("_s.start").cast("timestamp_ntz").alias("debut"),
-                    F.col("_s.end").cast("timestamp_ntz").alias("fin"), "nb_positions")
+    return g.select("icao24", naive("_s.start").alias("debut"),
+                    naive("_s.end").alias("fin"), "nb_positions")
 
 
 def process_landed_batch(spark: SparkSession, states: DataFrame, root: str, on_failure: str = "warn",

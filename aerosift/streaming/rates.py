@@ -17,9 +17,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..functions.timecols import ntz_to_epoch
 from ..session import python_workers_import
 from .pipeline import window_winners_stream
 
@@ -100,6 +100,6 @@ def state_rates_stream(stg: DataFrame, watermark: str = "2 hours", window_s: int
     python_workers_import(stg.sparkSession)
     winners = window_winners_stream(stg, watermark, window_s, event_time=True)
     rows = winners.select("icao24", "event_time", "position_id", "timestamp_position_utc", "altitude_baro_m",
-                          F.unix_seconds(F.col("timestamp_position_utc").cast("timestamp")).alias("second"))
+                          ntz_to_epoch("timestamp_position_utc").alias("second"))
     return rows.groupBy("icao24").transformWithStateInPandas(
         ClimbRates(window_s, max_gap_s, max_rate), OUTPUT, "Append", "EventTime")

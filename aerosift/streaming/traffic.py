@@ -20,7 +20,7 @@ from ..functions.timecols import bucket_start, ntz_literal, ntz_to_epoch
 from ..operators.serving import LIVE_COLUMNS
 from ..operators.sinks import read_if_exists, upsert
 from ..session import delete_path, scratch_path
-from .pipeline import EVENT_TS, _event_time, window_winners_stream
+from .pipeline import EVENT_TS, _event_time, naive, window_winners_stream
 
 SLOT_S = 600
 DIM_COLUMNS = ["icao24", "callsign_principal", "compagnie_nom", "origine_pays"]
@@ -34,7 +34,7 @@ def in_air_sliding_stream(stg: DataFrame, watermark: str = "2 hours", size_s: in
     per_aircraft = airborne.groupBy("icao24", F.window("event_time", f"{size_s} seconds", f"{slide_s} seconds").alias("w")).agg(
         F.count(F.lit(1)).alias("n"))
     return per_aircraft.groupBy("w").agg(F.count(F.lit(1)).alias("avions_en_vol"), F.sum("n").alias("nb_positions")).select(
-        F.col("w.start").cast("timestamp_ntz").alias("debut"), F.col("w.end").cast("timestamp_ntz").alias("fin"),
+        naive("w.start").alias("debut"), naive("w.end").alias("fin"),
         "avions_en_vol", "nb_positions")
 
 
