@@ -9,24 +9,30 @@
 3. Votes are counted per kind and vote pattern over all documents (a bounded
    number of patterns). Expectation-maximisation on these counts estimates how
    often each labeler is right on true and on false candidates.
-4. The final span classifier learns, from the estimated labels of all
-   candidates, how likely each span shape is, and adds that to the votes' log
-   odds. Candidates above ``ACCEPT`` are spans. Base spans always stay.
+4. The final span classifier, a ridge logistic regression per kind on features of
+   the span itself (length, share of digits, separators), is trained on the
+   estimated labels of all candidates. Its log odds add to the votes' log odds, as
+   two views of one span. Candidates above ``ACCEPT`` are spans. Base spans always
+   stay.
 
 Offsets are code points of the whole text, ends exclusive. Offsets come from the
 lengths of what lies between matches, found in one linear pass of a pattern
 ``(gap)(match or end)``; character runs are matched possessively, so
-long runs cost neither stack nor repeated scans.
+long runs cost neither stack nor repeated scans. What lies around a span is cut from
+blocks of the text, and overlaps are found by running maxima over sorted spans, so
+the work on a text with many matches grows with its length.
 
 Defined results: a null text is empty and has no spans. Rows with equal or null
 ids each get their own result. With no candidates at all nothing is learned and
-only base spans (none) are returned. Further columns are ignored.
+only base spans (none) are returned. Further columns are ignored. A text of any
+length is read whole, by one task.
 """
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +42,8 @@ from .common import one_row_per_doc
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPT = 0.5
+#: Code points in a block of text; a span's surroundings are cut from one or two.
+BLOCK = 256
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _DOMAIN = r"[A-Za-z0-9-]"
@@ -66,19 +74,37 @@ ANTI_CUES = r"(?i)version|isbn|invoice|order no|page|section|doi|build|rfc"
 LABELERS = ("strict", "check", "gazetteer", "context", "edges")
 
 
-def running_sum(values: Column) -> Column:
-    """Prefix sums of an int array, in chunks so that appending stays cheap."""
+def running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """Prefix results of an associative ``op`` over an array of non-negative ints (0 is its neutral value), in chunks so
+    that appending stays cheap."""
     chunk = 512
 
-    def sums(xs, first, inclusive):
+    def fold(xs, first, inclusive):
         start = F.struct(first.alias("s"), F.array().cast("array<int>").alias("a"))
         return F.aggregate(xs, start, lambda acc, x: F.struct(
-            (acc["s"] + x).alias("s"), F.concat(acc["a"], F.array(acc["s"] + x if inclusive else acc["s"])).alias("a")))["a"]
+            op(acc["s"], x).alias("s"), F.concat(acc["a"], F.array(op(acc["s"], x) if inclusive else acc["s"])).alias("a")))["a"]
 
     chunks = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / chunk).cast("int")),
                          lambda i: F.slice(values, i * chunk + 1, chunk))
-    totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x))
-    return F.flatten(F.zip_with(chunks, sums(totals, F.lit(0), False), lambda c, first: sums(c, first, True)))
+    totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, b: op(a, b)))
+    return F.flatten(F.zip_with(chunks, fold(totals, F.lit(0), False), lambda c, first: fold(c, first, True)))
+
+
+def running_sum(values: Column) -> Column:
+    return running(values, lambda a, b: a + b)
+
+
+def blocks_of(text: Column) -> Column:
+    """The text in pieces of ``BLOCK`` code points."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}+"), F.lit(0))
+
+
+def cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points start..end of the text that ``blocks`` make up; reads only the blocks that hold them."""
+    first = (start / BLOCK).cast("int")
+    last = (F.greatest(end - 1, start) / BLOCK).cast("int")
+    return F.substr(F.array_join(F.slice(blocks, first + 1, last - first + 1), ""), start - first * BLOCK + 1,
+                    F.greatest(end - start, F.lit(0)))
 
 
 def with_matches(df: DataFrame, name: str, pattern: str, wanted: Column) -> DataFrame:
@@ -156,10 +182,9 @@ def _check(kind: str, s: Column) -> Column:
 
 
 def _candidate(kind: str, is_base: Column, x: Column) -> Column:
-    s, text = x["s"], F.col("text")
-    before = F.substr(text, F.greatest(x["start"] - 39, F.lit(1)), F.least(x["start"], F.lit(40)))
-    around = F.concat(F.substr(text, F.greatest(x["start"], F.lit(1)), F.least(x["start"], F.lit(1))),
-                      F.substr(text, x["end"] + 1, F.lit(1)))
+    s, blocks = x["s"], F.col("_blocks")
+    before = cut(blocks, F.greatest(x["start"] - 40, F.lit(0)), x["start"])
+    around = F.concat(F.right(before, F.lit(1)), cut(blocks, x["end"], x["end"] + 1))
     inside_word = around.rlike(r"[\p{L}\p{N}]")
     votes = F.concat(F.when(is_base, "y").otherwise("-"), _check(kind, s), _gazetteer(kind, s),
                      _vote(before.rlike(CUES[kind]), before.rlike(ANTI_CUES)), _vote(~inside_word, inside_word))
@@ -175,9 +200,25 @@ def _passing(kind: str) -> Column:
 
 
 def _apart(kind: str) -> Column:
-    """Wide matches that overlap no strict one of their kind: the strict ones win."""
-    return F.filter(f"_{kind}_wide", lambda x: ~F.exists(
-        f"_{kind}", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    """Wide matches that overlap no strict one of their kind: the strict ones win.
+
+    Both lists are sorted and free of overlaps, so a wide match can only meet the last strict one that starts no later
+    (its end is the running maximum) and the next entry of the merged list."""
+    both = F.col(f"_{kind}_both")
+    ends = F.col(f"_{kind}_ends")
+    return F.transform(F.filter(F.transform(both, lambda x, i: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), x["s"].alias("s"),
+        ((x["wide"] == 1) & (F.get(ends, i) <= x["start"])
+         & ~F.coalesce((F.get(both, i + 1)["wide"] == 0) & (F.get(both, i + 1)["start"] < x["end"]), F.lit(False))).alias("free"))),
+        lambda x: x["free"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["s"].alias("s")))
+
+
+def _merged(kind: str) -> Column:
+    """Strict (wide = 0) and wide (1) matches by start, at equal starts the strict one first."""
+    def marked(name, wide):
+        return F.transform(name, lambda x: F.struct(x["start"].alias("start"), F.lit(wide).alias("wide"), x["end"].alias("end"), x["s"].alias("s")))
+
+    return F.array_sort(F.concat(marked(f"_{kind}", 0), marked(f"_{kind}_wide", 1)))
 
 
 def _candidates(kind: str, name: str, base: bool) -> Column:
@@ -188,15 +229,19 @@ def with_candidates(docs: DataFrame) -> DataFrame:
     """Add ``candidates`` to rows with a column ``text`` that holds no nulls."""
     columns = []
     docs = docs.withColumns({f"_{kind}_wanted": F.col("text").rlike(TRIGGER[kind]) for kind in KINDS})
+    docs = docs.withColumn("_blocks", F.when(F.greatest(*[F.col(f"_{kind}_wanted") for kind in KINDS]), blocks_of(F.col("text")))
+                           .otherwise(F.array().cast("array<string>")))
     for kind in KINDS:
         wanted = F.col(f"_{kind}_wanted")
         docs = with_matches(docs, f"_{kind}", STRICT[kind], wanted)
         docs = with_matches(docs, f"_{kind}_wide", WIDE[kind], wanted)
-        docs = docs.withColumn(f"_{kind}", _passing(kind)).withColumn(f"_{kind}_wide", _apart(kind))
+        docs = docs.withColumn(f"_{kind}", _passing(kind)).withColumn(f"_{kind}_both", _merged(kind))
+        docs = docs.withColumn(f"_{kind}_ends", running(F.transform(f"_{kind}_both", lambda x: F.when(
+            x["wide"] == 0, x["end"]).otherwise(0)), F.greatest)).withColumn(f"_{kind}_wide", _apart(kind))
         columns += [_candidates(kind, f"_{kind}", True), _candidates(kind, f"_{kind}_wide", False)]
     return docs.withColumn("candidates", F.array_sort(F.concat(*columns), lambda a, b: F.when(
         a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["kind"] - b["kind"]).cast("int"))).drop(
-        *[f"_{k}{x}" for k in KINDS for x in ("", "_wide", "_wanted")])
+        "_blocks", *[f"_{k}{x}" for k in KINDS for x in ("", "_wide", "_wanted", "_both", "_ends")])
 
 
 # ---- learning on counted vote patterns (driver; bounded number of patterns) ----
@@ -281,24 +326,24 @@ def pii_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets, e.g. ``[EMAIL]``.
 
-    Overlapping spans become one replacement, named after the first. A null text stays null."""
+    Overlapping spans become one replacement, named after the first. A null text stays null. The rows are stored with
+    their candidates, so that each pattern runs once; their columns must be of types that Parquet holds."""
     names = [c for c in docs.columns if c != text]
-    rows = docs.select(F.struct(*names).alias("_rest"), docs[text].isNull().alias("_null"),
-                       F.coalesce(docs[text], F.lit("")).alias("text"))
-    # written first: what a generator reads is also filtered on, and the filter would repeat every pattern
-    model = fit(materialize(with_candidates(rows.select("text")).select("candidates"), "pii-candidates"))
+    kept = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
+    rows = docs.select(F.struct(F.col(f"`{text}`").isNull().alias("null"), *kept).alias("_rest"),
+                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    found = materialize(with_candidates(rows), "pii-candidates")
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    found = found.withColumn("_spans", accepted(fit(found)))
+    found = found.withColumn("_ends", running(F.transform("_spans", lambda c: c["end"]), F.greatest)).withColumn(
+        "_blocks", F.when(F.size("_spans") > 0, blocks_of(F.col("text"))).otherwise(F.array().cast("array<string>")))
 
-    def step(acc, c):
-        new = c["start"] >= acc["at"]
-        piece = F.concat(F.substr("text", acc["at"] + 1, c["start"] - acc["at"]), F.element_at(marks, c["kind"] + 1))
-        return F.struct(F.greatest(acc["at"], c["end"]).alias("at"),
-                        F.when(new, F.concat(acc["parts"], F.array(piece))).otherwise(acc["parts"]).alias("parts"))
+    def piece(c, i):
+        at = F.when(i > 0, F.get("_ends", i - 1)).otherwise(0)       # how far the spans before reach
+        return F.when(c["start"] >= at, F.concat(cut(F.col("_blocks"), at, c["start"]), F.element_at(marks, c["kind"] + 1))).otherwise("")
 
-    found = with_candidates(rows).withColumn("_spans", accepted(model))
-    found = found.withColumn("_cut", F.aggregate("_spans", start, step))
     clean = F.when(F.size("_spans") == 0, F.col("text")).otherwise(F.concat(
-        F.array_join("_cut.parts", ""), F.substr("text", F.col("_cut.at") + 1, F.length("text"))))
-    out = found.select("_rest.*", F.when(~F.col("_null"), clean).alias(text))
-    return out.select(*docs.columns)
+        F.array_join(F.transform("_spans", piece), ""), cut(F.col("_blocks"), F.element_at("_ends", -1), F.length("text"))))
+    out = {c: F.col(f"_rest.c{i}").alias(c) for i, c in enumerate(names)}
+    out[text] = F.when(~F.col("_rest.null"), clean).alias(text)
+    return found.select(*[out[c] for c in docs.columns])
