@@ -205,12 +205,16 @@ def _apart(kind: str) -> Column:
     Both lists are sorted and free of overlaps, so a wide match can only meet the last strict one that starts no later
     (its end is the running maximum) and the next entry of the merged list."""
     both = F.col(f"_{kind}_both")
-    ends = F.col(f"_{kind}_ends")
-    return F.transform(F.filter(F.transform(both, lambda x, i: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), x["s"].alias("s"),
-        ((x["wide"] == 1) & (F.get(ends, i) <= x["start"])
-         & ~F.coalesce((F.get(both, i + 1)["wide"] == 0) & (F.get(both, i + 1)["start"] < x["end"]), F.lit(False))).alias("free"))),
-        lambda x: x["free"]), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["s"].alias("s")))
+    # zipped, not looked up: an array that only a lambda refers to would be computed anew for each element
+    reach = F.zip_with(both, F.col(f"_{kind}_ends"), lambda x, e: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), x["s"].alias("s"), x["wide"].alias("wide"), e.alias("reach")))
+
+    def free(x, i):
+        after = F.get(both, i + 1)
+        return (x["wide"] == 1) & (x["reach"] <= x["start"]) & ~F.coalesce(
+            (after["wide"] == 0) & (after["start"] < x["end"]), F.lit(False))
+
+    return F.transform(F.filter(reach, free), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["s"].alias("s")))
 
 
 def _merged(kind: str) -> Column:
