@@ -382,3 +382,33 @@ def test_estimate_prefers_consistent_votes():
     p, _ = pii.estimate({(0, "yyyyy"): 500, (0, "-nnnn"): 300, (0, "-y-y-"): 40, (0, "-n--n"): 60})
     assert p[0, "yyyyy"] > 0.95 and p[0, "-nnnn"] < 0.05 and p[0, "-y-y-"] > 0.5 > p[0, "-n--n"]
     assert PII
+
+
+def test_pii_cuts_and_running_values(spark):
+    text = "é😀x" * 300
+    row = spark.createDataFrame([(text, [3, 1, 7, 0, 7, 2] * 200)], "text string, v array<int>").select(
+        pii.blocks_of(F.col("text")).alias("b"), "v").select(
+        *[pii.cut(F.col("b"), F.lit(a), F.lit(e)).alias(f"c{a}_{e}") for a, e in ((0, 0), (0, 900), (255, 258), (512, 512), (880, 900))],
+        pii.running_sum(F.col("v")).alias("sums"), pii.running(F.col("v"), lambda a, b: F.greatest(a, b)).alias("tops")).first()
+    assert [row[i] for i in range(5)] == ["", text, text[255:258], "", text[880:900]]
+    v = [3, 1, 7, 0, 7, 2] * 200
+    assert row.sums == list(itertools.accumulate(v)) and row.tops == list(itertools.accumulate(v, max))
+
+
+def test_pii_redaction_follows_the_spans(spark):
+    """Random texts: the redacted text is what a plain reading of the spans gives, under clashing column names."""
+    rng = random.Random(8)
+    bits = ["call +33 6 12 34 56 78 ", "a.b@c.org", " card 4111 1111 1111 1111", "10.0.0.1", " 999.1.1.1", "jo (at) ex (dot) com ",
+            "(555) 123-4567", "é😀", " word", "\n", "1", "+", "@", " x" * 150]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.choice([1, 6, 60]))), i) for i in range(40)] + [(90, None, 1), (91, "", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, candidates int")
+    spans = {r.doc_id: r.spans for r in pii.pii_spans(df).collect()}
+    out = pii.redact(df)
+    assert out.columns == df.columns
+    for r in out.collect():
+        text, at, want = rows[[x[0] for x in rows].index(r.doc_id)][1], 0, ""
+        for kind, start, end in (s.split(":") for s in filter(None, spans[r.doc_id].split(","))):
+            if int(start) >= at:
+                want += text[at:int(start)] + f"[{kind.upper()}]"
+            at = max(at, int(end))
+        assert r.text == (None if text is None else want + text[at:])
