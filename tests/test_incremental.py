@@ -160,3 +160,35 @@ def test_an_update_that_dies_before_the_dimension_is_repeated_exactly(spark, ful
     for read in (read_int, read_dim, read_fact):
         a, b = read(spark, full), read(spark, root)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, read.__name__
+
+
+def test_touched_windows_are_masks_that_many_of_are_shuffled(spark):
+    """A row for each aircraft and quarter of an hour, not one for each window; shifted masks hold the windows around
+    each touched one across the borders of blocks; many masks are not broadcast, however small their file is."""
+    from aerosift.plans.incremental import BLOCK, _expand, affected_raw, touched_windows
+    from tests.conftest import raw_df
+
+    t0 = 1704067200
+    times = [t0 + 30 * i for i in (0, 1, 28, 29, 30, 61)]
+    raw = raw_df(spark, [dict(time_position=t) for t in times] + [dict(icao24="def456", time_position=None)])
+    touched = touched_windows(raw)
+    assert touched.count() == 4
+
+    def windows(masks):
+        return {(r.icao24, None if r.block is None else r.block * BLOCK + i)
+                for r in masks.collect() for i in range(BLOCK) if r.mask >> i & 1}
+
+    own = {("abc123", t // 30) for t in times}
+    assert windows(touched) == own | {("def456", None)}
+    around = {(a, w + k) for a, w in own for k in range(-4, 5)}
+    assert windows(_expand(touched, -4, 4, 30)) == around | {("def456", None)}
+    far = {(a, w + k) for a, w in own for k in range(0, 71)}                 # reaches over two blocks
+    assert windows(_expand(touched, 0, 70, 30)) == far | {("def456", None)}
+
+    stored = raw_df(spark, [dict(time_position=t0 + 30 * i) for i in range(-10, 80)] + [dict(icao24="def456", time_position=None),
+                                                                                        dict(time_position=None)])
+    got = affected_raw(stored, _expand(touched, -4, 4, 30), many=True)
+    assert {(r.icao24, r.time_position and r.time_position // 30) for r in got.collect()} == {
+        (a, w) for a, w in around if t0 // 30 - 10 <= w < t0 // 30 + 80} | {("def456", None)}
+    plan = affected_raw(stored, _expand(touched, -4, 4, 30), many=True)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan

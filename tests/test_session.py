@@ -37,3 +37,37 @@ def test_public_api_resolves():
     assert all(callable(getattr(aerosift, n)) for n in aerosift.__all__)
     with pytest.raises(AttributeError):
         aerosift.not_there  # noqa: B018
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark):
+    """HotSpot never compiles methods beyond 8,000 bytes; a limit that the session set itself stays."""
+    from aerosift.session import METHOD_LIMIT
+    from aerosift.sources.events_adapter import raw_positions
+    from tests.conftest import SF_SMALL
+
+    before = spark.conf.get(METHOD_LIMIT)
+    try:
+        spark.conf.unset(METHOD_LIMIT)
+        raw_positions(spark, SF_SMALL)
+        assert spark.conf.get(METHOD_LIMIT) == "8000"
+        spark.conf.set(METHOD_LIMIT, "12345")
+        raw_positions(spark, SF_SMALL)
+        assert spark.conf.get(METHOD_LIMIT) == "12345"
+    finally:
+        spark.conf.set(METHOD_LIMIT, before)
+
+
+def test_slices_of_a_stored_frame_read_their_own_files(spark):
+    """Rows read slice by slice are stored by slice: one slice's scan lists its partition only, with all columns in place."""
+    from pyspark.sql import functions as F
+
+    from aerosift.session import materialize
+
+    df = spark.range(90).select((F.col("id") % 3).cast("string").alias("part"), "id", F.when(F.col("id") > 80, None).otherwise(1).alias("x"))
+    df = df.withColumn("part", F.when(F.col("id") != 7, F.concat(F.lit("2024-01-01 00:0"), "part", F.lit(":00"))))
+    stored = materialize(df, "sliced", ["part"])
+    assert stored.columns == df.columns and sorted(map(tuple, stored.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    one = stored.where("part = '2024-01-01 00:01:00'")
+    assert one.count() == 29 and one.select(F.input_file_name()).where("input_file_name() NOT LIKE '%00%3A01%3A00%'").isEmpty()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
