@@ -148,3 +148,29 @@ def test_a_replayed_micro_batch_stores_rejects_and_checks_once(spark, tmp_dir):
         assert checks.count() == checks.dropDuplicates(["batch_id", "suite", "check_order"]).count() > 0
     process_landed_batch(spark, read_states(spark, landing), root, epoch=8)
     assert spark.read.parquet(os.path.join(root, "rejects")).count() == 2
+
+
+def test_windows_of_a_slice_close_with_the_next_batch_that_has_data(spark, tmp_dir):
+    from contextlib import nullcontext
+
+    from pyspark.sql import functions as F
+
+    from aerosift.operators.staging import stage
+    from aerosift.plans.catalog import closing_row
+    from aerosift.schemas import RAW_POSITIONS
+    from aerosift.streaming.pipeline import data_batches_only, window_winners_stream
+
+    def drain(day, inside):
+        closing_row(spark).withColumn("time_position", F.lit(86_400 * day).cast("long")).write.mode("append").parquet(f"{tmp_dir}/in")
+        stg = stage(spark.readStream.schema(RAW_POSITIONS).parquet(f"{tmp_dir}/in"))
+        with inside:
+            q = (window_winners_stream(stg, "2 hours").writeStream.format("parquet").option("path", f"{tmp_dir}/out")
+                 .option("checkpointLocation", f"{tmp_dir}/ck").outputMode("append").trigger(availableNow=True).start())
+            q.awaitTermination()
+        return spark.read.schema("icao24 string").parquet(f"{tmp_dir}/out").count()
+
+    conf = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(conf)
+    assert [drain(day, data_batches_only(spark)) for day in (1, 2, 3)] == [0, 0, 1]
+    assert spark.conf.get(conf) == before
+    assert drain(4, nullcontext()) == 3              # a batch without data closes the windows up to the last row's
