@@ -412,3 +412,18 @@ def test_pii_redaction_follows_the_spans(spark):
                 want += text[at:int(start)] + f"[{kind.upper()}]"
             at = max(at, int(end))
         assert r.text == (None if text is None else want + text[at:])
+
+
+def test_ppm_looks_grams_up_in_parts_whose_sums_are_stored(spark, monkeypatch):
+    from aerosift.llm import ppm
+
+    monkeypatch.setattr(ppm, "PAIRS", 3)             # nearly all grams are looked up
+    docs = spark.createDataFrame([(i, f"text {i * i} of {i % 5} words " * (i % 4)) for i in range(40)], "doc_id long, text string")
+    monkeypatch.setattr(ppm, "SLICES", 1)
+    whole = {r.doc_id: r.score for r in ppm.ppm_scores(docs).collect()}
+    monkeypatch.setattr(ppm, "SLICES", 3)
+    scored = ppm.ppm_scores(docs)
+    got = {r.doc_id: r.score for r in scored.collect()}
+    assert got.keys() == whole.keys() and all(abs(got[i] - whole[i]) < 1e-9 * max(1, abs(whole[i])) for i in whole)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode(") == 1      # the rare words only

@@ -71,3 +71,26 @@ def test_slices_of_a_stored_frame_read_their_own_files(spark):
     assert one.count() == 29 and one.select(F.input_file_name()).where("input_file_name() NOT LIKE '%00%3A01%3A00%'").isEmpty()
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_released_shuffles_are_deleted_and_the_setting_returns(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from aerosift.session import SHUFFLE_CLEANUP, materialize, shuffles_released
+
+    def files():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString(",").split(",")
+        return {f for f in found if "/shuffle_" in f}
+
+    before, known = spark.conf.get(SHUFFLE_CLEANUP), files()
+    with pytest.raises(ZeroDivisionError), shuffles_released(spark):
+        held = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "released")
+        until = time.time() + 20
+        while files() - known and time.time() < until:
+            time.sleep(0.1)
+        assert not files() - known
+        raise ZeroDivisionError
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
+    assert held.count() == 7
