@@ -427,3 +427,73 @@ def test_ppm_looks_grams_up_in_parts_whose_sums_are_stored(spark, monkeypatch):
     assert got.keys() == whole.keys() and all(abs(got[i] - whole[i]) < 1e-9 * max(1, abs(whole[i])) for i in whole)
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode(") == 1      # the rare words only
+
+
+def test_ppm_counts_and_looks_up_blocks_of_keys(spark, monkeypatch):
+    """Neither the counts nor the documents' grams go through a shuffle as a row for each key."""
+    from aerosift.session import materialize
+
+    plans, rows = {}, {}
+
+    def stored(df, name, *more):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        out = materialize(df, name, *more)
+        if name == "ppm-scored":
+            rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ppm, "materialize", stored)
+    monkeypatch.setattr(ppm, "PAIRS", 3)             # nearly all grams are looked up
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.createDataFrame([(i, f"text {i * i} of {i % 5} words " * (i % 4)) for i in range(40)], "doc_id long, text string").coalesce(1)
+    assert ppm.ppm_scores(docs).count() == 40
+    assert rows["ppm-scored"] <= 40 + 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "Window" not in plans["ppm-counts"][0]
+    assert len(plans["ppm-sums"]) == ppm.SLICES and not any("explode" in p for p in plans["ppm-sums"])
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
+
+
+@pytest.mark.parametrize("parts", [1, 7, 70_000])
+def test_ppm_blocks_give_each_document_its_sum_and_its_new_grams(parts):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rng = np.random.default_rng(parts)
+    keys, docs = rng.integers(0, 1 << 63, 200)[rng.integers(0, 200, 3000)], np.sort(rng.integers(5, 40, 3000)) + (3 << 33)
+    model = dict(zip((known := np.unique(keys)[::2]).tolist(), rng.normal(size=len(known)).tolist()))
+    asked = ppm.Asked(parts)
+    for at in range(0, 3000, 1000):
+        asked.add(docs[at:at + 1000], keys[at:at + 1000])
+    blocks, found = pa.table(asked.blocks()), []
+    for part in set(blocks["part"].to_pylist()):
+        own = blocks.filter(pc.equal(blocks["part"], part))
+        mine = [k for k in model if ppm.dealt(np.array([k]), ppm._GRAM, parts)[0][0] == part]
+        found.append(ppm._look_up(own, pa.table({"key": pa.array(mine, pa.int64()), "log": pa.array([model[k] for k in mine], pa.float64())})))
+    want, new = collections.Counter(), collections.Counter()
+    out = ppm._add_up(pa.concat_tables(found)).to_pylist()
+    for d, k in zip(docs.tolist(), keys.tolist()):
+        if k in model:
+            want[d] += model[k]
+        else:
+            new[d, k] += 1
+    got = {r["row"]: r["value"] for r in out if r["key"] is None}
+    assert got == pytest.approx(dict(want))
+    assert sorted((r["row"], r["key"], r["value"]) for r in out if r["key"] is not None) == sorted((*x, n) for x, n in new.items())
+
+
+def test_ppm_totals_of_a_part_add_blocks_up():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(97, 100, 400, dtype=np.uint8).tobytes() for _ in range(3)]
+    blocks = [ppm.dealt(np.unique(g := ppm.grams_of([t])), ppm._GRAM, 1) + (g,) for t in texts]
+    table = pa.concat_tables(pa.table({"keys": ppm.packed(np.unique(g), b), "counts": ppm.packed(np.unique(g, return_counts=True)[1], b)})
+                             for _, b, _, g in blocks)
+    out = ppm._totals((pa.scalar(ppm._GRAM), pa.scalar(0)), table).to_pydict()
+    n = collections.Counter(ppm.grams_of(texts).tolist())
+    assert dict(zip(out["key"], out["n"])) == n
+    t, d = collections.Counter(), collections.Counter()
+    for k, c in n.items():
+        t[k >> 9] += c
+        d[k >> 9] += 1
+    assert [t[k >> 9] for k in out["key"]] == out["t"] and [d[k >> 9] for k in out["key"]] == out["d"]
